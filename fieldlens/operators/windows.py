@@ -138,30 +138,45 @@ def trailing_mean(
     ).drop("_fl_ts", "_fl_tc")
 
 
-def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
-) -> DataFrame:
-    """keep the first row of each key under a stated total order.
+def sort_key(df: DataFrame, specs: Sequence[tuple]) -> list[Column]:
+    """Ascending sort-key columns for ``(column, "asc"|"desc", nulls_last)``
+    specs, so that ``min`` over ``struct(*keys)`` picks the first row.
 
-    ``dropDuplicates`` keeps an arbitrary row; this keeps a defined one.  The
-    window is per key; for very hot keys use :func:`first_per_key_agg`.
+    ``desc`` is expressed by negation (numbers, dates, booleans); nulls-last by
+    a leading ``isNull`` flag (false sorts before true).
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_fl_rn", F.row_number().over(w)).where("_fl_rn = 1").drop("_fl_rn")
-
-
-def first_per_key_agg(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column]
-) -> DataFrame:
-    """Same result as :func:`first_per_key` as an aggregate: ``min_by`` over a
-    struct of the sort keys.  Partial aggregation runs map-side, so a key that
-    holds a third of the rows is reduced before the shuffle (skew-safe).
-
-    ``order`` items are ascending sort-key Columns; express a descending
-    numeric key by negating it and nulls-last by a leading ``isNull`` key.
+    out: list[Column] = []
+    for spec in specs:
+        name, direction, nulls_last = (tuple(spec) + ("asc", False))[:3]
+        c = F.col(name)
+        if nulls_last:
+            out.append(c.isNull())
+        if direction == "desc":
+            t = df.schema[name].dataType.typeName()
+            if t == "boolean":
+                c = ~c
+            elif t == "date":
+                c = -F.unix_date(c)
+            elif t == "timestamp":
+                c = -F.unix_micros(c)
+            else:
+                c = -c
+        out.append(c)
+    return out
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[tuple]) -> DataFrame:
+    """keep the first row of each key under a stated total order
+    (``dropDuplicates`` would keep an arbitrary row).
+
+    Written as an aggregate, ``min_by(row, sort key)``: partial aggregation
+    runs map-side, so a key holding a third of all rows is reduced to one row
+    per task before the shuffle and never reaches one task whole.  ``order``
+    holds ``(column, "asc"|"desc", nulls_last)`` specs; end it with a unique
+    column so ties cannot occur.
     """
     payload = [c for c in df.columns if c not in keys]
-    sk = F.struct(*order)
+    sk = F.struct(*sort_key(df, order))
     agg = df.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in payload]), sk).alias("_fl_row")
     )

@@ -118,3 +118,140 @@ SELECT yield_id,""" + lookback_select("yield_id")
 ORACLE["preharvest_naive"] = ORACLE["preharvest_features"]
 
 ORACLE["gold_features"] = GOLD_BASE + GOLD_SELECT
+
+
+def gold_with(*ctes: str) -> str:
+    """WITH clause holding the gold table (as ``gold``) plus extra CTEs."""
+    return with_(YIELD_V, WEATHER_V, Y5, YS, WT, J_YW, GOLD_CTE, *ctes)
+
+
+PAIR_WHERE = """(County = 'NATION_1' AND State = 'AMERICA')
+   OR (County = 'NATION_6' AND State = 'AMERICA')
+   OR (County = 'NATION_0' AND State = 'AFRICA')"""
+
+ORACLE["pair_filter"] = with_(YIELD_V) + f"""
+SELECT yield_id, County, State, Crop, Year, Yield_Per_Acre FROM yield_v WHERE {PAIR_WHERE}"""
+
+ORACLE["temp_clean"] = with_(WEATHER_V) + """
+SELECT state_abbrev, county_name, date, TAVG, TMAX, TMIN,
+       coalesce(TAVG, (TMAX + TMIN) / 2) AS TAVG_Cleaned FROM weather_v"""
+
+ORACLE["dropna_subset"] = gold_with() + """
+SELECT * FROM gold WHERE "5_Year_Avg_Yield" IS NOT NULL AND "60d_Avg_Temp" IS NOT NULL"""
+
+SPLITS = """train AS (SELECT * FROM gold WHERE Year <= 1999 AND "5_Year_Avg_Yield" IS NOT NULL),
+holdout AS (SELECT * FROM gold WHERE Year = 2000 AND "5_Year_Avg_Yield" IS NOT NULL)"""
+
+ORACLE["year_split"] = gold_with(SPLITS) + """
+SELECT *, 'train' AS split FROM train UNION ALL SELECT *, 'holdout' AS split FROM holdout"""
+
+ORACLE["geoid_key"] = """
+SELECT * FROM (
+  SELECT c_custkey, c_name AS county_name, c_mktsegment AS state_abbrev,
+         lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_fips,
+         lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS county_fips,
+         lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
+           || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS GEOID
+  FROM customer) WHERE GEOID IN ('03156', '16048', '10495')"""
+
+ORACLE["map_lookup"] = with_(YIELD_V) + """
+SELECT yield_id, Crop,
+       CASE Crop WHEN '1-URGENT' THEN 'Corn' WHEN '2-HIGH' THEN 'Soybeans'
+                 WHEN '3-MEDIUM' THEN 'Wheat' END AS Crop_Name
+FROM yield_v"""
+
+ORACLE["yield_weather_join"] = with_(YIELD_V, WEATHER_V) + """
+SELECT y.yield_id, y.County, y.Year, count(*) AS weather_days,
+       min(w.date) AS first_day, max(w.date) AS last_day
+FROM yield_v y JOIN weather_v w ON y.County = w.county_name AND y.Year = year(w.date)
+GROUP BY y.yield_id, y.County, y.Year"""
+
+ORACLE["union_missing"] = with_(YIELD_V) + """
+SELECT yield_id, County, Crop, Year, Yield_Per_Acre FROM yield_v WHERE Crop = '1-URGENT'
+UNION ALL BY NAME
+SELECT yield_id, County, State, Year, Harvest_Date FROM yield_v WHERE Crop = '2-HIGH'"""
+
+FIRST_CTE = """firsts AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY County, Crop
+      ORDER BY Harvest_Date, Yield_Per_Acre, State, "5_Year_Avg_Yield", Yield_Status, Year) AS rn
+    FROM holdout) WHERE rn = 1)"""
+
+ORACLE["first_per_key"] = gold_with(SPLITS, FIRST_CTE) + "SELECT * FROM firsts"
+
+ORACLE["topk"] = with_(YIELD_V) + """
+SELECT yield_id, County, Crop, Year, Yield_Per_Acre FROM yield_v
+ORDER BY Yield_Per_Acre DESC, yield_id LIMIT 10"""
+
+ORACLE["table_roundtrip"] = with_(YIELD_V) + "SELECT * FROM yield_v"
+ORACLE["csv_ingest"] = ORACLE["table_roundtrip"]
+ORACLE["csv_export"] = with_(WEATHER_V) + "SELECT * FROM weather_v"
+
+ORACLE["json_pages_flatten"] = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS datatype, user_id AS station,
+       CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value
+FROM events"""
+
+INSIDE = """inside AS (
+  SELECT geoid, id, datacoverage FROM (
+    SELECT geoid, id, datacoverage, count(*) AS n FROM station_v JOIN county_edge_v
+      ON (y1 > latitude) <> (y2 > latitude)
+     AND longitude < (x2 - x1) * (latitude - y1) / (y2 - y1) + x1
+    WHERE longitude IS NOT NULL GROUP BY geoid, id, datacoverage) z
+  WHERE n % 2 = 1)"""
+
+BEST = """best AS (
+  SELECT geoid, id, is_usw, datacoverage FROM (
+    SELECT *, starts_with(id, 'GHCND:USW') AS is_usw,
+           row_number() OVER (PARTITION BY geoid ORDER BY starts_with(id, 'GHCND:USW') DESC,
+                              datacoverage DESC NULLS LAST, id) AS rn
+    FROM inside) WHERE rn = 1)"""
+
+COUNTY = """cty AS (
+  SELECT n_name AS geoid, r_name AS state_abbrev,
+         lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS state_fips, n_name AS county_name,
+         lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS county_fips
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+DIM = """dim AS (
+  SELECT CAST(substr(b.id, 10) AS BIGINT) AS sk, cty.state_abbrev, cty.state_fips,
+         cty.county_name, cty.county_fips
+  FROM best b JOIN cty ON b.geoid = cty.geoid)"""
+
+ORACLE["station_county"] = with_(STATION_V, EDGE_V, INSIDE) + "SELECT geoid, id FROM inside"
+
+ORACLE["best_per_group"] = with_(STATION_V, EDGE_V, INSIDE, BEST) + "SELECT * FROM best"
+
+ORACLE["dim_left_join"] = with_(OBS_V, STATION_V, EDGE_V, INSIDE, BEST, COUNTY, DIM) + """
+SELECT o.station, o.date, o.datatype, o.value, d.county_name, d.state_abbrev
+FROM obs_v o LEFT JOIN dim d ON o.station = d.sk"""
+
+ORACLE["daily_mean_long"] = with_(OBS_V) + """
+SELECT station, date, datatype, CAST(sum(value) AS DOUBLE) / count(value) AS value
+FROM obs_v GROUP BY station, date, datatype"""
+
+
+def _pivot_cols(types) -> str:
+    return ",\n".join(
+        f"""  CAST(sum(value) FILTER (WHERE datatype = '{t}') AS DOUBLE)
+    / nullif(count(value) FILTER (WHERE datatype = '{t}'), 0) AS "{t}\""""
+        for t in types
+    )
+
+
+ANALOG_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+ORACLE["daily_pivot"] = with_(OBS_V) + f"""
+SELECT station, date,
+{_pivot_cols(ANALOG_TYPES)}
+FROM obs_v GROUP BY station, date"""
+
+ORACLE["weather_build"] = with_(OBS_V, STATION_V, EDGE_V, INSIDE, BEST, COUNTY, DIM) + f""",
+j AS (SELECT o.*, d.state_abbrev, d.state_fips, d.county_name, d.county_fips
+      FROM obs_v o LEFT JOIN dim d ON o.station = d.sk)
+SELECT state_abbrev, state_fips, county_name, county_fips, date,
+{_pivot_cols(ANALOG_TYPES)}
+FROM j
+WHERE state_abbrev IS NOT NULL AND state_fips IS NOT NULL AND county_name IS NOT NULL
+  AND county_fips IS NOT NULL AND date IS NOT NULL
+GROUP BY state_abbrev, state_fips, county_name, county_fips, date"""

@@ -86,3 +86,196 @@ def gold_analog(spark: SparkSession, base: str) -> DataFrame:
 @register("gold_features")
 def q_gold_features(spark, base):
     return gold_analog(spark, base)
+
+
+# --------------------------------------------------------------------------
+# Relational building blocks
+# --------------------------------------------------------------------------
+from fieldlens.functions.exprs import clean_temperature, dict_lookup, geoid  # noqa: E402
+from fieldlens.operators.filters import drop_null_rows, pair_filter, year_split  # noqa: E402
+from fieldlens.operators.joins import left_join_dim, yield_weather_days  # noqa: E402
+from fieldlens.operators.setops import stack, top_k  # noqa: E402
+from fieldlens.operators.windows import first_per_key  # noqa: E402
+from fieldlens.schemas import WEATHER_CSV, YIELD_CSV, OBSERVATION_RECORD  # noqa: E402
+from fieldlens.session import shared_path  # noqa: E402
+from fieldlens.sources import files as FS  # noqa: E402
+
+# Analog parameters: three (County, State) targets, three 5-digit keys, a
+# crop-name dictionary with two misses, and the top-k size.
+PAIRS = [("NATION_1", "AMERICA"), ("NATION_6", "AMERICA"), ("NATION_0", "AFRICA")]
+TARGET_GEOIDS = ["03156", "16048", "10495"]
+CROP_NAMES = {"1-URGENT": "Corn", "2-HIGH": "Soybeans", "3-MEDIUM": "Wheat"}
+TOP_K = 10
+GRID_CELL = 10.0
+
+
+@register("pair_filter")
+def q_pair_filter(spark, base):
+    y = pair_filter(A.yield_view(spark, base), PAIRS, ["County", "State"])
+    return y.select("yield_id", "County", "State", "Crop", "Year", "Yield_Per_Acre")
+
+
+@register("temp_clean")
+def q_temp_clean(spark, base):
+    w = A.weather_view(spark, base)
+    return w.select("state_abbrev", "county_name", "date", "TAVG", "TMAX", "TMIN",
+                    clean_temperature().alias("TAVG_Cleaned"))
+
+
+@register("dropna_subset")
+def q_dropna_subset(spark, base):
+    return drop_null_rows(gold_analog(spark, base), [G.AVG_COL, "60d_Avg_Temp"])
+
+
+def gold_splits(spark, base):
+    return year_split(gold_analog(spark, base), train_max_year=TRAIN_MAX_YEAR,
+                      holdout_year=HOLDOUT_YEAR)
+
+
+@register("year_split")
+def q_year_split(spark, base):
+    train, hold = gold_splits(spark, base)
+    return stack([train.withColumn("split", F.lit("train")),
+                  hold.withColumn("split", F.lit("holdout"))])
+
+
+@register("geoid_key")
+def q_geoid_key(spark, base):
+    c = A.read_table(spark, base, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment",
+        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("STATEFP"),
+        F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0").alias("COUNTYFP"),
+    )
+    c = c.withColumn("GEOID", geoid("STATEFP", "COUNTYFP"))
+    c = c.where(F.col("GEOID").isin(TARGET_GEOIDS))
+    return c.withColumnsRenamed({"c_name": "county_name", "c_mktsegment": "state_abbrev",
+                                 "STATEFP": "state_fips", "COUNTYFP": "county_fips"})
+
+
+@register("map_lookup")
+def q_map_lookup(spark, base):
+    y = A.yield_view(spark, base)
+    return y.select("yield_id", "Crop", dict_lookup("Crop", CROP_NAMES).alias("Crop_Name"))
+
+
+@register("yield_weather_join")
+def q_yield_weather_join(spark, base):
+    j = yield_weather_days(A.yield_view(spark, base), A.weather_view(spark, base))
+    return j.select("yield_id", "County", "Year", "weather_days", "first_day", "last_day")
+
+
+@register("union_missing")
+def q_union_missing(spark, base):
+    y = A.yield_view(spark, base)
+    a = y.where(F.col("Crop") == "1-URGENT").select("yield_id", "County", "Crop", "Year",
+                                                   "Yield_Per_Acre")
+    b = y.where(F.col("Crop") == "2-HIGH").select("yield_id", "County", "State", "Year",
+                                                 "Harvest_Date")
+    return stack([a, b], allow_missing=True)
+
+
+FIRST_ORDER = [("Harvest_Date", "asc"), ("Yield_Per_Acre", "asc"), ("State", "asc"),
+               (G.AVG_COL, "asc"), (G.STATUS_COL, "asc"), ("Year", "asc")]
+
+
+@register("first_per_key")
+def q_first_per_key(spark, base):
+    _, hold = gold_splits(spark, base)
+    return first_per_key(hold, ["County", "Crop"], FIRST_ORDER)
+
+
+@register("topk")
+def q_topk(spark, base):
+    y = A.yield_view(spark, base)
+    return top_k(y, [F.col("Yield_Per_Acre").desc(), F.col("yield_id").asc()], TOP_K).select(
+        "yield_id", "County", "Crop", "Year", "Yield_Per_Acre")
+
+
+@register("table_roundtrip")
+def q_table_roundtrip(spark, base):
+    y = A.yield_view(spark, base)
+    return FS.save_table(y, "bronze_yield", shared_path(spark, "bronze_yield"),
+                         partition_by=["Year"])
+
+
+@register("csv_export")
+def q_csv_export(spark, base):
+    path = FS.write_csv(A.weather_view(spark, base), shared_path(spark, "weather_csv"))
+    return FS.read_csv(spark, path, WEATHER_CSV)
+
+
+@register("csv_ingest")
+def q_csv_ingest(spark, base):
+    landed = FS.write_csv(A.yield_view(spark, base), shared_path(spark, "yield_csv"))
+    bronze = FS.read_csv(spark, landed, YIELD_CSV)
+    return FS.save_table(bronze, "bronze_yield_csv", shared_path(spark, "bronze_yield_csv"))
+
+
+# --------------------------------------------------------------------------
+# Weather build
+# --------------------------------------------------------------------------
+from fieldlens.operators.aggregates import group_mean_long, pivot_mean  # noqa: E402
+from fieldlens.plans import weather as WB  # noqa: E402
+
+# Analog datatypes: the five event types plus one that never occurs.
+OBS_TYPES = ["click", "error", "purchase", "signup", "view", "TSUN"]
+PAGE_SIZE = 500
+
+
+@register("json_pages_flatten")
+def q_json_pages_flatten(spark, base):
+    ev = A.read_table(spark, base, "events")
+    recs = ev.select(
+        F.floor(F.col("event_id") / PAGE_SIZE).alias("page"),
+        F.col("ts").cast("date").cast("string").alias("date"),
+        F.col("event_type").alias("datatype"),
+        F.col("user_id").alias("station"),
+        F.col("value").cast("decimal(18,2)").alias("value"),
+    )
+    path = FS.write_pages(recs, shared_path(spark, "obs_pages"), page_of="page",
+                          record_cols=["date", "datatype", "station", "value"])
+    return FS.read_pages(spark, path, OBSERVATION_RECORD)
+
+
+def located_stations(spark, base):
+    return WB.stations_in_counties(A.station_view(spark, base), A.county_edge_view(spark, base),
+                                   cell=GRID_CELL)
+
+
+@register("station_county")
+def q_station_county(spark, base):
+    return located_stations(spark, base).select("geoid", "id")
+
+
+@register("best_per_group")
+def q_best_per_group(spark, base):
+    return WB.best_station_per_county(located_stations(spark, base))
+
+
+def best_station_dim(spark, base):
+    best = WB.best_station_per_county(located_stations(spark, base))
+    return best.withColumn("station_key", F.substring("id", 10, 64).cast("bigint"))
+
+
+@register("dim_left_join")
+def q_dim_left_join(spark, base):
+    dim = best_station_dim(spark, base).join(A.county_view(spark, base), "geoid")
+    return left_join_dim(A.observation_view(spark, base), dim, left_on="station",
+                         right_on="station_key", dim_cols=["county_name", "state_abbrev"])
+
+
+@register("daily_mean_long")
+def q_daily_mean_long(spark, base):
+    return group_mean_long(A.observation_view(spark, base), ["station", "date", "datatype"])
+
+
+@register("daily_pivot")
+def q_daily_pivot(spark, base):
+    return pivot_mean(A.observation_view(spark, base), ["station", "date"], "datatype", OBS_TYPES)
+
+
+@register("weather_build")
+def q_weather_build(spark, base):
+    return WB.county_daily_weather(A.observation_view(spark, base), best_station_dim(spark, base),
+                                   A.county_view(spark, base), station_key="station_key",
+                                   datatypes=OBS_TYPES)

@@ -137,3 +137,17 @@ def county_edge_view(spark: SparkSession, base: str) -> DataFrame:
         (F.col("x0") + F.col("bx")).alias("x2"),
         (F.col("y0") + F.col("by")).alias("y2"),
     )
+
+
+def county_view(spark: SparkSession, base: str) -> DataFrame:
+    """County attributes keyed by geoid: names and zero-padded FIPS codes."""
+    nation = read_table(spark, base, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, base, "region").select("r_regionkey", "r_name")
+    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return j.select(
+        F.col("n_name").alias("geoid"),
+        F.col("r_name").alias("state_abbrev"),
+        F.lpad(F.col("r_regionkey").cast("string"), 2, "0").alias("state_fips"),
+        F.col("n_name").alias("county_name"),
+        F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("county_fips"),
+    )
