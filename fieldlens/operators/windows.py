@@ -96,7 +96,17 @@ def trailing_rows_sum_count(
     )
 
     # <= one context row per range partition: broadcast is size-bounded.
-    j = inner.join(F.broadcast(ctx), on=[*keys, _BLK], how="left")
+    # null-safe keys: a null key is a valid window partition, and no
+    # isnotnull filter is inferred into one branch only (so both branches
+    # read the same shuffle)
+    c = ctx.select(*[F.col(k).alias(f"_fl_k_{k}") for k in keys],
+                   F.col(_BLK).alias("_fl_k_blk"),
+                   *[F.col(x) for x in ctx.columns if x not in (*keys, _BLK)])
+    cond = F.col(_BLK) == F.col("_fl_k_blk")
+    for k in keys:
+        cond = cond & inner[k].eqNullSafe(F.col(f"_fl_k_{k}"))
+    j = inner.join(F.broadcast(c), cond, how="left").drop(
+        *[f"_fl_k_{k}" for k in keys], "_fl_k_blk")
     pos = F.col(_POS)
     need_s = F.lit(None)
     need_c = F.lit(None)

@@ -255,3 +255,167 @@ FROM j
 WHERE state_abbrev IS NOT NULL AND state_fips IS NOT NULL AND county_name IS NOT NULL
   AND county_fips IS NOT NULL AND date IS NOT NULL
 GROUP BY state_abbrev, state_fips, county_name, county_fips, date"""
+
+
+GOLD8 = ('County, State, Year, Crop, Harvest_Date, Yield_Per_Acre, "5_Year_Avg_Yield", '
+         'Yield_Status')
+
+ROWKEY = ("concat_ws('|', County, Crop, CAST(Year AS VARCHAR), CAST(Harvest_Date AS VARCHAR), "
+          "CAST(Yield_Per_Acre AS VARCHAR))")
+
+SPLIT = f"""sp AS (
+  SELECT *, CASE WHEN ('0x' || substr(md5({ROWKEY}), 1, 8))::BIGINT % 5 = 0
+                 THEN 'test' ELSE 'train' END AS split
+  FROM train)"""
+
+KM = """km AS (SELECT County, Crop, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS km
+       FROM sp WHERE split = 'train' GROUP BY County, Crop),
+gm AS (SELECT CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS g
+       FROM sp WHERE split = 'train'),
+pred AS (SELECT sp.*, coalesce(km.km, gm.g) AS Predicted_Yield
+         FROM sp LEFT JOIN km ON sp.County = km.County AND sp.Crop = km.Crop CROSS JOIN gm),
+te AS (SELECT * FROM pred WHERE split = 'test'),
+bands AS (SELECT quantile_cont(CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield, 0.1) AS e10,
+                 quantile_cont(CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield, 0.9) AS e90
+          FROM te),
+bp AS (SELECT te.*, Predicted_Yield + e10 AS Lower_Bound, Predicted_Yield + e90 AS Upper_Bound,
+              CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield AS Residual
+       FROM te CROSS JOIN bands)"""
+
+EVAL = gold_with(SPLITS, SPLIT, KM)
+
+ORACLE["holdout_split"] = gold_with(SPLITS, SPLIT) + f"SELECT {GOLD8}, split FROM sp"
+
+ORACLE["fold_assign"] = gold_with(SPLITS, SPLIT) + f"""
+SELECT {GOLD8}, CAST(('0x' || substr(md5({ROWKEY}), 9, 8))::BIGINT % 5 AS INTEGER) AS fold
+FROM sp WHERE split = 'train'"""
+
+ORACLE["regression_metrics"] = EVAL + """
+SELECT split, n,
+  round(1.0 - sse / (CAST(syy AS DOUBLE) - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE) / n), 6) AS r2,
+  round(sqrt(sse / n), 6) AS rmse, round(sae / n, 6) AS mae
+FROM (SELECT split, count(*) AS n, sum(Yield_Per_Acre) AS sy,
+             sum(Yield_Per_Acre * Yield_Per_Acre) AS syy,
+             sum((CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield)
+                 * (CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield)) AS sse,
+             sum(abs(CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield)) AS sae
+      FROM pred GROUP BY split)"""
+
+ORACLE["residual_bands"] = EVAL + "SELECT e10 AS error_10th, e90 AS error_90th FROM bands"
+
+ORACLE["prediction_bands"] = EVAL + f"""
+SELECT {GOLD8}, Predicted_Yield, Lower_Bound, Upper_Bound, Residual FROM bp"""
+
+ORACLE["predictions_report"] = EVAL + """
+SELECT County, Crop, Year, Predicted_Yield, Yield_Per_Acre AS Actual_Yield, Lower_Bound, Upper_Bound
+FROM bp ORDER BY Predicted_Yield"""
+
+ORACLE["yearly_actual_vs_pred"] = EVAL + """
+SELECT County, Crop, Year, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS Avg_Yield,
+       round(avg(Predicted_Yield), 6) AS Avg_Predicted
+FROM bp GROUP BY County, Crop, Year ORDER BY Year"""
+
+IMPACT = """med AS (SELECT quantile_cont("90d_Total_Precip", 0.5) AS rm,
+                      quantile_cont("90d_Avg_Temp", 0.5) AS tm FROM train),
+agg AS (
+  SELECT
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Days_Above_95F" > 4) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Days_Above_95F" > 4), 0) AS h_hi,
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Days_Above_95F" <= 4) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Days_Above_95F" <= 4), 0) AS h_lo,
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Total_Precip" > rm) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Total_Precip" > rm), 0) AS r_hi,
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Total_Precip" <= rm) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Total_Precip" <= rm), 0) AS r_lo,
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Avg_Temp" > tm) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Avg_Temp" > tm), 0) AS t_hi,
+    CAST(sum(Yield_Per_Acre) FILTER (WHERE "90d_Avg_Temp" <= tm) AS DOUBLE)
+      / nullif(count(Yield_Per_Acre) FILTER (WHERE "90d_Avg_Temp" <= tm), 0) AS t_lo,
+    any_value(rm) AS rm, any_value(tm) AS tm
+  FROM train CROSS JOIN med),
+impact AS (
+  SELECT 'heat' AS finding, CAST(4 AS DOUBLE) AS threshold, h_hi AS mean_high, h_lo AS mean_low,
+         (h_hi - h_lo) / h_lo * 100 AS impact_pct FROM agg
+  UNION ALL SELECT 'rain', rm, r_hi, r_lo, (r_hi - r_lo) / r_lo * 100 FROM agg
+  UNION ALL SELECT 'temperature', tm, t_hi, t_lo, (t_hi - t_lo) / t_lo * 100 FROM agg)"""
+
+ORACLE["split_impact"] = gold_with(SPLITS, IMPACT) + "SELECT * FROM impact"
+
+ORACLE["farmer_summary"] = gold_with(SPLITS, IMPACT, SPLIT, KM) + """
+SELECT finding, round(impact_pct, 1) AS value,
+  CASE finding
+    WHEN 'heat' THEN 'More than ' || printf('%.0f', round(threshold, 0))
+      || ' hot days in the 90 days before harvest: expected yield changes by '
+      || printf('%.1f', round(impact_pct, 1)) || '%.'
+    WHEN 'rain' THEN '90-day rainfall above ' || printf('%.1f', round(threshold, 1))
+      || ': yield changes by ' || printf('%.1f', round(impact_pct, 1)) || '% against drier seasons.'
+    ELSE '90-day mean temperature above ' || printf('%.1f', round(threshold, 1))
+      || ': yield changes by ' || printf('%.1f', round(impact_pct, 1)) || '%.'
+  END AS message
+FROM impact
+UNION ALL
+SELECT 'band', NULL, 'Predictions fall within ' || printf('%.1f', round(e10, 1)) || ' to +'
+  || printf('%.1f', round(e90, 1)) || ' of the actual yield 80% of the time.'
+FROM bands"""
+
+NUMERIC = ["Year", "5_Year_Avg_Yield", "60d_Total_Precip", "60d_Avg_Temp",
+           "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F"]
+
+ORACLE["feature_zscore"] = gold_with(SPLITS) + ",\nst AS (SELECT " + ", ".join(
+    f'avg(CAST("{c}" AS DOUBLE)) AS "m_{c}", stddev_pop(CAST("{c}" AS DOUBLE)) AS "s_{c}"'
+    for c in NUMERIC) + " FROM train)\nSELECT " + GOLD8 + ", " + ", ".join(
+    f'round((CAST("{c}" AS DOUBLE) - "m_{c}") / nullif("s_{c}", 0), 6) AS "{c}_z"'
+    for c in NUMERIC) + "\nFROM train CROSS JOIN st"
+
+NATIONS = sorted(f"NATION_{i}" for i in range(25))
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+ORACLE["onehot_encode"] = gold_with(SPLITS, SPLIT) + "SELECT " + GOLD8 + ",\n" + ",\n".join(
+    f"""  CAST({col} = '{v}' AS DOUBLE) AS "{col}_{v}\""""
+    for col, vals in (("County", NATIONS), ("State", REGIONS), ("Crop", PRIORITIES))
+    for v in vals) + "\nFROM sp WHERE split = 'test'"
+
+FIRSTS_H = FIRST_CTE
+
+SCEN = """scen AS (
+  SELECT County, Crop, 'Baseline (Actual)' AS Scenario, Yield_Per_Acre, "5_Year_Avg_Yield",
+         "60d_Total_Precip" * 1.0 AS "60d_Total_Precip", "60d_Avg_Temp" + 0.0 AS "60d_Avg_Temp",
+         "90d_Total_Precip" * 1.0 AS "90d_Total_Precip", "90d_Avg_Temp" + 0.0 AS "90d_Avg_Temp",
+         "90d_Days_Above_95F" + 0 AS "90d_Days_Above_95F" FROM src
+  UNION ALL
+  SELECT County, Crop, 'Simulated Heatwave', Yield_Per_Acre, "5_Year_Avg_Yield",
+         "60d_Total_Precip" * 1.0, "60d_Avg_Temp" + 5.0, "90d_Total_Precip" * 1.0,
+         "90d_Avg_Temp" + 5.0, "90d_Days_Above_95F" + 15 FROM src
+  UNION ALL
+  SELECT County, Crop, 'Simulated Drought', Yield_Per_Acre, "5_Year_Avg_Yield",
+         "60d_Total_Precip" * 0.5, "60d_Avg_Temp" + 0.0, "90d_Total_Precip" * 0.5,
+         "90d_Avg_Temp" + 0.0, "90d_Days_Above_95F" + 0 FROM src)"""
+
+SCORED = """scored AS (
+  SELECT County, Crop, Yield_Per_Acre, Scenario, p AS Predicted_Yield,
+         p + e10 AS Lower_Confidence_Bound, p + e90 AS Upper_Confidence_Bound
+  FROM (SELECT *, coalesce("5_Year_Avg_Yield", 0.0)
+          + 2.0 * coalesce(CAST("60d_Total_Precip" AS DOUBLE), 0.0)
+          + 1.0 * coalesce(CAST("90d_Total_Precip" AS DOUBLE), 0.0)
+          + -0.25 * coalesce(CAST("60d_Avg_Temp" AS DOUBLE), 0.0)
+          + -0.25 * coalesce(CAST("90d_Avg_Temp" AS DOUBLE), 0.0)
+          + -100.0 * coalesce(CAST("90d_Days_Above_95F" AS DOUBLE), 0.0) AS p
+        FROM scen) s CROSS JOIN bands)"""
+
+ORACLE["scenario_features"] = gold_with(SPLITS, FIRST_CTE, "src AS (SELECT * FROM firsts)",
+                                        SCEN) + "SELECT * FROM scen"
+
+ORACLE["scenario_risk"] = gold_with(SPLITS, SPLIT, KM, FIRST_CTE, "src AS (SELECT * FROM firsts)",
+                                    SCEN, SCORED) + """
+SELECT *, (Predicted_Yield - b) / b * 100 AS "Yield_Risk_%"
+FROM (SELECT *, max(CASE WHEN Scenario = 'Baseline (Actual)' THEN Predicted_Yield END)
+                  OVER (PARTITION BY County, Crop) AS b FROM scored) x""".replace(
+    'SELECT *, (Predicted_Yield - b)', 'SELECT * EXCLUDE (b), (Predicted_Yield - b)')
+
+ORACLE["scenario_risk_mean"] = gold_with(SPLITS, SPLIT, KM, "src AS (SELECT * FROM holdout)",
+                                         SCEN, SCORED) + """
+SELECT s.*, round((Predicted_Yield - b) / b * 100, 6) AS "Yield_Risk_%"
+FROM scored s LEFT JOIN (SELECT County, Crop, avg(Predicted_Yield) AS b FROM scored
+                         WHERE Scenario = 'Baseline (Actual)' GROUP BY County, Crop) m
+  ON s.County = m.County AND s.Crop = m.Crop"""

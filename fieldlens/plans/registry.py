@@ -38,7 +38,7 @@ def register(name: str):
 
 @register("rolling_yield")
 def q_rolling_yield(spark, base):
-    y = A.yield_view(spark, base)
+    y = bronze_yield(spark, base)
     y = G.add_trailing_yield(y, tiebreak=TIEBREAK)
     return y.select("yield_id", "County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre",
                     G.AVG_COL)
@@ -77,9 +77,18 @@ def q_preharvest_naive(spark, base):
     return _lookback_out(lookback_naive(y, w, row_key=["yield_id"], hot_threshold=HOT))
 
 
+def bronze_yield(spark: SparkSession, base: str) -> DataFrame:
+    """The bronze yield table: the yield view written once to the shared
+    folder, since the gold plan reads it in several branches (block bounds,
+    window, tails, harvest-date probes)."""
+    from fieldlens.session import materialize
+
+    return materialize(A.yield_view(spark, base))
+
+
 def gold_analog(spark: SparkSession, base: str) -> DataFrame:
     """The flagship gold table over the analog views."""
-    return G.gold_features(A.yield_view(spark, base), A.weather_view(spark, base),
+    return G.gold_features(bronze_yield(spark, base), A.weather_view(spark, base),
                            tiebreak=TIEBREAK, hot_threshold=HOT, temp_type=TEMP_TYPE)
 
 
@@ -97,7 +106,7 @@ from fieldlens.operators.joins import left_join_dim, yield_weather_days  # noqa:
 from fieldlens.operators.setops import stack, top_k  # noqa: E402
 from fieldlens.operators.windows import first_per_key  # noqa: E402
 from fieldlens.schemas import WEATHER_CSV, YIELD_CSV, OBSERVATION_RECORD  # noqa: E402
-from fieldlens.session import shared_path  # noqa: E402
+from fieldlens.session import materialize, shared_path  # noqa: E402
 from fieldlens.sources import files as FS  # noqa: E402
 
 # Analog parameters: three (County, State) targets, three 5-digit keys, a
@@ -279,3 +288,147 @@ def q_weather_build(spark, base):
     return WB.county_daily_weather(A.observation_view(spark, base), best_station_dim(spark, base),
                                    A.county_view(spark, base), station_key="station_key",
                                    datatypes=OBS_TYPES)
+
+
+# --------------------------------------------------------------------------
+# Evaluation on a deterministic predictor (K6, K7, E6-E9, E11, K10, C14, M6,
+# K1, K2)
+# --------------------------------------------------------------------------
+from fieldlens.operators.quantiles import quantile_row  # noqa: E402
+from fieldlens.plans import evaluate as EV  # noqa: E402
+from fieldlens.plans import scenarios as SC  # noqa: E402
+
+
+def training_gold(spark, base):
+    """The training table, written once per query (it feeds several actions)."""
+    train, _ = gold_splits(spark, base)
+    return materialize(train)
+
+
+def split_training(spark, base):
+    return EV.holdout_split(training_gold(spark, base))
+
+
+def key_mean_predictions(spark, base):
+    """(train part, test part) of the training table with key-mean predictions."""
+    s = split_training(spark, base)
+    tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+    model = EV.fit_key_mean(tr)
+    return EV.predict_key_mean(tr, model), EV.predict_key_mean(te, model)
+
+
+@register("holdout_split")
+def q_holdout_split(spark, base):
+    return split_training(spark, base).select(*G.GOLD_KEYS, "split")
+
+
+@register("fold_assign")
+def q_fold_assign(spark, base):
+    tr = split_training(spark, base).where("split = 'train'")
+    return EV.assign_folds(tr).select(*G.GOLD_KEYS, "fold")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, base):
+    tr, te = key_mean_predictions(spark, base)
+    return EV.regression_metrics(stack([tr, te]), by=["split"])
+
+
+@register("residual_bands")
+def q_residual_bands(spark, base):
+    _, te = key_mean_predictions(spark, base)
+    r = te.select((F.col("Yield_Per_Acre").cast("double") - F.col(EV.PRED)).alias("res"))
+    return quantile_row(r, "res", [0.1, 0.9], ["error_10th", "error_90th"])
+
+
+def banded_test_predictions(spark, base):
+    _, te = key_mean_predictions(spark, base)
+    return EV.add_bands(te, EV.residual_bands(te))
+
+
+@register("prediction_bands")
+def q_prediction_bands(spark, base):
+    return banded_test_predictions(spark, base).select(
+        *G.GOLD_KEYS, EV.PRED, "Lower_Bound", "Upper_Bound", "Residual")
+
+
+@register("predictions_report")
+def q_predictions_report(spark, base):
+    return EV.predictions_report(banded_test_predictions(spark, base))
+
+
+@register("yearly_actual_vs_pred")
+def q_yearly_actual_vs_pred(spark, base):
+    return EV.yearly_actual_vs_pred(banded_test_predictions(spark, base))
+
+
+@register("split_impact")
+def q_split_impact(spark, base):
+    return EV.split_impact(training_gold(spark, base))
+
+
+@register("farmer_summary")
+def q_farmer_summary(spark, base):
+    _, te = key_mean_predictions(spark, base)
+    return EV.grower_summary(EV.split_impact(training_gold(spark, base)), EV.residual_bands(te))
+
+
+NUMERIC = ["Year", "5_Year_Avg_Yield", "60d_Total_Precip", "60d_Avg_Temp",
+           "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F"]
+CATEGORICAL = ["County", "State", "Crop"]
+
+
+@register("feature_zscore")
+def q_feature_zscore(spark, base):
+    from fieldlens.plans.model import zscore
+
+    return zscore(training_gold(spark, base), NUMERIC, keep=G.GOLD_KEYS)
+
+
+@register("onehot_encode")
+def q_onehot_encode(spark, base):
+    from fieldlens.plans.model import onehot_columns
+
+    s = split_training(spark, base)
+    return onehot_columns(s.where("split = 'train'"), s.where("split = 'test'"), CATEGORICAL,
+                          keep=G.GOLD_KEYS)
+
+
+# --------------------------------------------------------------------------
+# Scenarios (F3, C13, H1, K13, K14, D5, F4) with the linear stand-in score
+# --------------------------------------------------------------------------
+def production_gold(spark, base):
+    _, hold = gold_splits(spark, base)
+    return materialize(hold)
+
+
+def scenario_rows(spark, base, dedupe: bool = True):
+    prod = production_gold(spark, base)
+    if dedupe:
+        prod = SC.dedupe_production(prod, FIRST_ORDER)
+    return SC.expand_scenarios(prod)
+
+
+@register("scenario_features")
+def q_scenario_features(spark, base):
+    return scenario_rows(spark, base).select(
+        "County", "Crop", "Scenario", "Yield_Per_Acre", "5_Year_Avg_Yield", "60d_Total_Precip",
+        "60d_Avg_Temp", "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F")
+
+
+def _bands(spark, base):
+    _, te = key_mean_predictions(spark, base)
+    return EV.residual_bands(te)
+
+
+@register("scenario_risk")
+def q_scenario_risk(spark, base):
+    scored = SC.score_scenarios(scenario_rows(spark, base), SC.linear_score, _bands(spark, base))
+    return SC.risk_vs_baseline(scored)
+
+
+@register("scenario_risk_mean")
+def q_scenario_risk_mean(spark, base):
+    scored = SC.score_scenarios(scenario_rows(spark, base, dedupe=False), SC.linear_score,
+                                _bands(spark, base))
+    return SC.risk_vs_mean_baseline(scored)

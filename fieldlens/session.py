@@ -77,3 +77,17 @@ def local_fs_path(path: str) -> str:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as a parquet table in the shared folder and read it
+    back.
+
+    Used where one intermediate table feeds several actions or branches
+    (block bounds, model fit, quantile passes): each then scans the written
+    table, with column pruning and pushed filters, instead of re-running the
+    lineage; a lost executor cannot force a recompute of upstream stages.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
