@@ -17,28 +17,34 @@ from pyspark.sql import functions as F
 
 SAMPLES_PER_BLOCK = 20
 SEED = 42
+# A block of this many rows is one comfortable task; tables below it are not
+# split at all (no sampling job).
+ROWS_PER_BLOCK = 1_000_000
 
 
 def default_blocks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Upper bound on the number of blocks: 4 x the shuffle partitions."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _lit_struct(values, types) -> Column:
     return F.struct(*[F.lit(v).cast(t) for v, t in zip(values, types)])
 
 
-def range_bounds(df: DataFrame, cols: Sequence[str], blocks: int) -> list[tuple]:
-    """Up to ``blocks - 1`` increasing bound tuples of ``cols`` from a sample.
+def range_bounds(df: DataFrame, cols: Sequence[str], blocks: int,
+                 rows_per_block: int | None = None) -> list[tuple]:
+    """Increasing bound tuples of ``cols`` from a sample: one block per
+    ``ROWS_PER_BLOCK`` rows, at most ``blocks`` blocks.
 
     Two passes over the sort columns only (column pruning keeps the scans
-    narrow): a count, then a seeded Bernoulli sample of about
-    ``SAMPLES_PER_BLOCK * blocks`` rows, which is all that reaches the driver.
+    narrow): a count, then - only when more than one block is needed - a
+    seeded Bernoulli sample of about ``SAMPLES_PER_BLOCK`` rows per block,
+    which is all that reaches the driver.
     """
-    if blocks <= 1:
-        return []
     proj = df.select(*cols)
     n = proj.count()
-    if n == 0:
+    blocks = min(blocks, -(-n // (rows_per_block or ROWS_PER_BLOCK)))
+    if blocks <= 1:
         return []
     frac = min(1.0, SAMPLES_PER_BLOCK * blocks / n)
     sample = proj.sample(withReplacement=False, fraction=frac, seed=SEED)
@@ -72,9 +78,10 @@ def block_of(cols: Sequence[str], types: Sequence, bounds: Sequence[tuple]) -> C
     return search(0, len(bounds))
 
 
-def range_block(df: DataFrame, cols: Sequence[str], blocks: int | None = None) -> Column:
+def range_block(df: DataFrame, cols: Sequence[str], blocks: int | None = None,
+                rows_per_block: int | None = None) -> Column:
     """Column with the contiguous block (0..blocks-1) of each row under the
     ascending order of ``cols``."""
     blocks = blocks or default_blocks(df)
     types = [df.schema[c].dataType for c in cols]
-    return block_of(cols, types, range_bounds(df, cols, blocks))
+    return block_of(cols, types, range_bounds(df, cols, blocks, rows_per_block))

@@ -23,13 +23,14 @@ from fieldlens.operators.partitioning import default_blocks, range_block
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
-                    blocks: int | None = None) -> list[float | None]:
+                    blocks: int | None = None,
+                    rows_per_block: int | None = None) -> list[float | None]:
     """Exact quantiles of the non-null values of ``column`` (as double)."""
     v = df.select(F.col(column).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     nb = blocks or default_blocks(df)
-    blk = range_block(v, ["_v"], nb)
+    blk = range_block(v, ["_v"], nb, rows_per_block)
     vb = v.withColumn("_b", blk)
     counts = sorted((r["_b"], r["n"]) for r in vb.groupBy("_b").agg(F.count("*").alias("n"))
                     .collect())

@@ -21,18 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.operators.partitioning import range_block
+from fieldlens.operators.partitioning import default_blocks, range_block
 
 _BLK, _POS, _CNT = "_fl_blk", "_fl_pos", "_fl_cnt"
 
 
-def _num_blocks(df: DataFrame, blocks: int | None) -> int:
-    if blocks:
-        return blocks
-    conf = df.sparkSession.conf
-    return int(conf.get("spark.sql.shuffle.partitions"))
-
-
 def trailing_rows_sum_count(
     df: DataFrame,
     keys: Sequence[str],
@@ -43,6 +36,7 @@ def trailing_rows_sum_count(
     sum_col: str = "_fl_tsum",
     count_col: str = "_fl_tcnt",
     blocks: int | None = None,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Add the sum and count of non-null ``value`` over the ``preceding`` rows
     before each row (frame ``rows -preceding .. -1``) within ``keys``.
@@ -57,7 +51,8 @@ def trailing_rows_sum_count(
     keys, order = list(keys), list(order)
     v = F.col(value)
 
-    ranged = df.withColumn(_BLK, range_block(df, [*keys, *order], _num_blocks(df, blocks)))
+    blk = range_block(df, [*keys, *order], blocks or default_blocks(df), rows_per_block)
+    ranged = df.withColumn(_BLK, blk)
     wb = Window.partitionBy(*keys, _BLK).orderBy(*order)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = (
@@ -133,6 +128,7 @@ def trailing_mean(
     out: str,
     *,
     blocks: int | None = None,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """mean of ``value`` over the ``preceding`` rows before each row,
     current row excluded; null for the first row of a key.
@@ -141,7 +137,8 @@ def trailing_mean(
     every engine.
     """
     t = trailing_rows_sum_count(
-        df, keys, order, value, preceding, sum_col="_fl_ts", count_col="_fl_tc", blocks=blocks
+        df, keys, order, value, preceding, sum_col="_fl_ts", count_col="_fl_tc", blocks=blocks,
+        rows_per_block=rows_per_block,
     )
     return t.withColumn(
         out, F.col("_fl_ts").cast("double") / F.col("_fl_tc").cast("double")

@@ -136,7 +136,7 @@ def feature_importance(spark, model: PipelineModel, numeric: Sequence[str],
                        categorical: Sequence[str]) -> DataFrame:
     """K9: (Feature, Importance) sorted by importance, names aligned with the
     assembled vector: the numeric columns, then ``<column>_<value>``."""
-    idx_model = model.stages[4]
+    idx_model = model.stages[3]
     names = list(numeric)
     for c, labs in zip(categorical, idx_model.labelsArray):
         names += [f"{c}_{lab}" for lab in labs]

@@ -299,51 +299,92 @@ from fieldlens.plans import evaluate as EV  # noqa: E402
 from fieldlens.plans import scenarios as SC  # noqa: E402
 
 
-def training_gold(spark, base):
-    """The training table, written once per query (it feeds several actions)."""
-    train, _ = gold_splits(spark, base)
-    return materialize(train)
+class Run:
+    """Intermediate tables of one query invocation, each built (and, where it
+    feeds several actions, written to the shared folder) at most once."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base, self._c = spark, base, {}
+
+    def once(self, name, fn):
+        if name not in self._c:
+            self._c[name] = fn()
+        return self._c[name]
+
+    @property
+    def gold(self) -> DataFrame:
+        return self.once("gold", lambda: materialize(gold_analog(self.spark, self.base), "gold"))
+
+    @property
+    def train(self) -> DataFrame:
+        return self.once("train", lambda: year_split(
+            self.gold, train_max_year=TRAIN_MAX_YEAR, holdout_year=HOLDOUT_YEAR)[0])
+
+    @property
+    def production(self) -> DataFrame:
+        return self.once("prod", lambda: year_split(
+            self.gold, train_max_year=TRAIN_MAX_YEAR, holdout_year=HOLDOUT_YEAR)[1])
+
+    @property
+    def split(self) -> DataFrame:
+        return self.once("split", lambda: EV.holdout_split(self.train))
+
+    @property
+    def key_mean(self):
+        """(train part, test part) with key-mean predictions."""
+        def build():
+            s = self.split
+            tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+            model = EV.fit_key_mean(tr)
+            return EV.predict_key_mean(tr, model), EV.predict_key_mean(te, model)
+        return self.once("key_mean", build)
+
+    @property
+    def bands(self):
+        return self.once("bands", lambda: EV.residual_bands(self.key_mean[1]))
+
+    def scenarios(self, dedupe: bool = True) -> DataFrame:
+        prod = self.production
+        if dedupe:
+            prod = SC.dedupe_production(prod, FIRST_ORDER)
+        return SC.expand_scenarios(prod)
 
 
 def split_training(spark, base):
-    return EV.holdout_split(training_gold(spark, base))
+    return Run(spark, base).split
 
 
 def key_mean_predictions(spark, base):
-    """(train part, test part) of the training table with key-mean predictions."""
-    s = split_training(spark, base)
-    tr, te = s.where("split = 'train'"), s.where("split = 'test'")
-    model = EV.fit_key_mean(tr)
-    return EV.predict_key_mean(tr, model), EV.predict_key_mean(te, model)
+    return Run(spark, base).key_mean
 
 
 @register("holdout_split")
 def q_holdout_split(spark, base):
-    return split_training(spark, base).select(*G.GOLD_KEYS, "split")
+    return Run(spark, base).split.select(*G.GOLD_KEYS, "split")
 
 
 @register("fold_assign")
 def q_fold_assign(spark, base):
-    tr = split_training(spark, base).where("split = 'train'")
+    tr = Run(spark, base).split.where("split = 'train'")
     return EV.assign_folds(tr).select(*G.GOLD_KEYS, "fold")
 
 
 @register("regression_metrics")
 def q_regression_metrics(spark, base):
-    tr, te = key_mean_predictions(spark, base)
+    tr, te = Run(spark, base).key_mean
     return EV.regression_metrics(stack([tr, te]), by=["split"])
 
 
 @register("residual_bands")
 def q_residual_bands(spark, base):
-    _, te = key_mean_predictions(spark, base)
+    _, te = Run(spark, base).key_mean
     r = te.select((F.col("Yield_Per_Acre").cast("double") - F.col(EV.PRED)).alias("res"))
     return quantile_row(r, "res", [0.1, 0.9], ["error_10th", "error_90th"])
 
 
 def banded_test_predictions(spark, base):
-    _, te = key_mean_predictions(spark, base)
-    return EV.add_bands(te, EV.residual_bands(te))
+    r = Run(spark, base)
+    return EV.add_bands(r.key_mean[1], r.bands)
 
 
 @register("prediction_bands")
@@ -364,13 +405,13 @@ def q_yearly_actual_vs_pred(spark, base):
 
 @register("split_impact")
 def q_split_impact(spark, base):
-    return EV.split_impact(training_gold(spark, base))
+    return EV.split_impact(Run(spark, base).train)
 
 
 @register("farmer_summary")
 def q_farmer_summary(spark, base):
-    _, te = key_mean_predictions(spark, base)
-    return EV.grower_summary(EV.split_impact(training_gold(spark, base)), EV.residual_bands(te))
+    r = Run(spark, base)
+    return EV.grower_summary(EV.split_impact(r.train), r.bands)
 
 
 NUMERIC = ["Year", "5_Year_Avg_Yield", "60d_Total_Precip", "60d_Avg_Temp",
@@ -382,14 +423,14 @@ CATEGORICAL = ["County", "State", "Crop"]
 def q_feature_zscore(spark, base):
     from fieldlens.plans.model import zscore
 
-    return zscore(training_gold(spark, base), NUMERIC, keep=G.GOLD_KEYS)
+    return zscore(Run(spark, base).train, NUMERIC, keep=G.GOLD_KEYS)
 
 
 @register("onehot_encode")
 def q_onehot_encode(spark, base):
     from fieldlens.plans.model import onehot_columns
 
-    s = split_training(spark, base)
+    s = Run(spark, base).split
     return onehot_columns(s.where("split = 'train'"), s.where("split = 'test'"), CATEGORICAL,
                           keep=G.GOLD_KEYS)
 
@@ -397,38 +438,105 @@ def q_onehot_encode(spark, base):
 # --------------------------------------------------------------------------
 # Scenarios (F3, C13, H1, K13, K14, D5, F4) with the linear stand-in score
 # --------------------------------------------------------------------------
-def production_gold(spark, base):
-    _, hold = gold_splits(spark, base)
-    return materialize(hold)
-
-
-def scenario_rows(spark, base, dedupe: bool = True):
-    prod = production_gold(spark, base)
-    if dedupe:
-        prod = SC.dedupe_production(prod, FIRST_ORDER)
-    return SC.expand_scenarios(prod)
-
-
 @register("scenario_features")
 def q_scenario_features(spark, base):
-    return scenario_rows(spark, base).select(
+    return Run(spark, base).scenarios().select(
         "County", "Crop", "Scenario", "Yield_Per_Acre", "5_Year_Avg_Yield", "60d_Total_Precip",
         "60d_Avg_Temp", "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F")
 
 
-def _bands(spark, base):
-    _, te = key_mean_predictions(spark, base)
-    return EV.residual_bands(te)
-
-
 @register("scenario_risk")
 def q_scenario_risk(spark, base):
-    scored = SC.score_scenarios(scenario_rows(spark, base), SC.linear_score, _bands(spark, base))
+    r = Run(spark, base)
+    scored = SC.score_scenarios(r.scenarios(), SC.linear_score, r.bands)
     return SC.risk_vs_baseline(scored)
 
 
 @register("scenario_risk_mean")
 def q_scenario_risk_mean(spark, base):
-    scored = SC.score_scenarios(scenario_rows(spark, base, dedupe=False), SC.linear_score,
-                                _bands(spark, base))
+    r = Run(spark, base)
+    scored = SC.score_scenarios(r.scenarios(dedupe=False), SC.linear_score, r.bands)
     return SC.risk_vs_mean_baseline(scored)
+
+
+# --------------------------------------------------------------------------
+# Random-forest model (K3-K5, K7-K9, K11-K13); rows-only checks
+# --------------------------------------------------------------------------
+from fieldlens.plans import model as M  # noqa: E402
+
+# The forest of the reference setup: 100 trees, depth 10, seed 42.
+RF_PARAMS = {"num_trees": 100, "max_depth": 10, "seed": 42}
+_MODELS: dict = {}
+
+
+def fitted_forest(spark, base, train_part: DataFrame):
+    """Fit once per (session, data folder, parameters); later queries reuse the
+    fitted pipeline as one would load it by run id."""
+    key = (spark.sparkContext.applicationId, base, tuple(sorted(RF_PARAMS.items())))
+    if key not in _MODELS:
+        _MODELS[key] = M.fit(train_part, NUMERIC, CATEGORICAL, EV.TARGET, **RF_PARAMS)
+    return _MODELS[key]
+
+
+def forest_parts(r: Run):
+    def build():
+        s = materialize(r.split, "split_training")
+        tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+        return tr, te, fitted_forest(r.spark, r.base, tr)
+    return r.once("forest", build)
+
+
+def forest_test_predictions(r: Run):
+    def build():
+        tr, te, model = forest_parts(r)
+        keep = [*G.GOLD_KEYS, *[c for c in NUMERIC if c not in G.GOLD_KEYS]]
+        pred = materialize(M.predict(model, te, NUMERIC, EV.TARGET, keep=keep), "rf_test_pred")
+        return pred, EV.residual_bands(pred)
+    return r.once("forest_pred", build)
+
+
+@register("rf_predict")
+def q_rf_predict(spark, base):
+    pred, bands = forest_test_predictions(Run(spark, base))
+    return EV.add_bands(pred, bands)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, base):
+    _, _, model = forest_parts(Run(spark, base))
+    return M.feature_importance(spark, model, NUMERIC, CATEGORICAL)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, base):
+    tr, te, model = forest_parts(Run(spark, base))
+    path = M.save_model(model, shared_path(spark, "rf_model"))
+    loaded = M.load_model(path)
+    return M.predict(loaded, te, NUMERIC, EV.TARGET, keep=G.GOLD_KEYS)
+
+
+@register("cv_rmse")
+def q_cv_rmse(spark, base):
+    tr, te, model = forest_parts(Run(spark, base))
+    cv = M.cross_validated_rmse(EV.assign_folds(tr), NUMERIC, CATEGORICAL, EV.TARGET, "fold",
+                                **RF_PARAMS)
+    keep = G.GOLD_KEYS
+    both = stack([M.predict(model, tr, NUMERIC, EV.TARGET, keep).withColumn("split", F.lit("train")),
+                  M.predict(model, te, NUMERIC, EV.TARGET, keep).withColumn("split", F.lit("test"))])
+    mets = {r["split"]: r for r in EV.regression_metrics(both, by=["split"]).collect()}
+    metrics = {"cv_mean_rmse": cv, "train_r2": mets["train"]["r2"], "test_r2": mets["test"]["r2"],
+               "test_rmse": mets["test"]["rmse"], "test_mae": mets["test"]["mae"]}
+    return M.record_metrics(spark, shared_path(spark, "run_metrics"), "rf_cv", metrics)
+
+
+@register("scenario_score")
+def q_scenario_score(spark, base):
+    r = Run(spark, base)
+    _, _, model = forest_parts(r)
+    _, bands = forest_test_predictions(r)
+
+    def scorer(df):
+        keep = ["County", "Crop", "Yield_Per_Acre", "Scenario"]
+        return M.predict(model, df, NUMERIC, None, keep=keep)
+
+    return SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands))
