@@ -419,3 +419,5 @@ SELECT s.*, round((Predicted_Yield - b) / b * 100, 6) AS "Yield_Risk_%"
 FROM scored s LEFT JOIN (SELECT County, Crop, avg(Predicted_Yield) AS b FROM scored
                          WHERE Scenario = 'Baseline (Actual)' GROUP BY County, Crop) m
   ON s.County = m.County AND s.Crop = m.Crop"""
+
+ORACLE["stream_refresh"] = ORACLE["gold_features"]

@@ -540,3 +540,26 @@ def q_scenario_score(spark, base):
         return M.predict(model, df, NUMERIC, None, keep=keep)
 
     return SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands))
+
+
+# --------------------------------------------------------------------------
+# Streaming refresh
+# --------------------------------------------------------------------------
+@register("stream_refresh")
+def q_stream_refresh(spark, base):
+    """Two file drops (all weather + early yields, then the later yields)
+    processed by availableNow streams; the refreshed gold table must equal
+    the batch gold table."""
+    from fieldlens.streaming.refresh import GoldRefresher
+
+    def gold_fn(y, w):
+        return G.gold_features(y, w, tiebreak=TIEBREAK, hot_threshold=HOT, temp_type=TEMP_TYPE)
+
+    r = GoldRefresher(spark, shared_path(spark, "stream"), gold_fn, YIELD_CSV, WEATHER_CSV)
+    y = A.yield_view(spark, base)
+    FS.write_csv(A.weather_view(spark, base), r.landing("weather") + "/drop-1")
+    FS.write_csv(y.where(F.col("Year") <= 1997), r.landing("yield") + "/drop-1")
+    r.run_once()
+    FS.write_csv(y.where(F.col("Year") > 1997), r.landing("yield") + "/drop-2")
+    r.run_once()
+    return r.gold_table()
