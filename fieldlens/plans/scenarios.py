@@ -75,21 +75,24 @@ def score_scenarios(expanded: DataFrame, scorer: Callable[[DataFrame], DataFrame
     )
 
 
-def risk_vs_baseline(scored: DataFrame) -> DataFrame:
+def risk_vs_baseline(scored: DataFrame, baseline: str = BASELINE) -> DataFrame:
     """K14 + D5: % change of each prediction against the baseline prediction
     of its (County, Crop).  Rows are unique per key and scenario here, so the
     window holds one row per scenario (bounded)."""
     w = Window.partitionBy(*KEYS)
-    base = F.max(F.when(F.col("Scenario") == BASELINE, F.col(PRED))).over(w)
+    base = F.max(F.when(F.col("Scenario") == baseline, F.col(PRED))).over(w)
     return scored.withColumn("Yield_Risk_%", pct_change(F.col(PRED), base))
 
 
-def risk_vs_mean_baseline(scored: DataFrame, digits: int = 6) -> DataFrame:
+def risk_vs_mean_baseline(scored: DataFrame, digits: int | None = 6,
+                          baseline: str = BASELINE) -> DataFrame:
     """% change against the *mean* baseline prediction of the key, for
     tables where a key repeats.  The mean is a partial aggregate joined back,
     so a hot key is reduced map-side instead of filling one window task."""
-    b = scored.where(F.col("Scenario") == BASELINE).groupBy(*KEYS).agg(
+    b = scored.where(F.col("Scenario") == baseline).groupBy(*KEYS).agg(
         F.avg(PRED).alias("_base"))
     j = scored.join(b, KEYS, "left")
-    return j.withColumn("Yield_Risk_%", F.round(pct_change(F.col(PRED), F.col("_base")), digits)
-                        ).drop("_base")
+    risk = pct_change(F.col(PRED), F.col("_base"))
+    if digits is not None:
+        risk = F.round(risk, digits)
+    return j.withColumn("Yield_Risk_%", risk).drop("_base")
