@@ -10,11 +10,11 @@ Two plans with the same result:
   The join multiplies each yield row by up to 366 weather rows.
 * :func:`lookback_features` - the scalable form.  Distinct harvest dates
   (a partial aggregate, so hot keys collapse map-side) are unioned as marker
-  rows into the weather, and trailing ``rangeBetween(-N, 0)`` windows over
-  ``unix_date`` per (county, year) give every marker its sums and counts.
-  A (county, year) partition holds at most one weather row per station-day
-  plus one marker per distinct harvest date, so no partition grows with the
-  yield table.  The marker features are then equi-joined back to the yields;
+  rows into the weather, and running sums over ``unix_date`` per
+  (county, year) give every marker its sums and counts.
+  A (county, year) partition holds its weather rows plus 1 + len(days)
+  markers per distinct harvest date, so no partition grows with the yield
+  table.  The marker features are then equi-joined back to the yields;
   AQE picks broadcast or a skew-split sort-merge join from runtime sizes.
 
 Both return, per yield row whose county-year has any weather row and for
@@ -62,59 +62,83 @@ def lookback_features(
     tmax: str = "TMAX",
 ) -> DataFrame:
     """Window form of the look-back (see module doc).  Returns ``yields`` plus
-    ``p{N}``, ``tsum{N}``, ``tcnt{N}`` for each N and ``hot{max N}``."""
+    ``p{N}``, ``tsum{N}``, ``tcnt{N}`` for each N and ``hot{max N}``.
+
+    A sliding frame is evaluated by Spark as a full re-aggregation per row
+    (rows x frame work), so the frame sums are taken as differences of
+    running sums instead, which Spark updates incrementally (O(rows)): every
+    distinct harvest date H gets one marker at H and one at H - (N + 1) per
+    N; the running totals at those markers differ by exactly the days
+    H-N .. H.  DECIMAL running sums keep the differences exact.
+    """
     days = sorted(int(d) for d in days)
     big = days[-1]
     w = _weather_side(weather, w_county, w_date, precip, temp, tmax)
+    pt, tt = w.schema["_p"].dataType, w.schema["_t"].dataType
+    hot = (F.col("_x") >= F.lit(hot_threshold)).cast("int")
+    wr = w.select(
+        "_k", "_y", "_d", F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_h"),
+        F.lit(None).cast("int").alias("_role"), "_w",
+        F.coalesce(F.col("_p"), F.lit(0).cast(pt)).alias("_p"),
+        F.col("_p").isNotNull().cast("int").alias("_pn"),
+        F.coalesce(F.col("_t"), F.lit(0).cast(tt)).alias("_t"),
+        F.col("_t").isNotNull().cast("int").alias("_tn"),
+        F.coalesce(hot, F.lit(0)).alias("_hot"),
+    )
     probes = yields.select(
         F.col(county).alias("_k"), F.col(year).alias("_y"),
-        F.unix_date(F.col(harvest).cast("date")).alias("_d"),
+        F.unix_date(F.col(harvest).cast("date")).alias("_h"),
     ).distinct()
-    markers = probes.select(
-        "_k", "_y", "_d",
-        F.lit(None).cast(w.schema["_p"].dataType).alias("_p"),
-        F.lit(None).cast(w.schema["_t"].dataType).alias("_t"),
-        F.lit(None).cast(w.schema["_x"].dataType).alias("_x"),
-        F.lit(0).alias("_w"),
+    offsets = F.array(F.struct(F.lit(0).alias("_role"), F.lit(0).alias("_off")),
+                      *[F.struct(F.lit(n).alias("_role"), F.lit(n + 1).alias("_off"))
+                        for n in days])
+    markers = probes.select("_k", "_y", "_h", F.inline(offsets)).select(
+        "_k", "_y", (F.col("_h") - F.col("_off")).alias("_d"), F.lit(1).alias("_kind"),
+        "_h", "_role", F.lit(0).alias("_w"),
+        F.lit(0).cast(pt).alias("_p"), F.lit(0).alias("_pn"),
+        F.lit(0).cast(tt).alias("_t"), F.lit(0).alias("_tn"), F.lit(0).alias("_hot"),
     )
-    u = w.unionByName(markers)
-    base = Window.partitionBy("_k", "_y").orderBy("_d")
+    u = wr.unionByName(markers)
+    run = (Window.partitionBy("_k", "_y").orderBy("_d", "_kind")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     whole = Window.partitionBy("_k", "_y")
-    cols = [F.sum("_w").over(whole).alias("_np")]
-    for n in days:
-        fr = base.rangeBetween(-n, 0)
-        s = F.sum("_p").over(fr)
-        ni = F.sum("_w").over(fr)
-        cols += [
-            s.alias(f"_s{n}"),
-            ni.alias(f"_ni{n}"),
-            F.sum("_t").over(fr).alias(f"tsum{n}"),
-            F.count("_t").over(fr).alias(f"tcnt{n}"),
-        ]
-    cols.append(
-        F.count(F.when(F.col("_x") >= F.lit(hot_threshold), F.lit(1)))
-        .over(base.rangeBetween(-big, 0))
-        .alias(f"hot{big}")
-    )
-    feats = u.select("_k", "_y", "_d", "_w", *cols).where("_w = 0 AND _np > 0")
+    sums = ["_w", "_p", "_pn", "_t", "_tn", "_hot"]
+    cum = u.select(
+        "_k", "_y", "_kind", "_h", "_role",
+        F.sum("_w").over(whole).alias("_np"),
+        *[F.sum(c).over(run).alias(f"_c{c}") for c in sums],
+    ).where("_kind = 1")
+    # the markers of one probe share (_k, _y): regrouping by (_k, _y, _h)
+    # reuses the window's partitioning, no extra shuffle
+    at = {}
+    aggs = [F.max("_np").alias("_np")]
+    for role in [0, *days]:
+        for c in sums:
+            name = f"_r{role}{c}"
+            at[(role, c)] = F.col(name)
+            aggs.append(F.max(F.when(F.col("_role") == role, F.col(f"_c{c}"))).alias(name))
+    per = cum.groupBy("_k", "_y", "_h").agg(*aggs).where("_np > 0")
+
+    def rng(n, c):
+        return at[(0, c)] - at[(n, c)]
+
     out_cols = []
     for n in days:
+        s = F.when(rng(n, "_pn") > 0, rng(n, "_p"))
         out_cols += [
-            F.coalesce(
-                F.col(f"_s{n}"),
-                F.when(F.col("_np") > F.col(f"_ni{n}"), F.lit(0).cast(w.schema["_p"].dataType)),
-            ).alias(f"p{n}"),
-            F.col(f"tsum{n}"),
-            F.col(f"tcnt{n}"),
+            F.coalesce(s, F.when(F.col("_np") > rng(n, "_w"), F.lit(0).cast(pt))).alias(f"p{n}"),
+            F.when(rng(n, "_tn") > 0, rng(n, "_t")).alias(f"tsum{n}"),
+            rng(n, "_tn").cast("bigint").alias(f"tcnt{n}"),
         ]
-    feats = feats.select("_k", "_y", "_d", *out_cols, f"hot{big}")
-    y = yields.withColumn("_d", F.unix_date(F.col(harvest).cast("date")))
+    out_cols.append(rng(big, "_hot").cast("bigint").alias(f"hot{big}"))
+    feats = per.select("_k", "_y", "_h", *out_cols)
+    y = yields.withColumn("_hd", F.unix_date(F.col(harvest).cast("date")))
     j = y.join(
         feats,
-        (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_d"] == feats["_d"]),
+        (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_hd"] == feats["_h"]),
         "inner",
     )
-    return j.drop("_k", "_y", "_d")
+    return j.drop("_k", "_y", "_h", "_hd")
 
 
 def lookback_naive(
