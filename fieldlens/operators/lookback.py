@@ -111,12 +111,12 @@ def lookback_features(
     # the markers of one probe share (_k, _y): regrouping by (_k, _y, _h)
     # reuses the window's partitioning, no extra shuffle
     at = {}
-    aggs = [F.max("_np").alias("_np")]
+    aggs = [F.expr("max(_np) AS _np")]
     for role in [0, *days]:
         for c in sums:
             name = f"_r{role}{c}"
             at[(role, c)] = F.col(name)
-            aggs.append(F.max(F.when(F.col("_role") == role, F.col(f"_c{c}"))).alias(name))
+            aggs.append(F.expr(f"max(CASE WHEN _role = {role} THEN _c{c} END) AS {name}"))
     per = cum.groupBy("_k", "_y", "_h").agg(*aggs).where("_np > 0")
 
     def rng(n, c):

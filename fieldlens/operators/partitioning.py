@@ -33,6 +33,11 @@ def _lit_struct(values, types) -> Column:
 
 def range_bounds(df: DataFrame, cols: Sequence[str], blocks: int,
                  rows_per_block: int | None = None) -> list[tuple]:
+    return range_bounds_n(df, cols, blocks, rows_per_block)[0]
+
+
+def range_bounds_n(df: DataFrame, cols: Sequence[str], blocks: int,
+                   rows_per_block: int | None = None) -> tuple[list[tuple], int]:
     """Increasing bound tuples of ``cols`` from a sample: one block per
     ``ROWS_PER_BLOCK`` rows, at most ``blocks`` blocks.
 
@@ -45,18 +50,18 @@ def range_bounds(df: DataFrame, cols: Sequence[str], blocks: int,
     n = proj.count()
     blocks = min(blocks, -(-n // (rows_per_block or ROWS_PER_BLOCK)))
     if blocks <= 1:
-        return []
+        return [], n
     frac = min(1.0, SAMPLES_PER_BLOCK * blocks / n)
     sample = proj.sample(withReplacement=False, fraction=frac, seed=SEED)
     rows = [tuple(r) for r in sample.orderBy(*cols).collect()]
     if not rows:
-        return []
+        return [], n
     bounds: list[tuple] = []
     for i in range(1, blocks):
         b = rows[min(len(rows) - 1, i * len(rows) // blocks)]
         if not bounds or b != bounds[-1]:
             bounds.append(b)
-    return bounds
+    return bounds, n
 
 
 def block_of(cols: Sequence[str], types: Sequence, bounds: Sequence[tuple]) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.operators.partitioning import default_blocks, range_block
+from fieldlens.operators.partitioning import block_of, default_blocks, range_bounds_n
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
@@ -30,10 +30,13 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     nb = blocks or default_blocks(df)
-    blk = range_block(v, ["_v"], nb, rows_per_block)
-    vb = v.withColumn("_b", blk)
-    counts = sorted((r["_b"], r["n"]) for r in vb.groupBy("_b").agg(F.count("*").alias("n"))
-                    .collect())
+    bounds, n = range_bounds_n(v, ["_v"], nb, rows_per_block)
+    vb = v.withColumn("_b", block_of(["_v"], [T.DoubleType()], bounds))
+    if bounds:
+        counts = sorted((r["_b"], r["n"]) for r in
+                        vb.groupBy("_b").agg(F.count("*").alias("n")).collect())
+    else:
+        counts = [(0, n)]  # one block of at most ROWS_PER_BLOCK rows
     n = sum(c for _, c in counts)
     if n == 0:
         return [None for _ in probs]

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.operators.partitioning import default_blocks, range_block
+from fieldlens.operators.partitioning import block_of, default_blocks, range_bounds
 
 _BLK, _POS, _CNT = "_fl_blk", "_fl_pos", "_fl_cnt"
 
@@ -51,7 +51,14 @@ def trailing_rows_sum_count(
     keys, order = list(keys), list(order)
     v = F.col(value)
 
-    blk = range_block(df, [*keys, *order], blocks or default_blocks(df), rows_per_block)
+    sort_cols = [*keys, *order]
+    bounds = range_bounds(df, sort_cols, blocks or default_blocks(df), rows_per_block)
+    if not bounds:
+        # one block: every key fits one task, the plain window is exact
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)
+        c = F.count(v).over(w)
+        return df.withColumn(count_col, c).withColumn(sum_col, F.when(c > 0, F.sum(v).over(w)))
+    blk = block_of(sort_cols, [df.schema[x].dataType for x in sort_cols], bounds)
     ranged = df.withColumn(_BLK, blk)
     wb = Window.partitionBy(*keys, _BLK).orderBy(*order)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
