@@ -132,6 +132,11 @@ PAIR_WHERE = """(County = 'NATION_1' AND State = 'AMERICA')
 ORACLE["pair_filter"] = with_(YIELD_V) + f"""
 SELECT yield_id, County, State, Crop, Year, Yield_Per_Acre FROM yield_v WHERE {PAIR_WHERE}"""
 
+ORACLE["pair_semi_filter"] = with_(YIELD_V) + """
+SELECT yield_id, County, State, Crop, Year, Yield_Per_Acre FROM yield_v
+WHERE (County, State) IN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+                          WHERE r_name = 'AMERICA')"""
+
 ORACLE["temp_clean"] = with_(WEATHER_V) + """
 SELECT state_abbrev, county_name, date, TAVG, TMAX, TMIN,
        coalesce(TAVG, (TMAX + TMIN) / 2) AS TAVG_Cleaned FROM weather_v"""
@@ -162,7 +167,7 @@ FROM yield_v"""
 
 ORACLE["yield_weather_join"] = with_(YIELD_V, WEATHER_V) + """
 SELECT y.yield_id, y.County, y.Year, count(*) AS weather_days,
-       min(w.date) AS first_day, max(w.date) AS last_day
+       min(w.date) AS first_day, max(w.date) AS last_day, make_date(y.Year, 1, 1) AS season_start
 FROM yield_v y JOIN weather_v w ON y.County = w.county_name AND y.Year = year(w.date)
 GROUP BY y.yield_id, y.County, y.Year"""
 

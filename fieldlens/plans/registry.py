@@ -101,7 +101,8 @@ def q_gold_features(spark, base):
 # Relational building blocks
 # --------------------------------------------------------------------------
 from fieldlens.functions.exprs import clean_temperature, dict_lookup, geoid  # noqa: E402
-from fieldlens.operators.filters import drop_null_rows, pair_filter, year_split  # noqa: E402
+from fieldlens.operators.filters import (  # noqa: E402
+    drop_null_rows, pair_filter, semi_filter, year_split)
 from fieldlens.operators.joins import left_join_dim, yield_weather_days  # noqa: E402
 from fieldlens.operators.setops import stack, top_k  # noqa: E402
 from fieldlens.operators.windows import first_per_key  # noqa: E402
@@ -124,6 +125,16 @@ def q_pair_filter(spark, base):
     return y.select("yield_id", "County", "State", "Crop", "Year", "Yield_Per_Acre")
 
 
+@register("pair_semi_filter")
+def q_pair_semi_filter(spark, base):
+    """C1, general form: the target pairs are a table (here the counties of one
+    state, taken from the county dimension), applied as a left-semi join."""
+    targets = A.county_view(spark, base).where(F.col("state_abbrev") == "AMERICA").select(
+        F.col("county_name").alias("County"), F.col("state_abbrev").alias("State"))
+    y = semi_filter(A.yield_view(spark, base), targets, ["County", "State"])
+    return y.select("yield_id", "County", "State", "Crop", "Year", "Yield_Per_Acre")
+
+
 @register("temp_clean")
 def q_temp_clean(spark, base):
     w = A.weather_view(spark, base)
@@ -170,7 +181,8 @@ def q_map_lookup(spark, base):
 @register("yield_weather_join")
 def q_yield_weather_join(spark, base):
     j = yield_weather_days(A.yield_view(spark, base), A.weather_view(spark, base))
-    return j.select("yield_id", "County", "Year", "weather_days", "first_day", "last_day")
+    return j.select("yield_id", "County", "Year", "weather_days", "first_day", "last_day",
+                    F.make_date("Year", F.lit(1), F.lit(1)).alias("season_start"))
 
 
 @register("union_missing")
@@ -449,7 +461,7 @@ def q_scenario_features(spark, base):
 def q_scenario_risk(spark, base):
     r = Run(spark, base)
     scored = SC.score_scenarios(r.scenarios(), SC.linear_score, r.bands)
-    return SC.risk_vs_baseline(scored)
+    return SC.risk_vs_baseline(scored).orderBy("County", "Crop", "Scenario")
 
 
 @register("scenario_risk_mean")
