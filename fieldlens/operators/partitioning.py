@@ -22,9 +22,14 @@ SEED = 42
 ROWS_PER_BLOCK = 1_000_000
 
 
+MAX_BLOCKS = 4096
+
+
 def default_blocks(df: DataFrame) -> int:
-    """Upper bound on the number of blocks: 4 x the shuffle partitions."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Upper bound on the number of blocks: 4 x the shuffle partitions, at
+    most ``MAX_BLOCKS`` (the block expression is a CASE tree over the bounds,
+    log2(#bounds) comparisons per row)."""
+    return min(MAX_BLOCKS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _lit_struct(values, types) -> Column:
