@@ -77,3 +77,18 @@ def test_first_per_key_order_and_ties(spark):
     res = {r["g"]: r["id"] for r in got.collect()}
     # g1: USW first, coverage desc with null last, tie on coverage -> smallest id
     assert res == {"g1": "GHCND:USW2", "g2": "GHCND:USC4"}
+
+
+def test_hot_key_is_split_into_bounded_blocks(spark):
+    """A key holding a third of the rows is cut into several contiguous
+    blocks; no (key, block) group is much larger than the block target."""
+    from fieldlens.operators.partitioning import range_block
+
+    rows = [("HOT" if i % 3 == 0 else f"k{i % 97}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, id long")
+    blk = range_block(df, ["k", "id"], blocks=64, rows_per_block=200)
+    sizes = df.withColumn("b", blk).groupBy("k", "b").count()
+    hot_blocks = sizes.where("k = 'HOT'").count()
+    biggest = sizes.agg(F.max("count")).first()[0]
+    assert hot_blocks >= 5
+    assert biggest <= 3 * 200
