@@ -12,9 +12,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlens.functions.exprs import clean_temperature, dict_lookup, geoid
+from fieldlens.operators.aggregates import group_mean_long, pivot_mean
+from fieldlens.operators.filters import drop_null_rows, pair_filter, semi_filter, year_split
+from fieldlens.operators.joins import left_join_dim, yield_weather_days
 from fieldlens.operators.lookback import lookback_features, lookback_naive
+from fieldlens.operators.quantiles import quantile_row
+from fieldlens.operators.setops import stack, top_k
+from fieldlens.operators.windows import first_per_key
+from fieldlens.plans import evaluate as EV
 from fieldlens.plans import gold as G
+from fieldlens.plans import model as M
+from fieldlens.plans import scenarios as SC
+from fieldlens.plans import weather as WB
+from fieldlens.schemas import OBSERVATION_RECORD, WEATHER_CSV, YIELD_CSV
+from fieldlens.session import materialize, shared_path
 from fieldlens.sources import analogs as A
+from fieldlens.sources import files as FS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,8 +95,6 @@ def bronze_yield(spark: SparkSession, base: str) -> DataFrame:
     """The bronze yield table: the yield view written once to the shared
     folder, since the gold plan reads it in several branches (block bounds,
     window, tails, harvest-date probes)."""
-    from fieldlens.session import materialize
-
     return materialize(A.yield_view(spark, base))
 
 
@@ -100,15 +112,6 @@ def q_gold_features(spark, base):
 # --------------------------------------------------------------------------
 # Relational building blocks
 # --------------------------------------------------------------------------
-from fieldlens.functions.exprs import clean_temperature, dict_lookup, geoid  # noqa: E402
-from fieldlens.operators.filters import (  # noqa: E402
-    drop_null_rows, pair_filter, semi_filter, year_split)
-from fieldlens.operators.joins import left_join_dim, yield_weather_days  # noqa: E402
-from fieldlens.operators.setops import stack, top_k  # noqa: E402
-from fieldlens.operators.windows import first_per_key  # noqa: E402
-from fieldlens.schemas import WEATHER_CSV, YIELD_CSV, OBSERVATION_RECORD  # noqa: E402
-from fieldlens.session import materialize, shared_path  # noqa: E402
-from fieldlens.sources import files as FS  # noqa: E402
 
 # Analog parameters: three (County, State) targets, three 5-digit keys, a
 # crop-name dictionary with two misses, and the top-k size.
@@ -235,8 +238,6 @@ def q_csv_ingest(spark, base):
 # --------------------------------------------------------------------------
 # Weather build
 # --------------------------------------------------------------------------
-from fieldlens.operators.aggregates import group_mean_long, pivot_mean  # noqa: E402
-from fieldlens.plans import weather as WB  # noqa: E402
 
 # Analog datatypes: the five event types plus one that never occurs.
 OBS_TYPES = ["click", "error", "purchase", "signup", "view", "TSUN"]
@@ -306,9 +307,6 @@ def q_weather_build(spark, base):
 # Evaluation on a deterministic predictor (K6, K7, E6-E9, E11, K10, C14, M6,
 # K1, K2)
 # --------------------------------------------------------------------------
-from fieldlens.operators.quantiles import quantile_row  # noqa: E402
-from fieldlens.plans import evaluate as EV  # noqa: E402
-from fieldlens.plans import scenarios as SC  # noqa: E402
 
 
 class Run:
@@ -433,17 +431,13 @@ CATEGORICAL = ["County", "State", "Crop"]
 
 @register("feature_zscore")
 def q_feature_zscore(spark, base):
-    from fieldlens.plans.model import zscore
-
-    return zscore(Run(spark, base).train, NUMERIC, keep=G.GOLD_KEYS)
+    return M.zscore(Run(spark, base).train, NUMERIC, keep=G.GOLD_KEYS)
 
 
 @register("onehot_encode")
 def q_onehot_encode(spark, base):
-    from fieldlens.plans.model import onehot_columns
-
     s = Run(spark, base).split
-    return onehot_columns(s.where("split = 'train'"), s.where("split = 'test'"), CATEGORICAL,
+    return M.onehot_columns(s.where("split = 'train'"), s.where("split = 'test'"), CATEGORICAL,
                           keep=G.GOLD_KEYS)
 
 
@@ -474,7 +468,6 @@ def q_scenario_risk_mean(spark, base):
 # --------------------------------------------------------------------------
 # Random-forest model (K3-K5, K7-K9, K11-K13); rows-only checks
 # --------------------------------------------------------------------------
-from fieldlens.plans import model as M  # noqa: E402
 
 # The forest of the reference setup: 100 trees, depth 10, seed 42.
 RF_PARAMS = {"num_trees": 100, "max_depth": 10, "seed": 42}
