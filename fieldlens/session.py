@@ -7,7 +7,6 @@ pick our own folder when that setting is unset and Spark runs in local mode
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,19 +65,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/fieldlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
-
-
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as a parquet table in the shared folder and read it
     back.
