@@ -75,6 +75,20 @@ def onehot_columns(train: DataFrame, apply_to: DataFrame, cats: Sequence[str], *
     return x.select(*out)
 
 
+def stable_layout(df: DataFrame) -> DataFrame:
+    """Fix partition contents and row order from the data alone.
+
+    The forest's bootstrap and split sampling are seeded per partition, so
+    the same seed gives the same model only for the same partitioning and
+    order; rows that leave a shuffle arrive in varying order.  Hash
+    partitioning on all columns plus a sort within partitions makes the
+    layout a function of the rows (identical rows are interchangeable).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in df.columns]
+    return df.repartition(n, *cols).sortWithinPartitions(*cols)
+
+
 def prepare(df: DataFrame, numeric: Sequence[str], target: str | None) -> DataFrame:
     cols = {c: F.col(c).cast("double") for c in numeric}
     if target and target in df.columns:
@@ -107,7 +121,8 @@ def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ta
         **params) -> PipelineModel:
     """K8: fit the pipeline (the shared checkpoint folder is set first)."""
     checkpoint_root(train.sparkSession)
-    return build_pipeline(numeric, categorical, **params).fit(prepare(train, numeric, target))
+    data = stable_layout(prepare(train, numeric, target))
+    return build_pipeline(numeric, categorical, **params).fit(data)
 
 
 def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], target: str | None,
@@ -128,7 +143,8 @@ def cross_validated_rmse(train: DataFrame, numeric: Sequence[str], categorical:
         evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=PRED, metricName="rmse"),
         numFolds=folds, foldCol=fold_col, parallelism=parallelism,
     )
-    m = cv.fit(prepare(train, numeric, target).withColumn(fold_col, F.col(fold_col).cast("int")))
+    data = prepare(train, numeric, target).withColumn(fold_col, F.col(fold_col).cast("int"))
+    m = cv.fit(stable_layout(data))
     return float(m.avgMetrics[0])
 
 

@@ -22,7 +22,9 @@ def test_forest_invariants(spark, parts):
     tr, te = parts
     params = {"num_trees": 5, "max_depth": 4, "seed": 42}
     m1 = M.fit(tr, NUMERIC, CATEGORICAL, EV.TARGET, **params)
-    m2 = M.fit(tr, NUMERIC, CATEGORICAL, EV.TARGET, **params)
+    # same rows in another partitioning and order: same model
+    shuffled = tr.repartition(3).orderBy(F.rand(seed=5))
+    m2 = M.fit(shuffled, NUMERIC, CATEGORICAL, EV.TARGET, **params)
     p1 = M.predict(m1, te, NUMERIC, EV.TARGET, keep=["County", "Crop", "Year", "Yield_Per_Acre"])
     p2 = M.predict(m2, te, NUMERIC, EV.TARGET, keep=["County", "Crop", "Year", "Yield_Per_Acre"])
     a = sorted(r[EV.PRED] for r in p1.collect())
