@@ -36,6 +36,29 @@ def clean_weather(weather: DataFrame, temp_type: str | None = None) -> DataFrame
     return weather.withColumn("TAVG_Cleaned", t)
 
 
+def gold_from_labelled(labelled: DataFrame, weather: DataFrame, *, hot_threshold: float = 95.0,
+                       temp_type: str | None = None) -> DataFrame:
+    """Gold rows from yields that already carry the trailing average and the
+    label (see :func:`gold_features`)."""
+    g = labelled.groupBy(*GOLD_KEYS).agg(F.count(F.lit(1)).alias("_m"))
+    w = clean_weather(weather, temp_type)
+    f = lookback_features(g, w, days=(60, 90), hot_threshold=hot_threshold)
+    m = F.col("_m")
+
+    def mean(n):
+        c = F.col(f"tcnt{n}") * m
+        return F.when(c > 0, (F.col(f"tsum{n}") * m).cast("double") / c.cast("double"))
+
+    return f.select(
+        *GOLD_KEYS,
+        (F.col("p60") * m).cast("double").alias("60d_Total_Precip"),
+        mean(60).alias("60d_Avg_Temp"),
+        (F.col("p90") * m).cast("double").alias("90d_Total_Precip"),
+        mean(90).alias("90d_Avg_Temp"),
+        (F.col("hot90") * m).cast("bigint").alias("90d_Days_Above_95F"),
+    )
+
+
 def gold_features(
     yields: DataFrame,
     weather: DataFrame,
@@ -53,20 +76,4 @@ def gold_features(
     task as raw rows.
     """
     y = add_trailing_yield(yields, tiebreak=tiebreak)
-    g = y.groupBy(*GOLD_KEYS).agg(F.count(F.lit(1)).alias("_m"))
-    w = clean_weather(weather, temp_type)
-    f = lookback_features(g, w, days=(60, 90), hot_threshold=hot_threshold)
-    m = F.col("_m")
-
-    def mean(n):
-        c = F.col(f"tcnt{n}") * m
-        return F.when(c > 0, (F.col(f"tsum{n}") * m).cast("double") / c.cast("double"))
-
-    return f.select(
-        *GOLD_KEYS,
-        (F.col("p60") * m).cast("double").alias("60d_Total_Precip"),
-        mean(60).alias("60d_Avg_Temp"),
-        (F.col("p90") * m).cast("double").alias("90d_Total_Precip"),
-        mean(90).alias("90d_Avg_Temp"),
-        (F.col("hot90") * m).cast("bigint").alias("90d_Days_Above_95F"),
-    )
+    return gold_from_labelled(y, weather, hot_threshold=hot_threshold, temp_type=temp_type)

@@ -552,19 +552,27 @@ def q_scenario_score(spark, base):
 # --------------------------------------------------------------------------
 @register("stream_refresh")
 def q_stream_refresh(spark, base):
-    """Two file drops (all weather + early yields, then the later yields)
-    processed by availableNow streams; the refreshed gold table must equal
-    the batch gold table."""
+    """Three file drops processed by availableNow streams; the refreshed gold
+    table must equal the batch gold table.  Drop 1: weather up to 1998 except
+    the second half of 1996, yields up to 1997.  Drop 2: the later weather and
+    yields.  Drop 3: the withheld 1996 weather, arriving late (it rewrites only
+    the 1996 partitions)."""
     from fieldlens.streaming.refresh import GoldRefresher
 
-    def gold_fn(y, w):
-        return G.gold_features(y, w, tiebreak=TIEBREAK, hot_threshold=HOT, temp_type=TEMP_TYPE)
-
-    r = GoldRefresher(spark, shared_path(spark, "stream"), gold_fn, YIELD_CSV, WEATHER_CSV)
+    r = GoldRefresher(
+        spark, shared_path(spark, "stream"),
+        lambda y: G.add_trailing_yield(y, tiebreak=TIEBREAK),
+        lambda y, w: G.gold_from_labelled(y, w, hot_threshold=HOT, temp_type=TEMP_TYPE),
+        YIELD_CSV, WEATHER_CSV)
     y = A.yield_view(spark, base)
-    FS.write_csv(A.weather_view(spark, base), r.landing("weather") + "/drop-1")
+    w = A.weather_view(spark, base)
+    late = F.col("date").between(F.lit("1996-07-01").cast("date"), F.lit("1996-12-31").cast("date"))
+    FS.write_csv(w.where((F.year("date") <= 1998) & ~late), r.landing("weather") + "/drop-1")
     FS.write_csv(y.where(F.col("Year") <= 1997), r.landing("yield") + "/drop-1")
     r.run_once()
+    FS.write_csv(w.where(F.year("date") > 1998), r.landing("weather") + "/drop-2")
     FS.write_csv(y.where(F.col("Year") > 1997), r.landing("yield") + "/drop-2")
     r.run_once()
+    FS.write_csv(w.where(late), r.landing("weather") + "/drop-3")
+    r.run_once()
     return r.gold_table()

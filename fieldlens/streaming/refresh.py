@@ -8,14 +8,19 @@ checkpoint remembers them) and stops.  Every micro-batch:
    dynamic partition overwrite - ``foreachBatch`` may replay a batch after a
    failure, and a replay rewrites the same partition instead of appending
    duplicates;
-2. recomputes the gold rows of the counties the batch touches, from the whole
-   bronze history of those counties (a late yield changes the trailing
-   average of later rows of its county; late weather changes the look-back
-   features of its county), and overwrites only those ``County`` partitions
-   of the gold table.
+2. works out which gold partitions ``(County, Year)`` it invalidates:
+   * late weather of (county, year) changes only the look-back features of
+     that county-year;
+   * a late yield of (county, year Y) changes its own features and the
+     trailing average of the later rows of its (County, Crop), i.e. every
+     year >= Y of the county;
+3. recomputes those partitions - the trailing average reads the county's
+   whole yield history (it needs the earlier rows), the look-back runs only
+   for the touched years - and overwrites exactly those partitions of the
+   gold table (dynamic partition overwrite; other partitions are untouched).
 
 No watermark is needed: late files are handled by recomputing the touched
-partitions, and every stateful step is a batch recompute of bounded scope.
+partitions, and every step is a batch recompute of bounded scope.
 """
 
 from __future__ import annotations
@@ -27,14 +32,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GoldFn = Callable[[DataFrame, DataFrame], DataFrame]
+LabelFn = Callable[[DataFrame], DataFrame]
+FeaturesFn = Callable[[DataFrame, DataFrame], DataFrame]
+OPEN_END = 9999
 
 
 @dataclass
 class GoldRefresher:
     spark: SparkSession
     root: str
-    gold_fn: GoldFn
+    label_fn: LabelFn  # yields -> yields + trailing average + label
+    features_fn: FeaturesFn  # (labelled yields, weather) -> gold rows
     yield_schema: T.StructType
     weather_schema: T.StructType
 
@@ -68,28 +76,38 @@ class GoldRefresher:
     def _read(self, path: str, schema: T.StructType) -> DataFrame | None:
         if not self._exists(path):
             return None
-        return self.spark.read.schema(schema.add("batch_id", T.LongType())).parquet(path).drop(
-            "batch_id")
+        full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        return self.spark.read.schema(full).parquet(path).drop("batch_id")
 
     # ----------------------------------------------------------- refresh
-    def refresh(self, counties: DataFrame) -> None:
-        """Recompute gold for the given counties (one column ``County``)."""
-        y = self._read(self.bronze_yield, T.StructType(list(self.yield_schema.fields)))
-        w = self._read(self.bronze_weather, T.StructType(list(self.weather_schema.fields)))
+    def refresh(self, touched: DataFrame) -> None:
+        """Recompute the gold partitions named by ``touched``: rows
+        (County, lo, hi) meaning years lo..hi of that county."""
+        y = self._read(self.bronze_yield, self.yield_schema)
+        w = self._read(self.bronze_weather, self.weather_schema)
         if y is None or w is None:
             return
-        c = counties.select("County").distinct()
-        y = y.join(c, "County", "left_semi")
-        w = w.join(c.withColumnRenamed("County", "county_name"), "county_name", "left_semi")
-        g = self.gold_fn(y, w)
+        t = touched.groupBy("County").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+        # the trailing average needs the whole history of a touched county
+        y = y.join(t.select("County"), "County", "left_semi")
+        labelled = self.label_fn(y)
+        # ... but only rows of touched years are recomputed
+        rng = touched.select(F.col("County").alias("_tc"), "lo", "hi")
+        keep = labelled.join(
+            rng, (labelled["County"] == rng["_tc"]) & labelled["Year"].between(rng["lo"], rng["hi"]),
+            "left_semi")
+        w = w.join(t.select(F.col("County").alias("county_name")), "county_name", "left_semi")
+        g = self.features_fn(keep, w)
         (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("County").parquet(self.gold))
+         .partitionBy("County", "Year").parquet(self.gold))
 
     def _on_yields(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             self._land(batch, self.bronze_yield, batch_id)
-            self.refresh(batch.select("County"))
+            touched = batch.groupBy("County").agg(
+                F.min("Year").alias("lo"), F.lit(OPEN_END).alias("hi"))
+            self.refresh(touched)
         finally:
             batch.unpersist()
 
@@ -97,7 +115,9 @@ class GoldRefresher:
         batch.persist()
         try:
             self._land(batch, self.bronze_weather, batch_id)
-            self.refresh(batch.select(F.col("county_name").alias("County")))
+            touched = batch.select(F.col("county_name").alias("County"),
+                                   F.year("date").alias("lo")).distinct().withColumn("hi", F.col("lo"))
+            self.refresh(touched)
         finally:
             batch.unpersist()
 
@@ -108,6 +128,8 @@ class GoldRefresher:
             ("weather", self.weather_schema, self._on_weather),
             ("yield", self.yield_schema, self._on_yields),
         ):
+            if not self._exists(self.landing(table)):
+                continue
             src = (self.spark.readStream.schema(schema).option("header", True)
                    .option("recursiveFileLookup", True)
                    .option("dateFormat", "yyyy-MM-dd").csv(self.landing(table)))

@@ -46,7 +46,8 @@ def test_pages_without_results_give_no_rows(spark):
 
 
 def test_replayed_batch_does_not_duplicate_bronze(spark):
-    r = GoldRefresher(spark, shared_path(spark, "replay"), lambda y, w: y, YIELD_CSV, WEATHER_CSV)
+    r = GoldRefresher(spark, shared_path(spark, "replay"), lambda y: y, lambda y, w: y,
+                      YIELD_CSV, WEATHER_CSV)
     batch = spark.createDataFrame(
         [(1, "A", "S", "corn", 2001, dt.date(2001, 3, 1), Decimal("1.00"))], YIELD_CSV)
     r._on_yields(batch, 7)
@@ -54,3 +55,39 @@ def test_replayed_batch_does_not_duplicate_bronze(spark):
     r._on_yields(batch.withColumn("yield_id", F.lit(2).cast("long")), 8)
     ids = sorted(x["yield_id"] for x in spark.read.parquet(r.bronze_yield).collect())
     assert ids == [1, 2]
+
+
+def test_late_weather_rewrites_only_its_partition(spark):
+    import os
+
+    from fieldlens.plans import gold as G
+
+    r = GoldRefresher(spark, shared_path(spark, "late"),
+                      lambda y: G.add_trailing_yield(y, tiebreak=("Harvest_Date", "yield_id")),
+                      lambda y, w: G.gold_from_labelled(y, w), YIELD_CSV, WEATHER_CSV)
+    ys = spark.createDataFrame(
+        [(i, c, "S", "corn", yr, dt.date(yr, 6, 1), Decimal("10.00") + i)
+         for i, (c, yr) in enumerate([("A", 2001), ("A", 2002), ("B", 2001), ("B", 2002)])],
+        YIELD_CSV)
+    wx = spark.createDataFrame(
+        [("S", c, dt.date(yr, 5, d), 3.0, Decimal("1.00"), 70.0, 99.0, 50.0)
+         for c in ("A", "B") for yr in (2001, 2002) for d in (1, 2)], WEATHER_CSV)
+    write_csv(wx, r.landing("weather") + "/d1")
+    write_csv(ys, r.landing("yield") + "/d1")
+    r.run_once()
+
+    def files(county, year):
+        d = f"{r.gold}/County={county}/Year={year}"
+        return sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+
+    before = {k: files(*k) for k in [("A", 2001), ("A", 2002), ("B", 2001), ("B", 2002)]}
+    late = spark.createDataFrame([("S", "A", dt.date(2001, 5, 20), 3.0, Decimal("5.00"), 60.0, 99.0,
+                                   40.0)],
+                                 WEATHER_CSV)
+    write_csv(late, r.landing("weather") + "/d2")
+    r.run_once()
+    after = {k: files(*k) for k in before}
+    assert after[("A", 2001)] != before[("A", 2001)]
+    assert all(after[k] == before[k] for k in before if k != ("A", 2001))
+    row = r.gold_table().where("County = 'A' AND Year = 2001").first()
+    assert row["60d_Total_Precip"] == 7.0  # 1 + 1 + 5
