@@ -97,7 +97,7 @@ def trailing_rows_sum_count(
         .drop("_fl_prev")
     )
 
-    # <= one context row per range partition: broadcast is size-bounded.
+    # <= one context row per block: broadcast is size-bounded.
     # null-safe keys: a null key is a valid window partition, and no
     # isnotnull filter is inferred into one branch only (so both branches
     # read the same shuffle)
