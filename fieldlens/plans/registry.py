@@ -323,7 +323,8 @@ class Run:
 
     @property
     def gold(self) -> DataFrame:
-        return self.once("gold", lambda: materialize(gold_analog(self.spark, self.base), "gold"))
+        return self.once("gold", lambda: materialize(gold_analog(self.spark, self.base), "gold",
+                                                     partition_by=["Year"]))
 
     @property
     def train(self) -> DataFrame:

@@ -65,7 +65,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/fieldlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", partition_by=()):
     """Write ``df`` once as a parquet table in the shared folder and read it
     back.
 
@@ -73,7 +73,11 @@ def materialize(df, name: str = "stage"):
     (block bounds, model fit, quantile passes): each then scans the written
     table, with column pruning and pushed filters, instead of re-running the
     lineage; a lost executor cannot force a recompute of upstream stages.
+    With ``partition_by`` (e.g. ``Year``) later filters prune partitions.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return df.sparkSession.read.parquet(path)
