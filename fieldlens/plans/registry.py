@@ -298,7 +298,7 @@ def q_daily_pivot(spark, base):
 
 @register("weather_build")
 def q_weather_build(spark, base):
-    return WB.county_daily_weather(A.observation_view(spark, base), best_station_dim(spark, base),
+    return WB.county_day_weather(A.observation_view(spark, base), best_station_dim(spark, base),
                                    A.county_view(spark, base), station_key="station_key",
                                    datatypes=OBS_TYPES)
 

@@ -34,7 +34,7 @@ def best_station_per_county(located: DataFrame) -> DataFrame:
     return first_per_key(s, ["geoid"], order).select("geoid", "id", "is_usw", "datacoverage")
 
 
-def county_daily_weather(
+def county_day_weather(
     observations: DataFrame,
     best: DataFrame,
     counties: DataFrame,
