@@ -91,3 +91,20 @@ def test_late_weather_rewrites_only_its_partition(spark):
     assert all(after[k] == before[k] for k in before if k != ("A", 2001))
     row = r.gold_table().where("County = 'A' AND Year = 2001").first()
     assert row["60d_Total_Precip"] == 7.0  # 1 + 1 + 5
+
+
+def test_multiline_pages(spark):
+    """A4 with one pretty-printed page per file (``multiLine``)."""
+    import json
+    import os
+
+    rec = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.DoubleType())])
+    d = shared_path(spark, "ml_pages")
+    os.makedirs(d)
+    pages = [{"metadata": {"count": 2}, "results": [{"id": "a", "v": 1.0}, {"id": "b", "v": 2.0}]},
+             {"status": "no more data"}]
+    for i, p in enumerate(pages):
+        with open(os.path.join(d, f"page-{i}.json"), "w") as f:
+            json.dump(p, f, indent=2)
+    got = sorted((r["id"], r["v"]) for r in read_pages(spark, d, rec, multiline=True).collect())
+    assert got == [("a", 1.0), ("b", 2.0)]
