@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.exprs import fixed_text, hash_bucket, pct_change
 from fieldlens.operators.aggregates import exact_mean
 from fieldlens.operators.quantiles import exact_quantiles
+from fieldlens.session import materialize
 
 ROW_KEY_COLS = ["County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre"]
 TARGET = "Yield_Per_Acre"
@@ -42,9 +43,19 @@ def assign_folds(df: DataFrame, *, folds: int = 5, out: str = "fold") -> DataFra
 def fit_key_mean(train: DataFrame, keys: Sequence[str] = ("County", "Crop"),
                  target: str = TARGET) -> tuple[DataFrame, float | None]:
     """Baseline model: mean target per key, plus the global mean for unseen
-    keys (one scalar)."""
-    per_key = train.groupBy(*keys).agg(exact_mean(target).alias("_km"))
-    glob = train.agg(exact_mean(target).alias("g")).first()["g"]
+    keys (one scalar).
+
+    One pass over the training rows: the per-key sums and counts (one row
+    per key) are written once, and the global mean is taken from them; with
+    a DECIMAL target the sums are exact, so both means equal
+    double(sum) / count over the rows.
+    """
+    sums = materialize(train.groupBy(*keys).agg(F.sum(target).alias("_s"),
+                                                 F.count(target).alias("_c")), "key_mean")
+    tot = sums.agg(F.sum("_s").alias("s"), F.sum("_c").alias("c")).first()
+    glob = float(tot["s"]) / float(tot["c"]) if tot["c"] else None
+    per_key = sums.select(*keys, F.try_divide(F.col("_s").cast("double"),
+                                              F.col("_c").cast("double")).alias("_km"))
     return per_key, glob
 
 
