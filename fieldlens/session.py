@@ -65,6 +65,59 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/fieldlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class Scratch:
+    """Written intermediate tables of one operator, removed when it ends.
+
+    ``table`` writes a frame as parquet in the shared folder and reads it back
+    (cuts the lineage; a lost executor re-reads the table).  Leaving the
+    ``with`` block removes every folder written except those passed through
+    ``keep``, which the caller still reads from.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths, self.kept = spark, name, {}, set()
+
+    def table(self, df, part: str, partition_by=(), arrow_rows: int | None = None):
+        """``arrow_rows`` bounds the rows of one Arrow batch while this table
+        is written, so that long texts do not meet by the ten thousand in one
+        Python worker."""
+        path = shared_path(self.spark, f"{self.name}-{part}")
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(key)
+        if arrow_rows:
+            self.spark.conf.set(key, str(arrow_rows))
+        try:
+            w = df.write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
+        finally:
+            self.spark.conf.set(key, before)
+        self.paths[part] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep(self, part: str) -> None:
+        self.kept.add(part)
+
+    def drop(self, part: str) -> None:
+        remove_path(self.spark, self.paths.pop(part))
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        for part in [p for p in self.paths if p not in self.kept]:
+            self.drop(part)
+        return False
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system (any store Spark writes)."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str = "stage", partition_by=()):
     """Write ``df`` once as a parquet table in the shared folder and read it
     back.
