@@ -3,16 +3,58 @@
 from __future__ import annotations
 
 # words of a text: A-Z lower-cased, everything else in ASCII but 0-9 a-z separates
-_WORDS = r"""list_filter(regexp_split_to_array(
+_WORDS = r"""regexp_extract_all(
   translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 
 def words(t: str) -> str:
     return _WORDS.format(t=t)
 
 
-ORACLE: dict[str, str] = {}
+def license_sql() -> str:
+    from fieldlens.llm.license_scan import COVER, SLACK, gram_positions
+
+    rows = ",".join("({t},'{label}',{base},{tpos},{grams},'{gram}')".format(**r) for r in gram_positions())
+    return f"""
+WITH t(t, label, base, tpos, grams, gram) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+g AS (SELECT r, p, array_to_string(w[p:p + 2], ' ') AS gram
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM d)),
+v AS (SELECT r, t, label, base, grams, p - 1 - tpos AS at_, bit_or(CAST(1 AS BIGINT) << tpos) AS mask
+  FROM g JOIN t USING (gram) GROUP BY ALL),
+m AS (SELECT *, bit_count(bit_or(mask) OVER (PARTITION BY r, t ORDER BY at_
+    RANGE BETWEEN {SLACK} PRECEDING AND {SLACK} FOLLOWING))::DOUBLE / grams AS cover,
+  bit_count(mask) = grams AND base AS is_base FROM v),
+f AS (SELECT r, count(*) FILTER (is_base) AS n_base, min(at_) FILTER (is_base) AS first_word,
+  max(at_) FILTER (is_base) AS last_word, max(cover) AS score,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base OR (NOT base AND cover >= {COVER})) AS labels
+  FROM m GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN f USING (r)
+"""
+
+
+def line_dedup_sql() -> str:
+    from fieldlens.llm.line_dedup import MIN_SITES
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+l AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+  generate_subscripts(string_split(text, chr(10)), 1) AS p FROM d),
+b AS (SELECT trim(line) AS k, min(doc_id) AS first FROM l WHERE trim(line) <> '' GROUP BY 1
+  HAVING count(DISTINCT source) >= {MIN_SITES}),
+j AS (SELECT l.*, b.k IS NOT NULL AND l.doc_id IS DISTINCT FROM b.first AS cut FROM l LEFT JOIN b ON trim(line) = b.k),
+s AS (SELECT r, count(*) FILTER (cut) AS n_removed,
+  coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT cut), '') AS kept FROM j GROUP BY r)
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, strlen(kept) AS n_bytes, sha256(kept) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+"""
+
+
+ORACLE: dict[str, str] = {"op3_license_scan": license_sql(), "op4_line_dedup": line_dedup_sql()}
 
 ORACLE["op7_decontamination"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from fieldlens.llm.common import table
 from fieldlens.llm.decontaminate import contamination_report
+from fieldlens.llm.license_scan import op3_license_scan
+from fieldlens.llm.line_dedup import op4_line_dedup
 from fieldlens.llm.oracle import ORACLE as _SQL
 from fieldlens.llm.packing import op6_packing
+from fieldlens.llm.quality import op10_quality
 from fieldlens.llm.sharding import op5_sharding
 from fieldlens.llm.simhash import op2_simhash
+from fieldlens.llm.toxicity import op1_toxicity
 
 
 def op7_decontamination(spark, sf_dir: str):
@@ -16,9 +20,13 @@ def op7_decontamination(spark, sf_dir: str):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_license_scan": op3_license_scan,
+    "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op10_quality": op10_quality,
 }
 ORACLE = {k: v for k, v in _SQL.items() if k in QUERIES}
