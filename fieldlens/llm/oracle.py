@@ -74,3 +74,16 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)
 """
+
+ORACLE["op8_topk"] = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+c AS (SELECT r, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM e),
+bad AS (SELECT DISTINCT r FROM c WHERE x IS NULL OR NOT isfinite(x)),
+v AS (SELECT r, vec_id, i, CAST(floor(256 * x) AS BIGINT) AS x FROM c WHERE r NOT IN (SELECT r FROM bad)),
+q AS (SELECT * FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, v.r, CAST(sum(q.x * v.x) AS BIGINT) AS score
+  FROM q JOIN v ON q.i = v.i AND q.vec_id <> v.vec_id GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
+"""

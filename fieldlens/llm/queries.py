@@ -11,6 +11,8 @@ from fieldlens.llm.packing import op6_packing
 from fieldlens.llm.quality import op10_quality
 from fieldlens.llm.sharding import op5_sharding
 from fieldlens.llm.simhash import op2_simhash
+from fieldlens.llm.suffix_dedup import op9_suffix_dedup
+from fieldlens.llm.topk import op8_topk
 from fieldlens.llm.toxicity import op1_toxicity
 
 
@@ -27,6 +29,8 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_topk": op8_topk,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
 }
 ORACLE = {k: v for k, v in _SQL.items() if k in QUERIES}
