@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from fieldlens.llm.common import table
 from fieldlens.llm.decontaminate import contamination_report
 from fieldlens.llm.license_scan import op3_license_scan
@@ -32,5 +33,8 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {k: v for k, v in _SQL.items() if k in QUERIES}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
