@@ -34,7 +34,7 @@ def line_key(line: Column) -> Column:
 def line_keys(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """(id, tx, site, h, g): the distinct non-blank lines of each document;
     ``tx`` tells texts with equal or null ids apart."""
-    lines = F.filter(F.array_distinct(F.transform(F.split(F.col(text_col), "\n"), F.trim)), lambda x: x != "")
+    lines = F.filter(F.array_distinct(F.transform(F.split(F.col(text_col), "\n"), lambda x: F.trim(x))), lambda x: x != "")
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tx"), F.col(site_col).alias("site"),
                        F.explode(lines).alias("line")).select("id", "tx", "site", line_key(F.col("line")).alias("k")) \
         .select("id", "tx", "site", "k.h", "k.g")
@@ -75,9 +75,9 @@ def drop_boilerplate(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
         .groupBy("id", "tx").agg(F.collect_set(F.struct("h", "g")).alias("bad")), "hits")
     bad_col, tx = fresh_name(docs, "bad"), fresh_name(docs, "tx")
     keyed = docs.withColumn(tx, F.xxhash64(text_col))
-    to = hits.select(F.col("id").alias("__id"), F.col("tx").alias("__tx"), F.col("bad").alias(bad_col))
-    joined = keyed.join(to, (F.col(tx) == F.col("__tx")) & F.col(id_col).eqNullSafe(F.col("__id")), "left") \
-        .drop("__id", "__tx", tx)
+    hit_id, hit_tx = fresh_name(docs, "hit_id"), fresh_name(docs, "hit_tx")
+    to = hits.select(F.col("id").alias(hit_id), F.col("tx").alias(hit_tx), F.col("bad").alias(bad_col))
+    joined = keyed.join(to, (F.col(tx) == F.col(hit_tx)) & F.col(id_col).eqNullSafe(F.col(hit_id)), "left")
     lines = F.split(F.col(text_col), "\n")
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col(bad_col), line_key(x)))
     text = F.when(F.col(bad_col).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
