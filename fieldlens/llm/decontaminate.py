@@ -110,10 +110,9 @@ def mark_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     Null text has no words.  An empty benchmark, or items without words, hit
     nothing.  A null item id still marks words but is not listed.  Repeated
     rows of either table change nothing but the row count of ``docs``.  A
-    column already called ``out`` raises ValueError.
+    column already called ``out`` is replaced.
     """
-    if fresh_name(docs, out) != out:
-        raise ValueError(f"docs already has a column {out!r}")
+    docs = docs.drop(out)
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     span = StructType([StructField("first_word", IntegerType()), StructField("last_word", IntegerType()),
                        StructField("first_byte", IntegerType()), StructField("end_byte", IntegerType())])

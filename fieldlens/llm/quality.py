@@ -240,10 +240,10 @@ def score_quality(docs: DataFrame, scorer: LinearScorer, posterior: dict, text_c
 
     ``score`` is the scorer's probability of good, ``weak_label`` the posterior
     of the document's votes.  A null or empty text has no votes and the scorer's
-    base rate.  Repeated rows are scored each.
+    base rate.  Repeated rows are scored each, an empty table gives no row, and
+    a column already called ``out`` is replaced.
     """
-    if fresh_name(docs, out) != out:
-        raise ValueError(f"docs already has a column {out!r}")
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast((np.array(scorer.weights), scorer.bias, posterior))
     at = docs.columns.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

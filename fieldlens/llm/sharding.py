@@ -49,13 +49,10 @@ def shuffle_shards(df: DataFrame, scratch: Scratch, n_shards: int = 24, seed: in
 
     Every row of ``df`` is placed once, whatever its values: nulls, empty
     texts and repeated rows are rows like any other.  An empty frame stays
-    empty.  Columns called shard, slot or starting with ``__`` must not exist
-    yet (ValueError).  Pass a narrow frame (keys and sizes): all its columns
-    are exchanged.
+    empty.  Columns already called shard or slot are replaced.  Pass a narrow
+    frame (keys and sizes): all its columns are exchanged.
     """
-    clash = [c for c in df.columns if c.lower() in ("shard", "slot") or c.startswith("__")]
-    if clash:
-        raise ValueError(f"columns would be overwritten: {clash}")
+    df = df.drop("shard", "slot")
     spark = df.sparkSession
     # The stored row number makes every later hash stable under task retries.
     rows = scratch.table(df.withColumn("__row", F.monotonically_increasing_id()), "rows")

@@ -189,6 +189,22 @@ def fingerprint_links(fps: DataFrame, scratch: Scratch, radius: int = 3, shard:
     return alone.unionByName(pairs).mapInArrow(look_up, "a bigint, b bigint").distinct()
 
 
+def grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """(id, tx, fp, component, component_id) per row: ``tx`` is a hash of the
+    text, ``component`` the smallest fingerprint reachable, ``component_id``
+    the smallest id."""
+    fp = scratch.table(fingerprints(
+        docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tx"), F.col(text_col).alias("text")),
+        shingle=shingle), "fp", arrow_rows=TEXT_ROWS)
+    roots = scratch.table(fp.groupBy("fp").agg(F.min("id").alias("root")), "roots")
+    links = scratch.table(fingerprint_links(roots.select("fp"), scratch, radius), "links")
+    parts = connected_components(links, scratch).withColumnRenamed("node", "fp")
+    named = roots.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    groups = named.groupBy("component").agg(F.min("root").alias("component_id"))
+    names = scratch.table(named.join(groups, "component").select("fp", "component", "component_id"), "names")
+    return fp.join(names, "fp")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, radius: int = 3) -> DataFrame:
     """(id, fingerprint hex, component_id) per row of ``docs``.
@@ -198,38 +214,36 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     links like any other; rows that repeat are rows; a null id never names a
     component unless all its ids are null.  An empty table gives no row.
     """
-    fp = scratch.table(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                                    shingle=shingle), "fp", arrow_rows=TEXT_ROWS)
-    roots = scratch.table(fp.groupBy("fp").agg(F.min("id").alias("root")), "roots")
-    links = scratch.table(fingerprint_links(roots.select("fp"), scratch, radius), "links")
-    parts = connected_components(links, scratch).withColumnRenamed("node", "fp")
-    named = roots.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    groups = named.groupBy("component").agg(F.min("root").alias("component_id"))
-    names = scratch.table(named.join(groups, "component").select("fp", "component_id"), "names")
-    return fp.join(names, "fp").select(
+    return grouped(docs, scratch, id_col, text_col, shingle, radius).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the row whose id names it (one
-    of them where that id repeats).  Columns are unchanged."""
-    found = near_duplicates(docs, scratch, id_col, text_col, shingle, radius)
-    keep = fresh_name(docs, "keep")
+    """``docs`` with one row of each component: a row whose id names it (null
+    if all its ids are), columns unchanged.  Where several rows do, because an
+    id repeats, the one with the smallest text hash stays, and of rows equal
+    in both the smallest by their other columns."""
+    found = grouped(docs, scratch, id_col, text_col, shingle, radius)
+    keep_id, keep_tx = fresh_name(docs, "keep_id"), fresh_name(docs, "keep_tx")
     heads = scratch.table(
-        found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .groupBy(F.col(id_col).alias(keep)).agg(F.count("*").alias("n")), "heads")
+        found.filter(F.col("id").eqNullSafe(F.col("component_id")))
+        .groupBy("component", "id", "tx").agg(F.count("*").alias("n"))
+        .groupBy("component").agg(F.min(F.struct("tx", "id", "n")).alias("h"))
+        .select(F.col("h.id").alias(keep_id), F.col("h.tx").alias(keep_tx), F.col("h.n").alias("n")), "heads")
 
     def rows_of(part: DataFrame) -> DataFrame:
-        return docs.join(part.select(keep), docs[id_col].eqNullSafe(F.col(keep)), "left_semi")
+        return docs.join(part.select(keep_id, keep_tx), (F.xxhash64(docs[text_col]) == F.col(keep_tx))
+                         & docs[id_col].eqNullSafe(F.col(keep_id)), "left_semi")
 
     kept = rows_of(heads.filter("n = 1"))
     repeated = heads.filter("n > 1")
     if repeated.isEmpty():
         return kept
-    rest = [c for c in docs.columns if c != id_col]
-    first = rows_of(repeated).groupBy(id_col).agg(F.min(F.struct(*rest)).alias("__row"))
-    return kept.unionByName(first.select(id_col, "__row.*").select(*docs.columns))
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    row = F.struct(*rest) if rest else F.struct(F.lit(1))
+    first = rows_of(repeated).groupBy(id_col, text_col).agg(F.min(row).alias("__row"))
+    return kept.unionByName(first.select(id_col, text_col, *(F.col("__row")[c].alias(c) for c in rest)))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

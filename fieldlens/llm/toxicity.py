@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import WORDS, fresh_name, table, unit_hash
+from fieldlens.llm.common import WORDS, table, unit_hash
 
 SAMPLE = 6000
 DIM = 1 << 18
@@ -172,10 +172,10 @@ def score_toxicity(docs: DataFrame, model: NoisyOr, text_col: str = "text", out:
     ``sentences`` counts the sentences with words; ``offending`` lists those
     with a probability of at least ``THRESHOLD`` as struct(first_byte,
     end_byte, p), byte offsets into the UTF-8 text.  Null and wordless texts
-    have score 0 and no sentence.  Repeated rows are scored each.
+    have score 0 and no sentence.  Repeated rows are scored each, an empty
+    table gives no row, and a column already called ``out`` is replaced.
     """
-    if fresh_name(docs, out) != out:
-        raise ValueError(f"docs already has a column {out!r}")
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast((np.array(model.weights), model.bias))
     at = docs.columns.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
