@@ -69,5 +69,5 @@ def rank_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return (
         numbered.join(first, [*group, b])
         .withColumn(out, F.col("__first") + F.col("__r"))
-        .drop(b, "__r", "__first")
+        .select(*df.columns, out)
     )
