@@ -1,97 +1,35 @@
-"""Deterministic range blocks for splitting hot keys.
+"""Contiguous range blocks for splitting hot keys.
 
 A sort-ordered operator (trailing window, rank, quantile) normally sends all
-rows of one key to one task.  ``range_block`` cuts the rows into contiguous
-blocks of the full sort order instead, using bounds taken from a seeded sample
-(like Spark's range partitioner), but the bounds become literals of the plan.
-Every branch of a plan that uses the block column sees the same blocks, even
-when Spark plans the branches separately or re-runs a lost stage.
+rows of one key to one task.  ``range_blocks`` cuts the rows into contiguous
+blocks of the full sort order instead: Spark range-partitions the table by the
+sort columns, and the partition number is stored with every row in a written
+table.  There is one plan for every size, the number of blocks follows the
+shuffle partitions, and every branch that reads the table (and every retried
+task) sees the same blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLES_PER_BLOCK = 20
-SEED = 42
-# A block of this many rows is one comfortable task; tables below it are not
-# split at all (no sampling job).
-ROWS_PER_BLOCK = 1_000_000
+from fieldlens.session import materialize
 
+BLOCK = "_fl_blk"
 
-MAX_BLOCKS = 4096
 
+def range_blocks(df: DataFrame, cols: Sequence[str], blocks: int | None = None,
+                 name: str = "blocks") -> DataFrame:
+    """``df`` written once with its block number (0..blocks-1) under the
+    ascending order of ``cols`` in column ``_fl_blk``.
 
-def default_blocks(df: DataFrame) -> int:
-    """Upper bound on the number of blocks: 4 x the shuffle partitions, at
-    most ``MAX_BLOCKS`` (the block expression is a CASE tree over the bounds,
-    log2(#bounds) comparisons per row)."""
-    return min(MAX_BLOCKS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _lit_struct(values, types) -> Column:
-    return F.struct(*[F.lit(v).cast(t) for v, t in zip(values, types)])
-
-
-def range_bounds(df: DataFrame, cols: Sequence[str], blocks: int,
-                 rows_per_block: int | None = None) -> list[tuple]:
-    return range_bounds_n(df, cols, blocks, rows_per_block)[0]
-
-
-def range_bounds_n(df: DataFrame, cols: Sequence[str], blocks: int,
-                   rows_per_block: int | None = None) -> tuple[list[tuple], int]:
-    """Increasing bound tuples of ``cols`` from a sample: one block per
-    ``ROWS_PER_BLOCK`` rows, at most ``blocks`` blocks.
-
-    Two passes over the sort columns only (column pruning keeps the scans
-    narrow): a count, then - only when more than one block is needed - a
-    seeded Bernoulli sample of about ``SAMPLES_PER_BLOCK`` rows per block,
-    which is all that reaches the driver.
+    Rows equal in all ``cols`` share a block, so end ``cols`` with a unique
+    column where a key can repeat.  ``blocks`` defaults to the session's
+    shuffle partitions.
     """
-    proj = df.select(*cols)
-    n = proj.count()
-    blocks = min(blocks, -(-n // (rows_per_block or ROWS_PER_BLOCK)))
-    if blocks <= 1:
-        return [], n
-    frac = min(1.0, SAMPLES_PER_BLOCK * blocks / n)
-    sample = proj.sample(withReplacement=False, fraction=frac, seed=SEED)
-    rows = [tuple(r) for r in sample.orderBy(*cols).collect()]
-    if not rows:
-        return [], n
-    bounds: list[tuple] = []
-    for i in range(1, blocks):
-        b = rows[min(len(rows) - 1, i * len(rows) // blocks)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds, n
-
-
-def block_of(cols: Sequence[str], types: Sequence, bounds: Sequence[tuple]) -> Column:
-    """Block number of a row: the number of bounds strictly below its sort key.
-
-    A balanced CASE tree, so a row takes log2(#bounds) struct comparisons.
-    """
-    if not bounds:
-        return F.lit(0)
-    key = F.struct(*[F.col(c) for c in cols])
-    lits = [_lit_struct(b, types) for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key > lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(bounds))
-
-
-def range_block(df: DataFrame, cols: Sequence[str], blocks: int | None = None,
-                rows_per_block: int | None = None) -> Column:
-    """Column with the contiguous block (0..blocks-1) of each row under the
-    ascending order of ``cols``."""
-    blocks = blocks or default_blocks(df)
-    types = [df.schema[c].dataType for c in cols]
-    return block_of(cols, types, range_bounds(df, cols, blocks, rows_per_block))
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(
+        df.repartitionByRange(n, *cols).withColumn(BLOCK, F.spark_partition_id()), name)

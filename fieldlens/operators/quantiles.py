@@ -2,80 +2,90 @@
 
 ``percentile`` (exact) keeps every distinct value of a group in one buffer,
 and for a global quantile that buffer lives in one task.  Here the values are
-cut into contiguous range blocks (bounds from a seeded sample), the blocks are
-counted (one row per block reaches the driver), and only the one or two
-blocks holding each wanted rank are ranked - each block is about
-1/#blocks of the data.  The result equals numpy's default ``percentile`` and
-SQL ``quantile_cont``: with ``h = (n - 1) * p``, ``v[floor h] + (h - floor h)
-* (v[ceil h] - v[floor h])`` over the sorted non-null values.
+first counted (a map-side combined aggregate, so a value that fills most of
+the table is one row per task), the (value, count) rows are cut into range
+blocks, the blocks' totals (one row per block) tell which block holds a wanted
+rank, and only those blocks are accumulated.  The result equals numpy's default
+``percentile`` and SQL ``quantile_cont``: with ``h = (n - 1) * p``,
+``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])`` over the sorted
+non-null values.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.operators.partitioning import block_of, default_blocks, range_bounds_n
+from fieldlens.operators.partitioning import BLOCK, range_blocks
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
-                    blocks: int | None = None,
-                    rows_per_block: int | None = None) -> list[float | None]:
-    """Exact quantiles of the non-null values of ``column`` (as double)."""
-    v = df.select(F.col(column).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
+def exact_quantiles_of(df: DataFrame, wanted: Mapping[str, Sequence[float]], *,
+                       blocks: int | None = None, drop_nan: bool = True) -> dict[str, list[float | None]]:
+    """Exact quantiles of the non-null values of several columns (as double)
+    from one pass over ``df``.
+
+    NaN values are left out by default; with ``drop_nan=False`` a column that
+    holds one has NaN for every quantile, as numpy gives.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in wanted])
+    counts = (
+        df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
+        .groupBy("_c", "_v").agg(F.count("*").alias("_n"))
     )
-    nb = blocks or default_blocks(df)
-    bounds, n = range_bounds_n(v, ["_v"], nb, rows_per_block)
-    vb = v.withColumn("_b", block_of(["_v"], [T.DoubleType()], bounds))
-    if bounds:
-        counts = sorted((r["_b"], r["n"]) for r in
-                        vb.groupBy("_b").agg(F.count("*").alias("n")).collect())
-    else:
-        counts = [(0, n)]  # one block of at most ROWS_PER_BLOCK rows
-    n = sum(c for _, c in counts)
-    if n == 0:
-        return [None for _ in probs]
-    starts, acc = {}, 0
-    for b, c in counts:
-        starts[b] = acc
-        acc += c
+    cut = range_blocks(counts, ["_c", "_v"], blocks, "quantiles")
+    totals: dict[str, list[tuple[int, int, int]]] = {c: [] for c in wanted}
+    for r in sorted(cut.groupBy("_c", BLOCK).agg(
+            F.sum(F.when(~F.isnan("_v"), F.col("_n")).otherwise(0)).alias("n"),
+            F.sum(F.when(F.isnan("_v"), F.col("_n")).otherwise(0)).alias("nan")).collect()):
+        totals[r["_c"]].append((r[BLOCK], r["n"], r["nan"]))
 
-    def locate(rank: int) -> tuple[int, int]:
-        for b, c in counts:
-            if starts[b] <= rank < starts[b] + c:
-                return b, rank - starts[b] + 1
+    def place(c: str, rank: int) -> tuple[str, int, int]:
+        for b, n, _ in totals[c]:
+            if rank < n:
+                return c, b, rank
+            rank -= n
         raise AssertionError(rank)
 
-    plan = []
-    wanted: set[tuple[int, int]] = set()
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo, hi = math.floor(h), math.ceil(h)
-        a, b = locate(lo), locate(hi)
-        wanted |= {a, b}
-        plan.append((a, b, h - lo))
-    need_blocks = sorted({b for b, _ in wanted})
-    w = Window.partitionBy("_b").orderBy("_v")
-    picked = (
-        vb.where(F.col("_b").isin(need_blocks))
-        .withColumn("_r", F.row_number().over(w))
-        .where(F.struct("_b", "_r").isin([F.struct(F.lit(b), F.lit(r)) for b, r in wanted]))
-        .select("_b", "_r", "_v")
-        .collect()
-    )
-    val = {(r["_b"], r["_r"]): r["_v"] for r in picked}
-    out = []
-    for a, b, d in plan:
-        lo_v, hi_v = val[a], val[b]
-        out.append(lo_v if a == b else lo_v + d * (hi_v - lo_v))
+    plan: dict[str, list] = {}
+    for c, probs in wanted.items():
+        n = sum(x for _, x, _ in totals[c])
+        if n == 0 or (not drop_nan and any(x for *_, x in totals[c])):
+            plan[c] = [None if n == 0 else float("nan")] * len(probs)
+            continue
+        hs = [(n - 1) * float(p) for p in probs]
+        plan[c] = [(place(c, math.floor(h)), place(c, math.ceil(h)), h - math.floor(h)) for h in hs]
+    at = {x for steps in plan.values() for s in steps if isinstance(s, tuple) for x in s[:2]}
+    val: dict[tuple[str, int, int], float] = {}
+    if at:
+        w = Window.partitionBy("_c", BLOCK).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        one = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(b).alias("b"), F.lit(r).cast("bigint").alias("r"))
+                        for c, b, r in sorted(at)])
+        hit = F.filter(one, lambda x: (x["c"] == F.col("_c")) & (x["b"] == F.col(BLOCK))
+                       & (x["r"] < F.col("_cum")) & (x["r"] >= F.col("_cum") - F.col("_n")))
+        rows = (
+            cut.where(F.struct("_c", BLOCK).isin([F.struct(F.lit(c), F.lit(b)) for c, b in {x[:2] for x in at}])
+                      & ~F.isnan("_v"))
+            .withColumn("_cum", F.sum("_n").over(w))
+            .select("_v", F.explode(hit).alias("x")).select("x.*", "_v").collect()
+        )
+        val = {(r["c"], r["b"], r["r"]): r["_v"] for r in rows}
+    out: dict[str, list[float | None]] = {}
+    for c, steps in plan.items():
+        out[c] = [s if not isinstance(s, tuple) else
+                  val[s[0]] if s[0] == s[1] else val[s[0]] + s[2] * (val[s[1]] - val[s[0]]) for s in steps]
     return out
 
 
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *,
+                    blocks: int | None = None, drop_nan: bool = True) -> list[float | None]:
+    """Exact quantiles of one column (see :func:`exact_quantiles_of`)."""
+    return exact_quantiles_of(df, {column: probs}, blocks=blocks, drop_nan=drop_nan)[column]
+
+
 def quantile_row(df: DataFrame, column: str, probs: Sequence[float], names: Sequence[str],
                  *, blocks: int | None = None) -> DataFrame:
     """The quantiles as a one-row DataFrame with the given column names."""

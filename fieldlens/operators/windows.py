@@ -4,9 +4,9 @@
 ``avg(v).over(partitionBy(keys).orderBy(order).rowsBetween(-n, -1))``.
 A plain window sends every row of one key to one task; if one key holds a
 third of the table, one task does a third of the work.  Here every row gets a
-contiguous block of the full sort order ``keys + order`` (bounds from a seeded
-sample, see :mod:`fieldlens.operators.partitioning`), and the window runs per
-(key, block): one hash shuffle, no group larger than a block.  Only the first
+contiguous block of the full sort order ``keys + order`` (a range-partitioned
+written table, see :mod:`fieldlens.operators.partitioning`), and the window
+runs per (key, block), no group larger than a block.  Only the first
 ``n`` rows of a block need rows of the block before it; those come from a
 small table of block tails (<= n rows per block).  Blocks are contiguous
 ranges of the global order, so only the smallest key of a block can continue
@@ -21,9 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.operators.partitioning import block_of, default_blocks, range_bounds
+from fieldlens.operators.partitioning import BLOCK, range_blocks
 
-_BLK, _POS, _CNT = "_fl_blk", "_fl_pos", "_fl_cnt"
+_BLK, _POS, _CNT = BLOCK, "_fl_pos", "_fl_cnt"
 
 
 def trailing_rows_sum_count(
@@ -36,7 +36,6 @@ def trailing_rows_sum_count(
     sum_col: str = "_fl_tsum",
     count_col: str = "_fl_tcnt",
     blocks: int | None = None,
-    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Add the sum and count of non-null ``value`` over the ``preceding`` rows
     before each row (frame ``rows -preceding .. -1``) within ``keys``.
@@ -51,15 +50,7 @@ def trailing_rows_sum_count(
     keys, order = list(keys), list(order)
     v = F.col(value)
 
-    sort_cols = [*keys, *order]
-    bounds = range_bounds(df, sort_cols, blocks or default_blocks(df), rows_per_block)
-    if not bounds:
-        # one block: every key fits one task, the plain window is exact
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)
-        c = F.count(v).over(w)
-        return df.withColumn(count_col, c).withColumn(sum_col, F.when(c > 0, F.sum(v).over(w)))
-    blk = block_of(sort_cols, [df.schema[x].dataType for x in sort_cols], bounds)
-    ranged = df.withColumn(_BLK, blk)
+    ranged = range_blocks(df, [*keys, *order], blocks, "trailing")
     wb = Window.partitionBy(*keys, _BLK).orderBy(*order)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = (
@@ -135,7 +126,6 @@ def trailing_mean(
     out: str,
     *,
     blocks: int | None = None,
-    rows_per_block: int | None = None,
 ) -> DataFrame:
     """mean of ``value`` over the ``preceding`` rows before each row,
     current row excluded; null for the first row of a key.
@@ -145,37 +135,23 @@ def trailing_mean(
     """
     t = trailing_rows_sum_count(
         df, keys, order, value, preceding, sum_col="_fl_ts", count_col="_fl_tc", blocks=blocks,
-        rows_per_block=rows_per_block,
     )
     return t.withColumn(
         out, F.col("_fl_ts").cast("double") / F.col("_fl_tc").cast("double")
     ).drop("_fl_ts", "_fl_tc")
 
 
-def sort_key(df: DataFrame, specs: Sequence[tuple]) -> list[Column]:
-    """Ascending sort-key columns for ``(column, "asc"|"desc", nulls_last)``
-    specs, so that ``min`` over ``struct(*keys)`` picks the first row.
-
-    ``desc`` is expressed by negation (numbers, dates, booleans); nulls-last by
-    a leading ``isNull`` flag (false sorts before true).
-    """
+def order_columns(specs: Sequence[tuple]) -> list[Column]:
+    """Sort columns for ``(column, "asc"|"desc", nulls_last)`` specs of any
+    orderable type (strings and timestamps without zone included)."""
     out: list[Column] = []
     for spec in specs:
         name, direction, nulls_last = (tuple(spec) + ("asc", False))[:3]
         c = F.col(name)
-        if nulls_last:
-            out.append(c.isNull())
         if direction == "desc":
-            t = df.schema[name].dataType.typeName()
-            if t == "boolean":
-                c = ~c
-            elif t == "date":
-                c = -F.unix_date(c)
-            elif t == "timestamp":
-                c = -F.unix_micros(c)
-            else:
-                c = -c
-        out.append(c)
+            out.append(c.desc_nulls_last() if nulls_last else c.desc_nulls_first())
+        else:
+            out.append(c.asc_nulls_last() if nulls_last else c.asc_nulls_first())
     return out
 
 
@@ -183,15 +159,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[tuple]) ->
     """keep the first row of each key under a stated total order
     (``dropDuplicates`` would keep an arbitrary row).
 
-    Written as an aggregate, ``min_by(row, sort key)``: partial aggregation
-    runs map-side, so a key holding a third of all rows is reduced to one row
-    per task before the shuffle and never reaches one task whole.  ``order``
-    holds ``(column, "asc"|"desc", nulls_last)`` specs; end it with a unique
-    column so ties cannot occur.
+    ``row_number() = 1``: Spark keeps only the first row of each key per task
+    before the shuffle (WindowGroupLimit), so a key holding a third of all rows
+    never reaches one task whole.  ``order`` holds ``(column, "asc"|"desc",
+    nulls_last)`` specs of any orderable type; end it with a unique column so
+    ties cannot occur.
     """
-    payload = [c for c in df.columns if c not in keys]
-    sk = F.struct(*sort_key(df, order))
-    agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), sk).alias("_fl_row")
-    )
-    return agg.select(*keys, *[F.col(f"_fl_row.{c}").alias(c) for c in payload])
+    w = Window.partitionBy(*keys).orderBy(*order_columns(order))
+    ranked = df.withColumn("_fl_rn", F.row_number().over(w)).where("_fl_rn = 1")
+    return ranked.drop("_fl_rn").select(*keys, *[c for c in df.columns if c not in keys])

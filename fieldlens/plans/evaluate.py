@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.exprs import fixed_text, hash_bucket, pct_change
 from fieldlens.operators.aggregates import exact_mean
-from fieldlens.operators.quantiles import exact_quantiles
+from fieldlens.operators.quantiles import exact_quantiles, exact_quantiles_of
 from fieldlens.session import materialize
 
 ROW_KEY_COLS = ["County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre"]
@@ -70,9 +70,13 @@ def regression_metrics(df: DataFrame, *, actual: str = TARGET, pred: str = PRED,
                        by: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """R^2, RMSE and MAE in one aggregate pass.
 
-    ``sum((y - mean)^2)`` is taken as ``sum(y^2) - sum(y)^2 / n`` with exact
-    DECIMAL sums when the actual column is DECIMAL.
+    ``sum((y - mean)^2)`` is taken as ``sum(y^2) - sum(y)^2 / n``, which needs
+    exact sums: the actual column must be DECIMAL or integer, or small
+    differences of large DOUBLE sums would cancel (TypeError).
     """
+    kind = df.schema[actual].dataType.typeName()
+    if kind in ("double", "float"):
+        raise TypeError(f"{actual} is {kind}: cast it to DECIMAL for exact sums of squares")
     y, p = F.col(actual), F.col(pred)
     e = y.cast("double") - p
     g = df.groupBy(*by) if by else df.groupBy()
@@ -140,11 +144,11 @@ def split_impact(gold: DataFrame, *, heat_days: int = HEAT_DAYS) -> DataFrame:
 
     Heat splits at a fixed day count, rain and temperature at their exact
     medians; "high" is strictly greater, "low" is less-or-equal, a null
-    feature is in neither half.  Medians are two scalars; the means are one
-    aggregate pass with conditional sums.
+    feature is in neither half.  Both medians come from one pass, the means
+    from one aggregate pass with conditional sums.
     """
-    rain_med, = exact_quantiles(gold, "90d_Total_Precip", [0.5])
-    temp_med, = exact_quantiles(gold, "90d_Avg_Temp", [0.5])
+    med = exact_quantiles_of(gold, {"90d_Total_Precip": [0.5], "90d_Avg_Temp": [0.5]})
+    (rain_med,), (temp_med,) = med["90d_Total_Precip"], med["90d_Avg_Temp"]
     y = F.col(TARGET)
 
     def means(c: Column, thr):

@@ -49,13 +49,13 @@ def test_points_in_polygons_with_hole_and_edges(spark):
                    for _, pid in got)
 
 
-@pytest.mark.parametrize("rows_per_block", [None, 37])
-def test_exact_quantiles_match_numpy(spark, rows_per_block):
+@pytest.mark.parametrize("blocks", [None, 1, 32])
+def test_exact_quantiles_match_numpy(spark, blocks):
     rnd = random.Random(3)
     vals = [rnd.gauss(0, 10) for _ in range(1000)] + [1.5] * 200 + [None] * 20
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0, 0.333]
-    got = exact_quantiles(df, "x", probs, rows_per_block=rows_per_block, blocks=32)
+    got = exact_quantiles(df, "x", probs, blocks=blocks)
     arr = np.array([v for v in vals if v is not None])
     exp = [np.percentile(arr, p * 100) for p in probs]
     assert got == pytest.approx(exp, rel=1e-12, abs=1e-12)
@@ -64,3 +64,29 @@ def test_exact_quantiles_match_numpy(spark, rows_per_block):
 def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
+
+
+def test_exact_quantiles_hot_value_is_one_row(spark):
+    """A column that is 70 % zero: the ranked table holds the value once."""
+    from fieldlens.operators.partitioning import BLOCK
+
+    df = spark.range(4000).selectExpr("CASE WHEN id % 10 < 7 THEN 0D ELSE CAST(id AS DOUBLE) END AS x").repartition(6)
+    seen = []
+    import fieldlens.operators.quantiles as Q
+
+    real = Q.range_blocks
+    try:
+        Q.range_blocks = lambda *a: seen.append(real(*a)) or seen[-1]
+        got = exact_quantiles(df, "x", [0.5, 0.75, 0.9], blocks=8)
+    finally:
+        Q.range_blocks = real
+    vals = np.array([0.0 if i % 10 < 7 else float(i) for i in range(4000)])
+    assert got == pytest.approx([np.percentile(vals, p) for p in (50, 75, 90)])
+    per_block = [r["count"] for r in seen[0].groupBy(BLOCK).count().collect()]
+    assert sum(per_block) == 1201 and max(per_block) <= 3 * 1201 / 8
+
+
+def test_nan_is_a_stated_choice(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert exact_quantiles(df, "x", [0.5]) == [1.5]
+    assert np.isnan(exact_quantiles(df, "x", [0.5], drop_nan=False)[0])

@@ -34,13 +34,12 @@ def make_rows(seed, hot_share=0.6, n_rows=400):
     return rows
 
 
-@pytest.mark.parametrize("rows_per_block", [None, 7, 50])
+@pytest.mark.parametrize("blocks", [None, 1, 60])
 @pytest.mark.parametrize("n", [1, 3, 5])
-def test_trailing_mean_matches_brute_force(spark, rows_per_block, n):
-    rows = make_rows(seed=n * 31 + (rows_per_block or 0))
+def test_trailing_mean_matches_brute_force(spark, blocks, n):
+    rows = make_rows(seed=n * 31 + (blocks or 0))
     df = spark.createDataFrame(rows, "k string, c string, y int, id long, v decimal(18,2)")
-    got = trailing_mean(df, ["k", "c"], ["y", "id"], "v", n, "avg",
-                        rows_per_block=rows_per_block, blocks=16)
+    got = trailing_mean(df, ["k", "c"], ["y", "id"], "v", n, "avg", blocks=blocks)
     res = {r["id"]: r["avg"] for r in got.collect()}
     exp = brute_trailing(rows, n)
     assert len(res) == len(rows)
@@ -55,7 +54,7 @@ def test_trailing_mean_tiny_blocks_span_several_blocks(spark):
     # blocks of ~2 rows force the context of a row to come from 3 blocks back
     rows = [("K", "c", 2000 + i, i, Decimal(i + 1)) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, c string, y int, id long, v decimal(18,2)")
-    got = trailing_mean(df, ["k", "c"], ["y", "id"], "v", 5, "avg", rows_per_block=2, blocks=20)
+    got = trailing_mean(df, ["k", "c"], ["y", "id"], "v", 5, "avg", blocks=20)
     res = {r["id"]: r["avg"] for r in got.collect()}
     exp = brute_trailing(rows, 5)
     assert res == pytest.approx(exp)
@@ -79,16 +78,32 @@ def test_first_per_key_order_and_ties(spark):
     assert res == {"g1": "GHCND:USW2", "g2": "GHCND:USC4"}
 
 
+def test_first_per_key_descending_strings_and_local_timestamps(spark):
+    rows = [("g", "a", "2001-01-01 00:00:00"), ("g", "c", "2001-01-01 00:00:00"), ("g", None, "2003-01-01 00:00:00"),
+            ("h", "b", None), ("h", "b", "2002-01-01 00:00:00"), ("h", "b", "2002-06-01 00:00:00")]
+    df = spark.createDataFrame(rows, "g string, s string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = first_per_key(df, ["g"], [("s", "desc", True), ("t", "desc", True)]).collect()
+    assert {(r["g"], r["s"], str(r["t"])) for r in got} == {
+        ("g", "c", "2001-01-01 00:00:00"), ("h", "b", "2002-06-01 00:00:00")}
+
+
+def test_first_per_key_limits_a_key_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id")
+    plan = first_per_key(df, ["k"], [("id", "asc")])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_hot_key_is_split_into_bounded_blocks(spark):
-    """A key holding a third of the rows is cut into several contiguous
-    blocks; no (key, block) group is much larger than the block target."""
-    from fieldlens.operators.partitioning import range_block
-
-    rows = [("HOT" if i % 3 == 0 else f"k{i % 97}", i) for i in range(6000)]
-    df = spark.createDataFrame(rows, "k string, id long")
-    blk = range_block(df, ["k", "id"], blocks=64, rows_per_block=200)
-    sizes = df.withColumn("b", blk).groupBy("k", "b").count()
-    hot_blocks = sizes.where("k = 'HOT'").count()
-    biggest = sizes.agg(F.max("count")).first()[0]
-    assert hot_blocks >= 5
-    assert biggest <= 3 * 200
+    """A key holding half of the rows is cut into several contiguous blocks;
+    no (key, block) group is much larger than its share."""
+    from fieldlens.operators.partitioning import BLOCK, range_blocks
+
+    rows = [("HOT" if i % 2 == 0 else f"k{i % 97}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, id long").repartition(5)
+    blocked = range_blocks(df, ["k", "id"], 30)
+    sizes = blocked.groupBy("k", BLOCK).count()
+    assert sizes.where("k = 'HOT'").count() >= 10
+    assert sizes.agg(F.max("count")).first()[0] <= 3 * 200
+    spans = blocked.groupBy(BLOCK).agg(F.min(F.struct("k", "id")).alias("lo"), F.max(F.struct("k", "id")).alias("hi"))
+    ordered = sorted((r[BLOCK], tuple(r["lo"]), tuple(r["hi"])) for r in spans.collect())
+    assert all(a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
