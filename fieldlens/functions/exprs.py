@@ -52,7 +52,10 @@ def hash_bucket(key: Column, buckets: int, salt: int = 0) -> Column:
 
     ``salt`` picks which 8 hex digits are used, so independent splits (hold-out
     vs. folds) use independent digits.  Reproducible on any engine with MD5.
+    MD5 has 32 hex digits, so ``salt`` is 0 to 3 (ValueError beyond).
     """
+    if not 0 <= salt <= 3:
+        raise ValueError("salt must be 0, 1, 2 or 3")
     start = 1 + 8 * salt
     hexd = F.substring(F.md5(key.cast("string")), start, 8)
     return F.pmod(F.conv(hexd, 16, 10).cast("bigint"), F.lit(buckets))
@@ -77,6 +80,28 @@ def dict_lookup(c: Column | str, mapping: Mapping[str, str]) -> Column:
     return F.create_map(*items)[_c(c)]
 
 
+# Full state names and their postal abbreviations.
+STATE_ABBREV = {
+    "Alabama": "AL", "Alaska": "AK", "Arizona": "AZ", "Arkansas": "AR", "California": "CA",
+    "Colorado": "CO", "Connecticut": "CT", "Delaware": "DE", "Florida": "FL", "Georgia": "GA",
+    "Hawaii": "HI", "Idaho": "ID", "Illinois": "IL", "Indiana": "IN", "Iowa": "IA",
+    "Kansas": "KS", "Kentucky": "KY", "Louisiana": "LA", "Maine": "ME", "Maryland": "MD",
+    "Massachusetts": "MA", "Michigan": "MI", "Minnesota": "MN", "Mississippi": "MS",
+    "Missouri": "MO", "Montana": "MT", "Nebraska": "NE", "Nevada": "NV", "New Hampshire": "NH",
+    "New Jersey": "NJ", "New Mexico": "NM", "New York": "NY", "North Carolina": "NC",
+    "North Dakota": "ND", "Ohio": "OH", "Oklahoma": "OK", "Oregon": "OR", "Pennsylvania": "PA",
+    "Rhode Island": "RI", "South Carolina": "SC", "South Dakota": "SD", "Tennessee": "TN",
+    "Texas": "TX", "Utah": "UT", "Vermont": "VT", "Virginia": "VA", "Washington": "WA",
+    "West Virginia": "WV", "Wisconsin": "WI", "Wyoming": "WY",
+}
+
+
+def state_key(c: Column | str) -> Column:
+    """A state as its abbreviation: full names are mapped, anything else (an
+    abbreviation already) stays.  Both sides of a county join use it."""
+    return F.coalesce(dict_lookup(c, STATE_ABBREV), _c(c))
+
+
 def fixed_text(x: Column | str, decimals: int) -> Column:
     """A number as fixed-decimal text (half-up rounding, no grouping)."""
     return F.format_string(f"%.{decimals}f", F.round(_c(x).cast("double"), decimals))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.session import materialize
+
 
 def exact_mean(c: Column | str) -> Column:
     """Mean of non-null values as double(sum) / count.
@@ -29,29 +31,28 @@ def group_mean_long(df: DataFrame, keys: Sequence[str], value: str = "value",
     return df.where(cond).groupBy(*k).agg(exact_mean(value).alias(out))
 
 
-def seen_values(df: DataFrame, column: str, wanted: Sequence[str]) -> list[str]:
-    """The subset of ``wanted`` that occurs in ``column`` (a distinct over a
-    filtered column, at most len(wanted) rows reach the driver)."""
-    rows = df.where(F.col(column).isin(list(wanted))).select(column).distinct().collect()
-    seen = {r[0] for r in rows}
-    return [w for w in wanted if w in seen]
-
-
 def pivot_mean(df: DataFrame, keys: Sequence[str], pivot: str, values: Sequence[str],
                value: str = "value", *, drop_unseen: bool = True) -> DataFrame:
     """E1+E2 in one step: one row per key, one column per pivot value holding
-    the mean of ``value``.  With ``drop_unseen`` a requested pivot value that
-    never occurs gives no column (as a pandas pivot over the data does).
+    the mean of ``value``.  Rows with a null key are dropped first.  With
+    ``drop_unseen`` a requested pivot value that no remaining row has gives no
+    column (as a pandas pivot over the data does).
 
-    The pivot values are listed, so Spark needs no extra job to find them and
-    the plan is a single hash aggregate with per-value conditional sums.
+    One aggregate with a conditional sum and count per listed value: one
+    shuffle and one pass over the input.  For ``drop_unseen`` the (already
+    aggregated) result is written and asked which values it holds.
     """
-    vals = seen_values(df, pivot, values) if drop_unseen else list(values)
     k = list(keys)
     cond = F.lit(True)
     for c in k:
         cond = cond & F.col(c).isNotNull()
-    g = df.where(cond).groupBy(*k)
-    if not vals:
-        return g.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    return g.pivot(pivot, vals).agg(exact_mean(value))
+    of = [F.col(pivot) == F.lit(v) for v in values]
+    wide = df.where(cond).groupBy(*k).agg(
+        *[exact_mean(F.when(is_v, F.col(value))).alias(f"_m{i}") for i, is_v in enumerate(of)],
+        *[F.count(F.when(is_v, 1)).alias(f"_n{i}") for i, is_v in enumerate(of)])
+    shown = list(range(len(values)))
+    if drop_unseen and shown:
+        wide = materialize(wide, "pivot")
+        n = wide.agg(*[F.max(f"_n{i}").alias(f"_n{i}") for i in shown]).head()
+        shown = [i for i in shown if n[f"_n{i}"]]
+    return wide.select(*k, *[F.col(f"_m{i}").alias(values[i]) for i in shown])

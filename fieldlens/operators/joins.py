@@ -7,37 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.functions.exprs import state_key
+from fieldlens.operators.windows import first_per_key
+
 
 def yield_weather_days(yields: DataFrame, weather: DataFrame, *, county: str = "County",
-                       year: str = "Year", w_county: str = "county_name",
-                       w_date: str = "date") -> DataFrame:
-    """Inner join of yields to the weather of their county and year
+                       state: str = "State", year: str = "Year", w_county: str = "county_name",
+                       w_state: str = "state_abbrev", w_date: str = "date") -> DataFrame:
+    """Inner join of yields to the weather of their (state, county) and year
     (keys named differently on both sides), reported per yield row as the
     number of weather days joined and their first and last date.
 
-    The weather side is aggregated per (county, year) *before* the join, so
+    The weather side is aggregated per (state, county, year) *before* the join, so
     the plan never materialises yield x day pairs; rows whose county-year has
     no weather are dropped, exactly as by the inner join.
     """
     wy = weather.groupBy(
-        F.col(w_county).alias("_wk"), F.year(w_date).alias("_wy")
+        state_key(w_state).alias("_ws"), F.col(w_county).alias("_wk"), F.year(w_date).alias("_wy")
     ).agg(
         F.count(F.lit(1)).alias("weather_days"),
         F.min(w_date).alias("first_day"),
         F.max(w_date).alias("last_day"),
     )
-    j = yields.join(wy, (yields[county] == wy["_wk"]) & (yields[year] == wy["_wy"]), "inner")
-    return j.drop("_wk", "_wy")
+    j = yields.join(wy, (state_key(yields[state]) == wy["_ws"]) & (yields[county] == wy["_wk"])
+                    & (yields[year] == wy["_wy"]), "inner")
+    return j.drop("_ws", "_wk", "_wy")
 
 
 def left_join_dim(facts: DataFrame, dim: DataFrame, *, left_on: str, right_on: str,
                   dim_cols: Sequence[str]) -> DataFrame:
     """Left join of a fact table to a dimension keyed by ``right_on``.
 
-    The dimension is de-duplicated on its key first (one row per key), so the
-    join can never multiply fact rows; AQE broadcasts it when its runtime size
+    The dimension is reduced to one row per key first (the smallest by
+    ``dim_cols``, nulls last), so the join never multiplies fact rows; AQE broadcasts it when its runtime size
     is under the broadcast threshold and shuffles both sides otherwise.
     """
-    d = dim.select(F.col(right_on).alias("_dk"), *dim_cols)
+    d = first_per_key(dim.select(F.col(right_on).alias("_dk"), *dim_cols), ["_dk"],
+                      [(c, "asc", True) for c in dim_cols])
     j = facts.join(d, facts[left_on] == d["_dk"], "left")
     return j.drop("_dk")

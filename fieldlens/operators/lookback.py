@@ -1,6 +1,6 @@
 """Pre-harvest look-back features.
 
-For each yield row, aggregate the daily weather of its county and year that
+For each yield row, aggregate the daily weather of its (state, county) and year that
 falls 0..N days before the harvest date (both ends inclusive), for several N.
 
 Two plans with the same result:
@@ -10,11 +10,11 @@ Two plans with the same result:
   The join multiplies each yield row by up to 366 weather rows.
 * :func:`lookback_features` - the scalable form.  Distinct harvest dates
   (a partial aggregate, so hot keys collapse map-side) are unioned as marker
-  rows into the weather, and running sums over ``unix_date`` per
-  (county, year) give every marker its sums and counts.
-  A (county, year) partition holds its weather rows plus 1 + len(days)
-  markers per distinct harvest date, so no partition grows with the yield
-  table.  The marker features are then equi-joined back to the yields;
+  rows into the weather, which is first added up per (state, county, day), and
+  running sums over ``unix_date`` per (state, county, year) give every marker
+  its sums and counts.  Such a partition holds at most a row per day plus
+  1 + len(days) markers per distinct harvest date, however many rows a day of
+  weather or a harvest date has.  The marker features are then equi-joined back to the yields;
   AQE picks broadcast or a skew-split sort-merge join from runtime sizes.
 
 Both return, per yield row whose county-year has any weather row and for
@@ -32,10 +32,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldlens.functions.exprs import state_key
 
-def _weather_side(weather: DataFrame, county: str, date: str, precip: str, temp: str,
+def _weather_side(weather: DataFrame, state: str, county: str, date: str, precip: str, temp: str,
                   tmax: str) -> DataFrame:
     return weather.select(
+        state_key(state).alias("_s"),
         F.col(county).alias("_k"),
         F.year(F.col(date)).alias("_y"),
         F.unix_date(F.col(date).cast("date")).alias("_d"),
@@ -52,9 +54,11 @@ def lookback_features(
     *,
     days: Sequence[int] = (60, 90),
     hot_threshold: float = 95.0,
+    state: str = "State",
     county: str = "County",
     year: str = "Year",
     harvest: str = "Harvest_Date",
+    w_state: str = "state_abbrev",
     w_county: str = "county_name",
     w_date: str = "date",
     precip: str = "PRCP",
@@ -73,42 +77,43 @@ def lookback_features(
     """
     days = sorted(int(d) for d in days)
     big = days[-1]
-    w = _weather_side(weather, w_county, w_date, precip, temp, tmax)
+    w = _weather_side(weather, w_state, w_county, w_date, precip, temp, tmax)
     pt, tt = w.schema["_p"].dataType, w.schema["_t"].dataType
     hot = (F.col("_x") >= F.lit(hot_threshold)).cast("int")
-    wr = w.select(
-        "_k", "_y", "_d", F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_h"),
+    daily = w.groupBy("_s", "_k", "_y", "_d").agg(
+        F.sum("_w").alias("_w"), F.sum("_p").alias("_p"), F.count("_p").alias("_pn"),
+        F.sum("_t").alias("_t"), F.count("_t").alias("_tn"), F.sum(hot).alias("_hot"))
+    wr = daily.select(
+        "_s", "_k", "_y", "_d", F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_h"),
         F.lit(None).cast("int").alias("_role"), "_w",
-        F.coalesce(F.col("_p"), F.lit(0).cast(pt)).alias("_p"),
-        F.col("_p").isNotNull().cast("int").alias("_pn"),
-        F.coalesce(F.col("_t"), F.lit(0).cast(tt)).alias("_t"),
-        F.col("_t").isNotNull().cast("int").alias("_tn"),
-        F.coalesce(hot, F.lit(0)).alias("_hot"),
+        F.coalesce(F.col("_p"), F.lit(0).cast(pt)).alias("_p"), "_pn",
+        F.coalesce(F.col("_t"), F.lit(0).cast(tt)).alias("_t"), "_tn",
+        F.coalesce("_hot", F.lit(0)).alias("_hot"),
     )
     probes = yields.select(
-        F.col(county).alias("_k"), F.col(year).alias("_y"),
+        state_key(state).alias("_s"), F.col(county).alias("_k"), F.col(year).alias("_y"),
         F.unix_date(F.col(harvest).cast("date")).alias("_h"),
     ).distinct()
     offsets = F.array(F.struct(F.lit(0).alias("_role"), F.lit(0).alias("_off")),
                       *[F.struct(F.lit(n).alias("_role"), F.lit(n + 1).alias("_off"))
                         for n in days])
-    markers = probes.select("_k", "_y", "_h", F.inline(offsets)).select(
-        "_k", "_y", (F.col("_h") - F.col("_off")).alias("_d"), F.lit(1).alias("_kind"),
+    markers = probes.select("_s", "_k", "_y", "_h", F.inline(offsets)).select(
+        "_s", "_k", "_y", (F.col("_h") - F.col("_off")).alias("_d"), F.lit(1).alias("_kind"),
         "_h", "_role", F.lit(0).alias("_w"),
         F.lit(0).cast(pt).alias("_p"), F.lit(0).alias("_pn"),
         F.lit(0).cast(tt).alias("_t"), F.lit(0).alias("_tn"), F.lit(0).alias("_hot"),
     )
     u = wr.unionByName(markers)
-    run = (Window.partitionBy("_k", "_y").orderBy("_d", "_kind")
+    run = (Window.partitionBy("_s", "_k", "_y").orderBy("_d", "_kind")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy("_k", "_y")
+    whole = Window.partitionBy("_s", "_k", "_y")
     sums = ["_w", "_p", "_pn", "_t", "_tn", "_hot"]
     cum = u.select(
-        "_k", "_y", "_kind", "_h", "_role",
+        "_s", "_k", "_y", "_kind", "_h", "_role",
         F.sum("_w").over(whole).alias("_np"),
         *[F.sum(c).over(run).alias(f"_c{c}") for c in sums],
     ).where("_kind = 1")
-    # the markers of one probe share (_k, _y): regrouping by (_k, _y, _h)
+    # the markers of one probe share (_s, _k, _y): regrouping with _h too
     # reuses the window's partitioning, no extra shuffle
     at = {}
     aggs = [F.expr("max(_np) AS _np")]
@@ -117,7 +122,7 @@ def lookback_features(
             name = f"_r{role}{c}"
             at[(role, c)] = F.col(name)
             aggs.append(F.expr(f"max(CASE WHEN _role = {role} THEN _c{c} END) AS {name}"))
-    per = cum.groupBy("_k", "_y", "_h").agg(*aggs).where("_np > 0")
+    per = cum.groupBy("_s", "_k", "_y", "_h").agg(*aggs).where("_np > 0")
 
     def rng(n, c):
         return at[(0, c)] - at[(n, c)]
@@ -131,14 +136,14 @@ def lookback_features(
             rng(n, "_tn").cast("bigint").alias(f"tcnt{n}"),
         ]
     out_cols.append(rng(big, "_hot").cast("bigint").alias(f"hot{big}"))
-    feats = per.select("_k", "_y", "_h", *out_cols)
+    feats = per.select("_s", "_k", "_y", "_h", *out_cols)
     y = yields.withColumn("_hd", F.unix_date(F.col(harvest).cast("date")))
     j = y.join(
         feats,
-        (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_hd"] == feats["_h"]),
+        (state_key(y[state]) == feats["_s"]) & (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_hd"] == feats["_h"]),
         "inner",
     )
-    return j.drop("_k", "_y", "_h", "_hd")
+    return j.drop("_s", "_k", "_y", "_h", "_hd")
 
 
 def lookback_naive(
@@ -148,9 +153,11 @@ def lookback_naive(
     row_key: Sequence[str],
     days: Sequence[int] = (60, 90),
     hot_threshold: float = 95.0,
+    state: str = "State",
     county: str = "County",
     year: str = "Year",
     harvest: str = "Harvest_Date",
+    w_state: str = "state_abbrev",
     w_county: str = "county_name",
     w_date: str = "date",
     precip: str = "PRCP",
@@ -164,9 +171,9 @@ def lookback_naive(
     """
     days = sorted(int(d) for d in days)
     big = days[-1]
-    w = _weather_side(weather, w_county, w_date, precip, temp, tmax)
+    w = _weather_side(weather, w_state, w_county, w_date, precip, temp, tmax)
     y = yields.withColumn("_hd", F.unix_date(F.col(harvest).cast("date")))
-    j = y.join(w, (y[county] == w["_k"]) & (y[year] == w["_y"]), "inner")
+    j = y.join(w, (state_key(y[state]) == w["_s"]) & (y[county] == w["_k"]) & (y[year] == w["_y"]), "inner")
     b = F.col("_hd") - F.col("_d")
     aggs = []
     for n in days:

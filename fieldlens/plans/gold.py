@@ -7,24 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.exprs import clean_temperature, yield_status
+from fieldlens.functions.exprs import STATE_ABBREV, clean_temperature, yield_status
+from fieldlens.operators.filters import pair_filter
 from fieldlens.operators.lookback import lookback_features
 from fieldlens.operators.windows import trailing_mean
 
 AVG_COL = "5_Year_Avg_Yield"
 STATUS_COL = "Yield_Status"
-# The eight columns the gold table is grouped by.
+# The eight columns the gold table is grouped by.
 GOLD_KEYS = ["County", "State", "Year", "Crop", "Harvest_Date", "Yield_Per_Acre",
              AVG_COL, STATUS_COL]
-FEATURES = ["60d_Total_Precip", "60d_Avg_Temp", "90d_Total_Precip", "90d_Avg_Temp",
-            "90d_Days_Above_95F"]
 
 
 def add_trailing_yield(yields: DataFrame, *, tiebreak: Sequence[str] = ("Harvest_Date",),
                        preceding: int = 5) -> DataFrame:
     """F1 + C4: mean yield of the previous ``preceding`` rows of the same
-    (County, Crop) in year order, and the Good / Average / Poor label."""
-    y = trailing_mean(yields, ["County", "Crop"], ["Year", *tiebreak], "Yield_Per_Acre",
+    (State, County, Crop) in year order, and the Good / Average / Poor label."""
+    y = trailing_mean(yields, ["State", "County", "Crop"], ["Year", *tiebreak], "Yield_Per_Acre",
                       preceding, AVG_COL)
     return y.withColumn(STATUS_COL, yield_status("Yield_Per_Acre", AVG_COL))
 
@@ -66,6 +65,7 @@ def gold_features(
     tiebreak: Sequence[str] = ("Harvest_Date",),
     hot_threshold: float = 95.0,
     temp_type: str | None = None,
+    pairs: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Gold rows: one per distinct 8-key group, with 60/90-day features.
 
@@ -74,6 +74,14 @@ def gold_features(
     copies (the mean temperature does not).  The copies are counted with a
     partial aggregate before any join, so a group of copies never reaches one
     task as raw rows.
+
+    ``pairs`` are target (County, State) tuples, states as in the yields; both
+    tables are reduced to them before the window and the join, the weather by
+    the states' abbreviations.
     """
+    if pairs is not None:
+        yields = pair_filter(yields, pairs, ["County", "State"])
+        weather = pair_filter(weather, [(c, STATE_ABBREV.get(s, s)) for c, s in pairs],
+                              ["county_name", "state_abbrev"])
     y = add_trailing_yield(yields, tiebreak=tiebreak)
     return gold_from_labelled(y, weather, hot_threshold=hot_threshold, temp_type=temp_type)

@@ -24,7 +24,7 @@ WEATHER_V = """weather_v AS (
   GROUP BY r_name, n_name, CAST(l_shipdate AS DATE))"""
 
 OBS_V = """obs_v AS (
-  SELECT user_id AS station, CAST(ts AS DATE) AS date, event_type AS datatype,
+  SELECT CAST(user_id AS VARCHAR) AS station, CAST(ts AS DATE) AS date, event_type AS datatype,
          CAST(value AS DECIMAL(18,2)) AS value FROM events)"""
 
 STATION_V = """station_v AS (
@@ -159,6 +159,8 @@ SELECT * FROM (
            || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS GEOID
   FROM customer) WHERE GEOID IN ('03156', '16048', '10495')"""
 
+ORACLE["geoid_all"] = ORACLE["geoid_key"].split(" WHERE GEOID IN")[0]
+
 ORACLE["map_lookup"] = with_(YIELD_V) + """
 SELECT yield_id, Crop,
        CASE Crop WHEN '1-URGENT' THEN 'Corn' WHEN '2-HIGH' THEN 'Soybeans'
@@ -171,10 +173,10 @@ SELECT y.yield_id, y.County, y.Year, count(*) AS weather_days,
 FROM yield_v y JOIN weather_v w ON y.County = w.county_name AND y.Year = year(w.date)
 GROUP BY y.yield_id, y.County, y.Year"""
 
-ORACLE["union_missing"] = with_(YIELD_V) + """
-SELECT yield_id, County, Crop, Year, Yield_Per_Acre FROM yield_v WHERE Crop = '1-URGENT'
+ORACLE["union_missing"] = with_(YIELD_V, WEATHER_V) + """
+SELECT yield_id, County, Crop, Year, Yield_Per_Acre FROM yield_v
 UNION ALL BY NAME
-SELECT yield_id, County, State, Year, Harvest_Date FROM yield_v WHERE Crop = '2-HIGH'"""
+SELECT county_name AS County, state_abbrev AS State, date, PRCP FROM weather_v"""
 
 FIRST_CTE = """firsts AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -190,10 +192,13 @@ ORDER BY Yield_Per_Acre DESC, yield_id LIMIT 10"""
 
 ORACLE["table_roundtrip"] = with_(YIELD_V) + "SELECT * FROM yield_v"
 ORACLE["csv_ingest"] = ORACLE["table_roundtrip"]
+ORACLE["table_overwrite_schema"] = with_(YIELD_V) + """
+SELECT yield_id, Crop AS crop_code, CAST(Year AS VARCHAR) AS Year,
+       CAST(Yield_Per_Acre * 2 AS DECIMAL(18,2)) AS doubled FROM yield_v"""
 ORACLE["csv_export"] = with_(WEATHER_V) + "SELECT * FROM weather_v"
 
 ORACLE["json_pages_flatten"] = """
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS datatype, user_id AS station,
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS datatype, CAST(user_id AS VARCHAR) AS station,
        CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value
 FROM events"""
 
@@ -219,7 +224,7 @@ COUNTY = """cty AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 DIM = """dim AS (
-  SELECT CAST(substr(b.id, 10) AS BIGINT) AS sk, cty.state_abbrev, cty.state_fips,
+  SELECT substr(b.id, 10) AS sk, cty.state_abbrev, cty.state_fips,
          cty.county_name, cty.county_fips
   FROM best b JOIN cty ON b.geoid = cty.geoid)"""
 
@@ -262,6 +267,11 @@ WHERE state_abbrev IS NOT NULL AND state_fips IS NOT NULL AND county_name IS NOT
 GROUP BY state_abbrev, state_fips, county_name, county_fips, date"""
 
 
+ORACLE["weather_from_pages"] = ORACLE["weather_build"].replace(
+    "FROM best b JOIN cty ON b.geoid = cty.geoid)",
+    "FROM best b JOIN cty ON b.geoid = cty.geoid WHERE cty.state_abbrev <> 'ASIA')")
+
+
 GOLD8 = ('County, State, Year, Crop, Harvest_Date, Yield_Per_Acre, "5_Year_Avg_Yield", '
          'Yield_Status')
 
@@ -426,3 +436,24 @@ FROM scored s LEFT JOIN (SELECT County, Crop, avg(Predicted_Yield) AS b FROM sco
   ON s.County = m.County AND s.Crop = m.Crop"""
 
 ORACLE["stream_refresh"] = ORACLE["gold_features"]
+
+ORACLE["gold_target_pairs"] = f"""SELECT * FROM ({ORACLE["gold_features"]}) g
+WHERE (County, State) IN (('NATION_1', 'AMERICA'), ('NATION_6', 'AMERICA'), ('NATION_0', 'AFRICA'))"""
+
+ORACLE["split_tables"] = f"""SELECT * EXCLUDE (split),
+  CASE split WHEN 'train' THEN 'training' ELSE 'production' END AS saved_as FROM ({ORACLE["year_split"]}) s"""
+
+ORACLE["forest_checks"] = gold_with(SPLITS, SPLIT, FIRST_CTE) + f"""
+SELECT 'scored_rows' AS check_name, County || '/' || Crop AS detail, CAST(count(*) AS DOUBLE) AS value
+FROM sp WHERE split = 'test' GROUP BY County, Crop
+UNION ALL SELECT 'band_error', 'max', 0.0
+UNION ALL SELECT 'importance_name', unnest([{", ".join(f"'{c}'" for c in NUMERIC)}]), 1.0
+UNION ALL SELECT DISTINCT 'importance_name', 'County_' || County, 1.0 FROM sp WHERE split = 'train'
+UNION ALL SELECT DISTINCT 'importance_name', 'State_' || State, 1.0 FROM sp WHERE split = 'train'
+UNION ALL SELECT DISTINCT 'importance_name', 'Crop_' || Crop, 1.0 FROM sp WHERE split = 'train'
+UNION ALL SELECT 'importance_sum', 'all', 1.0
+UNION ALL SELECT 'reload_difference', 'max', 0.0
+UNION ALL SELECT 'fold_rows', CAST(('0x' || substr(md5({ROWKEY}), 9, 8))::BIGINT % 5 AS VARCHAR), CAST(count(*) AS DOUBLE)
+  FROM sp WHERE split = 'train' GROUP BY 2
+UNION ALL SELECT 'risk_mismatches', 'all', 0.0
+UNION ALL SELECT 'risk_rows', 'all', CAST(3 * count(*) AS DOUBLE) FROM firsts"""

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldlens.functions.exprs import clean_temperature, dict_lookup, geoid
 from fieldlens.operators.aggregates import group_mean_long, pivot_mean
@@ -25,8 +26,8 @@ from fieldlens.plans import gold as G
 from fieldlens.plans import model as M
 from fieldlens.plans import scenarios as SC
 from fieldlens.plans import weather as WB
-from fieldlens.schemas import OBSERVATION_RECORD, WEATHER_CSV, YIELD_CSV
-from fieldlens.session import materialize, shared_path
+from fieldlens.schemas import OBSERVATION_RECORD, STATION_RECORD, WEATHER_NO_CODES, YIELD_CSV
+from fieldlens.session import materialize, shared_path, unique_name
 from fieldlens.sources import analogs as A
 from fieldlens.sources import files as FS
 
@@ -79,7 +80,7 @@ def _lookback_out(df: DataFrame) -> DataFrame:
 
 @register("preharvest_features")
 def q_preharvest_features(spark, base):
-    y = A.yield_view(spark, base)
+    y = bronze_yield(spark, base)  # read twice: harvest dates and rows
     w = G.clean_weather(A.weather_view(spark, base), TEMP_TYPE)
     return _lookback_out(lookback_features(y, w, hot_threshold=HOT))
 
@@ -119,6 +120,8 @@ PAIRS = [("NATION_1", "AMERICA"), ("NATION_6", "AMERICA"), ("NATION_0", "AFRICA"
 TARGET_GEOIDS = ["03156", "16048", "10495"]
 CROP_NAMES = {"1-URGENT": "Corn", "2-HIGH": "Soybeans", "3-MEDIUM": "Wheat"}
 TOP_K = 10
+GEOID_NAMES = {"c_name": "county_name", "c_mktsegment": "state_abbrev",
+               "STATEFP": "state_fips", "COUNTYFP": "county_fips"}
 GRID_CELL = 10.0
 
 
@@ -150,16 +153,27 @@ def q_dropna_subset(spark, base):
     return drop_null_rows(gold_analog(spark, base), [G.AVG_COL, "60d_Avg_Temp"])
 
 
-def gold_splits(spark, base):
-    return year_split(gold_analog(spark, base), train_max_year=TRAIN_MAX_YEAR,
-                      holdout_year=HOLDOUT_YEAR)
+@register("gold_target_pairs")
+def q_gold_target_pairs(spark, base):
+    """M2 as composed for a list of target counties: the pairs reduce both
+    tables before the window and the join."""
+    return G.gold_features(A.yield_view(spark, base), A.weather_view(spark, base), tiebreak=TIEBREAK,
+                           hot_threshold=HOT, temp_type=TEMP_TYPE, pairs=PAIRS)
 
 
 @register("year_split")
 def q_year_split(spark, base):
-    train, hold = gold_splits(spark, base)
-    return stack([train.withColumn("split", F.lit("train")),
-                  hold.withColumn("split", F.lit("holdout"))])
+    r = Run(spark, base)  # gold is written once, both halves prune its years
+    return stack([r.train.withColumn("split", F.lit("train")),
+                  r.production.withColumn("split", F.lit("holdout"))])
+
+
+@register("split_tables")
+def q_split_tables(spark, base):
+    """The training and production halves saved as tables and read back."""
+    r = Run(spark, base)
+    return stack([_saved(spark, part, name).withColumn("saved_as", F.lit(name))
+                  for name, part in (("training", r.train), ("production", r.production))])
 
 
 @register("geoid_key")
@@ -170,9 +184,18 @@ def q_geoid_key(spark, base):
         F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0").alias("COUNTYFP"),
     )
     c = c.withColumn("GEOID", geoid("STATEFP", "COUNTYFP"))
-    c = c.where(F.col("GEOID").isin(TARGET_GEOIDS))
-    return c.withColumnsRenamed({"c_name": "county_name", "c_mktsegment": "state_abbrev",
-                                 "STATEFP": "state_fips", "COUNTYFP": "county_fips"})
+    return c.where(F.col("GEOID").isin(TARGET_GEOIDS)).withColumnsRenamed(GEOID_NAMES)
+
+
+@register("geoid_all")
+def q_geoid_all(spark, base):
+    """The key and the renaming over every row."""
+    c = A.read_table(spark, base, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment",
+        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("STATEFP"),
+        F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0").alias("COUNTYFP"),
+    )
+    return c.withColumn("GEOID", geoid("STATEFP", "COUNTYFP")).withColumnsRenamed(GEOID_NAMES)
 
 
 @register("map_lookup")
@@ -190,11 +213,10 @@ def q_yield_weather_join(spark, base):
 
 @register("union_missing")
 def q_union_missing(spark, base):
-    y = A.yield_view(spark, base)
-    a = y.where(F.col("Crop") == "1-URGENT").select("yield_id", "County", "Crop", "Year",
-                                                   "Yield_Per_Acre")
-    b = y.where(F.col("Crop") == "2-HIGH").select("yield_id", "County", "State", "Year",
-                                                 "Harvest_Date")
+    """H2: two whole tables of different columns, missing ones null."""
+    a = A.yield_view(spark, base).select("yield_id", "County", "Crop", "Year", "Yield_Per_Acre")
+    b = A.weather_view(spark, base).select(F.col("county_name").alias("County"),
+                                           F.col("state_abbrev").alias("State"), "date", "PRCP")
     return stack([a, b], allow_missing=True)
 
 
@@ -204,8 +226,7 @@ FIRST_ORDER = [("Harvest_Date", "asc"), ("Yield_Per_Acre", "asc"), ("State", "as
 
 @register("first_per_key")
 def q_first_per_key(spark, base):
-    _, hold = gold_splits(spark, base)
-    return first_per_key(hold, ["County", "Crop"], FIRST_ORDER)
+    return first_per_key(Run(spark, base).production, ["County", "Crop"], FIRST_ORDER)
 
 
 @register("topk")
@@ -217,22 +238,40 @@ def q_topk(spark, base):
 
 @register("table_roundtrip")
 def q_table_roundtrip(spark, base):
-    y = A.yield_view(spark, base)
-    return FS.save_table(y, "bronze_yield", shared_path(spark, "bronze_yield"),
-                         partition_by=["Year"])
+    return _saved(spark, A.yield_view(spark, base), "bronze_yield", partition_by=["Year"])
+
+
+def _saved(spark, df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    """B1: ``df`` saved under a table name of its own run and read back."""
+    return FS.save_table(df, unique_name(name), shared_path(spark, name), partition_by=partition_by)
+
+
+@register("table_overwrite_schema")
+def q_table_overwrite_schema(spark, base):
+    """B2: the same table name overwritten with other columns."""
+    y, name = A.yield_view(spark, base), unique_name("yields")
+    FS.save_table(y, name, shared_path(spark, name), partition_by=["Year"])
+    FS.save_table(y.select("yield_id", F.col("Crop").alias("crop_code"), F.col("Year").cast("string").alias("Year"),
+                           (F.col("Yield_Per_Acre") * 2).cast("decimal(18,2)").alias("doubled")),
+                  name, shared_path(spark, name))
+    return spark.table(name)
 
 
 @register("csv_export")
 def q_csv_export(spark, base):
     path = FS.write_csv(A.weather_view(spark, base), shared_path(spark, "weather_csv"))
-    return FS.read_csv(spark, path, WEATHER_CSV)
+    return FS.read_csv(spark, path, WEATHER_NO_CODES)
 
 
 @register("csv_ingest")
 def q_csv_ingest(spark, base):
-    landed = FS.write_csv(A.yield_view(spark, base), shared_path(spark, "yield_csv"))
-    bronze = FS.read_csv(spark, landed, YIELD_CSV)
-    return FS.save_table(bronze, "bronze_yield_csv", shared_path(spark, "bronze_yield_csv"))
+    """M1: the landed file has another column order, a column nobody asked for
+    and dates with a time; columns are picked by name."""
+    y = A.yield_view(spark, base).select(
+        "Yield_Per_Acre", F.lit("x").alias("Remark"), F.date_format("Harvest_Date", "yyyy-MM-dd'T'HH:mm:ss")
+        .alias("Harvest_Date"), "Year", "Crop", "State", "County", "yield_id")
+    landed = FS.write_csv(y, shared_path(spark, "yield_csv"))
+    return _saved(spark, FS.read_csv(spark, landed, YIELD_CSV), "bronze_yield_csv")
 
 
 # --------------------------------------------------------------------------
@@ -251,7 +290,7 @@ def q_json_pages_flatten(spark, base):
         F.floor(F.col("event_id") / PAGE_SIZE).alias("page"),
         F.col("ts").cast("date").cast("string").alias("date"),
         F.col("event_type").alias("datatype"),
-        F.col("user_id").alias("station"),
+        F.col("user_id").cast("string").alias("station"),
         F.col("value").cast("decimal(18,2)").alias("value"),
     )
     path = FS.write_pages(recs, shared_path(spark, "obs_pages"), page_of="page",
@@ -276,7 +315,7 @@ def q_best_per_group(spark, base):
 
 def best_station_dim(spark, base):
     best = WB.best_station_per_county(located_stations(spark, base))
-    return best.withColumn("station_key", F.substring("id", 10, 64).cast("bigint"))
+    return best.withColumn("station_key", F.substring("id", 10, 64))
 
 
 @register("dim_left_join")
@@ -303,6 +342,38 @@ def q_weather_build(spark, base):
                                    datatypes=OBS_TYPES)
 
 
+@register("weather_from_pages")
+def q_weather_from_pages(spark, base):
+    """M5 end to end: landed station pages and observation pages -> stations in
+    counties -> one station per target county (each observation tagged with
+    its page's station) -> wide county days -> CSV, read back by name."""
+    stations = A.station_view(spark, base).withColumn(
+        "page", F.floor(F.substring("id", 10, 64).cast("bigint") / PAGE_SIZE))
+    st_path = FS.write_pages(stations, shared_path(spark, "station_pages"), page_of="page",
+                             record_cols=["id", "latitude", "longitude", "datacoverage"])
+    located = WB.stations_in_counties(FS.read_pages(spark, st_path, STATION_RECORD),
+                                      A.county_edge_view(spark, base), cell=GRID_CELL)
+    counties = A.county_view(spark, base)
+    targets = counties.select("geoid").where(F.col("state_abbrev") != "ASIA")
+    best = WB.best_station_per_county(located.join(targets, "geoid", "left_semi")).withColumn(
+        "station_key", F.substring("id", 10, 64))
+    obs = A.read_table(spark, base, "events").select(
+        F.floor(F.col("event_id") / PAGE_SIZE).alias("page"), F.col("user_id").cast("string").alias("station"),
+        F.col("ts").cast("date").cast("string").alias("date"), F.col("event_type").alias("datatype"),
+        F.col("value").cast("decimal(18,2)").alias("value"))
+    ob_path = FS.write_pages(obs, shared_path(spark, "obs_pages"), page_of="page",
+                             record_cols=["date", "datatype", "value"], tag_cols=["station"])
+    records = FS.read_pages(spark, ob_path, T.StructType([f for f in OBSERVATION_RECORD if f.name != "station"]),
+                            extra=[T.StructField("station", T.StringType())])
+    records = records.withColumn("date", F.col("date").cast("date")).withColumn(
+        "value", F.col("value").cast("decimal(18,2)"))
+    wide = WB.county_day_weather(records, best, counties, station_key="station_key", datatypes=OBS_TYPES)
+    path = FS.write_csv(wide, shared_path(spark, "county_daily_weather"))
+    kind = T.StructType([T.StructField(c, T.DateType() if c == "date" else T.StringType() if c in WB.COUNTY_KEYS
+                                       else T.DoubleType()) for c in wide.columns])
+    return FS.read_csv(spark, path, kind)
+
+
 # --------------------------------------------------------------------------
 # Evaluation on a deterministic predictor (K6, K7, E6-E9, E11, K10, C14, M6,
 # K1, K2)
@@ -347,7 +418,8 @@ class Run:
             s = self.split
             tr, te = s.where("split = 'train'"), s.where("split = 'test'")
             model = EV.fit_key_mean(tr)
-            return EV.predict_key_mean(tr, model), EV.predict_key_mean(te, model)
+            return (materialize(EV.predict_key_mean(tr, model), "pred_train"),
+                    materialize(EV.predict_key_mean(te, model), "pred_test"))
         return self.once("key_mean", build)
 
     @property
@@ -361,14 +433,6 @@ class Run:
         return SC.expand_scenarios(prod)
 
 
-def split_training(spark, base):
-    return Run(spark, base).split
-
-
-def key_mean_predictions(spark, base):
-    return Run(spark, base).key_mean
-
-
 @register("holdout_split")
 def q_holdout_split(spark, base):
     return Run(spark, base).split.select(*G.GOLD_KEYS, "split")
@@ -394,8 +458,9 @@ def q_residual_bands(spark, base):
 
 
 def banded_test_predictions(spark, base):
+    """Saved once as the predictions table; the reports read it back."""
     r = Run(spark, base)
-    return EV.add_bands(r.key_mean[1], r.bands)
+    return _saved(spark, EV.add_bands(r.key_mean[1], r.bands), "predictions")
 
 
 @register("prediction_bands")
@@ -425,6 +490,7 @@ def q_farmer_summary(spark, base):
     return EV.grower_summary(EV.split_impact(r.train), r.bands)
 
 
+# The model's numeric and categorical features.
 NUMERIC = ["Year", "5_Year_Avg_Yield", "60d_Total_Precip", "60d_Avg_Temp",
            "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F"]
 CATEGORICAL = ["County", "State", "Crop"]
@@ -456,14 +522,15 @@ def q_scenario_features(spark, base):
 def q_scenario_risk(spark, base):
     r = Run(spark, base)
     scored = SC.score_scenarios(r.scenarios(), SC.linear_score, r.bands)
-    return SC.risk_vs_baseline(scored).orderBy("County", "Crop", "Scenario")
+    saved = _saved(spark, SC.risk_vs_baseline(scored), "scenario_analysis")
+    return saved.orderBy("County", "Crop", "Scenario")
 
 
 @register("scenario_risk_mean")
 def q_scenario_risk_mean(spark, base):
     r = Run(spark, base)
     scored = SC.score_scenarios(r.scenarios(dedupe=False), SC.linear_score, r.bands)
-    return SC.risk_vs_mean_baseline(scored)
+    return SC.risk_vs_mean_baseline(materialize(scored, "scored"))
 
 
 # --------------------------------------------------------------------------
@@ -472,23 +539,13 @@ def q_scenario_risk_mean(spark, base):
 
 # The forest of the reference setup: 100 trees, depth 10, seed 42.
 RF_PARAMS = {"num_trees": 100, "max_depth": 10, "seed": 42}
-_MODELS: dict = {}
-
-
-def fitted_forest(spark, base, train_part: DataFrame):
-    """Fit once per (session, data folder, parameters); later queries reuse the
-    fitted pipeline as one would load it by run id."""
-    key = (spark.sparkContext.applicationId, base, tuple(sorted(RF_PARAMS.items())))
-    if key not in _MODELS:
-        _MODELS[key] = M.fit(train_part, NUMERIC, CATEGORICAL, EV.TARGET, **RF_PARAMS)
-    return _MODELS[key]
 
 
 def forest_parts(r: Run):
     def build():
         s = materialize(r.split, "split_training")
         tr, te = s.where("split = 'train'"), s.where("split = 'test'")
-        return tr, te, fitted_forest(r.spark, r.base, tr)
+        return tr, te, M.fit(tr, NUMERIC, CATEGORICAL, EV.TARGET, **RF_PARAMS)
     return r.once("forest", build)
 
 
@@ -548,6 +605,57 @@ def q_scenario_score(spark, base):
     return SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands))
 
 
+@register("forest_checks")
+def q_forest_checks(spark, base):
+    """What any fitted forest must satisfy, as rows (check_name, detail,
+    value): rows scored per county and crop; both bands' distance from the
+    prediction to the residual percentiles; names in the importance table and
+    their sum; the largest difference after saving and loading; rows per fold;
+    mismatches between the saved risk and the one recomputed from the
+    predictions.  Every value is computed from the model's own outputs."""
+    r = Run(spark, base)
+    tr, te, model = forest_parts(r)
+    pred, bands = forest_test_predictions(r)
+    banded = _saved(spark, EV.add_bands(pred, bands), "forest_predictions")
+    imp = _saved(spark, M.feature_importance(spark, model, NUMERIC, CATEGORICAL), "forest_importance")
+    loaded = M.load_model(M.save_model(model, shared_path(spark, "rf_model")))
+    again = M.predict(loaded, pred.drop(EV.PRED), NUMERIC, None, keep=[*G.GOLD_KEYS, *[
+        c for c in NUMERIC if c not in G.GOLD_KEYS]]).withColumnRenamed(EV.PRED, "again")
+    keys = [c for c in again.columns if c != "again"]
+    # equal rows have equal predictions: compare the sorted pair per distinct row
+    both = pred.groupBy(*keys).agg(F.max(EV.PRED).alias("a"), F.min(EV.PRED).alias("b")).alias("p").join(
+        again.groupBy(*keys).agg(F.max("again").alias("c")).alias("q"),
+        [F.col(f"p.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys])
+
+    def scorer(df):
+        return M.predict(model, df, NUMERIC, None, keep=["County", "Crop", "Yield_Per_Acre", "Scenario"])
+
+    risk = _saved(spark, SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands)), "forest_scenarios")
+    base_p = risk.where(F.col("Scenario") == SC.BASELINE).select("County", "Crop", F.col(EV.PRED).alias("_b"))
+    want = (F.col(EV.PRED) - F.col("_b")) / F.col("_b") * 100
+    off = F.abs(F.col("Yield_Risk_%") - want) > 1e-9
+
+    def row(name, detail, value):
+        return [F.lit(name).alias("check_name"), detail.alias("detail"), value.cast("double").alias("value")]
+
+    width = (F.col("Upper_Bound") - F.col(EV.PRED) - F.lit(bands[1])) + (F.col("Lower_Bound") - F.col(EV.PRED) - F.lit(bands[0]))
+    parts = [
+        banded.groupBy("County", "Crop").agg(F.count("*").alias("n")).select(
+            *row("scored_rows", F.concat_ws("/", "County", "Crop"), F.col("n"))),
+        banded.agg(F.round(F.max(F.abs(width)), 6).alias("w")).select(*row("band_error", F.lit("max"), F.col("w"))),
+        imp.select(*row("importance_name", F.col("Feature"), F.lit(1))),
+        imp.agg(F.round(F.sum("Importance"), 6).alias("s")).select(*row("importance_sum", F.lit("all"), F.col("s"))),
+        both.agg(F.max(F.greatest(F.abs(F.col("a") - F.col("c")), F.abs(F.col("b") - F.col("c")))).alias("d"))
+        .select(*row("reload_difference", F.lit("max"), F.col("d"))),
+        EV.assign_folds(tr).groupBy("fold").agg(F.count("*").alias("n")).select(
+            *row("fold_rows", F.col("fold").cast("string"), F.col("n"))),
+        risk.join(base_p, ["County", "Crop"], "left").agg(F.count(F.when(off, 1)).alias("n")).select(
+            *row("risk_mismatches", F.lit("all"), F.col("n"))),
+        risk.agg(F.count("*").alias("n")).select(*row("risk_rows", F.lit("all"), F.col("n"))),
+    ]
+    return stack(parts)
+
+
 # --------------------------------------------------------------------------
 # Streaming refresh
 # --------------------------------------------------------------------------
@@ -564,7 +672,7 @@ def q_stream_refresh(spark, base):
         spark, shared_path(spark, "stream"),
         lambda y: G.add_trailing_yield(y, tiebreak=TIEBREAK),
         lambda y, w: G.gold_from_labelled(y, w, hot_threshold=HOT, temp_type=TEMP_TYPE),
-        YIELD_CSV, WEATHER_CSV)
+        YIELD_CSV, WEATHER_NO_CODES)
     y = A.yield_view(spark, base)
     w = A.weather_view(spark, base)
     late = F.col("date").between(F.lit("1996-07-01").cast("date"), F.lit("1996-12-31").cast("date"))

@@ -18,7 +18,9 @@ YIELD_CSV = T.StructType([
 # County-day weather CSV (bronze_weather_county); FIPS codes stay strings.
 WEATHER_CSV = T.StructType([
     T.StructField("state_abbrev", T.StringType(), True),
+    T.StructField("state_fips", T.StringType(), True),
     T.StructField("county_name", T.StringType(), True),
+    T.StructField("county_fips", T.StringType(), True),
     T.StructField("date", T.DateType(), True),
     T.StructField("AWND", T.DoubleType(), True),
     T.StructField("PRCP", T.DecimalType(18, 2), True),
@@ -27,11 +29,14 @@ WEATHER_CSV = T.StructType([
     T.StructField("TMIN", T.DoubleType(), True),
 ])
 
+# The same without the codes, as the refresh and the analog view carry it.
+WEATHER_NO_CODES = T.StructType([f for f in WEATHER_CSV if not f.name.endswith("_fips")])
+
 # One record of a landed observation page.
 OBSERVATION_RECORD = T.StructType([
     T.StructField("date", T.StringType(), True),
     T.StructField("datatype", T.StringType(), True),
-    T.StructField("station", T.LongType(), True),
+    T.StructField("station", T.StringType(), True),
     T.StructField("value", T.DoubleType(), True),
 ])
 
@@ -42,12 +47,3 @@ STATION_RECORD = T.StructType([
     T.StructField("longitude", T.DoubleType(), True),
     T.StructField("datacoverage", T.DoubleType(), True),
 ])
-
-# Polygon edges of the county layer.
-COUNTY_EDGES = T.StructType([
-    T.StructField("geoid", T.StringType(), False),
-    T.StructField("x1", T.DoubleType(), False),
-    T.StructField("y1", T.DoubleType(), False),
-    T.StructField("x2", T.DoubleType(), False),
-    T.StructField("y2", T.DoubleType(), False),
-])

@@ -59,10 +59,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def unique_name(name: str) -> str:
+    """A table name of its own run, so that two runs never collide."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     root = checkpoint_root(spark)
-    return f"{root}/fieldlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/fieldlens/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def release_written(spark: SparkSession) -> int:
+    """Remove every table and file this application has written to the shared
+    folder through :func:`shared_path`, and return how many there were.  Call
+    it when the results that read them have been consumed; nothing else
+    deletes what a returned frame may still need."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
 
 
 class Scratch:

@@ -3,9 +3,8 @@
 The test data carries no crops or weather, so yields, daily county weather,
 long station observations, stations and county polygons are derived from the
 TPC-H-ish tables.  Every view is a plain Spark plan over the parquet files, so
-its work grows with the data.  Tiny dimensions (region: 5 rows, nation: 25
-rows, fixed by the TPC-H specification at every scale factor) are broadcast;
-everything else is left to the planner and AQE's runtime size checks.
+its work grows with the data.  Join strategies are left to the planner and AQE's
+runtime size checks.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ from fieldlens.sources.tables import read_table
 def _nation_region(spark: SparkSession, base: str) -> DataFrame:
     nation = read_table(spark, base, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, base, "region").select("r_regionkey", "r_name")
-    # both sides are fixed-size TPC-H dimensions (25 and 5 rows)
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
     )
 
@@ -32,13 +30,13 @@ def yield_view(spark: SparkSession, base: str) -> DataFrame:
     AQE pick the strategy from sizes (the static estimate of a join is the
     product of its inputs, so joining the fixed 25-row nation/region
     dimension first would make the dimension side look larger than the fact
-    side).  The fixed dimension is joined last, broadcast.
+    side).  The small dimension is joined last.
     """
     orders = read_table(spark, base, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice"
     )
     customer = read_table(spark, base, "customer").select("c_custkey", "c_nationkey")
-    geo = F.broadcast(_nation_region(spark, base))
+    geo = _nation_region(spark, base)
     j = orders.join(customer, orders.o_custkey == customer.c_custkey)
     j = j.join(geo, j.c_nationkey == geo.n_nationkey)
     return j.select(
@@ -58,7 +56,7 @@ def weather_view(spark: SparkSession, base: str) -> DataFrame:
         "l_suppkey", "l_shipdate", "l_tax", "l_quantity", "l_linenumber", "l_extendedprice"
     )
     supplier = read_table(spark, base, "supplier").select("s_suppkey", "s_nationkey")
-    geo = F.broadcast(_nation_region(spark, base))
+    geo = _nation_region(spark, base)
     j = li.join(supplier, li.l_suppkey == supplier.s_suppkey)
     j = j.join(geo, j.s_nationkey == geo.n_nationkey)
     g = j.groupBy(
@@ -81,7 +79,7 @@ def observation_view(spark: SparkSession, base: str) -> DataFrame:
     """obs_v: long station observations {station, date, datatype, value}."""
     ev = read_table(spark, base, "events").select("user_id", "ts", "event_type", "value")
     return ev.select(
-        F.col("user_id").alias("station"),
+        F.col("user_id").cast("string").alias("station"),
         F.col("ts").cast("date").alias("date"),
         F.col("event_type").alias("datatype"),
         F.col("value").cast("decimal(18,2)").alias("value"),
@@ -146,7 +144,7 @@ def county_view(spark: SparkSession, base: str) -> DataFrame:
     """County attributes keyed by geoid: names and zero-padded FIPS codes."""
     nation = read_table(spark, base, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, base, "region").select("r_regionkey", "r_name")
-    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return j.select(
         F.col("n_name").alias("geoid"),
         F.col("r_name").alias("state_abbrev"),

@@ -16,21 +16,57 @@ from pyspark.sql import types as T
 from fieldlens.schemas import OBSERVATION_RECORD, STATION_RECORD
 
 
+CORRUPT = "_corrupt_record"
+
+
+def csv_text_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """All columns of the files' header, as text and in the header's order,
+    plus the corrupt-record column.  A column of ``schema`` that the header
+    lacks raises ValueError."""
+    names = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).columns
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {missing} in the header {names}")
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+
+
+def csv_columns(raw: DataFrame, schema: T.StructType, corrupt: str | None = None) -> DataFrame:
+    """Text columns picked by name and cast.  A date may carry a time
+    (``2020-05-01T00:00:00``).  A field that does not fit its type is NULL;
+    with ``corrupt`` a column of that name holds the row's text where the line
+    is malformed or a field did not fit."""
+    def cast(f: T.StructField):
+        c = F.col(f.name)
+        return (F.substring(c, 1, 10) if isinstance(f.dataType, T.DateType) else c).try_cast(f.dataType)
+
+    cols = [cast(f).alias(f.name) for f in schema]
+    if not corrupt:
+        return raw.select(*cols)
+    misfit = F.lit(False)
+    for f in schema:
+        misfit = misfit | (F.col(f.name).isNotNull() & cast(f).isNull())
+    line = F.coalesce(F.col(CORRUPT), F.when(misfit, F.concat_ws(
+        ",", *[F.coalesce(F.col(n), F.lit("")) for n in raw.columns if n != CORRUPT])))
+    return raw.select(*cols, line.alias(corrupt))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,
-             header: bool = True) -> DataFrame:
-    """A1: CSV with a header row and an explicit schema.
+             corrupt: str | None = None) -> DataFrame:
+    """A1: CSV with a header row, columns picked by name and typed by
+    ``schema``; other columns and another column order do no harm.
 
     No ``inferSchema``: inference costs an extra pass over the files and turns
-    codes such as FIPS ``003`` into the number 3.
+    codes such as FIPS ``003`` into the number 3.  Files of one folder must
+    share a header: one that differs fails (``enforceSchema`` off) instead of
+    being read by position.  See :func:`csv_columns` for bad fields.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss")
+    raw = (
+        spark.read.schema(csv_text_schema(spark, path, schema))
+        .option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    return csv_columns(raw, schema, corrupt)
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True,
@@ -47,15 +83,23 @@ def save_table(df: DataFrame, name: str, path: str, *,
                partition_by: Sequence[str] = ()) -> DataFrame:
     """B1/B2: overwrite a named parquet table (schema replaced on overwrite).
 
+    ``path`` must be new: the rows are written there first and only then does
+    the name point to them, so a failed write leaves the old table as it was.
     Partitioning by a column that later queries filter on (``Year``) gives
-    partition pruning for free.  Returns the table as read back.
+    partition pruning for free; the rows are dealt by it first, so that each
+    partition is written by one task instead of one file per task (a value
+    that holds most rows can be dealt by more columns beforehand).  Returns
+    the table as read back.
     """
     spark = df.sparkSession
-    w = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        df.repartition(*partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    w.saveAsTable(name)
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

@@ -4,21 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
-
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``spark.table`` equivalent for ``<base>/<name>.parquet``.
 
-    The relation (file listing, footer schema) is resolved once per session
-    and path, as a catalog table would be; no data is cached.  Projections
-    and filters applied later reach the parquet scan (``ReadSchema`` /
-    ``PushedFilters``), so callers never prune by hand.
+    The folder is listed at every call, so files added since the last one are
+    read.  Projections and filters applied later reach the parquet scan
+    (``ReadSchema`` / ``PushedFilters``), so callers never prune by hand.
     """
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
-    return df
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")

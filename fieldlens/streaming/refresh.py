@@ -4,20 +4,21 @@ Two file streams (yields, daily weather) run with ``trigger(availableNow)``:
 each run picks up only the files that arrived since the last run (the stream
 checkpoint remembers them) and stops.  Every micro-batch:
 
-1. lands its raw rows in the bronze table under partition ``batch_id`` with a
-   dynamic partition overwrite - ``foreachBatch`` may replay a batch after a
-   failure, and a replay rewrites the same partition instead of appending
-   duplicates;
-2. works out which gold partitions ``(County, Year)`` it invalidates:
-   * late weather of (county, year) changes only the look-back features of
-     that county-year;
-   * a late yield of (county, year Y) changes its own features and the
-     trailing average of the later rows of its (County, Crop), i.e. every
-     year >= Y of the county;
-3. recomputes those partitions - the trailing average reads the county's
-   whole yield history (it needs the earlier rows), the look-back runs only
-   for the touched years - and overwrites exactly those partitions of the
-   gold table (dynamic partition overwrite; other partitions are untouched).
+1. lands its raw rows in the bronze table under partitions ``(Year, batch_id)``
+   with a dynamic partition overwrite - ``foreachBatch`` may replay a batch
+   after a failure, and a replay rewrites the same partitions instead of
+   appending duplicates; the later steps read the landed partition back;
+2. works out which gold partitions ``(State, County, Year)`` it invalidates:
+   * late weather of (state, county, year) changes only the look-back features
+     of that county-year;
+   * a late yield of (state, county, year Y) changes its own features and the
+     trailing average of the later rows of its crop, i.e. every year >= Y of
+     the county;
+3. recomputes those partitions and overwrites exactly them in the gold table
+   (dynamic partition overwrite; other partitions are untouched).  Years
+   outside the touched range are pruned at the bronze scans: weather to the
+   touched years, yields up to the last touched year (the trailing average
+   needs the earlier ones).
 
 No watermark is needed: late files are handled by recomputing the touched
 partitions, and every step is a batch recompute of bounded scope.
@@ -32,9 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlens.functions.exprs import state_key
+from fieldlens.sources.files import CORRUPT, csv_columns, csv_text_schema
+
 LabelFn = Callable[[DataFrame], DataFrame]
 FeaturesFn = Callable[[DataFrame, DataFrame], DataFrame]
-OPEN_END = 9999
 
 
 @dataclass
@@ -62,10 +65,11 @@ class GoldRefresher:
         return f"{self.root}/landing/{table}"
 
     # ---------------------------------------------------------------- io
-    def _land(self, batch: DataFrame, path: str, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)))
+    def _land(self, batch: DataFrame, year, path: str, batch_id: int) -> None:
+        (batch.withColumn("Year", year.cast("int")).withColumn("batch_id", F.lit(int(batch_id)))
+         .repartition("Year")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+         .partitionBy("Year", "batch_id").parquet(path))
 
     def _exists(self, path: str) -> bool:
         jvm = self.spark.sparkContext._jvm
@@ -74,52 +78,68 @@ class GoldRefresher:
         return p.getFileSystem(conf).exists(p)
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame | None:
+        """A bronze table with its partition columns Year and batch_id."""
         if not self._exists(path):
             return None
-        full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(full).parquet(path).drop("batch_id")
+        rest = [f for f in schema if f.name not in ("Year", "batch_id")]
+        full = T.StructType([*rest, T.StructField("Year", T.IntegerType()),
+                             T.StructField("batch_id", T.LongType())])
+        return self.spark.read.schema(full).parquet(path)
 
     # ----------------------------------------------------------- refresh
-    def refresh(self, touched: DataFrame) -> None:
-        """Recompute the gold partitions named by ``touched``: rows
-        (County, lo, hi) meaning years lo..hi of that county."""
+    def touched_inputs(self, touched: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+        """(labelled yields to recompute, weather) for ``touched``: rows (State,
+        County, lo, hi) meaning years lo..hi of that county, hi null without
+        an end.  The overall first and last year are two numbers on the driver
+        and prune the partitions of both bronze scans."""
         y = self._read(self.bronze_yield, self.yield_schema)
         w = self._read(self.bronze_weather, self.weather_schema)
         if y is None or w is None:
-            return
-        t = touched.groupBy("County").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+            return None
+        span = touched.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                           F.count(F.when(F.col("hi").isNull(), 1)).alias("open")).head()
+        if span["lo"] is None:
+            return None
+        w = w.where(F.col("Year") >= span["lo"])
+        if not span["open"]:
+            y, w = y.where(F.col("Year") <= span["hi"]), w.where(F.col("Year") <= span["hi"])
+        t = touched.groupBy(state_key("State").alias("_ts"), F.col("County").alias("_tc")).agg(
+            F.min("lo").alias("_lo"))
         # the trailing average needs the whole history of a touched county
-        y = y.join(t.select("County"), "County", "left_semi")
+        y = y.drop("batch_id").join(
+            t, (state_key(y["State"]) == t["_ts"]) & (y["County"] == t["_tc"]), "left_semi")
         labelled = self.label_fn(y)
         # ... but only rows of touched years are recomputed
-        rng = touched.select(F.col("County").alias("_tc"), "lo", "hi")
+        rng = touched.select(state_key("State").alias("_ts"), F.col("County").alias("_tc"), "lo", "hi")
         keep = labelled.join(
-            rng, (labelled["County"] == rng["_tc"]) & labelled["Year"].between(rng["lo"], rng["hi"]),
+            rng, (state_key(labelled["State"]) == rng["_ts"]) & (labelled["County"] == rng["_tc"])
+            & (labelled["Year"] >= rng["lo"]) & (rng["hi"].isNull() | (labelled["Year"] <= rng["hi"])),
             "left_semi")
-        w = w.join(t.select(F.col("County").alias("county_name")), "county_name", "left_semi")
-        g = self.features_fn(keep, w)
-        (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("County", "Year").parquet(self.gold))
+        w = w.join(t, (state_key(w["state_abbrev"]) == t["_ts"]) & (w["county_name"] == t["_tc"])
+                   & (w["Year"] >= t["_lo"]), "left_semi")
+        return keep, w.drop("Year", "batch_id")
+
+    def refresh(self, touched: DataFrame) -> None:
+        """Recompute the gold partitions named by ``touched``."""
+        found = self.touched_inputs(touched)
+        if found is None:
+            return
+        keys = ["State", "County", "Year"]
+        (self.features_fn(*found).repartition(*keys)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(self.gold))
 
     def _on_yields(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            self._land(batch, self.bronze_yield, batch_id)
-            touched = batch.groupBy("County").agg(
-                F.min("Year").alias("lo"), F.lit(OPEN_END).alias("hi"))
-            self.refresh(touched)
-        finally:
-            batch.unpersist()
+        self._land(batch, F.col("Year"), self.bronze_yield, batch_id)
+        landed = self._read(self.bronze_yield, self.yield_schema).where(F.col("batch_id") == int(batch_id))
+        self.refresh(landed.groupBy("State", "County").agg(
+            F.min("Year").alias("lo"), F.lit(None).cast("int").alias("hi")))
 
     def _on_weather(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            self._land(batch, self.bronze_weather, batch_id)
-            touched = batch.select(F.col("county_name").alias("County"),
-                                   F.year("date").alias("lo")).distinct().withColumn("hi", F.col("lo"))
-            self.refresh(touched)
-        finally:
-            batch.unpersist()
+        self._land(batch, F.year("date"), self.bronze_weather, batch_id)
+        landed = self._read(self.bronze_weather, self.weather_schema).where(F.col("batch_id") == int(batch_id))
+        self.refresh(landed.select(F.col("state_abbrev").alias("State"), F.col("county_name").alias("County"),
+                                   F.col("Year").alias("lo"), F.col("Year").alias("hi")).distinct())
 
     # ------------------------------------------------------------ streams
     def run_once(self) -> None:
@@ -130,13 +150,15 @@ class GoldRefresher:
         ):
             if not self._exists(self.landing(table)):
                 continue
-            src = (self.spark.readStream.schema(schema).option("header", True)
-                   .option("recursiveFileLookup", True)
-                   .option("dateFormat", "yyyy-MM-dd").csv(self.landing(table)))
+            src = csv_columns(
+                self.spark.readStream.schema(csv_text_schema(self.spark, self.landing(table), schema))
+                .option("header", True).option("enforceSchema", False)
+                .option("recursiveFileLookup", True).option("columnNameOfCorruptRecord", CORRUPT)
+                .csv(self.landing(table)), schema)
             q = (src.writeStream.foreachBatch(handler)
                  .option("checkpointLocation", f"{self.root}/_checkpoints/{table}")
                  .trigger(availableNow=True).start())
             q.awaitTermination()
 
     def gold_table(self) -> DataFrame:
-        return self.spark.read.parquet(self.gold)
+        return self.spark.read.option("basePath", self.gold).parquet(self.gold)

@@ -15,11 +15,13 @@ D = dt.date
 
 def weather(spark, rows):
     return spark.createDataFrame(
-        rows, "county_name string, date date, PRCP decimal(18,2), TAVG_Cleaned double, TMAX double")
+        rows, "county_name string, date date, PRCP decimal(18,2), TAVG_Cleaned double, TMAX double"
+    ).withColumn("state_abbrev", F.lit("OH"))
 
 
 def yields(spark, rows):
-    return spark.createDataFrame(rows, "yid long, County string, Year int, Harvest_Date date")
+    return spark.createDataFrame(rows, "yid long, County string, Year int, Harvest_Date date").withColumn(
+        "State", F.lit("Ohio"))
 
 
 CASES = {
@@ -57,7 +59,7 @@ CASES = {
 def test_window_equals_naive(spark, case):
     w_rows, y_rows = CASES[case]
     w, y = weather(spark, w_rows), yields(spark, y_rows)
-    a = lookback_features(y, w, hot_threshold=95.0).drop("County", "Year", "Harvest_Date")
+    a = lookback_features(y, w, hot_threshold=95.0).drop("State", "County", "Year", "Harvest_Date")
     b = lookback_naive(y, w, row_key=["yid"], hot_threshold=95.0)
     ra = {r["yid"]: r.asDict() for r in a.collect()}
     rb = {r["yid"]: r.asDict() for r in b.collect()}
@@ -82,7 +84,8 @@ def test_duplicate_yield_rows_double_sums(spark):
         "Harvest_Date date, Yield_Per_Acre decimal(18,2)")
     w = spark.createDataFrame(
         [("A", D(2001, 3, 1), Decimal("2.00"), 10.0, 100.0, 50.0)],
-        "county_name string, date date, PRCP decimal(18,2), TAVG double, TMAX double, TMIN double")
+        "county_name string, date date, PRCP decimal(18,2), TAVG double, TMAX double, TMIN double"
+    ).withColumn("state_abbrev", F.lit("S"))
     g = {r["5_Year_Avg_Yield"]: r for r in
          gold_features(y, w, tiebreak=("Harvest_Date", "yield_id")).collect()}
     assert set(g) == {None, 5.0}
@@ -101,7 +104,35 @@ def test_temperature_falls_back_to_midpoint(spark):
     w = spark.createDataFrame(
         [("A", D(2001, 3, 1), Decimal("2.00"), None, 100.0, 50.0),
          ("A", D(2001, 3, 2), Decimal("2.00"), None, None, 50.0)],
-        "county_name string, date date, PRCP decimal(18,2), TAVG double, TMAX double, TMIN double")
+        "county_name string, date date, PRCP decimal(18,2), TAVG double, TMAX double, TMIN double"
+    ).withColumn("state_abbrev", F.lit("S"))
     r = gold_features(y, w, tiebreak=("Harvest_Date", "yield_id")).first()
     assert r["60d_Avg_Temp"] == 75.0  # the second day has no temperature at all
     assert r["90d_Days_Above_95F"] == 1
+
+
+def test_counties_of_the_same_name_stay_apart(spark):
+    """Franklin in two states, one side with full names: rain, averages and
+    joined days never mix; target pairs reduce both tables alike."""
+    from fieldlens.operators.joins import yield_weather_days
+
+    y = spark.createDataFrame(
+        [(i, "Franklin", s, "corn", yr, D(yr, 3, 10), Decimal(v))
+         for i, (s, yr, v) in enumerate([("Ohio", 2001, "100.00"), ("Ohio", 2002, "1.00"), ("Indiana", 2001, "10.00"),
+                                         ("Indiana", 2002, "2.00")])],
+        "yield_id long, County string, State string, Crop string, Year int, "
+        "Harvest_Date date, Yield_Per_Acre decimal(18,2)")
+    w = spark.createDataFrame(
+        [("OH", "Franklin", D(2002, 3, 1), Decimal("1.00"), 10.0, 100.0, 50.0),
+         ("OH", "Franklin", D(2002, 3, 1), Decimal("0.50"), 20.0, 100.0, 50.0),
+         ("IN", "Franklin", D(2002, 3, 2), Decimal("50.00"), 30.0, 90.0, 50.0)],
+        "state_abbrev string, county_name string, date date, PRCP decimal(18,2), TAVG double, TMAX double, TMIN double")
+    tie = ("Harvest_Date", "yield_id")
+    g = {r["State"]: r for r in gold_features(y, w, tiebreak=tie).where("Year = 2002").collect()}
+    assert g["Ohio"]["60d_Total_Precip"] == 1.5 and g["Indiana"]["60d_Total_Precip"] == 50.0
+    assert g["Ohio"]["5_Year_Avg_Yield"] == 100.0 and g["Indiana"]["5_Year_Avg_Yield"] == 10.0
+    assert g["Ohio"]["60d_Avg_Temp"] == 15.0  # two rows of one day add up
+    days = {r["State"]: r["weather_days"] for r in yield_weather_days(y, w).collect()}
+    assert days == {"Ohio": 2, "Indiana": 1}
+    only = gold_features(y, w, tiebreak=tie, pairs=[("Franklin", "Ohio")]).where("Year = 2002").collect()
+    assert [r["State"] for r in only] == ["Ohio"] and only[0]["60d_Total_Precip"] == 1.5

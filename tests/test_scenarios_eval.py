@@ -1,6 +1,4 @@
-"""Scenarios (F4 golden rows, K14 zero baseline) and evaluation invariants."""
-
-import os
+"""Scenarios (F4 repeated keys, K14 zero baseline) and evaluation invariants."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,20 +6,26 @@ from pyspark.sql import functions as F
 from fieldlens.functions.exprs import fixed_text, pct_change, yield_status
 from fieldlens.plans.scenarios import expand_scenarios, risk_vs_baseline, risk_vs_mean_baseline
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-
 
-def test_mean_baseline_reproduces_stored_scenarios(spark):
-    """the stored risk equals % change against the mean baseline
-    prediction of each (County, Crop)."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(
-        os.path.join(HERE, "fixtures", "scenario_golden.csv"))
-    stored = df.withColumnRenamed("Yield_Risk_%", "stored")
-    got = risk_vs_mean_baseline(stored, digits=None, baseline="Baseline (Actual 2014)")
-    rows = got.collect()
-    assert len(rows) == 69
-    for r in rows:
-        assert r["Yield_Risk_%"] == pytest.approx(r["stored"], rel=1e-9, abs=1e-9)
+def test_mean_baseline_of_repeated_keys(spark):
+    """the risk is the % change against the mean baseline prediction of a
+    (County, Crop) whose rows repeat."""
+    rows = []
+    for i in range(60):
+        county, crop = f"c{i % 4}", "corn" if i % 3 else "soy"
+        for scenario, factor in (("Baseline (Actual)", 1.0), ("Simulated Heatwave", 0.9), ("Simulated Drought", 0.7)):
+            rows.append((county, crop, scenario, (50.0 + i * 1.25) * factor))
+    df = spark.createDataFrame(rows, "County string, Crop string, Scenario string, Predicted_Yield double")
+    got = risk_vs_mean_baseline(df, digits=None).collect()
+    base = {}
+    for county, crop, scenario, p in rows:
+        if scenario == "Baseline (Actual)":
+            base.setdefault((county, crop), []).append(p)
+    assert len(got) == len(rows) and max(map(len, base.values())) > 3
+    for r in got:
+        b = base[(r["County"], r["Crop"])]
+        b = sum(b) / len(b)
+        assert r["Yield_Risk_%"] == pytest.approx((r["Predicted_Yield"] - b) / b * 100, rel=1e-9, abs=1e-9)
 
 
 def test_zero_or_missing_baseline_gives_null(spark):

@@ -3,11 +3,12 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.operators.aggregates import pivot_mean
-from fieldlens.schemas import WEATHER_CSV, YIELD_CSV
+from fieldlens.schemas import OBSERVATION_RECORD, WEATHER_CSV, WEATHER_NO_CODES, YIELD_CSV
 from fieldlens.session import shared_path
 from fieldlens.sources.files import read_csv, read_pages, write_csv, write_pages
 from fieldlens.streaming.refresh import GoldRefresher
@@ -47,7 +48,7 @@ def test_pages_without_results_give_no_rows(spark):
 
 def test_replayed_batch_does_not_duplicate_bronze(spark):
     r = GoldRefresher(spark, shared_path(spark, "replay"), lambda y: y, lambda y, w: y,
-                      YIELD_CSV, WEATHER_CSV)
+                      YIELD_CSV, WEATHER_NO_CODES)
     batch = spark.createDataFrame(
         [(1, "A", "S", "corn", 2001, dt.date(2001, 3, 1), Decimal("1.00"))], YIELD_CSV)
     r._on_yields(batch, 7)
@@ -64,26 +65,26 @@ def test_late_weather_rewrites_only_its_partition(spark):
 
     r = GoldRefresher(spark, shared_path(spark, "late"),
                       lambda y: G.add_trailing_yield(y, tiebreak=("Harvest_Date", "yield_id")),
-                      lambda y, w: G.gold_from_labelled(y, w), YIELD_CSV, WEATHER_CSV)
+                      lambda y, w: G.gold_from_labelled(y, w), YIELD_CSV, WEATHER_NO_CODES)
     ys = spark.createDataFrame(
         [(i, c, "S", "corn", yr, dt.date(yr, 6, 1), Decimal("10.00") + i)
          for i, (c, yr) in enumerate([("A", 2001), ("A", 2002), ("B", 2001), ("B", 2002)])],
         YIELD_CSV)
     wx = spark.createDataFrame(
         [("S", c, dt.date(yr, 5, d), 3.0, Decimal("1.00"), 70.0, 99.0, 50.0)
-         for c in ("A", "B") for yr in (2001, 2002) for d in (1, 2)], WEATHER_CSV)
+         for c in ("A", "B") for yr in (2001, 2002) for d in (1, 2)], WEATHER_NO_CODES)
     write_csv(wx, r.landing("weather") + "/d1")
     write_csv(ys, r.landing("yield") + "/d1")
     r.run_once()
 
     def files(county, year):
-        d = f"{r.gold}/County={county}/Year={year}"
+        d = f"{r.gold}/State=S/County={county}/Year={year}"
         return sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
 
     before = {k: files(*k) for k in [("A", 2001), ("A", 2002), ("B", 2001), ("B", 2002)]}
     late = spark.createDataFrame([("S", "A", dt.date(2001, 5, 20), 3.0, Decimal("5.00"), 60.0, 99.0,
                                    40.0)],
-                                 WEATHER_CSV)
+                                 WEATHER_NO_CODES)
     write_csv(late, r.landing("weather") + "/d2")
     r.run_once()
     after = {k: files(*k) for k in before}
@@ -91,6 +92,98 @@ def test_late_weather_rewrites_only_its_partition(spark):
     assert all(after[k] == before[k] for k in before if k != ("A", 2001))
     row = r.gold_table().where("County = 'A' AND Year = 2001").first()
     assert row["60d_Total_Precip"] == 7.0  # 1 + 1 + 5
+    # a late file reads only the touched years of both bronze tables
+    touched = spark.createDataFrame([("S", "A", 2001, 2001)], "State string, County string, lo int, hi int")
+    seen = []
+    r.label_fn = lambda y: (seen.append(y), G.add_trailing_yield(y, tiebreak=("Harvest_Date", "yield_id")))[1]
+    seen.append(r.touched_inputs(touched)[1])
+    for part in seen:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        filters = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+        assert any("Year" in f and "<= 2001" in f for f in filters), filters
+
+
+def test_county_weather_csv_by_name(spark, tmp_path):
+    """The county-day layout with codes, another column order, one column more
+    and dates with a time; bad fields are NULL and reported."""
+    d = tmp_path / "w"
+    d.mkdir()
+    (d / "a.csv").write_text(
+        "Station,state_abbrev,county_fips,county_name,state_fips,date,TMIN,TMAX,TAVG,PRCP,AWND\n"
+        "x,IN,003,Foo,09,2020-05-01T00:00:00,1.5,9.5,,0.25,3\n"
+        "y,OH,017,\"Bar, the\",39,2020-05-02,1,2,1.5,wet,\n")
+    rows = read_csv(spark, str(d), WEATHER_CSV, corrupt="bad").orderBy("county_name").collect()
+    assert rows[1][:10] == ("IN", "09", "Foo", "003", dt.date(2020, 5, 1), 3.0, Decimal("0.25"), None, 9.5, 1.5)
+    assert rows[1]["bad"] is None
+    assert rows[0]["county_name"] == "Bar, the" and rows[0]["PRCP"] is None and "wet" in rows[0]["bad"]
+    assert rows[0]["date"] == dt.date(2020, 5, 2)
+    (tmp_path / "v").mkdir()
+    (tmp_path / "v" / "a.csv").write_text("state_abbrev,county_name\nIN,Foo\n")
+    with pytest.raises(ValueError, match="state_fips"):
+        read_csv(spark, str(tmp_path / "v"), WEATHER_CSV)
+
+
+def test_text_station_ids_survive(spark, tmp_path):
+    (tmp_path / "p.json").write_text(
+        '{"results": [{"date": "2020-05-01", "datatype": "TMAX", "station": "GHCND:USW00014", "value": 3.5}]}')
+    r = read_pages(spark, str(tmp_path), OBSERVATION_RECORD).first()
+    assert (r["station"], r["value"]) == ("GHCND:USW00014", 3.5)
+
+
+def test_read_table_sees_new_files(spark, tmp_path):
+    from fieldlens.sources.tables import read_table
+
+    p = str(tmp_path / "t.parquet")
+    spark.range(10).write.parquet(p)
+    assert read_table(spark, str(tmp_path), "t").count() == 10
+    spark.range(20).write.mode("append").parquet(p)
+    assert read_table(spark, str(tmp_path), "t").count() == 30
+
+
+def test_left_join_dim_never_multiplies(spark):
+    from fieldlens.operators.joins import left_join_dim
+
+    facts = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    dim = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", None), (None, "z")], "key string, v string")
+    got = sorted((r["n"], r["v"]) for r in left_join_dim(facts, dim, left_on="k", right_on="key", dim_cols=["v"]).collect())
+    assert got == [(1, "x"), (2, None), (3, None)]
+
+
+def test_pivot_looks_for_types_after_the_null_keys_go(spark):
+    df = spark.createDataFrame([("a", "TMAX", 1.0), (None, "TMIN", 2.0), ("a", "PRCP", None)],
+                               "k string, t string, value double")
+    out = pivot_mean(df, ["k"], "t", ["TMAX", "TMIN", "PRCP"])
+    assert out.columns == ["k", "TMAX", "PRCP"] and [tuple(r) for r in out.collect()] == [("a", 1.0, None)]
+
+
+def test_failed_overwrite_keeps_the_old_table(spark):
+    from fieldlens.session import unique_name
+    from fieldlens.sources.files import save_table
+
+    name = unique_name("kept")
+    save_table(spark.range(5), name, shared_path(spark, "kept"))
+    bad = spark.range(5).selectExpr("id", "raise_error('no') AS x")
+    with pytest.raises(Exception, match="no"):
+        save_table(bad, name, shared_path(spark, "kept"))
+    assert spark.table(name).count() == 5
+    save_table(spark.range(3).selectExpr("id", "id AS other"), name, shared_path(spark, "kept"))
+    assert spark.table(name).columns == ["id", "other"]
+
+
+def test_written_tables_can_be_released(spark):
+    import os
+
+    from fieldlens.session import Scratch, materialize, release_written
+
+    release_written(spark)
+    a = materialize(spark.range(3), "gone")
+    files = [f.removeprefix("file:") for f in a.inputFiles()]
+    with Scratch(spark, "s") as sc:
+        b = [f.removeprefix("file:") for f in sc.table(spark.range(3), "b").inputFiles()]
+        assert all(map(os.path.exists, b))
+    assert not any(map(os.path.exists, b)) and all(map(os.path.exists, files))
+    assert release_written(spark) >= 1
+    assert not any(map(os.path.exists, files))
 
 
 def test_multiline_pages(spark):
