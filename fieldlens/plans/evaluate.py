@@ -194,7 +194,7 @@ def grower_summary(impact: DataFrame, bands: tuple[float, float]) -> DataFrame:
     band = spark.range(1).select(
         F.lit("band").alias("finding"), F.lit(None).cast("double").alias("value"),
         F.concat(F.lit("Predictions fall within "), fixed_text(F.lit(lo), 1),
-                 F.lit(" to +"), fixed_text(F.lit(hi), 1),
+                 F.when(F.lit(hi) < 0, F.lit(" to ")).otherwise(F.lit(" to +")), fixed_text(F.lit(hi), 1),
                  F.lit(" of the actual yield 80% of the time.")).alias("message"),
     )
     return lines.unionByName(band)

@@ -74,6 +74,19 @@ def onehot_columns(train: DataFrame, apply_to: DataFrame, cats: Sequence[str], *
     return x.select(*out)
 
 
+def onehot_long(train: DataFrame, apply_to: DataFrame, cats: Sequence[str],
+                keep: Sequence[str] = ()) -> DataFrame:
+    """K2 in long form: (keep..., feature, value 1.0), one row per category of
+    a row that ``train`` has seen, so the schema does not grow with the data.
+    The seen categories are an aggregate of the training rows, joined."""
+    def pairs(df, *cols):
+        return df.select(*cols, F.explode(F.array(*[
+            F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in cats])).alias("feature"))
+
+    return pairs(apply_to, *keep).join(pairs(train).distinct(), "feature", "left_semi").select(
+        *keep, "feature", F.lit(1.0).alias("value"))
+
+
 def stable_layout(df: DataFrame) -> DataFrame:
     """Fix partition contents and row order from the data alone.
 
@@ -163,18 +176,17 @@ def cross_validated_rmse(train: DataFrame, numeric: Sequence[str], categorical:
     The same result as ``CrossValidator(foldCol=...).avgMetrics`` with one
     empty parameter grid, written as plain filters on the fold column (the
     library version checks fold numbers with a row-at-a-time Python UDF on
-    every fold).  The prepared table is written once to the shared folder;
-    every fold trains on a deterministic layout of its rows.
+    every fold).  The prepared table is laid out deterministically and
+    written once to the shared folder; the folds are filters on it.
     """
     checkpoint_root(train.sparkSession)
-    data = materialize(prepare(train, numeric, target)
-                       .withColumn(fold_col, F.col(fold_col).cast("int")), "cv_input")
+    data = materialize(stable_layout(prepare(train, numeric, target)
+                                     .withColumn(fold_col, F.col(fold_col).cast("int"))), "cv_input")
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PRED, metricName="rmse")
     params.setdefault("max_memory_mb", tree_memory_mb(train.sparkSession))
     rmses = []
     for i in range(folds):
-        fit_part = stable_layout(data.where(F.col(fold_col) != i))
-        model = build_pipeline(numeric, categorical, **params).fit(fit_part)
+        model = build_pipeline(numeric, categorical, **params).fit(data.where(F.col(fold_col) != i))
         rmses.append(evaluator.evaluate(model.transform(data.where(F.col(fold_col) == i))))
     return float(sum(rmses) / folds)
 

@@ -457,3 +457,8 @@ UNION ALL SELECT 'fold_rows', CAST(('0x' || substr(md5({ROWKEY}), 9, 8))::BIGINT
   FROM sp WHERE split = 'train' GROUP BY 2
 UNION ALL SELECT 'risk_mismatches', 'all', 0.0
 UNION ALL SELECT 'risk_rows', 'all', CAST(3 * count(*) AS DOUBLE) FROM firsts"""
+
+ORACLE["onehot_long"] = gold_with(SPLITS, SPLIT) + "\nUNION ALL\n".join(
+    f"""SELECT {GOLD8}, '{c}_' || {c} AS feature, 1.0::DOUBLE AS value FROM sp
+WHERE split = 'test' AND {c} IN (SELECT {c} FROM sp WHERE split = 'train')"""
+    for c in ("County", "State", "Crop"))

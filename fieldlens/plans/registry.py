@@ -27,7 +27,7 @@ from fieldlens.plans import model as M
 from fieldlens.plans import scenarios as SC
 from fieldlens.plans import weather as WB
 from fieldlens.schemas import OBSERVATION_RECORD, STATION_RECORD, WEATHER_NO_CODES, YIELD_CSV
-from fieldlens.session import materialize, shared_path, unique_name
+from fieldlens.session import checkpoint_root, materialize, shared_path, unique_name
 from fieldlens.sources import analogs as A
 from fieldlens.sources import files as FS
 
@@ -508,6 +508,12 @@ def q_onehot_encode(spark, base):
                           keep=G.GOLD_KEYS)
 
 
+@register("onehot_long")
+def q_onehot_long(spark, base):
+    s = Run(spark, base).split
+    return M.onehot_long(s.where("split = 'train'"), s.where("split = 'test'"), CATEGORICAL, keep=G.GOLD_KEYS)
+
+
 # --------------------------------------------------------------------------
 # Scenarios (F3, C13, H1, K13, K14, D5, F4) with the linear stand-in score
 # --------------------------------------------------------------------------
@@ -589,7 +595,9 @@ def q_cv_rmse(spark, base):
     mets = {r["split"]: r for r in EV.regression_metrics(both, by=["split"]).collect()}
     metrics = {"cv_mean_rmse": cv, "train_r2": mets["train"]["r2"], "test_r2": mets["test"]["r2"],
                "test_rmse": mets["test"]["rmse"], "test_mae": mets["test"]["mae"]}
-    return M.record_metrics(spark, shared_path(spark, "run_metrics"), "rf_cv", metrics)
+    run = unique_name("rf_cv")  # runs accumulate in one table, a partition each
+    runs = M.record_metrics(spark, f"{checkpoint_root(spark)}/fieldlens/run_metrics", run, metrics)
+    return runs.where(F.col("run_id") == run)
 
 
 @register("scenario_score")

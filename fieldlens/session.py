@@ -49,7 +49,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset; set it to a shared (HDFS/S3/ABFS) folder"
             )
