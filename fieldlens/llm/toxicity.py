@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from fieldlens.llm.common import WORDS, table, unit_hash
 
-SAMPLE = 6000
+SAMPLE = 4000
 DIM = 1 << 18
 THRESHOLD = 0.3
 MIN_DOCS = 4
+MIN_Z = 1.0
 PREFIXES = (4, 5, 6, 7, 8)
 
 # UTF-8 safe: only ASCII bytes end a sentence.
@@ -119,25 +120,36 @@ class NoisyOr:
 
 
 def fit_noisy_or(bags, epochs: int = 120, rate: float = 0.15, l1: float = 1.5e-4,
-                 min_docs: int = MIN_DOCS) -> NoisyOr:
-    """Proximal Adagrad on the mean noisy-or log-likelihood.  Words in fewer than
-    ``min_docs`` sampled documents keep weight zero.  Without a positive bag
-    the model scores (close to) zero."""
+                 min_docs: int = MIN_DOCS, min_z: float = MIN_Z) -> NoisyOr:
+    """Proximal Adagrad on the mean noisy-or log-likelihood.  Slots in fewer than
+    ``min_docs`` sampled documents, or whose document rates in the two classes
+    differ by less than ``min_z`` standard errors, keep weight zero; only the
+    others are laid out in memory.  Without documents of both classes the model
+    scores (close to) zero."""
     bags = [(int(b[0] > 0), np.frombuffer(b[1], "<i4"), np.frombuffer(b[2], "<i4")) for b in bags]
     bags = [b for b in bags if len(b[1])]
-    if not any(b[0] for b in bags):
-        return NoisyOr(np.zeros(DIM), -20.0)
     y = np.array([b[0] for b in bags], float)
+    if len(np.unique(y)) < 2:
+        return NoisyOr(np.zeros(DIM), -20.0)
+    in_docs = np.zeros((2, DIM))
+    for label, _, slots in bags:
+        in_docs[label, np.unique(slots)] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()], float)
+    p = in_docs.sum(axis=0) / n.sum()
+    z = (in_docs[1] / n[1] - in_docs[0] / n[0]) / np.sqrt(np.maximum(p * (1 - p) * (1 / n).sum(), 1e-12))
+    used = np.flatnonzero((in_docs.sum(axis=0) >= min_docs) & (np.abs(z) >= min_z))
+    number = np.full(DIM, -1, np.int32)
+    number[used] = np.arange(len(used))
     n_sent = np.array([len(b[1]) for b in bags])
     doc = np.repeat(np.arange(len(bags)), n_sent)
-    size = np.concatenate([b[1] for b in bags])
-    sent = np.repeat(np.arange(len(size)), size)
-    slot = np.concatenate([b[2] for b in bags])
-    pair = np.unique(doc[sent].astype(np.int64) * DIM + slot)
-    df = np.bincount(pair % DIM, minlength=DIM)
-    ok = df[slot] >= min_docs
-    used, col = np.unique(slot[ok], return_inverse=True)
-    row = sent[ok]
+    size = np.zeros(n_sent.sum(), np.int8)  # one entry a sentence
+    rows, cols, at = [], [], 0
+    for _, sizes, slots in bags:
+        c = number[slots]
+        rows.append((np.repeat(np.arange(at, at + len(sizes)), sizes)[c >= 0]).astype(np.int32))
+        cols.append(c[c >= 0])
+        at += len(sizes)
+    row, col = np.concatenate(rows), np.concatenate(cols)
     w, b = np.zeros(len(used)), -np.log(max(n_sent.mean(), 1) * 12.0)
     gw, gb = np.full(len(used), 1e-8), 1e-8
     m = len(bags)
