@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators.partitioning import BLOCK, range_blocks
 
-_BLK, _POS, _CNT = BLOCK, "_fl_pos", "_fl_cnt"
+_BLK, _POS = BLOCK, "_fl_pos"
 
 
 def trailing_rows_sum_count(
@@ -52,17 +52,17 @@ def trailing_rows_sum_count(
 
     ranged = range_blocks(df, [*keys, *order], blocks, "trailing")
     wb = Window.partitionBy(*keys, _BLK).orderBy(*order)
-    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = (
         ranged.withColumn(_POS, F.row_number().over(wb))
-        .withColumn(_CNT, F.count(F.lit(1)).over(whole))
         .withColumn("_fl_s_in", F.sum(v).over(wb.rowsBetween(-n, -1)))
         .withColumn("_fl_c_in", F.count(v).over(wb.rowsBetween(-n, -1)))
     )
 
-    # Block tails: the last n rows of every (key, block); <= n rows per block.
-    tails = inner.where(F.col(_POS) > F.col(_CNT) - n).select(
-        *keys, _BLK, *order, v.alias("_fl_v"), (F.col(_POS) == F.col(_CNT)).alias("_fl_last")
+    # Block tails: the last n rows of every (key, block); a block is one file of
+    # the written table, so the group limit leaves <= n rows before the shuffle.
+    back = Window.partitionBy(*keys, _BLK).orderBy(*[F.col(x).desc_nulls_last() for x in order])
+    tails = ranged.withColumn("_fl_back", F.row_number().over(back)).where(F.col("_fl_back") <= n).select(
+        *keys, _BLK, *order, v.alias("_fl_v"), (F.col("_fl_back") == 1).alias("_fl_last")
     )
     wt = Window.partitionBy(*keys).orderBy(_BLK, *order)
     sums = []
@@ -112,7 +112,7 @@ def trailing_rows_sum_count(
     out = j.withColumn(count_col, tot_c.cast("bigint")).withColumn(
         sum_col, F.when(tot_c > 0, tot_s)
     )
-    drop = [_BLK, _POS, _CNT, "_fl_s_in", "_fl_c_in"]
+    drop = [_BLK, _POS, "_fl_s_in", "_fl_c_in"]
     drop += [f"_fl_PS{k}" for k in range(1, n + 1)] + [f"_fl_PC{k}" for k in range(1, n + 1)]
     return out.drop(*drop)
 
