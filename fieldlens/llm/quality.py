@@ -234,12 +234,12 @@ def train_quality(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     return posterior, fit_scorer(picked.mapInArrow(hashed, "p double, slots binary").collect())
 
 
-def score_quality(docs: DataFrame, scorer: LinearScorer, posterior: dict, text_col: str = "text",
+def score_quality(docs: DataFrame, scorer: LinearScorer, posterior: dict | None = None, text_col: str = "text",
                   out: str = "quality") -> DataFrame:
     """``docs`` with ``out``: struct(score, weak_label, votes).
 
-    ``score`` is the scorer's probability of good, ``weak_label`` the posterior
-    of the document's votes.  A null or empty text has no votes and the scorer's
+    ``score`` is the scorer's probability of good; ``weak_label`` is the
+    posterior of the document's votes, both null without ``posterior``.  A null or empty text has no votes and the scorer's
     base rate.  Repeated rows are scored each, an empty table gives no row, and
     a column already called ``out`` is replaced.
     """
@@ -255,8 +255,9 @@ def score_quality(docs: DataFrame, scorer: LinearScorer, posterior: dict, text_c
         for batch in batches:
             res = []
             for t in batch.column(at).cast(pa.binary()).to_pylist():
-                v = votes(t)
-                res.append({"score": s.score(t), "weak_label": post.get(v, 0.5), "votes": list(v)})
+                v = votes(t) if post is not None else None
+                res.append({"score": s.score(t), "weak_label": post.get(v, 0.5) if v else None,
+                            "votes": list(v) if v else None})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(res, type=kind)],
                                              names=[*batch.schema.names, out])
 
@@ -266,9 +267,9 @@ def score_quality(docs: DataFrame, scorer: LinearScorer, posterior: dict, text_c
 
 def keep_good(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the classifier does not reject, columns unchanged."""
-    posterior, scorer = train_quality(docs, scratch, id_col, text_col)
+    _, scorer = train_quality(docs, scratch, id_col, text_col)
     name = fresh_name(docs, "quality")
-    return score_quality(docs, scorer, posterior, text_col, name) \
+    return score_quality(docs, scorer, None, text_col, name) \
         .filter(F.col(name)["score"] >= THRESHOLD).drop(name)
 
 
