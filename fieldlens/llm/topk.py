@@ -89,7 +89,7 @@ def _blocks(rows: DataFrame, size: int, seed: int) -> DataFrame:
     """(dim, block, ids, vs): rows gathered in blocks of about ``size`` by a
     hash of the id."""
     n = rows.groupBy(F.size("v").alias("dim")).count()
-    spread = rows.withColumn("dim", F.size("v")).join(F.broadcast(n), "dim").withColumn(
+    spread = rows.withColumn("dim", F.size("v")).join(n, "dim").withColumn(
         "block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.ceil(F.col("count") / size)).cast("int"))
     return spread.groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
 
