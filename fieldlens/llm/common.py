@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,6 +42,17 @@ def shuffle_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished, unreferenced jobs now.
+
+    Its cleaner acts when the driver's JVM collects garbage, which an idle heap
+    may put off for half an hour; an operator of several large exchanges, each
+    written to a table, would keep them all on the executors' disks until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unit_hash(*cols: Column | str, seed: int) -> Column:
     """Hash of the columns as a number in [0, 1)."""
     h = F.xxhash64(F.lit(seed), *cols)

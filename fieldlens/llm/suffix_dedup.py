@@ -34,15 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import TEXT_ROWS, shuffle_buckets, table
+from fieldlens.llm.common import TEXT_ROWS, free_shuffles, shuffle_buckets, table
 from fieldlens.session import Scratch
 
 DEPTH = 50
 GRAM = 16
-BLOCK_BYTES = 8 << 20
-PART_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
+PART_BYTES = 4 << 20
 HOT = 4096
 _CHUNK = 48_000
+_SLICE = 1 << 19
 _BITS = 48
 
 
@@ -99,7 +100,7 @@ def _gram_hash(buf: np.ndarray, at: int, n: int) -> np.ndarray:
 
 
 def window_runs(buf: np.ndarray, ends: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, anchor hash) of the runs of windows that share an
+    """(start, length, anchor number) of the runs of windows that share an
     anchor, in documents laid end to end in ``buf`` (their ends in ``ends``)."""
     n = len(buf) - depth + 1
     empty = np.zeros(0, np.int64)
@@ -309,21 +310,32 @@ def _regions(texts: pa.Table, shared: pa.Table, parts: int) -> pa.Table:
                      "packed": pa.array(packed, pa.binary()), "bytes": pa.array(data, pa.binary())})
 
 
-def _sort_windows(buf: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each window (its place in ``buf``, its id): whether an equal window
-    has a smaller id.  Sorted by hash, then checked byte by byte."""
-    h = window_hash(buf, at)
+def _sort_windows(buf: np.ndarray, at: np.ndarray, region: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """For each window (its place in ``buf``, its region; ``low`` is a region's
+    id): whether an equal window has a smaller id.  One pass deals the windows
+    by the top bits of their hash, so that only one slice is sorted at a time;
+    equal hashes are then checked byte by byte."""
+    h = np.concatenate([window_hash(buf, at[i:i + _SLICE]) for i in range(0, len(at), _SLICE)])
+    digit = (h >> np.uint64(60)).astype(np.uint8)
+    out = np.zeros(len(at), dtype=bool)
+    for d in range(16):
+        rows = np.flatnonzero(digit == d)
+        if len(rows):
+            out[rows] = _sort_slice(buf, at[rows], h[rows], low[region[rows]])
+    return out
+
+
+def _sort_slice(buf: np.ndarray, at: np.ndarray, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     order = np.argsort(h, kind="stable")
     hs = h[order]
     new = np.concatenate([[True], hs[1:] != hs[:-1]])
     view = np.lib.stride_tricks.sliding_window_view(buf, DEPTH)
-    bad = []
+    bad = [np.zeros(0, np.int64)]
     same = np.flatnonzero(~new)
-    for lo in range(0, len(same), 200_000):
-        i = same[lo:lo + 200_000]
-        differ = (view[at[order[i]]] != view[at[order[i - 1]]]).any(axis=1)
-        bad.append(i[differ])
-    bad = np.concatenate(bad) if bad else np.zeros(0, int)
+    for lo in range(0, len(same), _SLICE // 4):
+        i = same[lo:lo + _SLICE // 4]
+        bad.append(i[(view[at[order[i]]] != view[at[order[i - 1]]]).any(axis=1)])
+    bad = np.concatenate(bad)
     if len(bad):  # a hash collision: order those groups by their bytes
         group = np.cumsum(new) - 1
         for g in np.unique(group[bad]):
@@ -354,20 +366,24 @@ def _repeated(rows: pa.Table) -> pa.Table:
     size = np.concatenate([g[2] for g in got]).astype(np.int64)
     src = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
     n = size - DEPTH + 1
-    region = np.repeat(np.arange(len(n)), n)
-    offset = np.arange(len(region)) - np.repeat(np.cumsum(n) - n, n)
-    gone = _sort_windows(buf, np.repeat(np.cumsum(size) - size, n) + offset, low[region])
+    region = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    first = np.cumsum(n) - n  # number of a region's first window
+    at = np.arange(len(region), dtype=np.int32)
+    at += np.repeat((np.cumsum(size) - size - first).astype(np.int32), n)
+    gone = _sort_windows(buf, at, region, low)
+    del at
     edge = np.ones(len(region), dtype=bool)
     edge[1:] = (region[1:] != region[:-1]) | (gone[1:] != gone[:-1])
     at = np.flatnonzero(edge)
     length = np.diff(np.append(at, len(region)))
     at, length = at[gone[at]], length[gone[at]]
+    offset = at - first[region[at]]
     which = src[region[at]]
     cut = np.searchsorted(which, np.arange(len(got) + 1))
     full = [i for i in range(len(got)) if cut[i + 1] > cut[i]]
     return pa.table({
         "block": pa.array([blocks[i] for i in full], pa.int64()),
-        "runs": pa.array([pack(number[region[at[cut[i]:cut[i + 1]]]], offset[at[cut[i]:cut[i + 1]]].astype("<u4"),
+        "runs": pa.array([pack(number[region[at[cut[i]:cut[i + 1]]]], offset[cut[i]:cut[i + 1]].astype("<u4"),
                                length[cut[i]:cut[i + 1]].astype("<u4")) for i in full], pa.binary())})
 
 
@@ -448,11 +464,15 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     shared = scratch.table(
         _anchor_rows(blocks, parts).groupBy("part").applyInArrow(
             lambda t: _shared_anchors(t, hot), "block bigint, shared binary"), "shared")
+    free_shuffles(docs.sparkSession)
     regions = scratch.table(
         blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
             lambda a, b: _regions(a, b, parts), _REGION_TYPE), "regions")
+    scratch.drop("shared")
+    free_shuffles(docs.sparkSession)  # the text's and the anchors'
     found = scratch.table(
         regions.filter("kind = 'R'").groupBy("part").applyInArrow(_repeated, "block bigint, runs binary"), "found")
+    free_shuffles(docs.sparkSession)  # the regions'
     back = regions.filter("kind = 'O'").select("block", "kind", "packed", "bytes").unionByName(
         found.select("block", F.lit("G").alias("kind"), F.col("runs").alias("packed"),
                      F.lit(None).cast("binary").alias("bytes")))
