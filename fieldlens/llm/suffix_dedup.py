@@ -101,7 +101,9 @@ def _gram_hash(buf: np.ndarray, at: int, n: int) -> np.ndarray:
 
 def window_runs(buf: np.ndarray, ends: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, anchor number) of the runs of windows that share an
-    anchor, in documents laid end to end in ``buf`` (their ends in ``ends``)."""
+    anchor, in documents laid end to end in ``buf`` (their ends in ``ends``).
+    Anchors have the smallest hashes of their windows, so the number scrambles
+    the hash again: slices of its range then hold equal shares."""
     n = len(buf) - depth + 1
     empty = np.zeros(0, np.int64)
     if n <= 0:
@@ -130,7 +132,8 @@ def window_runs(buf: np.ndarray, ends: np.ndarray, depth: int = DEPTH) -> tuple[
         starts.append(s[good] + c)
         lengths.append(size[good])
         hashes.append(low[s[good]] >> np.uint64(16))
-    return np.concatenate(starts), np.concatenate(lengths), np.concatenate(hashes)
+    number = np.concatenate(hashes) * np.uint64(0xD6E8FEB86659FD93) & np.uint64((1 << _BITS) - 1)
+    return np.concatenate(starts), np.concatenate(lengths), number
 
 
 def window_hash(buf: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray:
