@@ -29,9 +29,9 @@ def yield_weather_days(yields: DataFrame, weather: DataFrame, *, county: str = "
         F.min(w_date).alias("first_day"),
         F.max(w_date).alias("last_day"),
     )
-    j = yields.join(wy, (state_key(yields[state]) == wy["_ws"]) & (yields[county] == wy["_wk"])
-                    & (yields[year] == wy["_wy"]), "inner")
-    return j.drop("_ws", "_wk", "_wy")
+    y = yields.withColumn("_sk", state_key(state))
+    j = y.join(wy, (y["_sk"] == wy["_ws"]) & (y[county] == wy["_wk"]) & (y[year] == wy["_wy"]), "inner")
+    return j.drop("_sk", "_ws", "_wk", "_wy")
 
 
 def left_join_dim(facts: DataFrame, dim: DataFrame, *, left_on: str, right_on: str,

@@ -137,13 +137,14 @@ def lookback_features(
         ]
     out_cols.append(rng(big, "_hot").cast("bigint").alias(f"hot{big}"))
     feats = per.select("_s", "_k", "_y", "_h", *out_cols)
-    y = yields.withColumn("_hd", F.unix_date(F.col(harvest).cast("date")))
+    # the state key is a column, so that a sort compares values, not lookups
+    y = yields.withColumns({"_hd": F.unix_date(F.col(harvest).cast("date")), "_sk": state_key(state)})
     j = y.join(
         feats,
-        (state_key(y[state]) == feats["_s"]) & (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_hd"] == feats["_h"]),
+        (y["_sk"] == feats["_s"]) & (y[county] == feats["_k"]) & (y[year] == feats["_y"]) & (y["_hd"] == feats["_h"]),
         "inner",
     )
-    return j.drop("_s", "_k", "_y", "_h", "_hd")
+    return j.drop("_s", "_k", "_y", "_h", "_hd", "_sk")
 
 
 def lookback_naive(
@@ -172,8 +173,8 @@ def lookback_naive(
     days = sorted(int(d) for d in days)
     big = days[-1]
     w = _weather_side(weather, w_state, w_county, w_date, precip, temp, tmax)
-    y = yields.withColumn("_hd", F.unix_date(F.col(harvest).cast("date")))
-    j = y.join(w, (state_key(y[state]) == w["_s"]) & (y[county] == w["_k"]) & (y[year] == w["_y"]), "inner")
+    y = yields.withColumns({"_hd": F.unix_date(F.col(harvest).cast("date")), "_sk": state_key(state)})
+    j = y.join(w, (y["_sk"] == w["_s"]) & (y[county] == w["_k"]) & (y[year] == w["_y"]), "inner")
     b = F.col("_hd") - F.col("_d")
     aggs = []
     for n in days:

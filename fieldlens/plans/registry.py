@@ -53,8 +53,7 @@ def register(name: str):
 
 @register("rolling_yield")
 def q_rolling_yield(spark, base):
-    y = bronze_yield(spark, base)
-    y = G.add_trailing_yield(y, tiebreak=TIEBREAK)
+    y = G.add_trailing_yield(A.yield_view(spark, base), tiebreak=TIEBREAK)
     return y.select("yield_id", "County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre",
                     G.AVG_COL)
 
@@ -94,14 +93,14 @@ def q_preharvest_naive(spark, base):
 
 def bronze_yield(spark: SparkSession, base: str) -> DataFrame:
     """The bronze yield table: the yield view written once to the shared
-    folder, since the gold plan reads it in several branches (block bounds,
-    window, tails, harvest-date probes)."""
+    folder, for plans that read it in several branches."""
     return materialize(A.yield_view(spark, base))
 
 
 def gold_analog(spark: SparkSession, base: str) -> DataFrame:
-    """The flagship gold table over the analog views."""
-    return G.gold_features(bronze_yield(spark, base), A.weather_view(spark, base),
+    """The flagship gold table over the analog views (the trailing window writes
+    the yields once, in blocks; every later branch reads those)."""
+    return G.gold_features(A.yield_view(spark, base), A.weather_view(spark, base),
                            tiebreak=TIEBREAK, hot_threshold=HOT, temp_type=TEMP_TYPE)
 
 
@@ -418,7 +417,7 @@ class Run:
             s = self.split
             tr, te = s.where("split = 'train'"), s.where("split = 'test'")
             model = EV.fit_key_mean(tr)
-            return (materialize(EV.predict_key_mean(tr, model), "pred_train"),
+            return (EV.predict_key_mean(tr, model),
                     materialize(EV.predict_key_mean(te, model), "pred_test"))
         return self.once("key_mean", build)
 
