@@ -8,8 +8,8 @@ bound on its score that the largest lower bound gives, and stops when the next
 bound is below its k-th best score; ties at the bound are still evaluated, so
 the answer is exact.
 
-Scale: candidates and queries lie in blocks of bounded size (a hash of the id,
-so copies spread).  Query blocks meet every candidate block by an equi join on
+Scale: candidates and queries lie in blocks of bounded size (a hash of the id
+and a stored row number, so that rows that repeat an id spread too).  Query blocks meet every candidate block by an equi join on
 the block number; a pair gives at most k rows a query, and the best k of those
 are merged per query.  Only the pivots (a fixed number) are broadcast.
 """
@@ -74,6 +74,11 @@ def best_of_block(queries, q_ids, q_piv, cands, c_ids, c_piv, k: int) -> list[tu
     return out
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a row number; write the table before it is read twice."""
+    return rows.withColumn("row", F.monotonically_increasing_id())
+
+
 def choose_pivots(vectors: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
     """For each vector length, ``n`` stored vectors as pivots: those whose id
     hashes lowest (bounded, the same for any layout)."""
@@ -86,11 +91,12 @@ def choose_pivots(vectors: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
 
 
 def _blocks(rows: DataFrame, size: int, seed: int) -> DataFrame:
-    """(dim, block, ids, vs): rows gathered in blocks of about ``size`` by a
-    hash of the id."""
+    """(dim, block, ids, vs): rows (id, v, row) gathered in blocks of about
+    ``size`` by a hash of the id and the stored row number, however many rows
+    repeat an id."""
     n = rows.groupBy(F.size("v").alias("dim")).count()
     spread = rows.withColumn("dim", F.size("v")).join(n, "dim").withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.ceil(F.col("count") / size)).cast("int"))
+        "block", F.pmod(F.xxhash64(F.lit(seed), "id", "row"), F.ceil(F.col("count") / size)).cast("int"))
     return spread.groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
 
 
@@ -123,9 +129,9 @@ def top_k(df: DataFrame, is_query: Column, scratch: Scratch, id_col: str = "vec_
     0).  Rows that repeat an id are candidates each, and never for a query of
     their own id.  Null ids take no part.  An empty table gives no row.
     """
-    vectors = scratch.table(integer_vectors(df, id_col, vec_col).filter("id IS NOT NULL"), "vectors")
-    asked = scratch.table(integer_vectors(df.filter(is_query), id_col, vec_col).filter("id IS NOT NULL")
-                          .dropDuplicates(["id", "v"]), "asked")
+    vectors = scratch.table(_numbered(integer_vectors(df, id_col, vec_col).filter("id IS NOT NULL")), "vectors")
+    asked = scratch.table(_numbered(integer_vectors(df.filter(is_query), id_col, vec_col).filter("id IS NOT NULL")
+                                    .dropDuplicates(["id", "v"])), "asked")
     sent = df.sparkSession.sparkContext.broadcast(choose_pivots(vectors, pivots))
     cands = scratch.table(_with_pivots(_blocks(vectors, BLOCK, 1), sent), "pivot_table")
     asks = scratch.table(_with_pivots(_blocks(asked, QUERY_BLOCK, 2), sent), "queries")

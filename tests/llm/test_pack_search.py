@@ -15,7 +15,7 @@ from fieldlens.llm.packing import (
     bin_patterns, default_tokenizer, encode_bytes, nnls, pack_documents, plan_packing,
 )
 from fieldlens.llm.sharding import document_digest, draw_matrix, shuffle_shards
-from fieldlens.llm.topk import top_k
+from fieldlens.llm.topk import _blocks, top_k
 from fieldlens.session import Scratch
 from tests.conftest import SF_SMALL
 
@@ -184,6 +184,20 @@ def test_top_k_brute_force(spark):
     assert got == slow_top(rows)
 
 
+def test_rows_that_repeat_an_id_spread_over_blocks(spark):
+    rng = np.random.default_rng(8)
+    rows = [(77, rng.normal(size=4).astype("f4").tolist()) for _ in range(2000)]
+    rows += [(i, rng.normal(size=4).astype("f4").tolist()) for i in range(1000, 1400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    dealt = df.selectExpr("vec_id AS id", "transform(embedding, x -> bigint(256 * x)) AS v",
+                          "monotonically_increasing_id() AS row").localCheckpoint()
+    sizes = [r[0] for r in _blocks(dealt, 100, 1).select(F.size("rows")).collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 200
+    with Scratch(spark, "t") as sc:
+        got = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 50 == 0, sc).collect())
+    assert got == slow_top(rows)
+
+
 # ---- decontamination
 
 def slow_marks(docs, items, window=10):
