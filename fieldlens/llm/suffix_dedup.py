@@ -18,10 +18,11 @@ Results go back to the text as runs of window starts.
 Scale: texts are written once as compressed blocks and only those blocks move.
 Per block an anchor, and a region, is one entry however many documents share
 it, so a passage or group of copies in a third of all documents is one entry a
-block.  An anchor in more than ``HOT`` blocks has its windows dealt one by one
-by their own bytes, which splits the differing surroundings of a common passage
-over all tasks.  A task's part is a slice of the hash range, sized by the
-corpus.
+block.  An anchor whose distinct regions, summed over the blocks, can hold more
+bytes than a part, or that stands in more than ``HOT`` blocks, has its windows
+dealt one by one by their own bytes, which splits the differing surroundings of
+a common passage over all tasks.  A task's part is a slice of the hash range,
+sized by the corpus.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ GRAM = 16
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 4 << 20
 HOT = 4096
+REGION_BYTES = 2 * DEPTH - GRAM  # of the longest region of one anchor
 _CHUNK = 48_000
 _SLICE = 1 << 19
 _BITS = 48
@@ -200,41 +202,61 @@ def _part_edges(parts: int) -> np.ndarray:
     return (np.arange(parts, dtype=np.uint64) * np.uint64((1 << _BITS) // parts)).astype(np.uint64)
 
 
+def _block_anchors(b: Block) -> tuple[np.ndarray, ...]:
+    """(anchor, smallest id, largest id, distinct regions) of a block's
+    distinct anchors.  A region is told by its first and last window, which
+    cover it."""
+    s, n, h, doc = b.runs()
+    if not len(h):
+        return h, b.ids[:0], b.ids[:0], np.zeros(0, np.int64)
+    region = np.empty(len(h), np.uint64)
+    for i in range(0, len(h), _SLICE):
+        at, size = s[i:i + _SLICE], n[i:i + _SLICE]
+        region[i:i + _SLICE] = window_hash(b.buf, at) + np.uint64(0x9E3779B97F4A7C15) * _mix(
+            window_hash(b.buf, at + size - 1) + size.astype(np.uint64))
+    order = np.lexsort((region, h))
+    h, ids, region = h[order], b.ids[doc[order]], region[order]
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    at = np.flatnonzero(new)
+    new[1:] |= region[1:] != region[:-1]
+    return (h[at], np.minimum.reduceat(ids, at), np.maximum.reduceat(ids, at),
+            np.add.reduceat(new.astype(np.int64), at))
+
+
 def _anchor_rows(blocks: DataFrame, parts: int) -> DataFrame:
     """(part, block, packed): a block's distinct anchors of one part with the
-    smallest id and the distance to the largest id that hold them."""
+    smallest id and the distance to the largest id that hold them, and the
+    number of their distinct regions."""
     edges = _part_edges(parts)
 
     def run(batches):
         for batch in batches:
             for block, *cols in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                b = Block(*cols)
-                _, _, h, doc = b.runs()
-                order = np.argsort(h, kind="stable")
-                h, ids = h[order], b.ids[doc[order]]
-                at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
-                if not len(at):
+                h, low, high, regions = _block_anchors(Block(*cols))
+                if not len(h):
                     continue
-                h, low, high = h[at], np.minimum.reduceat(ids, at), np.maximum.reduceat(ids, at)
                 cut = np.append(np.searchsorted(h, edges), len(h))
                 full = np.flatnonzero(cut[1:] > cut[:-1])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(full, pa.int32()), pa.array(np.full(len(full), block), pa.int64()),
                     pa.array([pack(h[cut[p]:cut[p + 1]], low[cut[p]:cut[p + 1]],
-                                   (high - low)[cut[p]:cut[p + 1]]) for p in full], pa.binary())],
+                                   (high - low)[cut[p]:cut[p + 1]],
+                                   regions[cut[p]:cut[p + 1]].astype("<u4")) for p in full], pa.binary())],
                     names=["part", "block", "packed"])
 
     return blocks.mapInArrow(run, "part int, block bigint, packed binary")
 
 
-def _shared_anchors(rows: pa.Table, hot: int) -> pa.Table:
+def _shared_anchors(rows: pa.Table, hot: int, most: int) -> pa.Table:
     """Of one part: for each block, its anchors that stand in two documents or
-    more (of any block), with a flag for those in more than ``hot`` blocks."""
+    more (of any block), with a flag for those in more than ``hot`` blocks or
+    with more than ``most`` distinct regions, summed over the blocks."""
     blocks = rows.column("block").to_pylist()
-    got = [unpack(p, "<u8", "<i8", "<i8") for p in rows.column("packed").to_pylist()]
+    got = [unpack(p, "<u8", "<i8", "<i8", "<u4") for p in rows.column("packed").to_pylist()]
     h = np.concatenate([g[0] for g in got])
     low = np.concatenate([g[1] for g in got])
     high = low + np.concatenate([g[2] for g in got])
+    regions = np.concatenate([g[3] for g in got])
     src = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
     order = np.argsort(h, kind="stable")
     hs = h[order]
@@ -242,7 +264,8 @@ def _shared_anchors(rows: pa.Table, hot: int) -> pa.Table:
     n = np.diff(np.append(at, len(hs)))
     shared = np.minimum.reduceat(low[order], at) != np.maximum.reduceat(high[order], at)
     keep = order[np.repeat(shared, n)]
-    flag = np.repeat(n > hot, n)[np.repeat(shared, n)]
+    large = (n > hot) | (np.add.reduceat(regions[order].astype(np.int64), at) > most)
+    flag = np.repeat(large, n)[np.repeat(shared, n)]
     by = np.argsort(src[keep], kind="stable")
     keep, flag = keep[by], flag[by]
     cut = np.searchsorted(src[keep], np.arange(len(got) + 1))
@@ -452,7 +475,7 @@ def _cut_block(texts: pa.Table, found: pa.Table, with_kept: bool) -> pa.Table:
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-                   with_kept: bool = False, hot: int = HOT) -> DataFrame:
+                   with_kept: bool = False, hot: int = HOT, part_bytes: int = PART_BYTES) -> DataFrame:
     """(id, n_bytes, spans, kept_sha256, kept with ``with_kept``) of every row.
 
     ``spans`` are the maximal removed runs as byte offsets; ``kept`` the other
@@ -463,10 +486,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     """
     blocks = scratch.table(text_blocks(docs, id_col, text_col), "blocks", arrow_rows=TEXT_ROWS)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("binary")).cast("bigint"))).head()[0] or 0
-    parts = max(shuffle_buckets(docs.sparkSession), -(-int(total) // PART_BYTES))
+    parts = max(shuffle_buckets(docs.sparkSession), -(-int(total) // part_bytes))
     shared = scratch.table(
         _anchor_rows(blocks, parts).groupBy("part").applyInArrow(
-            lambda t: _shared_anchors(t, hot), "block bigint, shared binary"), "shared")
+            lambda t: _shared_anchors(t, hot, part_bytes // REGION_BYTES), "block bigint, shared binary"), "shared")
     free_shuffles(docs.sparkSession)
     regions = scratch.table(
         blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(

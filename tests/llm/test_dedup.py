@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from fieldlens.llm import suffix_dedup
 from fieldlens.llm.components import connected_components
 from fieldlens.llm.line_dedup import drop_boilerplate
 from fieldlens.llm.simhash import (
@@ -215,6 +216,48 @@ def test_suffix_dedup_brute_force(spark, hot):
     assert sorted(got, key=str) == slow_spans(rows)
 
 
+def phrase_docs(n):
+    """A phrase in differing surroundings, of which a few repeat."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=60))
+    ends = [word() for _ in range(5)]
+    rows = [(i, word() + "the phrase that stands in every document, whatever" + (ends[i % 5] if i % 3 else word()))
+            for i in range(n)]
+    return rows + [(n + i, rows[i][1]) for i in range(20)]
+
+
+def test_anchor_larger_than_a_part_is_dealt_by_window():
+    """One block already holds more regions of an anchor than a part may."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    texts = [t.encode() for _, t in phrase_docs(2000)]
+    cols = (pack(np.arange(len(texts), dtype="<i8")), pack(np.ones(len(texts), "u1")),
+            pack(np.cumsum([len(t) for t in texts]).astype("<i8")), zstandard.compress(b"".join(texts)))
+    h, low, high, regions = suffix_dedup._block_anchors(suffix_dedup.Block(*cols))
+    assert 1500 < regions.max() <= 2000
+    rows = pa.table({"block": [0], "packed": [pack(h, low, high - low, regions.astype("<u4"))]})
+    most = []
+    for limit in (10**6, 100):
+        shared = suffix_dedup._shared_anchors(rows, 4096, limit)
+        got = suffix_dedup._regions(pa.table({"block": [0], **{k: [v] for k, v in zip(
+            ("ids", "known", "ends", "texts"), cols)}}), shared, 64).to_pylist()
+        most.append(max(len(unpack(r["packed"], "<u4", "<i8", "<u4")[0]) for r in got if r["kind"] == "R"))
+    assert most[0] > 1500
+    windows = sum(len(unpack(r["packed"], "<u4", "<i8", "<u4")[0]) for r in got if r["kind"] == "R")
+    assert most[1] < 2 * windows / 64
+
+
+def test_large_anchors_give_the_same_spans(spark):
+    rows = phrase_docs(300)
+    df = spark.createDataFrame(rows, DOCS).repartition(5)
+    with Scratch(spark, "t") as sc:
+        got = [(r.doc_id, r.n_bytes, sum(s.end_byte - s.first_byte for s in r.spans), len(r.spans), r.kept_sha256,
+                bytes(r.kept)) for r in repeated_spans(df, sc, with_kept=True, part_bytes=4000).collect()]
+    assert sorted(got, key=str) == slow_spans(rows)
+
+
 def test_packed_arrays_round_trip():
     import numpy as np
 
