@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import TEXT_ROWS, rank_in_groups, table
+from fieldlens.llm.common import TEXT_ROWS, fresh_name, rank_in_groups, table
 from fieldlens.session import Scratch
 
 SIZE = 2048
@@ -273,8 +273,9 @@ def _best_fit(plan: Plan, length: int, count: int, gaps, size: int) -> None:
             plan.sequences += m
 
 
-def place(pieces: DataFrame, plan: Plan, id_col: str, size: int) -> DataFrame:
-    """``pieces`` (written table) with sequence_id and offset from the plan."""
+def place(pieces: DataFrame, plan: Plan, row: str) -> DataFrame:
+    """``pieces`` (written table, its rows numbered in ``row``) with sequence_id
+    and offset from the plan, without the numbers."""
     by_length: dict[int, tuple] = {}
     for length in plan.used:
         by_length[length] = ([], [], [])
@@ -283,12 +284,13 @@ def place(pieces: DataFrame, plan: Plan, id_col: str, size: int) -> DataFrame:
             store.append(v)
     sent = pieces.sparkSession.sparkContext.broadcast(
         {k: tuple(np.asarray(x, dtype=np.int64) for x in v) for k, v in by_length.items()})
-    ranked = rank_in_groups(pieces, ["length"], [id_col, "piece", "ids_crc32"], "rank")
-    names = [*pieces.columns, "sequence_id", "offset"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    ranked = rank_in_groups(pieces, ["length"], [row], "rank")
+    kept = [f for f in pieces.schema.fields if f.name != row]
+    names = [*(f.name for f in kept), "sequence_id", "offset"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     at_length = ranked.columns.index("length")
     at_rank = ranked.columns.index("rank")
-    keep = [ranked.columns.index(c) for c in pieces.columns]
+    keep = [ranked.columns.index(f.name) for f in kept]
 
     def look_up(batches):
         slots = sent.value
@@ -315,12 +317,14 @@ def pack_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     Null and empty texts are one end token; texts of any length are cut into
     ``size``-token pieces; repeated rows are packed as often as they occur
     (their pieces are alike, so which copy sits where is free); null ids pass
-    through; an empty table gives no row.  Extra columns are not read.
+    through; an empty table gives no row.  Extra columns are not read.  Pieces
+    are ranked by a stored row number, so copies spread over the slices.
     """
-    pieces = scratch.table(token_pieces(docs, id_col, text_col, size, 0, tokenizer_path, with_ids),
-                           "pieces", arrow_rows=TEXT_ROWS)
+    cut = token_pieces(docs, id_col, text_col, size, 0, tokenizer_path, with_ids)
+    row = fresh_name(cut, "__row")
+    pieces = scratch.table(cut.withColumn(row, F.monotonically_increasing_id()), "pieces", arrow_rows=TEXT_ROWS)
     hist = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # <= size rows
-    return place(pieces, plan_packing(hist, size), id_col, size)
+    return place(pieces, plan_packing(hist, size), row)
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:

@@ -103,6 +103,25 @@ def test_pack_documents(spark):
     assert len(by) <= 1.05 * sum(w[3] for w in want) / 2048 + 2
 
 
+def test_copies_of_a_piece_spread_over_the_slices(spark, monkeypatch):
+    from fieldlens.llm import packing
+    from fieldlens.llm.common import unit_hash
+
+    seen = []
+
+    def spy(df, group, order, out, **kw):
+        seen.append([r[0] for r in df.groupBy(F.floor(unit_hash(*order, seed=11) * 8)).agg(F.count("*")).select("count(1)").collect()])
+        return rank_in_groups(df, group, order, out, **kw)
+
+    rank_in_groups = packing.rank_in_groups
+    monkeypatch.setattr(packing, "rank_in_groups", spy)
+    df = spark.createDataFrame([(1, "one two three")] * 400 + [(2, "four")] * 3, DOCS).repartition(4)
+    with Scratch(spark, "t") as sc:
+        got = pack_documents(df, sc).collect()
+    assert len(got) == 403 and len({(r.sequence_id, r.offset) for r in got}) == 403
+    assert sum(seen[0]) == 403 and max(seen[0]) < 120
+
+
 # ---- sharding
 
 def test_matrix_has_exact_margins_and_the_right_spread():
