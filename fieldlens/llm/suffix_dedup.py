@@ -1,16 +1,19 @@
-"""Repeated byte windows by a depth-limited most-significant-digit radix sort.
+"""Repeated byte windows by minimizer anchors and a verified hash sort.
 
 A byte is removed if a ``DEPTH``-byte string covering it also starts in a
-document with a smaller id.  Suffixes are ordered only through ``DEPTH`` bytes,
-by passes that each look only at what the pass before left together:
+document with a smaller id.  Only equality through ``DEPTH`` bytes counts, so no
+byte order is made: anchors and hashes replace a most-significant-digit radix
+sort's passes over the bytes.
 
-1. Digit one of a window is its anchor, the ``GRAM`` bytes inside it with the
+1. A window's anchor is the ``GRAM`` bytes inside it with the
    smallest hash (leftmost on a tie).  Equal windows have equal anchors, and
    neighbouring windows mostly share theirs, so a run of windows is one entry.
    Anchors are dealt by their hash; an anchor found in one document only ends
    there with all its windows.
 2. The windows of the remaining anchors are dealt by anchor as regions (a run
-   of windows and its bytes once) and sorted by all their bytes.  Equal groups
+   of windows and its bytes once) and sorted by a 64-bit hash of their bytes,
+   one slice of the hash range at a time.  Neighbours of equal hash are compared
+   byte by byte, and sorted by their bytes if a hash collides, so equal groups
    are exactly the repeated windows; each group's smallest id decides.
 
 Results go back to the text as runs of window starts.
