@@ -9,7 +9,8 @@ stage's documents, so a lost executor repeats at most one stage.
 Stages: the quality classifier rejects documents; line dedup cuts cross-site
 boilerplate lines (documents stay, a text may become empty); one document of
 each SimHash group stays; documents with a benchmark window go; what is left is
-packed into sequences of at most 2048 tokens.  Null and empty texts, repeated
+packed into sequences of at most 2048 tokens, each piece with its token ids
+(little-endian unsigned 32-bit).  Null and empty texts, repeated
 rows and empty tables have the results their operators document.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm.common import table
+from fieldlens.llm.common import TEXT_ROWS, table
 from fieldlens.llm.decontaminate import drop_contaminated
 from fieldlens.llm.line_dedup import drop_boilerplate
 from fieldlens.llm.packing import pack_documents
@@ -51,7 +52,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with Scratch(spark, "stage-packing") as scratch:
-        out = scratch.table(pack_documents(docs, scratch), "out")
+        out = scratch.table(pack_documents(docs, scratch, with_ids=True), "out", arrow_rows=TEXT_ROWS)
         scratch.keep("out")
         return out
 

@@ -57,6 +57,20 @@ def test_stages_one_after_the_other(spark):
         tuple(r)[:5] for r in sorted(rows[5])]
 
 
+def test_the_last_stage_holds_the_tokens(spark):
+    """Sequences and documents can be built from the result alone."""
+    from fieldlens.llm.packing import encode_bytes
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    rows = corpus_pipeline.pack(spark, docs, SF_SMALL).collect()
+    assert all(len(r.ids) == 4 * r.length for r in rows)
+    want = {r.doc_id: b + bytes(4) for r, b in ((r, encode_bytes([r.text])[0]) for r in docs.collect())}
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        got[r.doc_id] = got.get(r.doc_id, b"") + bytes(r.ids)
+    assert got == want
+
+
 def test_stages_take_odd_rows(spark):
     rows = [(1, None, None, None, None), (1, None, None, None, None), (None, "a b c", "en", "s", 5), (2, "", "en", "s", 0),
             (3, "long " * 30000, "en", "s", 150000)]
