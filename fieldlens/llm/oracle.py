@@ -87,3 +87,63 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, v.r, CAST(sum(q.x * v.x) AS BIGINT)
 k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
 """
+
+# code points are DuckDB's characters; the cuts come from the id's sha256
+ORACLE["op12_fim"] = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+g AS (SELECT *, ('0x' || substr(d, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(d, 9, 8))::BIGINT % (n + 1) AS c2,
+  ('0x' || substr(d, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(d, 25, 8))::BIGINT % 100 AS h4 FROM h),
+f AS (SELECT doc_id, t, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+       WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+         ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+# crc32 bit by bit over the id's digits, Merkle levels by recursion
+ORACLE["op11_merkle"] = """
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS r, *, CAST(doc_id AS VARCHAR) AS k FROM documents),
+c AS (SELECT r, xor(list_reduce([4294967295] || list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)),
+    lambda a, x: list_reduce([xor(a, x)] || [0, 0, 0, 0, 0, 0, 0, 0],
+      lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)), 4294967295) % 7 = 0 AS tampered FROM d),
+f AS (SELECT r, doc_id, lang, tampered, n_chars, coalesce(strlen(k) || ':' || k, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail FROM d JOIN c USING (r)),
+l AS (SELECT r, doc_id, coalesce('=' || lang, '') AS g,
+    sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + CAST(coalesce(tampered, FALSE) AS INT) AS VARCHAR)) || ':'
+      || CAST(n_chars + CAST(coalesce(tampered, FALSE) AS INT) AS VARCHAR), '-') || tail) AS seen FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+  count(*) OVER (PARTITION BY g) AS n FROM l),
+t(g, lev, pos, n, h) AS (
+  SELECT g, 0, pos, n, leaf FROM p
+  UNION ALL
+  SELECT g, lev + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1
+  GROUP BY g, lev, pos // 2, n),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lev, pos, n, h) AS (
+  SELECT 0, pos, n, subroot FROM s
+  UNION ALL
+  SELECT lev + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1
+  GROUP BY lev, pos // 2, n),
+steps AS (
+  SELECT p.r, t.lev AS lev, CASE (p.pos >> t.lev) % 2 WHEN 1 THEN 'L' ELSE 'R' END AS side, b.h
+  FROM p JOIN t ON t.g = p.g AND t.pos = p.pos >> t.lev AND t.n > 1
+  LEFT JOIN t b ON b.g = t.g AND b.lev = t.lev AND b.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT p.r, 1000 + u.lev, CASE (s.pos >> u.lev) % 2 WHEN 1 THEN 'L' ELSE 'R' END, b.h
+  FROM p JOIN s USING (g) JOIN u ON u.pos = s.pos >> u.lev AND u.n > 1
+  LEFT JOIN u b ON b.lev = u.lev AND b.pos = xor(u.pos, 1)),
+paths AS (SELECT r, list(side || coalesce(h, '') ORDER BY lev) AS path, string_agg(coalesce(h, ''), '' ORDER BY lev) AS proof
+  FROM steps GROUP BY r),
+z AS (SELECT doc_id, leaf, subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+  list_reduce([seen] || coalesce(path, []), lambda a, x: CASE WHEN x[1] = 'L' THEN sha256(x[2:] || a) ELSE sha256(a || x[2:]) END)
+    AS folded_root FROM p JOIN s USING (g) LEFT JOIN paths USING (r))
+SELECT *, folded_root = root AS verified FROM z
+"""

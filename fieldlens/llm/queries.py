@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from fieldlens.llm.ann import op13_nearest
 from fieldlens.llm.common import table
 from fieldlens.llm.decontaminate import contamination_report
+from fieldlens.llm.fim import op12_fim
 from fieldlens.llm.license_scan import op3_license_scan
 from fieldlens.llm.line_dedup import op4_line_dedup
+from fieldlens.llm.merkle import op11_merkle
 from fieldlens.llm.oracle import ORACLE as _SQL
 from fieldlens.llm.packing import op6_packing
 from fieldlens.llm.quality import op10_quality
@@ -33,6 +36,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
+    "op12_fim": op12_fim,
+    "op13_nearest": op13_nearest,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {k: v for k, v in _SQL.items() if k in QUERIES}
