@@ -227,7 +227,7 @@ def _search(entries: DataFrame, asked: DataFrame, index: CrossPolytope, probes:
     queries = scratch.table(_hashed(asked, index, probes), f"queries{dim}")
     parts = _block_counts(rows, ROW_BLOCK)
     q = _blocks(queries, _block_counts(queries, QUERY_BLOCK), "q").drop("part").join(parts, ["tab", "bucket"])
-    q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).cast("bigint"))
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     pairs = q.join(_blocks(rows, parts, "c"), ["tab", "bucket", "part"]).select(
         "q_vid", "q_v", "c_vid", "c_first", "c_v")
 

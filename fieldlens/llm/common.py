@@ -5,8 +5,10 @@ from __future__ import annotations
 import gc
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Byte tables: only A-Z change case; every other ASCII byte outside 0-9 a-z
 # separates words.  UTF-8 bytes of other characters are never touched, so the
@@ -38,6 +40,19 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def map_arrow(df: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name (Spark's own fails
+    on a dot): columns travel under their positions, ``run`` must not ask for
+    names."""
+    places = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def placed(batches):
+        for b in run(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, names=places.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(placed, places).toDF(*schema.names)
+
+
 def shuffle_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.common import TEXT_ROWS, fresh_name, table
+from fieldlens.llm.common import TEXT_ROWS, fresh_name, map_arrow, table
 from fieldlens.session import Scratch
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -130,7 +130,7 @@ def fill_in_middle(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cols += [pa.array([r[j] for r in made], pa.string() if j == 1 else pa.int64()) for j in range(4)]
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in out])
 
-    return df.mapInArrow(run, out)
+    return map_arrow(df, run, out)
 
 
 def restore(df: DataFrame, text_col: str = "text", form_col: str = "form", out_col: str = "restored") -> DataFrame:
@@ -147,7 +147,7 @@ def restore(df: DataFrame, text_col: str = "text", form_col: str = "form", out_c
                 [*batch.columns, pa.array(back, pa.binary()).cast(batch.schema.field(at).type)],
                 names=[f.name for f in out])
 
-    return df.mapInArrow(run, out)
+    return map_arrow(df, run, out)
 
 
 def op12_fim(spark, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ from fieldlens.session import Scratch
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 BLOCK_ROWS = 1024
 _STEP = "struct<left:string,right:string>"
+EMPTY = "''"
 
 
 def digest(*parts: Column) -> Column:
@@ -85,63 +86,64 @@ def climb(nodes: DataFrame, fanout: int, levels: int, paths: bool) -> DataFrame:
     first row of a block the block's root.  With ``paths`` every row also gets
     ``path``: its steps on these levels.
     """
-    df = nodes
+    df, base = nodes, [c for c in nodes.columns if c != "h"]
     w = Window.partitionBy("g", "blk").orderBy("pos")
-    steps = []
+    steps, apart = [], range(1, fanout)
     for level in range(levels):
         stride = fanout ** level
-        df = df.withColumns({
-            **{f"_b{j}": F.lag("h", j * stride).over(w) for j in range(1, fanout)},
-            **{f"_a{j}": F.lead("h", j * stride).over(w) for j in range(1, fanout)}})
-        index = F.expr(f"pos div {stride}")
-        count = F.expr(f"(n + {stride - 1}) div {stride}")  # nodes of the group on this level
-        slot = F.pmod(index, F.lit(fanout))
-        run = F.least(F.lit(fanout), count - (index - slot))
-        none = F.lit("")
-        left = F.concat(*[F.when(slot >= j, F.col(f"_b{j}")).otherwise(none) for j in reversed(range(1, fanout))])
-        right = F.concat(*[F.when(slot + j < run, F.col(f"_a{j}")).otherwise(none) for j in range(1, fanout)])
-        heads = F.col("pos") % stride == 0  # a row that carries a node of this level
-        step = F.when(heads, F.struct(left.alias("left"), right.alias("right"), (count > 1).alias("live")))
+        df = df.select("*", *[F.lag("h", j * stride).over(w).alias(f"_b{j}") for j in apart],
+                       *[F.lead("h", j * stride).over(w).alias(f"_a{j}") for j in apart])
+        # nodes of the group on this level, the node's slot in its run, the run's length
+        count = f"((n + {stride - 1}) div {stride})"
+        slot = f"(pos div {stride} % {fanout})"
+        run = f"least({fanout}, {count} - (pos div {stride} - {slot}))"
+        left = f"concat({', '.join(f'if({slot} >= {j}, _b{j}, {EMPTY})' for j in reversed(apart))})"
+        right = f"concat({', '.join(f'if({slot} + {j} < {run}, _a{j}, {EMPTY})' for j in apart)})"
+        head = f"pos % {stride} = 0"  # a row that carries a node of this level
+        now = []
         if paths:
-            df = df.withColumn(f"_s{level}", step)
-            steps.append(f"_s{level}")
-        parent = F.when(heads & (slot == 0), F.when(count > 1, F.sha2(
-            F.concat(F.col("h"), right).cast("binary"), 256)).otherwise(F.col("h")))
-        df = df.withColumn("h", parent).drop(*[f"_{s}{j}" for s in "ab" for j in range(1, fanout)])
-    if paths:
-        # a node's step stands on its first row: carry it to the node's other rows
-        filled = [F.last(s, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(s)
-                  for s in steps]
-        df = df.select(*[c for c in df.columns if c not in steps], *filled)
-        df = df.withColumn("path", F.array(*[
-            F.when(F.col(f"{s}.live"), F.struct(f"{s}.left", f"{s}.right")).cast(_STEP) for s in steps])).drop(*steps)
-    return df.withColumnRenamed("h", "top")
+            now = [F.expr(f"if({head}, named_struct('left', {left}, 'right', {right}, 'live', {count} > 1), null)")
+                   .alias(f"_s{level}")]
+        parent = f"if({head} AND {slot} = 0, if({count} > 1, sha2(cast(concat(h, {right}) AS binary), 256), h), null)"
+        df = df.select(*base, *steps, *now, F.expr(parent).alias("h"))
+        steps += [f"_s{level}"] if paths else []
+    if not paths:
+        return df.withColumnRenamed("h", "top")
+    # a node's step stands on its first row: carry it to the node's other rows
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.select(*base, F.col("h").alias("top"), *[F.last(s, ignorenulls=True).over(upto).alias(s) for s in steps])
+    path = F.array(*[F.when(F.col(f"{s}.live"), F.struct(f"{s}.left", f"{s}.right")).cast(_STEP) for s in steps])
+    return df.select(*base, "top", path.alias("path"))
 
 
 def _tree(nodes: DataFrame, scratch: Scratch, name: str, fanout: int, levels: int, carry: Sequence[str]) -> DataFrame:
     """(g, carried columns, path, subroot) of every row of the written ``nodes``
     (g, pos, n, h, carried columns)."""
-    size = fanout ** levels
-    blk = F.expr(f"pos div {size}").alias("blk")
     widest = nodes.agg(F.max("n")).head()[0] or 0
-    passes = [nodes]
+    passes, climbs = [nodes], []
     while widest > 1:
-        roots = climb(passes[-1].select("g", "pos", "n", "h", blk), fanout, levels, False).where(
+        m = 1  # levels of this pass: as many as the widest group needs
+        while m < levels and fanout ** m < widest:
+            m += 1
+        size = fanout ** m
+        roots = climb(passes[-1].select("g", "pos", "n", "h", F.expr(f"pos div {size} AS blk")), fanout, m, False).where(
             F.col("pos") % size == 0).select("g", F.col("blk").alias("pos"),
                                              F.expr(f"(n + {size - 1}) div {size}").alias("n"), F.col("top").alias("h"))
         passes.append(scratch.table(roots, f"{name}{len(passes)}"))
+        climbs.append(m)
         widest = -(-widest // size)
+    none = F.array().cast(f"array<{_STEP}>").alias("path")
+    if not climbs:
+        return nodes.select("g", "pos", *carry, none, F.col("h").alias("subroot"))
     # from the last pass (one node a group) down: a row's path, then its block's
-    above = passes[-1].select("g", "pos", F.array().cast(f"array<{_STEP}>").alias("path"), F.col("h").alias("subroot"))
-    for i in range(len(passes) - 2, -1, -1):
-        cols = list(carry) if i == 0 else []
+    above = passes[-1].select("g", "pos", none, F.col("h").alias("subroot"))
+    for i in range(len(climbs) - 1, -1, -1):
+        cols, size = list(carry) if i == 0 else [], fanout ** climbs[i]
         up = above.select(F.col("g").alias("_g"), F.col("pos").alias("_p"), F.col("path").alias("_up"), "subroot")
-        joined = passes[i].select("*", blk).join(up, (F.col("g") == F.col("_g")) & (F.col("blk") == F.col("_p")))
-        above = climb(joined.drop("_g", "_p"), fanout, levels, True).select(
+        joined = passes[i].select("*", F.expr(f"pos div {size} AS blk")).join(
+            up, (F.col("g") == F.col("_g")) & (F.col("blk") == F.col("_p")))
+        above = climb(joined.drop("_g", "_p"), fanout, climbs[i], True).select(
             "g", "pos", *cols, F.concat("path", "_up").alias("path"), "subroot")
-    if len(passes) == 1:
-        above = nodes.select("g", "pos", *carry, F.array().cast(f"array<{_STEP}>").alias("path"),
-                             F.col("h").alias("subroot"))
     return above
 
 
