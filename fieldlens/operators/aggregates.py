@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.session import materialize
+from fieldlens.session import materialize_observed
 
 
 def exact_mean(c: Column | str) -> Column:
@@ -36,11 +36,13 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], pivot: str, values: Sequence[
     """E1+E2 in one step: one row per key, one column per pivot value holding
     the mean of ``value``.  Rows with a null key are dropped first.  With
     ``drop_unseen`` a requested pivot value that no remaining row has gives no
-    column (as a pandas pivot over the data does).
+    column (as a pandas pivot over the data does), so the schema depends on
+    the data; without it every value has its column, null where unseen.
 
     One aggregate with a conditional sum and count per listed value: one
     shuffle and one pass over the input.  For ``drop_unseen`` the (already
-    aggregated) result is written and asked which values it holds.
+    aggregated) result is written, and the write itself observes which values
+    it holds.
     """
     k = list(keys)
     cond = F.lit(True)
@@ -52,7 +54,6 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], pivot: str, values: Sequence[
         *[F.count(F.when(is_v, 1)).alias(f"_n{i}") for i, is_v in enumerate(of)])
     shown = list(range(len(values)))
     if drop_unseen and shown:
-        wide = materialize(wide, "pivot")
-        n = wide.agg(*[F.max(f"_n{i}").alias(f"_n{i}") for i in shown]).head()
+        wide, n = materialize_observed(wide, [F.max(f"_n{i}").alias(f"_n{i}") for i in shown], "pivot")
         shown = [i for i in shown if n[f"_n{i}"]]
     return wide.select(*k, *[F.col(f"_m{i}").alias(values[i]) for i in shown])

@@ -18,7 +18,8 @@ from fieldlens.operators.aggregates import exact_mean
 from fieldlens.operators.quantiles import exact_quantiles, exact_quantiles_of
 from fieldlens.session import materialize
 
-ROW_KEY_COLS = ["County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre"]
+ROW_KEY_COLS = ["State", "County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre"]
+KEYS = ("State", "County", "Crop")
 TARGET = "Yield_Per_Acre"
 PRED = "Predicted_Yield"
 
@@ -40,7 +41,7 @@ def assign_folds(df: DataFrame, *, folds: int = 5, out: str = "fold") -> DataFra
     return df.withColumn(out, hash_bucket(row_key(), folds, salt=1).cast("int"))
 
 
-def fit_key_mean(train: DataFrame, keys: Sequence[str] = ("County", "Crop"),
+def fit_key_mean(train: DataFrame, keys: Sequence[str] = KEYS,
                  target: str = TARGET) -> tuple[DataFrame, float | None]:
     """Baseline model: mean target per key, plus the global mean for unseen
     keys (one scalar).
@@ -60,7 +61,7 @@ def fit_key_mean(train: DataFrame, keys: Sequence[str] = ("County", "Crop"),
 
 
 def predict_key_mean(df: DataFrame, model: tuple[DataFrame, float | None],
-                     keys: Sequence[str] = ("County", "Crop"), out: str = PRED) -> DataFrame:
+                     keys: Sequence[str] = KEYS, out: str = PRED) -> DataFrame:
     per_key, glob = model
     j = df.join(per_key, list(keys), "left")
     return j.withColumn(out, F.coalesce(F.col("_km"), F.lit(glob).cast("double"))).drop("_km")
@@ -126,11 +127,11 @@ def predictions_report(pred: DataFrame) -> DataFrame:
 
 
 def yearly_actual_vs_pred(pred: DataFrame, digits: int = 6) -> DataFrame:
-    """Mean actual and mean predicted yield per county, crop and year."""
-    return pred.groupBy("County", "Crop", "Year").agg(
+    """Mean actual and mean predicted yield per state, county, crop and year."""
+    return pred.groupBy(*KEYS, "Year").agg(
         exact_mean(TARGET).alias("Avg_Yield"),
         F.round(F.avg(PRED), digits).alias("Avg_Predicted"),
-    ).orderBy("Year", "County", "Crop")
+    ).orderBy("Year", *KEYS)
 
 
 # The heat-stress threshold (days above the hot limit in the 90

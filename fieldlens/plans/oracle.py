@@ -54,7 +54,7 @@ Y5 = """y5 AS (
   SELECT *, CAST(sum(Yield_Per_Acre) OVER w AS DOUBLE) / count(Yield_Per_Acre) OVER w
             AS "5_Year_Avg_Yield"
   FROM yield_v
-  WINDOW w AS (PARTITION BY County, Crop ORDER BY Year, Harvest_Date, yield_id
+  WINDOW w AS (PARTITION BY State, County, Crop ORDER BY Year, Harvest_Date, yield_id
                ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))"""
 
 YS = """ys AS (
@@ -83,7 +83,7 @@ FROM j GROUP BY {key}"""
 
 J_YW = """j AS (
   SELECT ys.*, wt.PRCP, wt.TAVG_Cleaned, wt.TMAX, datediff('day', wt.date, ys.Harvest_Date) AS b
-  FROM ys JOIN wt ON ys.County = wt.county_name AND ys.Year = year(wt.date))"""
+  FROM ys JOIN wt ON ys.State = wt.state_abbrev AND ys.County = wt.county_name AND ys.Year = year(wt.date))"""
 
 GOLD_SELECT = """SELECT County, State, Year, Crop, Harvest_Date, Yield_Per_Acre,
   "5_Year_Avg_Yield", Yield_Status,
@@ -112,7 +112,7 @@ SELECT yield_id, County, Crop, Year, Yield_Status FROM ys"""
 ORACLE["preharvest_features"] = with_(YIELD_V, WEATHER_V, WT) + """,
 j AS (SELECT y.yield_id, wt.PRCP, wt.TAVG_Cleaned, wt.TMAX,
              datediff('day', wt.date, y.Harvest_Date) AS b
-      FROM yield_v y JOIN wt ON y.County = wt.county_name AND y.Year = year(wt.date))
+      FROM yield_v y JOIN wt ON y.State = wt.state_abbrev AND y.County = wt.county_name AND y.Year = year(wt.date))
 SELECT yield_id,""" + lookback_select("yield_id")
 
 ORACLE["preharvest_naive"] = ORACLE["preharvest_features"]
@@ -170,7 +170,7 @@ FROM yield_v"""
 ORACLE["yield_weather_join"] = with_(YIELD_V, WEATHER_V) + """
 SELECT y.yield_id, y.County, y.Year, count(*) AS weather_days,
        min(w.date) AS first_day, max(w.date) AS last_day, make_date(y.Year, 1, 1) AS season_start
-FROM yield_v y JOIN weather_v w ON y.County = w.county_name AND y.Year = year(w.date)
+FROM yield_v y JOIN weather_v w ON y.State = w.state_abbrev AND y.County = w.county_name AND y.Year = year(w.date)
 GROUP BY y.yield_id, y.County, y.Year"""
 
 ORACLE["union_missing"] = with_(YIELD_V, WEATHER_V) + """
@@ -180,8 +180,8 @@ SELECT county_name AS County, state_abbrev AS State, date, PRCP FROM weather_v""
 
 FIRST_CTE = """firsts AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY County, Crop
-      ORDER BY Harvest_Date, Yield_Per_Acre, State, "5_Year_Avg_Yield", Yield_Status, Year) AS rn
+    SELECT *, row_number() OVER (PARTITION BY State, County, Crop
+      ORDER BY Harvest_Date, Yield_Per_Acre, "5_Year_Avg_Yield", Yield_Status, Year) AS rn
     FROM holdout) WHERE rn = 1)"""
 
 ORACLE["first_per_key"] = gold_with(SPLITS, FIRST_CTE) + "SELECT * FROM firsts"
@@ -260,7 +260,7 @@ ORACLE["weather_build"] = with_(OBS_V, STATION_V, EDGE_V, INSIDE, BEST, COUNTY,
 j AS (SELECT o.*, d.state_abbrev, d.state_fips, d.county_name, d.county_fips
       FROM obs_v o LEFT JOIN dim d ON o.station = d.sk)
 SELECT state_abbrev, state_fips, county_name, county_fips, date,
-{_pivot_cols(ANALOG_TYPES)}
+{_pivot_cols([*ANALOG_TYPES, 'TSUN'])}
 FROM j
 WHERE state_abbrev IS NOT NULL AND state_fips IS NOT NULL AND county_name IS NOT NULL
   AND county_fips IS NOT NULL AND date IS NOT NULL
@@ -275,7 +275,7 @@ ORACLE["weather_from_pages"] = ORACLE["weather_build"].replace(
 GOLD8 = ('County, State, Year, Crop, Harvest_Date, Yield_Per_Acre, "5_Year_Avg_Yield", '
          'Yield_Status')
 
-ROWKEY = ("concat_ws('|', County, Crop, CAST(Year AS VARCHAR), CAST(Harvest_Date AS VARCHAR), "
+ROWKEY = ("concat_ws('|', State, County, Crop, CAST(Year AS VARCHAR), CAST(Harvest_Date AS VARCHAR), "
           "CAST(Yield_Per_Acre AS VARCHAR))")
 
 SPLIT = f"""sp AS (
@@ -283,12 +283,12 @@ SPLIT = f"""sp AS (
                  THEN 'test' ELSE 'train' END AS split
   FROM train)"""
 
-KM = """km AS (SELECT County, Crop, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS km
-       FROM sp WHERE split = 'train' GROUP BY County, Crop),
+KM = """km AS (SELECT State, County, Crop, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS km
+       FROM sp WHERE split = 'train' GROUP BY State, County, Crop),
 gm AS (SELECT CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS g
        FROM sp WHERE split = 'train'),
 pred AS (SELECT sp.*, coalesce(km.km, gm.g) AS Predicted_Yield
-         FROM sp LEFT JOIN km ON sp.County = km.County AND sp.Crop = km.Crop CROSS JOIN gm),
+         FROM sp LEFT JOIN km ON sp.State = km.State AND sp.County = km.County AND sp.Crop = km.Crop CROSS JOIN gm),
 te AS (SELECT * FROM pred WHERE split = 'test'),
 bands AS (SELECT quantile_cont(CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield, 0.1) AS e10,
                  quantile_cont(CAST(Yield_Per_Acre AS DOUBLE) - Predicted_Yield, 0.9) AS e90
@@ -326,9 +326,9 @@ SELECT County, Crop, Year, Predicted_Yield, Yield_Per_Acre AS Actual_Yield, Lowe
 FROM bp ORDER BY Predicted_Yield"""
 
 ORACLE["yearly_actual_vs_pred"] = EVAL + """
-SELECT County, Crop, Year, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS Avg_Yield,
+SELECT State, County, Crop, Year, CAST(sum(Yield_Per_Acre) AS DOUBLE) / count(Yield_Per_Acre) AS Avg_Yield,
        round(avg(Predicted_Yield), 6) AS Avg_Predicted
-FROM bp GROUP BY County, Crop, Year ORDER BY Year"""
+FROM bp GROUP BY State, County, Crop, Year ORDER BY Year"""
 
 IMPACT = """med AS (SELECT quantile_cont("90d_Total_Precip", 0.5) AS rm,
                       quantile_cont("90d_Avg_Temp", 0.5) AS tm FROM train),
@@ -394,21 +394,21 @@ ORACLE["onehot_encode"] = gold_with(SPLITS, SPLIT) + "SELECT " + GOLD8 + ",\n" +
 FIRSTS_H = FIRST_CTE
 
 SCEN = """scen AS (
-  SELECT County, Crop, 'Baseline (Actual)' AS Scenario, Yield_Per_Acre, "5_Year_Avg_Yield",
+  SELECT State, County, Crop, 'Baseline (Actual)' AS Scenario, Yield_Per_Acre, "5_Year_Avg_Yield",
          "60d_Total_Precip" * 1.0 AS "60d_Total_Precip", "60d_Avg_Temp" + 0.0 AS "60d_Avg_Temp",
          "90d_Total_Precip" * 1.0 AS "90d_Total_Precip", "90d_Avg_Temp" + 0.0 AS "90d_Avg_Temp",
          "90d_Days_Above_95F" + 0 AS "90d_Days_Above_95F" FROM src
   UNION ALL
-  SELECT County, Crop, 'Simulated Heatwave', Yield_Per_Acre, "5_Year_Avg_Yield",
+  SELECT State, County, Crop, 'Simulated Heatwave', Yield_Per_Acre, "5_Year_Avg_Yield",
          "60d_Total_Precip" * 1.0, "60d_Avg_Temp" + 5.0, "90d_Total_Precip" * 1.0,
          "90d_Avg_Temp" + 5.0, "90d_Days_Above_95F" + 15 FROM src
   UNION ALL
-  SELECT County, Crop, 'Simulated Drought', Yield_Per_Acre, "5_Year_Avg_Yield",
+  SELECT State, County, Crop, 'Simulated Drought', Yield_Per_Acre, "5_Year_Avg_Yield",
          "60d_Total_Precip" * 0.5, "60d_Avg_Temp" + 0.0, "90d_Total_Precip" * 0.5,
          "90d_Avg_Temp" + 0.0, "90d_Days_Above_95F" + 0 FROM src)"""
 
 SCORED = """scored AS (
-  SELECT County, Crop, Yield_Per_Acre, Scenario, p AS Predicted_Yield,
+  SELECT State, County, Crop, Yield_Per_Acre, Scenario, p AS Predicted_Yield,
          p + e10 AS Lower_Confidence_Bound, p + e90 AS Upper_Confidence_Bound
   FROM (SELECT *, coalesce("5_Year_Avg_Yield", 0.0)
           + 2.0 * coalesce(CAST("60d_Total_Precip" AS DOUBLE), 0.0)
@@ -425,15 +425,15 @@ ORACLE["scenario_risk"] = gold_with(SPLITS, SPLIT, KM, FIRST_CTE, "src AS (SELEC
                                     SCEN, SCORED) + """
 SELECT *, (Predicted_Yield - b) / b * 100 AS "Yield_Risk_%"
 FROM (SELECT *, max(CASE WHEN Scenario = 'Baseline (Actual)' THEN Predicted_Yield END)
-                  OVER (PARTITION BY County, Crop) AS b FROM scored) x""".replace(
+                  OVER (PARTITION BY State, County, Crop) AS b FROM scored) x""".replace(
     'SELECT *, (Predicted_Yield - b)', 'SELECT * EXCLUDE (b), (Predicted_Yield - b)')
 
 ORACLE["scenario_risk_mean"] = gold_with(SPLITS, SPLIT, KM, "src AS (SELECT * FROM holdout)",
                                          SCEN, SCORED) + """
 SELECT s.*, round((Predicted_Yield - b) / b * 100, 6) AS "Yield_Risk_%"
-FROM scored s LEFT JOIN (SELECT County, Crop, avg(Predicted_Yield) AS b FROM scored
-                         WHERE Scenario = 'Baseline (Actual)' GROUP BY County, Crop) m
-  ON s.County = m.County AND s.Crop = m.Crop"""
+FROM scored s LEFT JOIN (SELECT State, County, Crop, avg(Predicted_Yield) AS b FROM scored
+                         WHERE Scenario = 'Baseline (Actual)' GROUP BY State, County, Crop) m
+  ON s.State = m.State AND s.County = m.County AND s.Crop = m.Crop"""
 
 ORACLE["stream_refresh"] = ORACLE["gold_features"]
 
@@ -444,8 +444,8 @@ ORACLE["split_tables"] = f"""SELECT * EXCLUDE (split),
   CASE split WHEN 'train' THEN 'training' ELSE 'production' END AS saved_as FROM ({ORACLE["year_split"]}) s"""
 
 ORACLE["forest_checks"] = gold_with(SPLITS, SPLIT, FIRST_CTE) + f"""
-SELECT 'scored_rows' AS check_name, County || '/' || Crop AS detail, CAST(count(*) AS DOUBLE) AS value
-FROM sp WHERE split = 'test' GROUP BY County, Crop
+SELECT 'scored_rows' AS check_name, State || '/' || County || '/' || Crop AS detail, CAST(count(*) AS DOUBLE) AS value
+FROM sp WHERE split = 'test' GROUP BY State, County, Crop
 UNION ALL SELECT 'band_error', 'max', 0.0
 UNION ALL SELECT 'importance_name', unnest([{", ".join(f"'{c}'" for c in NUMERIC)}]), 1.0
 UNION ALL SELECT DISTINCT 'importance_name', 'County_' || County, 1.0 FROM sp WHERE split = 'train'

@@ -219,13 +219,13 @@ def q_union_missing(spark, base):
     return stack([a, b], allow_missing=True)
 
 
-FIRST_ORDER = [("Harvest_Date", "asc"), ("Yield_Per_Acre", "asc"), ("State", "asc"),
-               (G.AVG_COL, "asc"), (G.STATUS_COL, "asc"), ("Year", "asc")]
+FIRST_ORDER = [("Harvest_Date", "asc"), ("Yield_Per_Acre", "asc"), (G.AVG_COL, "asc"),
+               (G.STATUS_COL, "asc"), ("Year", "asc")]
 
 
 @register("first_per_key")
 def q_first_per_key(spark, base):
-    return first_per_key(Run(spark, base).production, ["County", "Crop"], FIRST_ORDER)
+    return first_per_key(Run(spark, base).production, SC.KEYS, FIRST_ORDER)
 
 
 @register("topk")
@@ -519,7 +519,7 @@ def q_onehot_long(spark, base):
 @register("scenario_features")
 def q_scenario_features(spark, base):
     return Run(spark, base).scenarios().select(
-        "County", "Crop", "Scenario", "Yield_Per_Acre", "5_Year_Avg_Yield", "60d_Total_Precip",
+        *SC.KEYS, "Scenario", "Yield_Per_Acre", "5_Year_Avg_Yield", "60d_Total_Precip",
         "60d_Avg_Temp", "90d_Total_Precip", "90d_Avg_Temp", "90d_Days_Above_95F")
 
 
@@ -528,7 +528,7 @@ def q_scenario_risk(spark, base):
     r = Run(spark, base)
     scored = SC.score_scenarios(r.scenarios(), SC.linear_score, r.bands)
     saved = _saved(spark, SC.risk_vs_baseline(scored), "scenario_analysis")
-    return saved.orderBy("County", "Crop", "Scenario")
+    return saved.orderBy(*SC.KEYS, "Scenario")
 
 
 @register("scenario_risk_mean")
@@ -606,7 +606,7 @@ def q_scenario_score(spark, base):
     _, bands = forest_test_predictions(r)
 
     def scorer(df):
-        keep = ["County", "Crop", "Yield_Per_Acre", "Scenario"]
+        keep = [*SC.KEYS, "Yield_Per_Acre", "Scenario"]
         return M.predict(model, df, NUMERIC, None, keep=keep)
 
     return SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands))
@@ -615,7 +615,7 @@ def q_scenario_score(spark, base):
 @register("forest_checks")
 def q_forest_checks(spark, base):
     """What any fitted forest must satisfy, as rows (check_name, detail,
-    value): rows scored per county and crop; both bands' distance from the
+    value): rows scored per state, county and crop; both bands' distance from the
     prediction to the residual percentiles; names in the importance table and
     their sum; the largest difference after saving and loading; rows per fold;
     mismatches between the saved risk and the one recomputed from the
@@ -635,10 +635,10 @@ def q_forest_checks(spark, base):
         [F.col(f"p.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys])
 
     def scorer(df):
-        return M.predict(model, df, NUMERIC, None, keep=["County", "Crop", "Yield_Per_Acre", "Scenario"])
+        return M.predict(model, df, NUMERIC, None, keep=[*SC.KEYS, "Yield_Per_Acre", "Scenario"])
 
     risk = _saved(spark, SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands)), "forest_scenarios")
-    base_p = risk.where(F.col("Scenario") == SC.BASELINE).select("County", "Crop", F.col(EV.PRED).alias("_b"))
+    base_p = risk.where(F.col("Scenario") == SC.BASELINE).select(*SC.KEYS, F.col(EV.PRED).alias("_b"))
     want = (F.col(EV.PRED) - F.col("_b")) / F.col("_b") * 100
     off = F.abs(F.col("Yield_Risk_%") - want) > 1e-9
 
@@ -647,8 +647,8 @@ def q_forest_checks(spark, base):
 
     width = (F.col("Upper_Bound") - F.col(EV.PRED) - F.lit(bands[1])) + (F.col("Lower_Bound") - F.col(EV.PRED) - F.lit(bands[0]))
     parts = [
-        banded.groupBy("County", "Crop").agg(F.count("*").alias("n")).select(
-            *row("scored_rows", F.concat_ws("/", "County", "Crop"), F.col("n"))),
+        banded.groupBy(*SC.KEYS).agg(F.count("*").alias("n")).select(
+            *row("scored_rows", F.concat_ws("/", *SC.KEYS), F.col("n"))),
         banded.agg(F.round(F.max(F.abs(width)), 6).alias("w")).select(*row("band_error", F.lit("max"), F.col("w"))),
         imp.select(*row("importance_name", F.col("Feature"), F.lit(1))),
         imp.agg(F.round(F.sum("Importance"), 6).alias("s")).select(*row("importance_sum", F.lit("all"), F.col("s"))),
@@ -656,7 +656,7 @@ def q_forest_checks(spark, base):
         .select(*row("reload_difference", F.lit("max"), F.col("d"))),
         EV.assign_folds(tr).groupBy("fold").agg(F.count("*").alias("n")).select(
             *row("fold_rows", F.col("fold").cast("string"), F.col("n"))),
-        risk.join(base_p, ["County", "Crop"], "left").agg(F.count(F.when(off, 1)).alias("n")).select(
+        risk.join(base_p, SC.KEYS, "left").agg(F.count(F.when(off, 1)).alias("n")).select(
             *row("risk_mismatches", F.lit("all"), F.col("n"))),
         risk.agg(F.count("*").alias("n")).select(*row("risk_rows", F.lit("all"), F.col("n"))),
     ]

@@ -25,11 +25,11 @@ SCENARIOS = [
 ]
 
 PRED = "Predicted_Yield"
-KEYS = ["County", "Crop"]
+KEYS = ["State", "County", "Crop"]
 
 
 def dedupe_production(prod: DataFrame, order: Sequence[tuple]) -> DataFrame:
-    """one row per (County, Crop) under a stated order."""
+    """one row per (State, County, Crop) under a stated order."""
     return first_per_key(prod, KEYS, order)
 
 
@@ -69,7 +69,7 @@ def score_scenarios(expanded: DataFrame, scorer: Callable[[DataFrame], DataFrame
     s = scorer(expanded)
     lo, hi = bands
     return s.select(
-        "County", "Crop", "Yield_Per_Acre", "Scenario", F.col(PRED),
+        *KEYS, "Yield_Per_Acre", "Scenario", F.col(PRED),
         (F.col(PRED) + F.lit(lo)).alias("Lower_Confidence_Bound"),
         (F.col(PRED) + F.lit(hi)).alias("Upper_Confidence_Bound"),
     )
@@ -77,7 +77,7 @@ def score_scenarios(expanded: DataFrame, scorer: Callable[[DataFrame], DataFrame
 
 def risk_vs_baseline(scored: DataFrame, baseline: str = BASELINE) -> DataFrame:
     """K14 + D5: % change of each prediction against the baseline prediction
-    of its (County, Crop).  Rows are unique per key and scenario here, so the
+    of its (State, County, Crop).  Rows are unique per key and scenario here, so the
     window holds one row per scenario (bounded)."""
     w = Window.partitionBy(*KEYS)
     base = F.max(F.when(F.col("Scenario") == baseline, F.col(PRED))).over(w)

@@ -41,12 +41,15 @@ def county_day_weather(
     *,
     station_key: str,
     datatypes: Sequence[str] = DATATYPES,
+    drop_unseen: bool = False,
 ) -> DataFrame:
     """D2 + E1 + E2: observations left-joined to the chosen station of each
     county, records of unassigned stations dropped (as a group-by over a null
     key drops them), then the mean per county, day and datatype, pivoted to
-    one column per datatype that occurs."""
+    one column per asked datatype, so that the schema does not depend on the
+    data.  ``drop_unseen`` leaves out datatypes that no record has."""
     dim = best.join(counties, "geoid").select(F.col(station_key).alias("_sk"), *COUNTY_KEYS)
     j = left_join_dim(observations, dim, left_on="station", right_on="_sk",
                       dim_cols=COUNTY_KEYS)
-    return pivot_mean(j, [*COUNTY_KEYS, "date"], "datatype", list(datatypes), "value")
+    return pivot_mean(j, [*COUNTY_KEYS, "date"], "datatype", list(datatypes), "value",
+                      drop_unseen=drop_unseen)

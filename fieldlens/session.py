@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -155,3 +155,12 @@ def materialize(df, name: str = "stage", partition_by=()):
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_observed(df, metrics, name: str = "stage", partition_by=()):
+    """:func:`materialize`, and the values of the aggregate columns ``metrics``
+    over the written rows as a dict: Spark collects them while it writes
+    (``Observation``), so that they cost no job of their own."""
+    seen = Observation(unique_name(name))
+    table = materialize(df.observe(seen, *metrics), name, partition_by)
+    return table, seen.get

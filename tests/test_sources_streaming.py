@@ -32,6 +32,9 @@ def test_pivot_drops_unseen_types_and_null_keys(spark):
         "county string, date date, datatype string, value decimal(18,2)")
     out = pivot_mean(df, ["county", "date"], "datatype", ["TMAX", "TMIN", "PRCP", "TSUN"])
     assert out.columns == ["county", "date", "TMAX", "PRCP"]
+    fixed = pivot_mean(df, ["county", "date"], "datatype", ["TMAX", "TMIN", "PRCP", "TSUN"], drop_unseen=False)
+    assert [tuple(r)[2:] for r in fixed.collect()] == [(10.5, None, 0.5, None)]
+    assert fixed.where("false").columns == ["county", "date", "TMAX", "TMIN", "PRCP", "TSUN"]
     rows = out.collect()
     assert len(rows) == 1 and rows[0]["TMAX"] == 10.5 and rows[0]["PRCP"] == 0.5
 
@@ -201,3 +204,18 @@ def test_multiline_pages(spark):
             json.dump(p, f, indent=2)
     got = sorted((r["id"], r["v"]) for r in read_pages(spark, d, rec, multiline=True).collect())
     assert got == [("a", 1.0), ("b", 2.0)]
+
+
+def test_county_day_weather_has_a_fixed_schema(spark):
+    """Asked datatypes are columns even where no station matches; leaving out
+    unseen ones is an option."""
+    from fieldlens.plans.weather import COUNTY_KEYS, county_day_weather
+
+    obs = spark.createDataFrame([("s1", dt.date(2025, 1, 1), "TMAX", 1.0)], "station string, date date, datatype string, value double")
+    best = spark.createDataFrame([("g", "s1")], "geoid string, sk string")
+    cty = spark.createDataFrame([("g", "OH", "39", "Foo", "001")], "geoid string, state_abbrev string, state_fips string, county_name string, county_fips string")
+    kw = dict(station_key="sk", datatypes=["TMAX", "TSUN"])
+    none = county_day_weather(obs, best.where("false"), cty, **kw)
+    assert none.columns == [*COUNTY_KEYS, "date", "TMAX", "TSUN"] and none.count() == 0
+    assert [tuple(r)[5:] for r in county_day_weather(obs, best, cty, **kw).collect()] == [(1.0, None)]
+    assert county_day_weather(obs, best, cty, drop_unseen=True, **kw).columns == [*COUNTY_KEYS, "date", "TMAX"]
