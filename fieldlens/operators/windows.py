@@ -36,6 +36,7 @@ def trailing_rows_sum_count(
     sum_col: str = "_fl_tsum",
     count_col: str = "_fl_tcnt",
     blocks: int | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Add the sum and count of non-null ``value`` over the ``preceding`` rows
     before each row (frame ``rows -preceding .. -1``) within ``keys``.
@@ -43,6 +44,8 @@ def trailing_rows_sum_count(
     ``order`` must be a total order inside a key (end it with a unique id);
     all order columns are ascending.  The sum keeps the value's type, so a
     DECIMAL value gives an exact sum.  The sum is null when the count is 0.
+    With ``keep_block`` the block number stays (column ``_fl_blk``): the rows
+    are partitioned by keys and block, so an aggregate over both needs no exchange.
     """
     n = int(preceding)
     if n < 1:
@@ -52,69 +55,43 @@ def trailing_rows_sum_count(
 
     ranged = range_blocks(df, [*keys, *order], blocks, "trailing")
     wb = Window.partitionBy(*keys, _BLK).orderBy(*order)
-    inner = (
-        ranged.withColumn(_POS, F.row_number().over(wb))
-        .withColumn("_fl_s_in", F.sum(v).over(wb.rowsBetween(-n, -1)))
-        .withColumn("_fl_c_in", F.count(v).over(wb.rowsBetween(-n, -1)))
-    )
+    before = wb.rowsBetween(-n, -1)
+    inner = ranged.select("*", F.row_number().over(wb).alias(_POS), F.sum(v).over(before).alias("_fl_s_in"),
+                          F.count(v).over(before).alias("_fl_c_in"))
 
     # Block tails: the last n rows of every (key, block); a block is one file of
     # the written table, so the group limit leaves <= n rows before the shuffle.
     back = Window.partitionBy(*keys, _BLK).orderBy(*[F.col(x).desc_nulls_last() for x in order])
-    tails = ranged.withColumn("_fl_back", F.row_number().over(back)).where(F.col("_fl_back") <= n).select(
-        *keys, _BLK, *order, v.alias("_fl_v"), (F.col("_fl_back") == 1).alias("_fl_last")
-    )
+    tails = ranged.withColumn("_fl_back", F.row_number().over(back)).where(F.col("_fl_back") <= n)
+
+    # Context of a block = the n tail rows of its key before the block's own first
+    # one: <= one context row per block, so the broadcast is size-bounded.
     wt = Window.partitionBy(*keys).orderBy(_BLK, *order)
-    sums = []
-    for k in range(1, n + 1):
-        frame = wt.rowsBetween(-(k - 1), 0)
-        sums += [
-            F.sum("_fl_v").over(frame).alias(f"_fl_S{k}"),
-            F.count("_fl_v").over(frame).alias(f"_fl_C{k}"),
-        ]
-    ends = tails.select(*keys, _BLK, "_fl_last", *sums).where("_fl_last").drop("_fl_last")
-
-    # Context of a block = tail sums at the end of the previous block of its key.
-    wk = Window.partitionBy(*keys).orderBy(_BLK)
-    ctx_cols = []
-    for k in range(1, n + 1):
-        ctx_cols += [
-            F.lag(f"_fl_S{k}").over(wk).alias(f"_fl_PS{k}"),
-            F.lag(f"_fl_C{k}").over(wk).alias(f"_fl_PC{k}"),
-        ]
-    ctx = (
-        ends.select(*keys, _BLK, F.lag(_BLK).over(wk).alias("_fl_prev"), *ctx_cols)
-        .where(F.col("_fl_prev").isNotNull())
-        .drop("_fl_prev")
-    )
+    ctx = tails.select(
+        *[F.col(k).alias(f"_fl_k_{k}") for k in keys], F.col(_BLK).alias("_fl_k_blk"),
+        F.lag(_BLK).over(wt).alias("_fl_prev"),
+        F.collect_list(F.struct(v.alias("v"))).over(wt.rowsBetween(-n, -1)).alias("_fl_ctx"),
+    ).where(F.col("_fl_prev") != F.col("_fl_k_blk")).drop("_fl_prev")
 
-    # <= one context row per block: broadcast is size-bounded.
     # null-safe keys: a null key is a valid window partition, and no
     # isnotnull filter is inferred into one branch only (so both branches
     # read the same shuffle)
-    c = ctx.select(*[F.col(k).alias(f"_fl_k_{k}") for k in keys],
-                   F.col(_BLK).alias("_fl_k_blk"),
-                   *[F.col(x) for x in ctx.columns if x not in (*keys, _BLK)])
     cond = F.col(_BLK) == F.col("_fl_k_blk")
     for k in keys:
         cond = cond & inner[k].eqNullSafe(F.col(f"_fl_k_{k}"))
-    j = inner.join(F.broadcast(c), cond, how="left").drop(
-        *[f"_fl_k_{k}" for k in keys], "_fl_k_blk")
-    pos = F.col(_POS)
-    need_s = F.lit(None)
-    need_c = F.lit(None)
-    for p in range(1, n + 1):
-        k = n - p + 1  # rows still missing from before the block
-        need_s = F.when(pos == p, F.col(f"_fl_PS{k}")).otherwise(need_s)
-        need_c = F.when(pos == p, F.col(f"_fl_PC{k}")).otherwise(need_c)
-    tot_c = F.coalesce(F.col("_fl_c_in"), F.lit(0)) + F.coalesce(need_c, F.lit(0))
-    tot_s = F.coalesce(F.col("_fl_s_in"), F.lit(0)) + F.coalesce(need_s, F.lit(0))
-    out = j.withColumn(count_col, tot_c.cast("bigint")).withColumn(
-        sum_col, F.when(tot_c > 0, tot_s)
-    )
-    drop = [_BLK, _POS, "_fl_s_in", "_fl_c_in"]
-    drop += [f"_fl_PS{k}" for k in range(1, n + 1)] + [f"_fl_PC{k}" for k in range(1, n + 1)]
-    return out.drop(*drop)
+    j = inner.join(F.broadcast(ctx), cond, how="left").drop(*[f"_fl_k_{k}" for k in keys], "_fl_k_blk")
+    # the first rows of a block take their missing rows from the context's end
+    kind = inner.schema["_fl_s_in"].dataType.simpleString()
+    missing = f"least({n} + 1 - {_POS}, size(_fl_ctx))"
+    rest = f"slice(_fl_ctx, size(_fl_ctx) + 1 - {missing}, {missing})"
+    early = f"_fl_ctx IS NOT NULL AND {_POS} <= {n}"
+    more_s = (f"CASE WHEN {early} THEN aggregate({rest}, CAST(0 AS {kind}), "
+              f"(a, x) -> CAST(a + coalesce(x.v, 0) AS {kind})) ELSE 0 END")
+    more_c = f"CASE WHEN {early} THEN size(filter({rest}, x -> x.v IS NOT NULL)) ELSE 0 END"
+    j = j.withColumn(count_col, F.expr(f"CAST(_fl_c_in + {more_c} AS bigint)"))
+    out = j.withColumn(sum_col, F.expr(
+        f"CASE WHEN `{count_col}` > 0 THEN CAST(coalesce(_fl_s_in, 0) + {more_s} AS {kind}) END"))
+    return out.drop(*([] if keep_block else [_BLK]), _POS, "_fl_s_in", "_fl_c_in", "_fl_ctx")
 
 
 def trailing_mean(
@@ -126,6 +103,7 @@ def trailing_mean(
     out: str,
     *,
     blocks: int | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """mean of ``value`` over the ``preceding`` rows before each row,
     current row excluded; null for the first row of a key.
@@ -135,6 +113,7 @@ def trailing_mean(
     """
     t = trailing_rows_sum_count(
         df, keys, order, value, preceding, sum_col="_fl_ts", count_col="_fl_tc", blocks=blocks,
+        keep_block=keep_block,
     )
     return t.withColumn(
         out, F.col("_fl_ts").cast("double") / F.col("_fl_tc").cast("double")

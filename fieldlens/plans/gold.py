@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.exprs import STATE_ABBREV, clean_temperature, yield_status
+from fieldlens.operators.bucketing import bucketed
 from fieldlens.operators.filters import pair_filter
-from fieldlens.operators.lookback import lookback_features
+from fieldlens.operators.lookback import (
+    PROBE, daily_weather, lookback_from_seasons, season_features, season_rows,
+)
+from fieldlens.operators.partitioning import BLOCK
 from fieldlens.operators.windows import trailing_mean
 
 AVG_COL = "5_Year_Avg_Yield"
@@ -20,11 +24,11 @@ GOLD_KEYS = ["County", "State", "Year", "Crop", "Harvest_Date", "Yield_Per_Acre"
 
 
 def add_trailing_yield(yields: DataFrame, *, tiebreak: Sequence[str] = ("Harvest_Date",),
-                       preceding: int = 5) -> DataFrame:
+                       preceding: int = 5, keep_block: bool = False) -> DataFrame:
     """F1 + C4: mean yield of the previous ``preceding`` rows of the same
     (State, County, Crop) in year order, and the Good / Average / Poor label."""
     y = trailing_mean(yields, ["State", "County", "Crop"], ["Year", *tiebreak], "Yield_Per_Acre",
-                      preceding, AVG_COL)
+                      preceding, AVG_COL, keep_block=keep_block)
     return y.withColumn(STATUS_COL, yield_status("Yield_Per_Acre", AVG_COL))
 
 
@@ -35,13 +39,20 @@ def clean_weather(weather: DataFrame, temp_type: str | None = None) -> DataFrame
     return weather.withColumn("TAVG_Cleaned", t)
 
 
-def gold_from_labelled(labelled: DataFrame, weather: DataFrame, *, hot_threshold: float = 95.0,
-                       temp_type: str | None = None) -> DataFrame:
-    """Gold rows from yields that already carry the trailing average and the
-    label (see :func:`gold_features`)."""
-    g = labelled.groupBy(*GOLD_KEYS).agg(F.count(F.lit(1)).alias("_m"))
-    w = clean_weather(weather, temp_type)
-    f = lookback_features(g, w, days=(60, 90), hot_threshold=hot_threshold)
+def gold_seasons(labelled: DataFrame) -> DataFrame:
+    """The labelled yields with their copies counted (``_m``) and the look-back's
+    keys.  Copies are counted inside the window's own blocks where these are
+    kept, so a group of copies shrinks before it moves."""
+    at = [BLOCK] if BLOCK in labelled.columns else []
+    g = labelled.groupBy(*GOLD_KEYS, *at).agg(F.count(F.lit(1)).alias("_m"))
+    return season_rows(g.select(*GOLD_KEYS, "_m"), GOLD_KEYS)
+
+
+def gold_from_seasons(rows: DataFrame, daily: DataFrame) -> DataFrame:
+    """Gold rows from written season tables: copies that were counted in several
+    blocks meet in the bucket they share."""
+    whole = rows.groupBy(*GOLD_KEYS, *PROBE).agg(F.sum("_m").alias("_m"))
+    f = lookback_from_seasons(whole, season_features(rows, daily, days=(60, 90)))
     m = F.col("_m")
 
     def mean(n):
@@ -58,6 +69,14 @@ def gold_from_labelled(labelled: DataFrame, weather: DataFrame, *, hot_threshold
     )
 
 
+def gold_from_labelled(labelled: DataFrame, weather: DataFrame, *, hot_threshold: float = 95.0,
+                       temp_type: str | None = None) -> DataFrame:
+    """Gold rows from yields that already carry the trailing average and the
+    label (see :func:`gold_features`)."""
+    rows = bucketed(gold_seasons(labelled), PROBE, "gold-yields")
+    return gold_from_seasons(rows, daily_weather(clean_weather(weather, temp_type), hot_threshold=hot_threshold))
+
+
 def gold_features(
     yields: DataFrame,
     weather: DataFrame,
@@ -75,6 +94,9 @@ def gold_features(
     partial aggregate before any join, so a group of copies never reaches one
     task as raw rows.
 
+    The yields with window, label and copies are worked out once and stored as a
+    bucketed table, which the look-back reads in place.
+
     ``pairs`` are target (County, State) tuples, states as in the yields; both
     tables are reduced to them before the window and the join, the weather by
     the states' abbreviations.
@@ -83,5 +105,5 @@ def gold_features(
         yields = pair_filter(yields, pairs, ["County", "State"])
         weather = pair_filter(weather, [(c, STATE_ABBREV.get(s, s)) for c, s in pairs],
                               ["county_name", "state_abbrev"])
-    y = add_trailing_yield(yields, tiebreak=tiebreak)
-    return gold_from_labelled(y, weather, hot_threshold=hot_threshold, temp_type=temp_type)
+    return gold_from_labelled(add_trailing_yield(yields, tiebreak=tiebreak, keep_block=True), weather,
+                              hot_threshold=hot_threshold, temp_type=temp_type)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Observation, SparkSession
 
 _LOCAL_DEFAULTS = {
@@ -73,6 +75,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 _WRITTEN: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
+
+
+def owned_table(spark: SparkSession, name: str) -> str:
+    """A catalog name of its own, dropped by :func:`release_written`."""
+    table = unique_name("fieldlens_" + "".join(c if c.isalnum() else "_" for c in name))
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return table
+
+
+def side_by_side(spark: SparkSession, *jobs):
+    """Results of the functions ``jobs``, run at the same time: each submits its
+    Spark jobs from a thread of its own, so that short stages of one fill the
+    cores that the others leave idle."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
 
 
 def release_written(spark: SparkSession) -> int:
@@ -80,6 +98,8 @@ def release_written(spark: SparkSession) -> int:
     folder through :func:`shared_path`, and return how many there were.  Call
     it when the results that read them have been consumed; nothing else
     deletes what a returned frame may still need."""
+    for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         remove_path(spark, path)

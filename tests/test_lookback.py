@@ -136,3 +136,32 @@ def test_counties_of_the_same_name_stay_apart(spark):
     assert days == {"Ohio": 2, "Indiana": 1}
     only = gold_features(y, w, tiebreak=tie, pairs=[("Franklin", "Ohio")]).where("Year = 2002").collect()
     assert [r["State"] for r in only] == ["Ohio"] and only[0]["60d_Total_Precip"] == 1.5
+
+
+def test_seasons_meet_in_their_buckets_and_a_busy_day_is_split(spark):
+    """The gold plan: one window, the yields read from their buckets without an
+    exchange of their own; the yields of one harvest day lie in many files."""
+    from fieldlens.operators import lookback as L
+    from fieldlens.operators.bucketing import bucketed
+
+    y = spark.range(400).select(F.col("id").alias("yid"), F.lit("A").alias("County"), F.lit("Ohio").alias("State"),
+                                F.lit(2001).alias("Year"), F.lit(D(2001, 5, 1)).alias("Harvest_Date"))
+    w = weather(spark, CASES["bounds"][0])
+    rows = bucketed(L.season_rows(y, ["yid"]), L.PROBE, "busy")
+    assert len(rows.inputFiles()) > 4
+    out = L.lookback_from_seasons(rows, L.season_features(rows, L.daily_weather(w)))
+    assert out.count() == 400 and {r["p60"] for r in out.collect()} == {Decimal("61.00")}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from fieldlens.plans.registry import QUERIES
+
+        plan = QUERIES["gold_features"](spark, "/root/testdata/sf0.001")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = [part for part in text.split("FileScan parquet spark_catalog")[1:]]
+    assert len(scans) == 2 and all("Bucketed: true" in s for s in scans)
+    assert text.count("Window [") + text.count("Window(") == 1
+    join = text.split("SortMergeJoin")[1].split("Exchange")[0]
+    assert "HashAggregate" in join  # the yields' side: aggregated and sorted in place
