@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.exprs import fixed_text, hash_bucket, pct_change
 from fieldlens.operators.aggregates import exact_mean
 from fieldlens.operators.quantiles import exact_quantiles, exact_quantiles_of
-from fieldlens.session import materialize
+from fieldlens.session import materialize_observed
 
 ROW_KEY_COLS = ["State", "County", "Crop", "Year", "Harvest_Date", "Yield_Per_Acre"]
 KEYS = ("State", "County", "Crop")
@@ -47,13 +47,13 @@ def fit_key_mean(train: DataFrame, keys: Sequence[str] = KEYS,
     keys (one scalar).
 
     One pass over the training rows: the per-key sums and counts (one row
-    per key) are written once, and the global mean is taken from them; with
+    per key) are written once, and their totals are observed on the way; with
     a DECIMAL target the sums are exact, so both means equal
     double(sum) / count over the rows.
     """
-    sums = materialize(train.groupBy(*keys).agg(F.sum(target).alias("_s"),
-                                                 F.count(target).alias("_c")), "key_mean")
-    tot = sums.agg(F.sum("_s").alias("s"), F.sum("_c").alias("c")).first()
+    sums, tot = materialize_observed(
+        train.groupBy(*keys).agg(F.sum(target).alias("_s"), F.count(target).alias("_c")),
+        [F.sum("_s").alias("s"), F.sum("_c").alias("c")], "key_mean")
     glob = float(tot["s"]) / float(tot["c"]) if tot["c"] else None
     per_key = sums.select(*keys, F.try_divide(F.col("_s").cast("double"),
                                               F.col("_c").cast("double")).alias("_km"))

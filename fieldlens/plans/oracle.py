@@ -455,6 +455,10 @@ UNION ALL SELECT 'importance_sum', 'all', 1.0
 UNION ALL SELECT 'reload_difference', 'max', 0.0
 UNION ALL SELECT 'fold_rows', CAST(('0x' || substr(md5({ROWKEY}), 9, 8))::BIGINT % 5 AS VARCHAR), CAST(count(*) AS DOUBLE)
   FROM sp WHERE split = 'train' GROUP BY 2
+UNION ALL SELECT 'cv_rows', CAST(('0x' || substr(md5({ROWKEY}), 9, 8))::BIGINT % 5 AS VARCHAR), CAST(count(*) AS DOUBLE)
+  FROM sp WHERE split = 'train' GROUP BY 2
+UNION ALL SELECT 'cv_rmse_difference', 'all', 0.0
+UNION ALL SELECT 'metrics_read_back', 'all', 5.0
 UNION ALL SELECT 'risk_mismatches', 'all', 0.0
 UNION ALL SELECT 'risk_rows', 'all', CAST(3 * count(*) AS DOUBLE) FROM firsts"""
 

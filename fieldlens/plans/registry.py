@@ -619,7 +619,9 @@ def q_forest_checks(spark, base):
     prediction to the residual percentiles; names in the importance table and
     their sum; the largest difference after saving and loading; rows per fold;
     mismatches between the saved risk and the one recomputed from the
-    predictions.  Every value is computed from the model's own outputs."""
+    predictions; rows per fold of a cross-validation's saved predictions, the
+    largest difference between its RMSEs and those recomputed from these rows, and
+    how many of its recorded metrics read back as recorded.  Every value is computed from the model's own outputs."""
     r = Run(spark, base)
     tr, te, model = forest_parts(r)
     pred, bands = forest_test_predictions(r)
@@ -638,6 +640,13 @@ def q_forest_checks(spark, base):
         return M.predict(model, df, NUMERIC, None, keep=[*SC.KEYS, "Yield_Per_Acre", "Scenario"])
 
     risk = _saved(spark, SC.risk_vs_baseline(SC.score_scenarios(r.scenarios(), scorer, bands)), "forest_scenarios")
+    rmses, held = M.cross_validated(EV.assign_folds(tr), NUMERIC, CATEGORICAL, EV.TARGET, "fold",
+                                    **{**RF_PARAMS, "num_trees": 20, "max_depth": 5})
+    run = unique_name("cv_check")
+    want = {f"rmse_{i}": x for i, x in enumerate(rmses)}
+    kept = M.record_metrics(spark, f"{checkpoint_root(spark)}/fieldlens/run_metrics", run, want).where(F.col("run_id") == run)
+    again_rmse = held.groupBy("fold").agg(F.sqrt(F.avg((F.col(M.LABEL) - F.col(EV.PRED)) ** 2)).alias("v"))
+    kept_as = kept.join(again_rmse, kept["name"] == F.concat(F.lit("rmse_"), F.col("fold").cast("string")))
     base_p = risk.where(F.col("Scenario") == SC.BASELINE).select(*SC.KEYS, F.col(EV.PRED).alias("_b"))
     want = (F.col(EV.PRED) - F.col("_b")) / F.col("_b") * 100
     off = F.abs(F.col("Yield_Risk_%") - want) > 1e-9
@@ -659,6 +668,10 @@ def q_forest_checks(spark, base):
         risk.join(base_p, SC.KEYS, "left").agg(F.count(F.when(off, 1)).alias("n")).select(
             *row("risk_mismatches", F.lit("all"), F.col("n"))),
         risk.agg(F.count("*").alias("n")).select(*row("risk_rows", F.lit("all"), F.col("n"))),
+        held.groupBy("fold").agg(F.count("*").alias("n")).select(*row("cv_rows", F.col("fold").cast("string"), F.col("n"))),
+        kept_as.agg(F.round(F.max(F.abs(F.col("value") - F.col("v"))), 6).alias("d"), F.count("*").alias("n")).select(
+            F.inline(F.array(*[F.struct(*row(name, F.lit("all"), F.col(c))) for name, c in (
+                ("cv_rmse_difference", "d"), ("metrics_read_back", "n"))]))),
     ]
     return stack(parts)
 

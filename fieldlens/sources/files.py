@@ -79,6 +79,13 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True,
     return path
 
 
+def by_partition(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ``cols`` for a partitioned write: a small partition is one
+    file, a value that holds many rows is split over as many tasks as its size
+    asks for (REBALANCE: Spark sizes them from the shuffle it has just written)."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def save_table(df: DataFrame, name: str, path: str, *,
                partition_by: Sequence[str] = ()) -> DataFrame:
     """B1/B2: overwrite a named parquet table (schema replaced on overwrite).
@@ -86,14 +93,12 @@ def save_table(df: DataFrame, name: str, path: str, *,
     ``path`` must be new: the rows are written there first and only then does
     the name point to them, so a failed write leaves the old table as it was.
     Partitioning by a column that later queries filter on (``Year``) gives
-    partition pruning for free; the rows are dealt by it first, so that each
-    partition is written by one task instead of one file per task (a value
-    that holds most rows can be dealt by more columns beforehand).  Returns
-    the table as read back.
+    partition pruning for free; the rows are rebalanced by it first
+    (:func:`by_partition`).  Returns the table as read back.
     """
     spark = df.sparkSession
     if partition_by:
-        df.repartition(*partition_by).write.partitionBy(*partition_by).parquet(path)
+        by_partition(df, partition_by).write.partitionBy(*partition_by).parquet(path)
     else:
         df.write.parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -16,9 +16,14 @@ checkpoint remembers them) and stops.  Every micro-batch:
      the county;
 3. recomputes those partitions and overwrites exactly them in the gold table
    (dynamic partition overwrite; other partitions are untouched).  Years
-   outside the touched range are pruned at the bronze scans: weather to the
-   touched years, yields up to the last touched year (the trailing average
-   needs the earlier ones).
+   outside the touched range are pruned at both bronze scans.  What the
+   trailing average needs of earlier years comes from a maintained state table:
+   the last rows of every key in every year (``tail_rows`` each, partitioned
+   like gold), rewritten for the years a batch of yields touches.  A late yield
+   therefore never re-reads its county's past.
+
+Partitioned writes are rebalanced, so a county or year that holds most rows is
+written by many tasks.
 
 No watermark is needed: late files are handled by recomputing the touched
 partitions, and every step is a batch recompute of bounded scope.
@@ -26,15 +31,17 @@ partitions, and every step is a batch recompute of bounded scope.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.functions.exprs import state_key
-from fieldlens.sources.files import CORRUPT, csv_columns, csv_text_schema
+from fieldlens.sources.files import CORRUPT, by_partition, csv_columns, csv_text_schema
+
+CONTEXT = "_fl_context"
 
 LabelFn = Callable[[DataFrame], DataFrame]
 FeaturesFn = Callable[[DataFrame, DataFrame], DataFrame]
@@ -44,10 +51,14 @@ FeaturesFn = Callable[[DataFrame, DataFrame], DataFrame]
 class GoldRefresher:
     spark: SparkSession
     root: str
-    label_fn: LabelFn  # yields -> yields + trailing average + label
+    label_fn: LabelFn  # yields -> yields + trailing average + label (other columns kept)
     features_fn: FeaturesFn  # (labelled yields, weather) -> gold rows
     yield_schema: T.StructType
     weather_schema: T.StructType
+    # the trailing window of label_fn: its keys, its order within a year, its depth
+    tail_keys: Sequence[str] = ("State", "County", "Crop")
+    tail_order: Sequence[str] = ("Harvest_Date", "yield_id")
+    tail_rows: int = 5
 
     @property
     def bronze_yield(self) -> str:
@@ -61,13 +72,17 @@ class GoldRefresher:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def tails(self) -> str:
+        return f"{self.root}/state/yield_tails"
+
     def landing(self, table: str) -> str:
         return f"{self.root}/landing/{table}"
 
     # ---------------------------------------------------------------- io
     def _land(self, batch: DataFrame, year, path: str, batch_id: int) -> None:
-        (batch.withColumn("Year", year.cast("int")).withColumn("batch_id", F.lit(int(batch_id)))
-         .repartition("Year")
+        rows = batch.withColumn("Year", year.cast("int")).withColumn("batch_id", F.lit(int(batch_id)))
+        (by_partition(rows, ["Year"])
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("Year", "batch_id").parquet(path))
 
@@ -86,6 +101,37 @@ class GoldRefresher:
                              T.StructField("batch_id", T.LongType())])
         return self.spark.read.schema(full).parquet(path)
 
+    # ------------------------------------------------------------- state
+    def _last_rows(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+        """The last ``tail_rows`` rows of each key (limited before the shuffle)."""
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+        return df.withColumn("_fl_n", F.row_number().over(w)).where(F.col("_fl_n") <= self.tail_rows).drop("_fl_n")
+
+    def update_tails(self, touched: DataFrame | None = None) -> None:
+        """Rewrite the state of the touched (State, County, Year); of all without
+        ``touched``.  Computed from the bronze rows of those years alone, so a
+        replayed batch writes the same rows again."""
+        y = self._read(self.bronze_yield, self.yield_schema).drop("batch_id")
+        if touched is not None:
+            span = touched.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).head()
+            if span["lo"] is None:
+                return
+            y = y.where(F.col("Year").between(span["lo"], span["hi"])).join(
+                touched, ["State", "County", "Year"], "left_semi").select(*y.columns)
+        last = self._last_rows(y, [*self.tail_keys, "Year"], self.tail_order)
+        keys = ["State", "County", "Year"]
+        (by_partition(last, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(self.tails))
+
+    def _context(self, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """The rows before each touched county's first year that its trailing
+        averages reach back to: at most ``tail_rows`` a key."""
+        schema = T.StructType([f for f in self.yield_schema])
+        tails = self.spark.read.schema(schema).parquet(self.tails)
+        old = tails.join(touched, (state_key(tails["State"]) == touched["_ts"]) & (tails["County"] == touched["_tc"])
+                         & (tails["Year"] < touched["_lo"]), "left_semi")
+        return self._last_rows(old, self.tail_keys, ["Year", *self.tail_order]).select(*columns)
+
     # ----------------------------------------------------------- refresh
     def touched_inputs(self, touched: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         """(labelled yields to recompute, weather) for ``touched``: rows (State,
@@ -100,16 +146,18 @@ class GoldRefresher:
                            F.count(F.when(F.col("hi").isNull(), 1)).alias("open")).head()
         if span["lo"] is None:
             return None
-        w = w.where(F.col("Year") >= span["lo"])
+        if not self._exists(self.tails):  # bronze rows from before the state was kept
+            self.update_tails()
+        y, w = y.where(F.col("Year") >= span["lo"]), w.where(F.col("Year") >= span["lo"])
         if not span["open"]:
             y, w = y.where(F.col("Year") <= span["hi"]), w.where(F.col("Year") <= span["hi"])
         t = touched.groupBy(state_key("State").alias("_ts"), F.col("County").alias("_tc")).agg(
             F.min("lo").alias("_lo"))
-        # the trailing average needs the whole history of a touched county
-        y = y.drop("batch_id").join(
-            t, (state_key(y["State"]) == t["_ts"]) & (y["County"] == t["_tc"]), "left_semi")
-        labelled = self.label_fn(y)
-        # ... but only rows of touched years are recomputed
+        y = y.drop("batch_id")
+        y = y.join(t, (state_key(y["State"]) == t["_ts"]) & (y["County"] == t["_tc"]) & (y["Year"] >= t["_lo"]), "left_semi")
+        # the years before a county's first touched one stand in by their last rows
+        known = self._context(t, y.columns).withColumn(CONTEXT, F.lit(True))
+        labelled = self.label_fn(y.withColumn(CONTEXT, F.lit(False)).unionByName(known)).where(~F.col(CONTEXT)).drop(CONTEXT)
         rng = touched.select(state_key("State").alias("_ts"), F.col("County").alias("_tc"), "lo", "hi")
         keep = labelled.join(
             rng, (state_key(labelled["State"]) == rng["_ts"]) & (labelled["County"] == rng["_tc"])
@@ -125,13 +173,14 @@ class GoldRefresher:
         if found is None:
             return
         keys = ["State", "County", "Year"]
-        (self.features_fn(*found).repartition(*keys)
+        (by_partition(self.features_fn(*found), keys)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*keys).parquet(self.gold))
 
     def _on_yields(self, batch: DataFrame, batch_id: int) -> None:
         self._land(batch, F.col("Year"), self.bronze_yield, batch_id)
         landed = self._read(self.bronze_yield, self.yield_schema).where(F.col("batch_id") == int(batch_id))
+        self.update_tails(landed.select("State", "County", "Year").distinct())
         self.refresh(landed.groupBy("State", "County").agg(
             F.min("Year").alias("lo"), F.lit(None).cast("int").alias("hi")))
 

@@ -93,6 +93,17 @@ def test_late_weather_rewrites_only_its_partition(spark):
     after = {k: files(*k) for k in before}
     assert after[("A", 2001)] != before[("A", 2001)]
     assert all(after[k] == before[k] for k in before if k != ("A", 2001))
+    # a late yield of 2002 reads 2002 alone: 2001 stands in by its last rows
+    seen = []
+    label = r.label_fn
+    r.label_fn = lambda y: (seen.append(y), label(y))[1]
+    r._on_yields(spark.createDataFrame([(9, "A", "S", "corn", 2002, dt.date(2002, 7, 1), Decimal("30.00"))], YIELD_CSV), 99)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    bronze = next(p for p in plan.split("FileScan")[1:] if "bronze/yield" in p)
+    assert ">= 2002" in bronze.split("PartitionFilters: [")[1].split("]")[0]
+    avg = {x["Yield_Per_Acre"]: x["5_Year_Avg_Yield"] for x in r.gold_table().where("County = 'A' AND Year = 2002").collect()}
+    assert avg == {Decimal("11.00"): 10.0, Decimal("30.00"): 10.5}
+    r.label_fn = label
     row = r.gold_table().where("County = 'A' AND Year = 2001").first()
     assert row["60d_Total_Precip"] == 7.0  # 1 + 1 + 5
     # a late file reads only the touched years of both bronze tables
@@ -219,3 +230,47 @@ def test_county_day_weather_has_a_fixed_schema(spark):
     assert none.columns == [*COUNTY_KEYS, "date", "TMAX", "TSUN"] and none.count() == 0
     assert [tuple(r)[5:] for r in county_day_weather(obs, best, cty, **kw).collect()] == [(1.0, None)]
     assert county_day_weather(obs, best, cty, drop_unseen=True, **kw).columns == [*COUNTY_KEYS, "date", "TMAX"]
+
+
+def test_tail_state_gives_the_averages_of_a_full_run(spark):
+    """Yields in random drops, late ones too: gold equals a run over all rows,
+    and the state holds at most the window's depth a key and year."""
+    import random
+
+    from fieldlens.plans import gold as G
+
+    tie = ("Harvest_Date", "yield_id")
+    r = GoldRefresher(spark, shared_path(spark, "tails"), lambda y: G.add_trailing_yield(y, tiebreak=tie),
+                      lambda y, w: G.gold_from_labelled(y, w), YIELD_CSV, WEATHER_NO_CODES)
+    rng = random.Random(4)
+    rows = [(i, rng.choice("AB"), rng.choice(["Ohio", "Indiana"]), rng.choice(["corn", "soy"]), yr,
+             dt.date(yr, rng.randint(5, 9), rng.randint(1, 28)), Decimal(rng.randint(100, 9999)) / 100)
+            for i, yr in enumerate(rng.choices(range(2000, 2005), k=90))]
+    wx = spark.createDataFrame([(s, c, dt.date(yr, 5, d), 3.0, Decimal("1.00"), 70.0, 99.0, 50.0) for s in ("OH", "IN")
+                                for c in "AB" for yr in range(2000, 2005) for d in (1, 9)], WEATHER_NO_CODES)
+    r._on_weather(wx, 0)
+    rng.shuffle(rows)
+    for b in range(3):
+        r._on_yields(spark.createDataFrame(rows[b::3], YIELD_CSV), b)
+    whole = G.gold_features(spark.createDataFrame(rows, YIELD_CSV), wx, tiebreak=tie)
+    cols = whole.columns
+    assert sorted(map(tuple, r.gold_table().select(cols).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    sizes = spark.read.parquet(r.tails).groupBy("State", "County", "Crop", "Year").count().collect()
+    assert max(x["count"] for x in sizes) <= 5 and len(sizes) > 20
+
+
+def test_a_year_that_holds_most_rows_is_written_by_many_tasks(spark):
+    from fieldlens.session import unique_name
+    from fieldlens.sources.files import save_table
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "128k")
+    try:
+        df = spark.range(0, 200_000, 1, 8).selectExpr("id", "if(id % 10 = 0, 1990 + id % 7, 2000) AS Year", "uuid() AS t")
+        t = save_table(df, unique_name("rebalanced"), shared_path(spark, "rebalanced"), partition_by=["Year"])
+    finally:
+        spark.conf.set(key, before)
+    files = [f.split("Year=")[1][:4] for f in t.inputFiles()]
+    assert files.count("2000") >= 8 and all(files.count(y) <= 2 for y in set(files) - {"2000"})
+    assert t.count() == 200_000
