@@ -170,7 +170,7 @@ def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], target:
 
 
 def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-                    fold_col: str, *, folds: int = 5, parallelism: int = 5, **params) -> tuple[list[float], DataFrame]:
+                    fold_col: str, *, folds: int = 5, parallelism: int = 2, **params) -> tuple[list[float], DataFrame]:
     """K7: the RMSE of each hash-assigned fold, and the held-out predictions
     (fold, label, prediction) as a written table.
 
@@ -187,7 +187,8 @@ def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Seque
     data = materialize(stable_layout(prepare(train, numeric, target)
                                      .withColumn(fold_col, F.col(fold_col).cast("int"))), "cv_input")
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PRED, metricName="rmse")
-    params.setdefault("max_memory_mb", tree_memory_mb(train.sparkSession))
+    # the histograms of all forests in flight share one budget
+    params.setdefault("max_memory_mb", max(16, tree_memory_mb(train.sparkSession) // parallelism))
 
     def held_out(i: int):
         def job():

@@ -466,3 +466,15 @@ ORACLE["onehot_long"] = gold_with(SPLITS, SPLIT) + "\nUNION ALL\n".join(
     f"""SELECT {GOLD8}, '{c}_' || {c} AS feature, 1.0::DOUBLE AS value FROM sp
 WHERE split = 'test' AND {c} IN (SELECT {c} FROM sp WHERE split = 'train')"""
     for c in ("County", "State", "Crop"))
+
+ORACLE["csv_rejects"] = with_(YIELD_V) + """
+SELECT yield_id, County, Year, CASE WHEN yield_id % 101 <> 0 THEN Harvest_Date END AS Harvest_Date,
+  CASE WHEN yield_id % 97 <> 0 THEN Yield_Per_Acre END AS Yield_Per_Acre,
+  concat_ws(',', CASE WHEN yield_id % 101 = 0 THEN 'Harvest_Date' END,
+                 CASE WHEN yield_id % 97 = 0 THEN 'Yield_Per_Acre' END) AS rejected_fields
+FROM yield_v"""
+
+ORACLE["weather_from_station_files"] = ORACLE["weather_build"]
+
+ORACLE["residual_sketch"] = EVAL + """
+SELECT p::DOUBLE AS p, count(*) AS n, TRUE AS within_error FROM te CROSS JOIN (VALUES (0.1), (0.5), (0.9)) v(p) GROUP BY p"""

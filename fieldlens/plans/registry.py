@@ -18,7 +18,7 @@ from fieldlens.operators.aggregates import group_mean_long, pivot_mean
 from fieldlens.operators.filters import drop_null_rows, pair_filter, semi_filter, year_split
 from fieldlens.operators.joins import left_join_dim, yield_weather_days
 from fieldlens.operators.lookback import lookback_features, lookback_naive
-from fieldlens.operators.quantiles import quantile_row
+from fieldlens.operators.quantiles import RANK_ERROR, quantile_row, sketch_quantiles, write_sketches
 from fieldlens.operators.setops import stack, top_k
 from fieldlens.operators.windows import first_per_key
 from fieldlens.plans import evaluate as EV
@@ -273,6 +273,22 @@ def q_csv_ingest(spark, base):
     return _saved(spark, FS.read_csv(spark, landed, YIELD_CSV), "bronze_yield_csv")
 
 
+@register("csv_rejects")
+def q_csv_rejects(spark, base):
+    """M1 with a quarantine: records with an unreadable yield or date (planted by
+    id) are rejected with the fields at fault, the others land."""
+    k = F.col("yield_id")
+    y = A.yield_view(spark, base).select(
+        "yield_id", "County", "State", "Crop", "Year",
+        F.when(k % 101 == 0, F.lit("unknown")).otherwise(F.date_format("Harvest_Date", "yyyy-MM-dd")).alias("Harvest_Date"),
+        F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("Yield_Per_Acre").cast("string")).alias("Yield_Per_Acre"))
+    landed = FS.write_csv(y, shared_path(spark, "dirty_csv"))
+    good, bad = FS.land_csv(spark, landed, YIELD_CSV, unique_name("bronze_clean"), shared_path(spark, "landed"), max_share=0.1)
+    cols = ["yield_id", "County", "Year", "Harvest_Date", "Yield_Per_Acre"]
+    return stack([good.select(*cols, F.lit("").alias("rejected_fields")),
+                  bad.select(*cols, F.col("_fields").alias("rejected_fields"))])
+
+
 # --------------------------------------------------------------------------
 # Weather build
 # --------------------------------------------------------------------------
@@ -379,6 +395,25 @@ def q_weather_from_pages(spark, base):
 # --------------------------------------------------------------------------
 
 
+@register("weather_from_station_files")
+def q_weather_from_station_files(spark, base):
+    """M5 from pages that lie in a folder per station: a record's station comes
+    from its page's path, the pages do not name it."""
+    best = best_station_dim(spark, base)
+    obs = A.read_table(spark, base, "events").select(
+        F.floor(F.col("event_id") / PAGE_SIZE).alias("page"), F.col("user_id").cast("string").alias("station"),
+        F.col("ts").cast("date").cast("string").alias("date"), F.col("event_type").alias("datatype"),
+        F.col("value").cast("decimal(18,2)").alias("value"))
+    # pages are fetched for the chosen stations
+    asked = obs.join(best.select(F.col("station_key").alias("station")), "station", "left_semi")
+    path = FS.write_pages(asked, shared_path(spark, "station_files"), page_of="page",
+                          record_cols=["date", "datatype", "value"], tag_cols=["station"], folders=True)
+    records = FS.read_pages(spark, path, T.StructType([f for f in OBSERVATION_RECORD if f.name != "station"]), tag="station")
+    records = records.withColumn("date", F.col("date").cast("date")).withColumn(
+        "value", F.col("value").cast("decimal(18,2)"))
+    return WB.county_day_weather(records, best, A.county_view(spark, base), station_key="station_key", datatypes=OBS_TYPES)
+
+
 class Run:
     """Intermediate tables of one query invocation, each built (and, where it
     feeds several actions, written to the shared folder) at most once."""
@@ -456,6 +491,24 @@ def q_residual_bands(spark, base):
     return quantile_row(r, "res", [0.1, 0.9], ["error_10th", "error_90th"])
 
 
+@register("residual_sketch")
+def q_residual_sketch(spark, base):
+    """Residual percentiles from a KLL sketch per year, stored and merged: rows
+    behind the sketches and whether the estimate's true rank is within the stated
+    error (the true rank is counted over all residuals)."""
+    _, te = Run(spark, base).key_mean
+    r = te.select("Year", (F.col("Yield_Per_Acre").cast("double") - F.col(EV.PRED)).alias("res"))
+    est = sketch_quantiles(write_sketches(r, "res", shared_path(spark, "residual_sketches")), [0.1, 0.5, 0.9]).collect()
+    ranks = r.agg(F.count("*").alias("n"), *[F.count_if(F.col("res") <= e["value"]).alias(f"le{i}") for i, e in enumerate(est)],
+                  *[F.count_if(F.col("res") < e["value"]).alias(f"lt{i}") for i, e in enumerate(est)])
+    rows = []
+    for i, e in enumerate(est):
+        p, slack = F.lit(e["p"]), F.lit(RANK_ERROR)
+        ok = (F.col(f"lt{i}") / F.col("n") <= p + slack) & (F.col(f"le{i}") / F.col("n") >= p - slack)
+        rows.append(F.struct(p.alias("p"), F.lit(e["n"]).cast("bigint").alias("n"), ok.alias("within_error")))
+    return ranks.select(F.inline(F.array(*rows))) if rows else spark.createDataFrame([], "p double, n bigint, within_error boolean")
+
+
 def banded_test_predictions(spark, base):
     """Saved once as the predictions table; the reports read it back."""
     r = Run(spark, base)

@@ -159,7 +159,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df, name: str = "stage", partition_by=()):
+def materialize(df, name: str = "stage", partition_by=(), path: str | None = None):
     """Write ``df`` once as a parquet table in the shared folder and read it
     back.
 
@@ -169,18 +169,18 @@ def materialize(df, name: str = "stage", partition_by=()):
     lineage; a lost executor cannot force a recompute of upstream stages.
     With ``partition_by`` (e.g. ``Year``) later filters prune partitions.
     """
-    path = shared_path(df.sparkSession, name)
+    path = path or shared_path(df.sparkSession, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize_observed(df, metrics, name: str = "stage", partition_by=()):
+def materialize_observed(df, metrics, name: str = "stage", partition_by=(), path: str | None = None):
     """:func:`materialize`, and the values of the aggregate columns ``metrics``
     over the written rows as a dict: Spark collects them while it writes
     (``Observation``), so that they cost no job of their own."""
     seen = Observation(unique_name(name))
-    table = materialize(df.observe(seen, *metrics), name, partition_by)
+    table = materialize(df.observe(seen, *metrics), name, partition_by, path)
     return table, seen.get

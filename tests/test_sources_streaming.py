@@ -274,3 +274,28 @@ def test_a_year_that_holds_most_rows_is_written_by_many_tasks(spark):
     files = [f.split("Year=")[1][:4] for f in t.inputFiles()]
     assert files.count("2000") >= 8 and all(files.count(y) <= 2 for y in set(files) - {"2000"})
     assert t.count() == 200_000
+
+
+def test_rejects_go_to_quarantine_with_file_and_line(spark, tmp_path):
+    from fieldlens.session import unique_name
+    from fieldlens.sources.files import land_csv
+
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.csv").write_text("k,n,when\n1,5,2020-01-01\n2,five,2020-01-02\n3,7,soon\n4,x,y\n5,,\n")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("when", T.DateType())])
+    name = unique_name("landed")
+    good, bad = land_csv(spark, str(d), schema, name, shared_path(spark, "land"), max_share=0.7)
+    assert sorted(tuple(r) for r in good.collect()) == [(1, 5, dt.date(2020, 1, 1)), (5, None, None)]
+    assert sorted((r["k"], r["n"], r["_fields"], r["_line"], r["_file"]) for r in bad.collect()) == [
+        (2, None, "n", "2,five,2020-01-02", "a.csv"), (3, 7, "when", "3,7,soon", "a.csv"), (4, None, "n,when", "4,x,y", "a.csv")]
+    with pytest.raises(ValueError, match="3 of 5 records rejected"):
+        land_csv(spark, str(d), schema, name, shared_path(spark, "land"))
+    assert spark.table(name).count() == 2  # the table stands as it was
+
+
+def test_tag_from_the_page_folder(spark):
+    rec = T.StructType([T.StructField("v", T.DoubleType())])
+    df = spark.createDataFrame([(0, "007", 1.0), (0, "GHCND:USW 1/2+%3A", 2.0)], "page long, station string, v double")
+    path = write_pages(df, shared_path(spark, "tagged"), page_of="page", record_cols=["v"], tag_cols=["station"], folders=True)
+    assert sorted(tuple(r) for r in read_pages(spark, path, rec, tag="station").collect()) == [("007", 1.0), ("GHCND:USW 1/2+%3A", 2.0)]

@@ -90,3 +90,26 @@ def test_nan_is_a_stated_choice(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [1.5]
     assert np.isnan(exact_quantiles(df, "x", [0.5], drop_nan=False)[0])
+
+
+def test_sketches_merge_and_keep_their_error(spark):
+    """Sketches per year, one year rewritten: merged estimates against exact
+    ranks; half of the values are one number."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from fieldlens.operators.quantiles import RANK_ERROR, sketch_quantiles, write_sketches
+    from fieldlens.session import shared_path
+
+    df = spark.range(60_000).select((F.col("id") % 6 + 2000).alias("Year"), F.when(F.col("id") % 2 == 0, F.lit(7.0)).otherwise(
+        F.pmod(F.hash("id"), F.lit(100_000)) / 7.0).alias("v"))
+    path = shared_path(spark, "sketches")
+    write_sketches(df.withColumn("v", F.when(F.col("Year") == 2003, F.lit(-1.0)).otherwise(F.col("v"))), "v", path)
+    table = write_sketches(df.where("Year = 2003").unionByName(
+        spark.createDataFrame([(2003, None), (2003, float("nan"))], "Year long, v double")), "v", path)
+    v = np.sort([r[0] for r in df.select("v").collect()])
+    for r in sketch_quantiles(table, [0.0, 0.1, 0.5, 0.9, 1.0]).collect():
+        assert r["n"] == len(v)
+        lo, hi = (np.searchsorted(v, r["value"], side) / len(v) for side in ("left", "right"))
+        assert lo - RANK_ERROR <= r["p"] <= hi + RANK_ERROR
+    assert sketch_quantiles(table.where("false"), [0.5]).collect() == []
