@@ -91,15 +91,9 @@ def q_preharvest_naive(spark, base):
     return _lookback_out(lookback_naive(y, w, row_key=["yield_id"], hot_threshold=HOT))
 
 
-def bronze_yield(spark: SparkSession, base: str) -> DataFrame:
-    """The bronze yield table: the yield view written once to the shared
-    folder, for plans that read it in several branches."""
-    return materialize(A.yield_view(spark, base))
-
-
 def gold_analog(spark: SparkSession, base: str) -> DataFrame:
-    """The flagship gold table over the analog views (the trailing window writes
-    the yields once, in blocks; every later branch reads those)."""
+    """The flagship gold table over the analog views (the trailing window writes the
+    yields in blocks, the labelled rows are written once in buckets)."""
     return G.gold_features(A.yield_view(spark, base), A.weather_view(spark, base),
                            tiebreak=TIEBREAK, hot_threshold=HOT, temp_type=TEMP_TYPE)
 
