@@ -31,6 +31,11 @@ def alnum_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(WORDS).split()
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """``base``, or with underscores added until no column clashes with it
     (column names compare without case)."""

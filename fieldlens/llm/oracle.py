@@ -38,14 +38,20 @@ FROM d LEFT JOIN f USING (r)
 
 
 def line_dedup_sql() -> str:
-    from fieldlens.llm.line_dedup import MIN_SITES
+    from fieldlens.llm.line_dedup import MIN_SITES, MIN_WORDS, WORD
 
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
 l AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
   generate_subscripts(string_split(text, chr(10)), 1) AS p FROM d),
-b AS (SELECT trim(line) AS k, min(doc_id) AS first FROM l WHERE trim(line) <> '' GROUP BY 1
+z AS (SELECT count(*) AS k, sum(n) / count(*) / sum(sum(n)) OVER () AS p
+  FROM (SELECT count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source) GROUP BY length(bin(n))),
+c AS (SELECT trim(line) AS k, min(doc_id) AS first, count(DISTINCT source) AS sites,
+  count(DISTINCT r) FILTER (source IS NOT NULL) AS n FROM l
+  WHERE len(regexp_extract_all(trim(line), '{WORD}')) >= {MIN_WORDS} GROUP BY 1
   HAVING count(DISTINCT source) >= {MIN_SITES}),
+b AS (SELECT k, first FROM c WHERE sites >= round((SELECT sum(z.k * (1 - pow(1 - p, n)))
+  - 2 * sqrt(sum(z.k * pow(1 - p, n) * (1 - pow(1 - p, n)))) FROM z), 6)),
 j AS (SELECT l.*, b.k IS NOT NULL AND l.doc_id IS DISTINCT FROM b.first AS cut FROM l LEFT JOIN b ON trim(line) = b.k),
 s AS (SELECT r, count(*) FILTER (cut) AS n_removed,
   coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT cut), '') AS kept FROM j GROUP BY r)
