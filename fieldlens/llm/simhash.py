@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import LOWER, TEXT_ROWS, fresh_name, table
+from fieldlens.llm.common import LOWER, TEXT_ROWS, fresh_name, named, table
 from fieldlens.llm.components import connected_components
 from fieldlens.session import Scratch
 
@@ -194,14 +194,14 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shing
     text, ``component`` the smallest fingerprint reachable, ``component_id``
     the smallest id."""
     fp = scratch.table(fingerprints(
-        docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tx"), F.col(text_col).alias("text")),
+        docs.select(named(id_col).alias("id"), F.xxhash64(named(text_col)).alias("tx"), named(text_col).alias("text")),
         shingle=shingle), "fp", arrow_rows=TEXT_ROWS)
     roots = scratch.table(fp.groupBy("fp").agg(F.min("id").alias("root")), "roots")
     links = scratch.table(fingerprint_links(roots.select("fp"), scratch, radius), "links")
     parts = connected_components(links, scratch).withColumnRenamed("node", "fp")
-    named = roots.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    groups = named.groupBy("component").agg(F.min("root").alias("component_id"))
-    names = scratch.table(named.join(groups, "component").select("fp", "component", "component_id"), "names")
+    placed = roots.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    groups = placed.groupBy("component").agg(F.min("root").alias("component_id"))
+    names = scratch.table(placed.join(groups, "component").select("fp", "component", "component_id"), "names")
     return fp.join(names, "fp")
 
 
@@ -212,7 +212,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     The component is the smallest id reachable over links of at most
     ``radius`` differing bits.  Null or wordless text has fingerprint zero and
     links like any other; rows that repeat are rows; a null id never names a
-    component unless all its ids are null.  An empty table gives no row.
+    component unless all its ids are null.  Texts are read whole, whatever
+    their length; other columns, of any name, play no part.  An empty table
+    gives no row.
     """
     return grouped(docs, scratch, id_col, text_col, shingle, radius).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -223,7 +225,8 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_i
     """``docs`` with one row of each component: a row whose id names it (null
     if all its ids are), columns unchanged.  Where several rows do, because an
     id repeats, the one with the smallest text hash stays, and of rows equal
-    in both the smallest by their other columns."""
+    in both the first by their other columns as JSON text.  Columns may have
+    any name and type, maps included."""
     found = grouped(docs, scratch, id_col, text_col, shingle, radius)
     keep_id, keep_tx = fresh_name(docs, "keep_id"), fresh_name(docs, "keep_tx")
     heads = scratch.table(
@@ -233,17 +236,20 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_i
         .select(F.col("h.id").alias(keep_id), F.col("h.tx").alias(keep_tx), F.col("h.n").alias("n")), "heads")
 
     def rows_of(part: DataFrame) -> DataFrame:
-        return docs.join(part.select(keep_id, keep_tx), (F.xxhash64(docs[text_col]) == F.col(keep_tx))
-                         & docs[id_col].eqNullSafe(F.col(keep_id)), "left_semi")
+        return docs.join(part.select(keep_id, keep_tx), (F.xxhash64(named(text_col)) == F.col(keep_tx))
+                         & named(id_col).eqNullSafe(F.col(keep_id)), "left_semi")
 
     kept = rows_of(heads.filter("n = 1"))
     repeated = heads.filter("n > 1")
     if repeated.isEmpty():
         return kept
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    row = F.struct(*rest) if rest else F.struct(F.lit(1))
-    first = rows_of(repeated).groupBy(id_col, text_col).agg(F.min(row).alias("__row"))
-    return kept.unionByName(first.select(id_col, text_col, *(F.col("__row")[c].alias(c) for c in rest)))
+    # the other columns travel under their positions, so no name can clash
+    row = F.struct(F.lit(1).alias("one"), *(named(c).alias(f"c{i}") for i, c in enumerate(rest)))
+    first = rows_of(repeated).groupBy(named(id_col).alias("id"), named(text_col).alias("text")).agg(
+        F.min_by(row, F.to_json(row)).alias("row"))
+    whole = {id_col: "id", text_col: "text", **{c: f"row.c{i}" for i, c in enumerate(rest)}}
+    return kept.unionByName(first.select(*(F.col(whole[c]).alias(c) for c in docs.columns)))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

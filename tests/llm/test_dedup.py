@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,7 +132,8 @@ def test_near_duplicates_brute_force(spark, odd_rows):
 
 
 def test_one_document_of_each_group_stays(spark, odd_rows):
-    df = spark.createDataFrame(odd_rows, DOCS).withColumn("keep", F.lit(2)).withColumn("n", F.col("text"))
+    df = spark.createDataFrame(odd_rows, DOCS).withColumn("keep", F.lit(2)).withColumn("n", F.col("text")) \
+        .withColumn("a.b`c", F.lit(3)).withColumn("m", F.create_map(F.lit("k"), F.col("text"))).withColumn("__row", F.lit(1))
     with Scratch(spark, "t") as sc:
         kept = drop_near_duplicates(df, sc)
         assert kept.columns == df.columns
@@ -145,34 +147,57 @@ def test_one_document_of_each_group_stays(spark, odd_rows):
     assert ids == sorted((min((d for d in g if d is not None), default=None) for g in names.values()), key=str)
 
 
+def slow_boilerplate(rows, least=8, words=4):
+    """(boilerplate lines, first holder of every line) of (id, text, site)."""
+    sites, held, first = {}, Counter(), {}
+    size = Counter(s for _, _, s in rows if s is not None)
+    bins = {}
+    for n in size.values():
+        bins.setdefault(n.bit_length(), []).append(n)
+    for d, t, s in rows:
+        for x in {y.strip(" ") for y in (t or "").split("\n")} - {""}:
+            if s is not None:
+                sites.setdefault(x, set()).add(s)
+                held[x] += 1
+            if d is not None:
+                first[x] = min(d, first.get(x, d))
+    bad = set()
+    for x, on in sites.items():
+        miss = [(len(b), (1 - sum(b) / len(b) / sum(size.values())) ** held[x]) for b in bins.values()]
+        mean, var = sum(k * (1 - q) for k, q in miss), sum(k * q * (1 - q) for k, q in miss)
+        if len(on) >= max(least, round(mean - 2 * var ** 0.5, 6)) and len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= words:
+            bad.add(x)
+    return bad, first
+
+
 def test_line_dedup_brute_force(spark):
     rng = random.Random(2)
     rows = []
     for i in range(400):
-        lines = [f"own line {i}", "", " Subscribe now "]
+        lines = [f"own line {i}", "", " Subscribe now to our\tletter "]
+        if i % 5 == 0:
+            lines.append("And so it.")  # prose: too short to be boilerplate
+        if i % 23 < 9:
+            lines.append("nine of all the sites")  # 9 sites, far fewer than chance
         if i % 3 == 0:
-            lines.append("spread %d" % (i % 14))
+            lines.append("spread over some sites %d" % (i % 14))
         if i % 2:
             lines.append("two sites only")
         rng.shuffle(lines)
         src = None if i % 50 == 0 else f"s{i % 2 if 'two sites only' in lines and i % 2 else i % 23}"
         rows.append((i if i % 97 else None, "\n".join(lines), src))
     rows += [(900, None, "s1"), (901, "", "s2"), (902, "\n\n", "s3"), rows[5], rows[5], (903, "y" * 50000, "s1")]
-    sites, first = {}, {}
-    for d, t, s in rows:
-        for x in {y.strip(" ") for y in (t or "").split("\n")} - {""}:
-            if s is not None:
-                sites.setdefault(x, set()).add(s)
-            if d is not None:
-                first[x] = min(d, first.get(x, d))
+    bad, first = slow_boilerplate(rows)
+    assert "Subscribe now to our\tletter" in bad and not {"And so it.", "nine of all the sites"} & bad
     want = []
     for d, t, s in rows:
         cut = [x for x in (t or "").split("\n") if not (
-            x.strip(" ") and len(sites.get(x.strip(" "), ())) >= 8 and d != first.get(x.strip(" ")))]
+            x.strip(" ") in bad and d != first.get(x.strip(" ")))]
         n = len((t or "").split("\n")) - len(cut)
         want.append((d, t if t is None or not n else "\n".join(cut), s, n))
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
-    clash = df.withColumn("bad", F.lit(1)).withColumn("TX", F.lit("q")).withColumn("first", F.lit(0))
+    clash = df.withColumn("bad", F.lit(1)).withColumn("TX", F.lit("q")).withColumn("first", F.lit(0)) \
+        .withColumn("a.b`c", F.lit(3)).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
     with Scratch(spark, "t") as sc:
         got = drop_boilerplate(df, sc, removed="cut").collect()
         same = drop_boilerplate(clash, sc)
