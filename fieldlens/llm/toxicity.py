@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldlens.llm.common import WORDS, table, unit_hash
+from fieldlens.llm.common import WORDS, map_arrow, named, table, unit_hash
 
 SAMPLE = 4000
 DIM = 1 << 18
@@ -53,7 +54,7 @@ def word_slots(word: bytes) -> list[int]:
 def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text leaves 2 modulo 4; null ids are
     in the training part but have no label to learn."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(named(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def training_bags(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -62,16 +63,16 @@ def training_bags(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     sentence lengths, word slots).  A repeated label row counts once, toxic
     if any of its rows is; a repeated document gives its smallest text."""
     ids = (
-        labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-        .groupBy(id_col).agg(F.max(label_col).alias("y"))
+        labels.filter(named(label_col).isNotNull() & named(id_col).isNotNull() & ~held_out(id_col))
+        .groupBy(named(id_col).alias("id")).agg(F.max(named(label_col)).alias("y"))
     )
     n = ids.count()
     share = min(1.0, sample / max(n, 1))
-    chosen = ids.filter(unit_hash(id_col, seed=seed) < share).limit(sample * 2)
+    chosen = ids.filter(unit_hash("id", seed=seed) < share).limit(sample * 2)
     picked = (
-        docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("t"))
-        .join(F.broadcast(chosen), id_col)
-        .groupBy(id_col, "y").agg(F.min("t").alias("t"))
+        docs.select(named(id_col).alias("id"), named(text_col).cast("binary").alias("t"))
+        .join(F.broadcast(chosen), "id")
+        .groupBy("id", "y").agg(F.min("t").alias("t"))
     )
 
     def bags(batches):
@@ -184,26 +185,30 @@ def score_toxicity(docs: DataFrame, model: NoisyOr, text_col: str = "text", out:
     ``sentences`` counts the sentences with words; ``offending`` lists those
     with a probability of at least ``THRESHOLD`` as struct(first_byte,
     end_byte, p), byte offsets into the UTF-8 text.  Null and wordless texts
-    have score 0 and no sentence.  Repeated rows are scored each, an empty
-    table gives no row, and a column already called ``out`` is replaced.
+    have score 0 and no sentence.  Repeated rows are scored each, texts
+    are read whole, whatever their length, and columns may have any name.  An
+    empty table gives no row, and a column already called ``out`` is replaced.
     """
-    docs = docs.drop(out)
+    docs = docs.select(*(named(c) for c in docs.columns if c.lower() != out.lower()))
     sent = docs.sparkSession.sparkContext.broadcast((np.array(model.weights), model.bias))
     at = docs.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, _FOUND)])
 
     def run(batches):
         scorer = NoisyOr(*sent.value)
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             res = pa.array([_located(scorer, t) for t in texts], type=_RESULT)
-            yield pa.RecordBatch.from_arrays([*batch.columns, res], names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, res], names=[*batch.schema.names, "found"])
 
-    return docs.mapInArrow(
-        run, f"{schema}, `{out}` struct<score:double,sentences:int,"
-             "offending:array<struct<first_byte:int,end_byte:int,p:double>>>")
+    return map_arrow(docs, run, schema)
 
 
+_FOUND = T.StructType([
+    T.StructField("score", T.DoubleType()), T.StructField("sentences", T.IntegerType()),
+    T.StructField("offending", T.ArrayType(T.StructType([
+        T.StructField("first_byte", T.IntegerType()), T.StructField("end_byte", T.IntegerType()),
+        T.StructField("p", T.DoubleType())])))])
 _RESULT = pa.struct([("score", pa.float64()), ("sentences", pa.int32()), ("offending", pa.list_(pa.struct(
     [("first_byte", pa.int32()), ("end_byte", pa.int32()), ("p", pa.float64())])))])
 

@@ -65,7 +65,8 @@ def test_toxicity_learns_only_from_the_training_part(spark):
 
 def test_toxicity_odd_rows(spark):
     rows = [(1, None), (1, None), (None, "vile insult"), (2, ""), (3, " .!? "), (4, "word. " * 30000)]
-    df = spark.createDataFrame(rows, DOCS).withColumn("toxicity", F.lit(1)).withColumn("t", F.lit("x"))
+    df = spark.createDataFrame(rows, DOCS).withColumn("toxicity", F.lit(1)).withColumn("t", F.lit("x")) \
+        .withColumn("a.b`c", F.lit(3)).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (9, None)], "doc_id bigint, toxic int")
     model = train_toxicity(df, labels)
     got = {(r.doc_id, r.text): r.toxicity for r in score_toxicity(df, model).collect()}
