@@ -21,11 +21,13 @@ WITH t(t, label, base, tpos, grams, gram) AS (VALUES {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
 g AS (SELECT r, p, array_to_string(w[p:p + 2], ' ') AS gram
   FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM d)),
-v AS (SELECT r, t, label, base, grams, p - 1 - tpos AS at_, bit_or(CAST(1 AS BIGINT) << tpos) AS mask
-  FROM g JOIN t USING (gram) GROUP BY ALL),
-m AS (SELECT *, bit_count(bit_or(mask) OVER (PARTITION BY r, t ORDER BY at_
-    RANGE BETWEEN {SLACK} PRECEDING AND {SLACK} FOLLOWING))::DOUBLE / grams AS cover,
-  bit_count(mask) = grams AND base AS is_base FROM v),
+v AS (SELECT DISTINCT r, t, label, base, grams, p - 1 - tpos AS at_, p, tpos FROM g JOIN t USING (gram)),
+o AS (SELECT r, t, label, base, grams, at_, count(*) = grams AND base AS is_base FROM v GROUP BY r, t, label, base, grams, at_),
+n AS (SELECT o.*, list({{'p': v.p::BIGINT, 't': v.tpos::BIGINT, 'n': 0::BIGINT}} ORDER BY v.p, v.tpos) AS hits
+  FROM o JOIN v ON v.r = o.r AND v.t = o.t AND v.at_ BETWEEN o.at_ - {SLACK} AND o.at_ + {SLACK} GROUP BY ALL),
+m AS (SELECT *, list_reduce([{{'p': -1::BIGINT, 't': -1::BIGINT, 'n': 0::BIGINT}}] || hits, lambda a, x:
+    CASE WHEN x.p > a.p AND x.t > a.t THEN {{'p': x.p, 't': x.t, 'n': a.n + 1}} ELSE a END).n::DOUBLE / grams AS cover
+  FROM n),
 f AS (SELECT r, count(*) FILTER (is_base) AS n_base, min(at_) FILTER (is_base) AS first_word,
   max(at_) FILTER (is_base) AS last_word, max(cover) AS score,
   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels,

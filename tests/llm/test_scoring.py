@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlens.llm.license_scan import BASE, TEMPLATES, gram_positions, scan_licenses
+from fieldlens.llm.license_scan import (
+    APACHE_NOTICE, BASE, BSD_TEXT, GPL_NOTICE, MIT_TEXT, TEMPLATES, gram_positions, scan_licenses,
+)
 from fieldlens.llm.quality import (
     LABELLERS, fit_labellers, fit_scorer, keep_good, score_quality, shape, slots, train_quality, votes,
 )
@@ -139,7 +141,7 @@ def slow_scan(text):
     found = set(labels)
     best = 0.0
     for t, (phrase, label) in enumerate((*BASE, *TEMPLATES)):
-        p = phrase.split()
+        p = re.findall(r"[0-9a-z]+", phrase.lower())
         grams = [p[i:i + 3] for i in range(len(p) - 2)]
         hits = {}
         for i in range(len(w) - 2):
@@ -147,7 +149,11 @@ def slow_scan(text):
                 if w[i:i + 3] == g:
                     hits.setdefault(i - j, set()).add(j)
         for d in hits:
-            cover = len(set().union(*(hits.get(d + k, set()) for k in range(-2, 3)))) / len(grams)
+            chain = [(-1, -1)]
+            for at_doc, j in sorted((d + k + j, j) for k in range(-2, 3) for j in hits.get(d + k, ())):
+                if at_doc > chain[-1][0] and j > chain[-1][1]:
+                    chain.append((at_doc, j))
+            cover = (len(chain) - 1) / len(grams)
             best = max(best, cover)
             if t >= len(BASE) and cover >= 0.6:
                 found.add(label)
@@ -155,16 +161,33 @@ def slow_scan(text):
             ",".join(sorted(found)), best)
 
 
+def test_pieces_out_of_order_do_not_count(spark):
+    """Neighbouring diagonals that hold the template's pieces swapped or twice."""
+    template = (("a b c d e f g h", "x"),)
+    texts = ["a b c d e f g h", "a b c d x e f g h", "a b c d f g h", "d e f g b c d e", "c d e f c d e f"]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r.doc_id: round(r.score * 6) for r in scan_licenses(df, base=(), templates=template).collect()}
+    assert got == {0: 6, 1: 4, 2: 3, 3: 2, 4: 2}
+
+
 def test_license_scan_brute_force(spark):
     texts = ["Under the MIT License under the mit-license", "Apache License, Version 2.0", "cc by-nc", "CC BY", None, "",
              "Permission is hereby granted, totally free of charge, to any person obtaining a copy of this software",
              "redistribution and use in source or binary forms with or without any modification are permitted",
              "under the mit é license", "ünder the mit license under the mit license", "all rights reserved " * 3000,
-             "x " * 20000 + "licensed under cc by nc 4 0"]
+             "x " * 20000 + "licensed under cc by nc 4 0", "Copyright A. Body\n" + MIT_TEXT + "end",
+             BSD_TEXT.replace("warranties", "guarantees").replace("provided that", "as long as"),
+             " ".join(MIT_TEXT.split()[:70]), " ".join(reversed(APACHE_NOTICE.split())),
+             GPL_NOTICE.replace("along with this program", "with it") + APACHE_NOTICE]
     rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (0, texts[0]), (0, texts[1]), (None, texts[2]), (None, None)]
     df = spark.createDataFrame(rows, DOCS).withColumn("h", F.lit(1)).withColumn("mask", F.lit(2)).repartition(3)
     got = sorted((tuple(r)[:8] for r in scan_licenses(df).collect()), key=str)
     assert got == sorted(((i, *slow_scan(t)) for i, t in rows), key=str)
     assert scan_licenses(df.limit(0)).count() == 0
+    odd = df.toDF("a.id", "a.b`c", "h", "mask").withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    again = scan_licenses(odd, "a.id", "a.b`c").collect()
+    assert sorted((tuple(r)[:8] for r in again), key=str) == got
+    labels = {r.doc_id: r.labels for r in scan_licenses(df.filter("doc_id >= 12")).collect()}
+    assert labels == {12: "mit", 13: "bsd", 14: "mit", 15: "", 16: "apache-2,gpl-3"}
     with pytest.raises(ValueError):
         gram_positions(base=(("two words", "x"),))
