@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import rank_in_groups, shuffle_buckets, table, unit_hash
+from fieldlens.llm.common import named, rank_in_groups, shuffle_buckets, table, unit_hash
 from fieldlens.session import Scratch
 
 ROWS_PER_BLOCK = 200_000
@@ -49,10 +49,13 @@ def shuffle_shards(df: DataFrame, scratch: Scratch, n_shards: int = 24, seed: in
 
     Every row of ``df`` is placed once, whatever its values: nulls, empty
     texts and repeated rows are rows like any other.  An empty frame stays
-    empty.  Columns already called shard or slot are replaced.  Pass a narrow
-    frame (keys and sizes): all its columns are exchanged.
+    empty.  Columns already called shard or slot are replaced, others may have
+    any name and type.  Pass a narrow frame (keys and sizes): all its columns,
+    very long texts among them, are exchanged.
     """
-    df = df.drop("shard", "slot")
+    names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    # columns travel under their positions, so no name can clash
+    df = df.select(*(named(c).alias(f"c{i}") for i, c in enumerate(names)))
     spark = df.sparkSession
     # The stored row number makes every later hash stable under task retries.
     rows = scratch.table(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
@@ -73,7 +76,8 @@ def shuffle_shards(df: DataFrame, scratch: Scratch, n_shards: int = 24, seed: in
         .drop("__block", "__ends", "__r")
     )
     exchanged = scratch.table(sent, "sent")
-    return rank_in_groups(exchanged, ["shard"], ["__row"], "slot", seed=seed + 2).drop("__row")
+    ranked = rank_in_groups(exchanged, ["shard"], ["__row"], "slot", seed=seed + 2)
+    return ranked.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "shard", "slot")
 
 
 def document_digest(docs: DataFrame) -> DataFrame:

@@ -142,6 +142,12 @@ def test_shards_are_exact_and_keep_every_row(spark):
         assert wide.columns == ["doc_id", "text", "shard", "slot"]
         sizes5 = Counter(r.shard for r in wide.collect())
         assert shuffle_shards(digest.limit(0), sc).count() == 0
+        odd = df.select("doc_id", F.lit(1).alias("__row"), F.lit(2).alias("__block"), F.lit(3).alias("__r"),
+                        F.lit(4).alias("__ends"), F.lit(5).alias("__slice"), F.lit(6).alias("__first"),
+                        F.lit(7).alias("a.b`c"), F.create_map(F.lit("k"), F.lit(8)).alias("m"))
+        placed = shuffle_shards(odd, sc)
+        assert placed.columns == [*odd.columns, "shard", "slot"]
+        assert {tuple(r)[1:8] for r in placed.drop("m").collect()} == {(1, 2, 3, 4, 5, 6, 7)}
         few = Counter(r.shard for r in shuffle_shards(digest.limit(3), sc).collect())
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter(
         (i, 8 + len((t or "").encode()), zlib.crc32((t or "").encode())) for i, t in rows)
