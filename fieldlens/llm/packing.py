@@ -2,10 +2,12 @@
 
 1. Documents become token pieces of at most ``size`` tokens (Python tasks).
 2. One aggregate gives the histogram of piece lengths: at most ``size`` rows.
-3. On the histogram alone: patterns of a few length bins that fill a sequence
-   are enumerated, their repeat counts fitted by non-negative least squares,
-   rounded down and filled with real lengths; what is left is packed best-fit
-   by decreasing length into the patterns' gaps and into new sequences.  Equal
+3. On the histogram alone: patterns of up to four length bins that fill a
+   sequence are enumerated (a bin stands in many of them), their repeat counts
+   fitted by non-negative least squares, rounded down and filled with real
+   lengths; what is left is packed best-fit by decreasing length into the
+   patterns' gaps and into new sequences.  This is done on a few grids of bins
+   and the plan with the fewest sequences stays.  Equal
    sequences are kept as (first sequence, count), so the work depends on the
    number of lengths, not on the number of documents.
 4. Pieces are numbered within their length (in slices, no whole length in one
@@ -26,8 +28,8 @@ from fieldlens.llm.common import TEXT_ROWS, fresh_name, rank_in_groups, table
 from fieldlens.session import Scratch
 
 SIZE = 2048
-BINS = 256
-PARTS = 2
+# (bins, most parts of a pattern, shortest part as a share of the size)
+GRIDS = ((64, 4, 1 / 5), (64, 4, 1 / 16), (128, 3, 1 / 8), (256, 3, 1 / 8))
 CACHE_WORDS = 1_000_000
 
 _ENCODERS: dict[str | None, WordEncoder] = {}
@@ -132,23 +134,25 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(cut, fields + ", ids binary" * with_ids)
 
 
-def nnls(a: np.ndarray, y: np.ndarray, steps: int = 400) -> np.ndarray:
+def nnls(a: np.ndarray, y: np.ndarray) -> np.ndarray:
     """x >= 0 minimising |a x - y| by an active set: add the most useful
-    column, solve on the chosen ones, drop those that turn negative."""
+    column, solve on the chosen ones, drop those that turn negative.  It ends
+    when no column helps or the residual no longer falls."""
     x = np.zeros(a.shape[1])
     on = np.zeros(a.shape[1], dtype=bool)
     tol = 1e-9 * max(1.0, float(np.abs(y).max(initial=0)))
-    for _ in range(steps):
+    best_x, best_norm = x.copy(), float(y @ y)
+    while True:
         gain = a.T @ (y - a @ x)
         gain[on] = 0
-        best = int(np.argmax(gain))
-        if gain[best] <= tol:
+        best = int(np.argmax(gain)) if gain.size else 0
+        if not gain.size or gain[best] <= tol:
             break
         on[best] = True
-        while True:
+        while on.any():
             idx = np.flatnonzero(on)
             s = np.linalg.lstsq(a[:, idx], y, rcond=None)[0]
-            if s.min(initial=1) > tol:
+            if s.min() > tol:
                 x[:] = 0
                 x[idx] = s
                 break
@@ -161,9 +165,11 @@ def nnls(a: np.ndarray, y: np.ndarray, steps: int = 400) -> np.ndarray:
             drop = drop if drop.size else idx[low]
             x[drop] = 0
             on[drop] = False
-            if not on.any():
-                break
-    return x
+        r = y - a @ x
+        if float(r @ r) >= best_norm * (1 - 1e-12):
+            break
+        best_x, best_norm = x.copy(), float(r @ r)
+    return best_x
 
 
 def bin_patterns(bins: int, parts: int) -> list[tuple[int, ...]]:
@@ -180,12 +186,14 @@ def bin_patterns(bins: int, parts: int) -> list[tuple[int, ...]]:
 
 class Plan:
     """Where the pieces of each length go: slots (length, first rank, count,
-    first sequence, offset), with ranks gapless from 0 in each length."""
+    first sequence, offset), with ranks gapless from 0 in each length.
+    ``fitted`` counts the pieces that the patterns placed."""
 
     def __init__(self):
         self.slots: list[tuple[int, int, int, int, int]] = []
         self.used: dict[int, int] = {}
         self.sequences = 0
+        self.fitted = 0
 
     def put(self, length: int, count: int, first_seq: int, offset: int) -> None:
         rank = self.used.get(length, 0)
@@ -193,20 +201,26 @@ class Plan:
         self.used[length] = rank + count
 
 
-def plan_packing(histogram: dict[int, int], size: int = SIZE, bins: int = BINS,
-                 parts: int = PARTS) -> Plan:
-    """Pack ``histogram`` (length -> count) into sequences of ``size``."""
+def plan_packing(histogram: dict[int, int], size: int = SIZE, grids=GRIDS) -> Plan:
+    """Pack ``histogram`` (length -> count) into sequences of ``size``: of the
+    plans of all ``grids`` the one with the fewest sequences, then with the
+    most pieces placed by patterns."""
+    return min((_plan_on_grid(histogram, size, *g) for g in grids), key=lambda p: (p.sequences, -p.fitted))
+
+
+def _plan_on_grid(histogram: dict[int, int], size: int, bins: int, parts: int, least: float) -> Plan:
     plan = Plan()
     left = {k: int(v) for k, v in histogram.items() if v > 0}
     gaps: list[list[list[int]]] = [[] for _ in range(size + 1)]  # room -> [first sequence, count]
-    width = size // bins
+    width = -(-size // bins)
     in_bin: dict[int, list[int]] = {}
     for length in sorted(left, reverse=True):
         in_bin.setdefault(-(-length // width), []).append(length)
     counts = np.zeros(bins)
     for b, ls in in_bin.items():
         counts[b - 1] = sum(left[x] for x in ls)
-    pats = [p for p in bin_patterns(bins, parts) if all(b in in_bin for b in p)]
+    low = int(bins * least)
+    pats = [p for p in bin_patterns(bins, parts) if p[-1] > low and all(b in in_bin for b in p)]
     if pats:
         a = np.zeros((bins, len(pats)))
         for j, p in enumerate(pats):
@@ -214,23 +228,24 @@ def plan_packing(histogram: dict[int, int], size: int = SIZE, bins: int = BINS,
                 a[b - 1, j] += 1
         repeats = np.floor(nnls(a, counts) + 1e-6).astype(np.int64)
         for j in np.argsort(-np.array([p[0] for p in pats]), kind="stable"):
-            _fill_pattern(plan, pats[j], int(repeats[j]), in_bin, left, gaps, size)
+            _fill_pattern(plan, pats[j], int(repeats[j]), in_bin, left, gaps, size, width)
+        plan.fitted = sum(plan.used.values())
     for length in sorted(left, reverse=True):  # best fit, decreasing
         _best_fit(plan, length, left[length], gaps, size)
     return plan
 
 
-def _fill_pattern(plan: Plan, pattern, repeat: int, in_bin, left, gaps, size: int) -> None:
+def _fill_pattern(plan: Plan, pattern, repeat: int, in_bin, left, gaps, size: int, width: int) -> None:
     """``repeat`` sequences of the pattern, as far as the lengths last: each
-    bin is served from its longest remaining length, and the last member is
-    the longest length that still fits, so that no room is lost to the bins'
-    width."""
+    bin is served from its longest remaining length that fits, and the last
+    member is the longest from its bin on that still fits, so that little room
+    is lost to the bins' width."""
     while repeat > 0:
         chosen: list[int] = []
-        for b in pattern:
+        for i, b in enumerate(pattern):
             room = size - sum(chosen)
-            pool = range(room, 0, -1) if chosen and len(chosen) == len(pattern) - 1 else in_bin[b]
-            pick = next((x for x in pool if left.get(x, 0) > chosen.count(x)), None)
+            pool = range(room, (b - 1) * width, -1) if i and i == len(pattern) - 1 else in_bin[b]
+            pick = next((x for x in pool if x <= room and left.get(x, 0) > chosen.count(x)), None)
             if pick is None:
                 return
             chosen.append(pick)

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -52,6 +53,33 @@ def test_nnls_and_patterns():
     assert len(pats) == len(set(pats)) == 1 + 4 + 5
 
 
+def test_nnls_on_overlapping_patterns_equals_brute_force():
+    """Bins stand in many patterns, so the columns depend on each other; the
+    least residual over every set of columns is the one nnls finds."""
+    pats = bin_patterns(6, 3)
+    a = np.array([[p.count(b) for p in pats] for b in range(1, 7)], dtype=float)
+    assert np.abs(a.T @ a - np.diag(np.diag(a.T @ a))).max() > 0
+    rng = np.random.default_rng(3)
+    for y in [rng.integers(0, 50, 6).astype(float) for _ in range(20)] + [np.zeros(6)]:
+        best = float(y @ y)
+        for r in range(1, 7):
+            for cols in combinations(range(len(pats)), r):
+                x = np.linalg.lstsq(a[:, cols], y, rcond=None)[0]
+                if (x >= -1e-9).all():
+                    best = min(best, float(((a[:, cols] @ x - y) ** 2).sum()))
+        z = nnls(a, y)
+        assert (z >= 0).all() and abs(float(((a @ z - y) ** 2).sum()) - best) < 1e-6
+
+
+def test_patterns_save_sequences_where_best_fit_does_not():
+    rng = np.random.default_rng(1)
+    for low, high in ((400, 1100), (513, 1000)):
+        hist = Counter(rng.integers(low, high, 20000).tolist())
+        plan, alone = plan_packing(hist), plan_packing(hist, grids=((1, 0, 0),))
+        assert alone.fitted == 0 and plan.fitted > sum(hist.values()) / 2
+        assert plan.sequences < 0.97 * alone.sequences
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 300, 60000])
 def test_plan_places_every_piece_once(n):
     rng = np.random.default_rng(n)
