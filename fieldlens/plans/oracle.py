@@ -230,6 +230,8 @@ DIM = """dim AS (
 
 ORACLE["station_county"] = with_(STATION_V, EDGE_V, INSIDE) + "SELECT geoid, id FROM inside"
 
+ORACLE["station_county_cover"] = ORACLE["station_county"]
+
 ORACLE["best_per_group"] = with_(STATION_V, EDGE_V, INSIDE, BEST) + "SELECT * FROM best"
 
 ORACLE["dim_left_join"] = with_(OBS_V, STATION_V, EDGE_V, INSIDE, BEST, COUNTY, DIM) + """

@@ -20,6 +20,7 @@ from fieldlens.operators.joins import left_join_dim, yield_weather_days
 from fieldlens.operators.lookback import lookback_features, lookback_naive
 from fieldlens.operators.quantiles import RANK_ERROR, quantile_row, sketch_quantiles, write_sketches
 from fieldlens.operators.setops import stack, top_k
+from fieldlens.operators.spatial import points_in_cover, polygon_cover
 from fieldlens.operators.windows import first_per_key
 from fieldlens.plans import evaluate as EV
 from fieldlens.plans import gold as G
@@ -317,6 +318,14 @@ def q_station_county(spark, base):
     return located_stations(spark, base).select("geoid", "id")
 
 
+@register("station_county_cover")
+def q_station_county_cover(spark, base):
+    """D3 by a written cover of the counties: cells sized from each polygon, no
+    ray test in inner ones."""
+    edges = A.county_edge_view(spark, base)
+    return points_in_cover(A.station_view(spark, base), edges, polygon_cover(edges))
+
+
 @register("best_per_group")
 def q_best_per_group(spark, base):
     return WB.best_station_per_county(located_stations(spark, base))

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldlens.operators.quantiles import exact_quantiles
-from fieldlens.operators.spatial import points_in_polygons
+from fieldlens.operators.spatial import points_in_cover, points_in_polygons, polygon_cover
 
 
 def ring(pts):
@@ -24,6 +25,53 @@ def brute_inside(px, py, edges):
     return n % 2 == 1 and not on
 
 
+EDGES = "geoid string, x1 double, y1 double, x2 double, y2 double"
+
+
+def star(x, y, r, n, rnd):
+    """A closed ring of n spikes around (x, y)."""
+    at = [(r * rnd.uniform(0.4, 1.0), 2 * np.pi * i / n) for i in range(n)]
+    return ring([(float(x + a * np.cos(t)), float(y + a * np.sin(t))) for a, t in at])
+
+
+def test_cover_equals_brute_force_for_sizes_a_thousand_apart(spark):
+    """One polygon is a thousand times wider than the others, which lie on it;
+    points stand at random, on cell borders, on corners and on edges."""
+    rnd = random.Random(11)
+    polys = {"big": star(0, 0, 1000, 60, rnd) + ring([(-50, -50), (50, -50), (50, 50), (-50, 50)]),
+             "cell": ring([(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]),  # exactly one cell
+             "flat": ring([(3.0, 3.0), (9.0, 3.0), (3.0, 3.0)]), "line": ring([(1.0, 1.0), (1.0, 4.0)])}
+    for i in range(12):
+        polys[f"s{i}"] = star(rnd.uniform(-900, 900), rnd.uniform(-900, 900), 1, 9, rnd)
+    rows = [(g, *map(float, (x1, y1, x2, y2))) for g, es in polys.items() for (x1, y1), (x2, y2) in es]
+    e = spark.createDataFrame(rows + [("bad", None, 1.0, 2.0, 2.0), (None, 0.0, 0.0, 1.0, 1.0), ("bad", float("nan"), 0.0, 1.0, 5.0)], EDGES)
+    pts = [(f"r{i}", rnd.uniform(-1100, 1100), rnd.uniform(-1100, 1100)) for i in range(400)]
+    pts += [(f"c{i}", 4.0 * rnd.randint(-20, 20), 4.0 * rnd.randint(-20, 20)) for i in range(200)]
+    for g, es in polys.items():
+        (x1, y1), (x2, y2) = es[0]
+        pts += [(f"v{g}", x1, y1), (f"m{g}", (x1 + x2) / 2, (y1 + y2) / 2)]
+        if g.startswith("s"):
+            cx, cy = np.mean([p[0][0] for p in es]), np.mean([p[0][1] for p in es])
+            pts += [(f"n{g}{i}", float(cx + rnd.uniform(-1, 1)), float(cy + rnd.uniform(-1, 1))) for i in range(12)]
+    pts += pts[:40]  # repeated points
+    p = spark.createDataFrame([(*q, q[0] + "!") for q in pts] + [("null", None, 1.0, ""), ("nan", float("nan"), 1.0, "")],
+                              "id string, longitude double, latitude double, note string")
+    cover = polygon_cover(e)
+    got = sorted(map(tuple, points_in_cover(p, e, cover, carry=["note"]).collect()))
+    want = sorted((g, i, i + "!") for i, x, y in pts for g, es in polys.items()
+                  if brute_inside(x, y, [(tuple(map(float, a)), tuple(map(float, b))) for a, b in es]))
+    assert got == want and len({g for g, *_ in got}) > 10
+    # the cells follow the polygon: about as many for the big one as for a small one of its shape
+    n = {r["geoid"]: r["count"] for r in cover.groupBy("geoid").count().collect()}
+    assert "flat" not in n and "line" not in n and n["big"] < 20 * max(n[f"s{i}"] for i in range(12))
+    # most of the big polygon's area needs no ray test
+    area = {r["_inner"]: r["a"] for r in cover.where("geoid = 'big'").groupBy("_inner").agg(
+        F.sum(F.pow(F.lit(4.0), "_exp")).alias("a")).collect()}
+    assert area[True] > area[False]
+    assert points_in_cover(p, e.limit(0), polygon_cover(e.limit(0))).collect() == []
+    assert points_in_cover(p.limit(0), e, cover).collect() == []
+
+
 def test_points_in_polygons_with_hole_and_edges(spark):
     polys = {
         # square with a square hole (even-odd rule)
