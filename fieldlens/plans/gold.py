@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.exprs import STATE_ABBREV, clean_temperature, yield_status
+from fieldlens.functions.exprs import STATE_ABBREV, clean_temperature, state_key, yield_status
 from fieldlens.operators.bucketing import bucketed
 from fieldlens.operators.filters import pair_filter
 from fieldlens.operators.lookback import (
@@ -107,3 +107,32 @@ def gold_features(
                               ["county_name", "state_abbrev"])
     return gold_from_labelled(add_trailing_yield(yields, tiebreak=tiebreak, keep_block=True), weather,
                               hot_threshold=hot_threshold, temp_type=temp_type)
+
+
+def season_table(weather: DataFrame) -> DataFrame:
+    """(State, County, Year, first_day, last_day, days, rain) per season with
+    weather, the states as abbreviations."""
+    return weather.where(F.col("date").isNotNull()).groupBy(
+        state_key("state_abbrev").alias("State"), F.col("county_name").alias("County"), F.year("date").alias("Year"),
+    ).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+          F.count_distinct("date").alias("days"), F.sum("PRCP").alias("rain"))
+
+
+def of_seasons(rows: DataFrame, seasons: DataFrame, *extra: str) -> DataFrame:
+    """``rows`` (a written table with State, County, Year) of the picked
+    ``seasons``, a filtered table with one row per season, with its columns
+    ``extra``.
+
+    The years that occur are known only when the query runs.  Where ``rows`` is
+    partitioned by Year and the seasons are small enough to be broadcast, they
+    prune its partitions before they are read (dynamic partition pruning);
+    where both sides shuffle, a Bloom filter of the seasons' keys drops rows
+    before the exchange once the scan is large (Spark's run-time filter, for
+    scans above ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``).
+    Either is Spark's choice from sizes.  Years and counties are compared as
+    they are and states by their abbreviation; null keys never match.
+    """
+    s = seasons.select(F.col("State").alias("_state"), F.col("County").alias("_county"),
+                       F.col("Year").alias("_year"), *extra)
+    on = (rows["Year"] == s["_year"]) & (rows["County"] == s["_county"]) & (state_key(rows["State"]) == s["_state"])
+    return rows.join(s, on).select(*(rows[c] for c in rows.columns), *extra)

@@ -442,6 +442,18 @@ ORACLE["stream_refresh"] = ORACLE["gold_features"]
 ORACLE["gold_target_pairs"] = f"""SELECT * FROM ({ORACLE["gold_features"]}) g
 WHERE (County, State) IN (('NATION_1', 'AMERICA'), ('NATION_6', 'AMERICA'), ('NATION_0', 'AFRICA'))"""
 
+SEASONS = """seasons AS (
+  SELECT state_abbrev AS s, county_name AS c, year(date) AS y, max(date) AS last_day,
+         count(DISTINCT date) AS days, CAST(sum(PRCP) AS DOUBLE) AS rain
+  FROM weather_v GROUP BY ALL HAVING month(max(date)) < 12)"""
+
+ORACLE["gold_open_seasons"] = gold_with(SEASONS) + """
+SELECT g.*, last_day FROM gold g JOIN seasons ON State = s AND County = c AND Year = y"""
+
+ORACLE["yields_of_open_seasons"] = with_(YIELD_V, WEATHER_V, SEASONS) + """
+SELECT yield_id, County, State, Crop, Year, Yield_Per_Acre, days, rain
+FROM yield_v JOIN seasons ON State = s AND County = c AND Year = y"""
+
 ORACLE["split_tables"] = f"""SELECT * EXCLUDE (split),
   CASE split WHEN 'train' THEN 'training' ELSE 'production' END AS saved_as FROM ({ORACLE["year_split"]}) s"""
 

@@ -470,6 +470,28 @@ class Run:
         return SC.expand_scenarios(prod)
 
 
+OPEN_BEFORE = 12  # a season is open while its weather ends before this month
+
+
+@register("gold_open_seasons")
+def q_gold_open_seasons(spark, base):
+    """M2 read back for the seasons whose weather is not complete: gold's years
+    are pruned by a table that is only known at run time."""
+    seasons = materialize(G.season_table(A.weather_view(spark, base)), "seasons")
+    picked = seasons.where(F.month("last_day") < OPEN_BEFORE)
+    return G.of_seasons(Run(spark, base).gold, picked, "last_day")
+
+
+@register("yields_of_open_seasons")
+def q_yields_of_open_seasons(spark, base):
+    """D1 for the same seasons over the bronze yields."""
+    bronze = _saved(spark, A.yield_view(spark, base), "bronze_yield", partition_by=["Year"])
+    seasons = materialize(G.season_table(A.weather_view(spark, base)), "seasons")
+    picked = seasons.where(F.month("last_day") < OPEN_BEFORE)
+    return G.of_seasons(bronze, picked, "days", "rain").select(
+        "yield_id", "County", "State", "Crop", "Year", "Yield_Per_Acre", "days", F.col("rain").cast("double").alias("rain"))
+
+
 @register("holdout_split")
 def q_holdout_split(spark, base):
     return Run(spark, base).split.select(*G.GOLD_KEYS, "split")

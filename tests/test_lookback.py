@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.operators.lookback import lookback_features, lookback_naive
+from fieldlens.plans import gold as G
 from fieldlens.plans.gold import gold_features
+from fieldlens.session import materialize
 
 D = dt.date
 
@@ -165,3 +167,33 @@ def test_seasons_meet_in_their_buckets_and_a_busy_day_is_split(spark):
     assert text.count("Window [") + text.count("Window(") == 1
     join = text.split("SortMergeJoin")[1].split("Exchange")[0]
     assert "HashAggregate" in join  # the yields' side: aggregated and sorted in place
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_seasons_known_at_run_time_prune_years_and_rows(spark):
+    """The years of a filtered season table prune the partitions that are read;
+    where both sides shuffle, a Bloom filter of the keys goes before the exchange."""
+    rows = [(f"c{i % 40}", "Ohio", 1990 + i % 10, i) for i in range(4000)] + [(None, "Ohio", 1999, -1), ("c1", None, 1999, -2)]
+    gold = materialize(spark.createDataFrame(rows, "County string, State string, Year int, v int"), "t-gold", partition_by=["Year"])
+    seasons = materialize(spark.createDataFrame(
+        [(f"c{i}", "OH" if i != 3 else "IN", 1990 + y, 100 * y + i) for i in range(40) for y in range(10)] + [(None, "OH", 1999, 999)],
+        "County string, State string, Year int, days int"), "t-seasons")
+    got = G.of_seasons(gold, seasons.where("days > 899"), "days")
+    want = sorted((c, s, 1999, v, 900 + int(c[1:])) for c, s, y, v in rows if y == 1999 and c and s and c != "c3")
+    assert sorted((r.County, r.State, r.Year, r.v, r.days) for r in got.collect()) == want and want
+    assert "dynamicpruning" in plan_of(got).lower()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        shuffled = G.of_seasons(gold, seasons.where("days > 899"), "days")
+        assert sorted((r.County, r.State, r.Year, r.v, r.days) for r in shuffled.collect()) == want
+        assert "might_contain" in plan_of(shuffled).lower()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
