@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from fieldlens.llm.common import WORDS, map_arrow, named, table, unit_hash
 
-SAMPLE = 4000
+SAMPLE = 6000
 DIM = 1 << 18
 THRESHOLD = 0.3
 MIN_DOCS = 4
