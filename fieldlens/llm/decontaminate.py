@@ -9,8 +9,9 @@ the original text's word positions.
 
 Scale: documents never shuffle.  Items are taken in blocks of at most
 ``block_bytes`` of window text, so an automaton's size has a bound that does
-not depend on the benchmark; each further block is one more pass that carries
-the hits found so far.
+not depend on the benchmark.  Each block is one pass that carries the hits found
+so far; every pass but the last is written, so that one automaton is alive in a
+worker at a time and a lost executor repeats one pass.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from fieldlens.llm.common import alnum_words, fresh_name
+from fieldlens.llm.common import TEXT_ROWS, alnum_words, fresh_name
+from fieldlens.session import Scratch
 
 BLOCK_BYTES = 8 << 20
 
@@ -35,15 +37,16 @@ def item_windows(words: list[bytes], window: int) -> list[bytes]:
 
 
 def benchmark_blocks(items: DataFrame, id_col: str, text_col: str, window: int,
-                     block_bytes: int = BLOCK_BYTES) -> Iterator[dict[bytes, list]]:
+                     scratch: Scratch, block_bytes: int = BLOCK_BYTES) -> Iterator[dict[bytes, list]]:
     """Blocks of {window text: item ids}, each of at most ``block_bytes`` of
     item text times the window length (one larger item forms a block alone).
 
     Block numbers come from a hash of the text and the total size, so a block
-    is read by a filter; only one block is on the driver at a time.
+    is read by a filter from the items' written table; only one block is on the
+    driver at a time.
     """
-    rows = items.select(F.col(id_col).cast("string").alias("id"),
-                        F.col(text_col).cast("binary").alias("text")).distinct()
+    rows = scratch.table(items.select(F.col(id_col).cast("string").alias("id"),
+                                      F.col(text_col).cast("binary").alias("text")).distinct(), "items")
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     n = max(1, -(-int(size) * window // block_bytes))
     for b in range(n):
@@ -120,23 +123,33 @@ def mark_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
                       StructField("items", ArrayType(StringType()))])
     schema = StructType([*docs.schema.fields, StructField(out, hit)])
     at = docs.columns.index(text_col)
-    result, first = docs, True
-    for windows in benchmark_blocks(items, item_id_col, item_text_col, window, block_bytes):
-        sent = sc.broadcast(windows)
-
-        def scan(batches, sent=sent, first=first):
-            automaton = build_automaton(sent.value)
-            for batch in batches:
-                texts = batch.column(at).cast(pa.binary()).to_pylist()
-                before = [None] * batch.num_rows if first else batch.column(batch.num_columns - 1).to_pylist()
-                hits = []
-                for t, old in zip(texts, before):
-                    hits.append(_hits_of(t, automaton, old))
-                cols = list(batch.columns) if first else list(batch.columns)[:-1]
-                arr = pa.array(hits, type=_HIT)
-                yield pa.RecordBatch.from_arrays([*cols, arr], names=[*batch.schema.names[: len(cols)], out])
-
-        result, first = result.mapInArrow(scan, schema), False
+    result, first, last = docs, True, None
+    with Scratch(spark, "decontaminate") as scratch:
+        blocks = benchmark_blocks(items, item_id_col, item_text_col, window, scratch, block_bytes)
+        for i, windows in enumerate(blocks):
+            if not first:  # the pass before, written; what it read can go
+                result = scratch.table(result, f"pass{i}", arrow_rows=TEXT_ROWS)
+                if last:
+                    scratch.drop(last)
+                last = f"pass{i}"
+                sent.unpersist()
+            sent = sc.broadcast(windows)
+
+            def scan(batches, sent=sent, first=first):
+                automaton = build_automaton(sent.value)
+                for batch in batches:
+                    texts = batch.column(at).cast(pa.binary()).to_pylist()
+                    before = [None] * batch.num_rows if first else batch.column(batch.num_columns - 1).to_pylist()
+                    hits = []
+                    for t, old in zip(texts, before):
+                        hits.append(_hits_of(t, automaton, old))
+                    cols = list(batch.columns) if first else list(batch.columns)[:-1]
+                    arr = pa.array(hits, type=_HIT)
+                    yield pa.RecordBatch.from_arrays([*cols, arr], names=[*batch.schema.names[: len(cols)], out])
+
+            result, first = result.mapInArrow(scan, schema), False
+        if last:
+            scratch.keep(last)
     if first:  # no window at all: still count words
         def count_only(batches):
             for batch in batches:
