@@ -30,7 +30,7 @@ from fieldlens.session import Scratch
 SIZE = 2048
 # (bins, most parts of a pattern, shortest part as a share of the size)
 GRIDS = ((64, 4, 1 / 5), (64, 4, 1 / 16), (128, 3, 1 / 8), (256, 3, 1 / 8))
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 
 _ENCODERS: dict[str | None, WordEncoder] = {}
 
