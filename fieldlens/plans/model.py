@@ -87,7 +87,26 @@ def onehot_long(train: DataFrame, apply_to: DataFrame, cats: Sequence[str],
         *keep, "feature", F.lit(1.0).alias("value"))
 
 
-def stable_layout(df: DataFrame) -> DataFrame:
+# Rows of one training partition: its cached tree points (0.7 KB a row at 100
+# trees) stay well under 1 GB.
+PARTITION_ROWS = 1_000_000
+
+
+def layout_partitions(df: DataFrame) -> int:
+    """Partitions of a forest's training rows: one per task slot (8 at least),
+    or as many rounds of slots as keep each under ``PARTITION_ROWS``.
+
+    Every partition sends a histogram of all nodes of a level, however few
+    rows it has, so the forest's shuffle is partitions x nodes x bins and must
+    not follow ``spark.sql.shuffle.partitions``, which stays an upper bound.
+    """
+    spark = df.sparkSession
+    slots = max(8, spark.sparkContext.defaultParallelism)
+    rounds = max(1, -(-df.count() // (slots * PARTITION_ROWS)))
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), slots * rounds)
+
+
+def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fix partition contents and row order from the data alone.
 
     The forest's bootstrap and split sampling are seeded per partition, so
@@ -96,7 +115,7 @@ def stable_layout(df: DataFrame) -> DataFrame:
     partitioning on all columns plus a sort within partitions makes the
     layout a function of the rows (identical rows are interchangeable).
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or layout_partitions(df)
     cols = [F.col(c) for c in df.columns]
     return df.repartition(n, *cols).sortWithinPartitions(*cols)
 
@@ -181,11 +200,13 @@ def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Seque
     empty parameter grid, written as plain filters on the fold column (the
     library version checks fold numbers with a row-at-a-time Python UDF on
     every fold).  The prepared table is laid out deterministically and
-    written once to the shared folder; the folds are filters on it.
+    written once to the shared folder; the folds are filters on it, read in no
+    more partitions than were written.
     """
     checkpoint_root(train.sparkSession)
+    n = layout_partitions(train)
     data = materialize(stable_layout(prepare(train, numeric, target)
-                                     .withColumn(fold_col, F.col(fold_col).cast("int"))), "cv_input")
+                                     .withColumn(fold_col, F.col(fold_col).cast("int")), n), "cv_input").coalesce(n)
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PRED, metricName="rmse")
     # the histograms of all forests in flight share one budget
     params.setdefault("max_memory_mb", max(16, tree_memory_mb(train.sparkSession) // parallelism))

@@ -48,3 +48,45 @@ def test_onehot_unseen_is_all_zero(spark):
     rows = M.onehot_columns(tr, te, ["c"], keep=["c"]).collect()
     got = {r["c"]: (r["c_a"], r["c_b"]) for r in rows}
     assert got == {"b": (0.0, 1.0), "z": (0.0, 0.0)}
+
+
+def test_training_partitions_follow_slots_and_rows(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"))
+    slots = max(8, spark.sparkContext.defaultParallelism)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        laid = M.stable_layout(df)
+        assert laid.rdd.getNumPartitions() == slots and laid.count() == 1000
+        monkeypatch.setattr(M, "PARTITION_ROWS", 50)  # more rows than one round of slots may hold
+        laid = M.stable_layout(df)
+        sizes = laid.rdd.glom().map(len).collect()
+        assert len(sizes) == slots * -(-1000 // (slots * 50)) and sum(sizes) == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_cross_validation_trains_in_few_partitions(spark, monkeypatch):
+    rows = [(float(i), "ab"[i % 2], float(i % 11), i % 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, c string, y double, fold int")
+    seen, real = [], M.build_pipeline
+
+    def watched(*a, **k):
+        made = real(*a, **k)
+        fit = made.fit
+        made.fit = lambda d: (seen.append(d.rdd.getNumPartitions()), fit(d))[1]
+        return made
+
+    monkeypatch.setattr(M, "build_pipeline", watched)
+    slots = max(8, spark.sparkContext.defaultParallelism)
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rmses, held = M.cross_validated(df, ["x"], ["c"], "y", "fold", num_trees=2, max_depth=2)
+        assert len(rmses) == 5 and held.count() == 300
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(seen) == 5 and max(seen) <= slots
