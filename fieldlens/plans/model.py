@@ -93,16 +93,17 @@ PARTITION_ROWS = 1_000_000
 
 
 def layout_partitions(df: DataFrame) -> int:
-    """Partitions of a forest's training rows: one per task slot (8 at least),
-    or as many rounds of slots as keep each under ``PARTITION_ROWS``.
+    """Partitions of a forest's training rows: whole rounds of the task slots,
+    so that no slot waits, as many as give 8 partitions and keep each under
+    ``PARTITION_ROWS``.
 
     Every partition sends a histogram of all nodes of a level, however few
     rows it has, so the forest's shuffle is partitions x nodes x bins and must
     not follow ``spark.sql.shuffle.partitions``, which stays an upper bound.
     """
     spark = df.sparkSession
-    slots = max(8, spark.sparkContext.defaultParallelism)
-    rounds = max(1, -(-df.count() // (slots * PARTITION_ROWS)))
+    slots = max(1, spark.sparkContext.defaultParallelism)
+    rounds = max(-(-8 // slots), -(-df.count() // (slots * PARTITION_ROWS)))
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), slots * rounds)
 
 

@@ -52,7 +52,8 @@ def test_onehot_unseen_is_all_zero(spark):
 
 def test_training_partitions_follow_slots_and_rows(spark, monkeypatch):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"))
-    slots = max(8, spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    slots = cores * -(-8 // cores)  # the fewest whole rounds that give 8 partitions
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "200")
@@ -61,7 +62,7 @@ def test_training_partitions_follow_slots_and_rows(spark, monkeypatch):
         monkeypatch.setattr(M, "PARTITION_ROWS", 50)  # more rows than one round of slots may hold
         laid = M.stable_layout(df)
         sizes = laid.rdd.glom().map(len).collect()
-        assert len(sizes) == slots * -(-1000 // (slots * 50)) and sum(sizes) == 1000
+        assert len(sizes) == cores * -(-1000 // (cores * 50)) and sum(sizes) == 1000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -78,7 +79,8 @@ def test_cross_validation_trains_in_few_partitions(spark, monkeypatch):
         return made
 
     monkeypatch.setattr(M, "build_pipeline", watched)
-    slots = max(8, spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    slots = cores * -(-8 // cores)  # the fewest whole rounds that give 8 partitions
     keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "1k"}
     before = {k: spark.conf.get(k) for k in keys}
     try:
