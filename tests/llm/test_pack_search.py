@@ -150,6 +150,22 @@ def test_copies_of_a_piece_spread_over_the_slices(spark, monkeypatch):
     assert sum(seen[0]) == 403 and max(seen[0]) < 120
 
 
+def test_token_ids_pass_no_worker_after_they_are_cut(spark):
+    """Only row numbers and lengths are ranked and looked up; ids come by a join."""
+    df = spark.createDataFrame(small_docs(spark)[:50], DOCS).repartition(3)
+    with Scratch(spark, "t") as sc:
+        out = pack_documents(df, sc, with_ids=True)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        arrow = [x for x in plan.split("\n") if "MapInArrow" in x]
+        below = [x for x in plan[plan.index("MapInArrow"):].split("\n") if "Relation" not in x]
+        assert len(arrow) == 1 and any("Window" in x for x in below) and not any(re.search(r"\bids#", x) for x in below)
+        rows = out.collect()
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    text = {i: b + bytes(4) for i, b in zip([i for i, _ in small_docs(spark)[:50]], encode_bytes([t for _, t in small_docs(spark)[:50]]))}
+    assert all(r.ids == text[r.doc_id][4 * r.start:4 * (r.start + r.length)] for r in rows)
+
+
 # ---- sharding
 
 def test_matrix_has_exact_margins_and_the_right_spread():

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fieldlens.llm.common import STAGE_ROWS
 from fieldlens.llm.queries import ORACLE, QUERIES
 from fieldlens.llm.quality import train_quality, votes
 from fieldlens.session import Scratch
@@ -84,6 +85,45 @@ def test_stages_take_odd_rows(spark):
             docs.count()
 
 
+def test_no_whole_text_leaves_a_stage_through_an_unbounded_batch(spark, monkeypatch):
+    """The caller's Arrow batch size (10,000 rows) never holds for whole texts
+    or token ids: what a stage returns has them from a written table."""
+    seen = []
+    table = Scratch.table
+
+    def spy(self, df, part, partition_by=(), arrow_rows=None):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        seen.append(("MapInArrow" in plan and bool(re.search(r"\b(text|t|__text|ids)#", plan)), arrow_rows, part))
+        return table(self, df, part, partition_by, arrow_rows)
+
+    monkeypatch.setattr(Scratch, "table", spy)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40).localCheckpoint()
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n"):
+            assert "MapInArrow" not in line or not re.search(r"\b(text|ids)#", line), line
+    assert all(rows and rows <= STAGE_ROWS for wide, rows, _ in seen if wide), seen
+    assert {part for wide, _, part in seen if wide} >= {"votes", "out", "fp", "pieces"}
+
+
+def test_a_task_gives_the_memory_arrow_keeps_back(monkeypatch):
+    import pyarrow as pa
+
+    from fieldlens.llm.common import releasing
+
+    class Pool:
+        calls = 0
+
+        def release_unused(self):
+            self.calls += 1
+
+    pool = Pool()
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    given = releasing(iter([1, 2]))
+    assert next(given) == 1 and pool.calls == 0
+    assert list(given) == [2] and pool.calls == 1
+
+
 def test_thirteen_operators_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
