@@ -1,13 +1,12 @@
 """M3: gold rows -> random-forest yield model.
 
-Everything runs in ``pyspark.ml``: the data is never collected; only model
-metadata (category labels, importances, fold metrics: tens of numbers)
+The pipeline and its fitted model are ``pyspark.ml``'s; the forest's trees are
+grown by ``plans.forest``.  The data is never collected; only model metadata
+(category labels, split candidates, tree nodes, importances, fold metrics)
 reaches the driver.
 
-Matching the usual single-machine forest setup: ``featureSubsetStrategy
-="all"`` (every split considers every feature), 100 trees, depth 10, seed 42.
-Node ids are cached and checkpointed to the shared folder, so a lost executor
-costs a recomputation of at most ``checkpointInterval`` iterations.
+Matching the usual single-machine forest setup: every split considers every
+feature, 100 trees, depth 10, seed 42.
 """
 
 from __future__ import annotations
@@ -24,12 +23,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.session import checkpoint_root, materialize, side_by_side
+from fieldlens.plans.forest import POSITION, HistogramForest
+from fieldlens.session import Scratch, checkpoint_root, materialize, side_by_side
 
 LABEL = "label"
 PRED = "Predicted_Yield"
@@ -87,8 +86,7 @@ def onehot_long(train: DataFrame, apply_to: DataFrame, cats: Sequence[str],
         *keep, "feature", F.lit(1.0).alias("value"))
 
 
-# Rows of one training partition: its cached tree points (0.7 KB a row at 100
-# trees) stay well under 1 GB.
+# Rows of one training partition: its sort and its packed bins stay well under 1 GB.
 PARTITION_ROWS = 1_000_000
 
 
@@ -97,9 +95,9 @@ def layout_partitions(df: DataFrame) -> int:
     so that no slot waits, as many as give 8 partitions and keep each under
     ``PARTITION_ROWS``.
 
-    Every partition sends a histogram of all nodes of a level, however few
-    rows it has, so the forest's shuffle is partitions x nodes x bins and must
-    not follow ``spark.sql.shuffle.partitions``, which stays an upper bound.
+    Every partition sends at least one block of rows to every group of trees,
+    so their number must not follow ``spark.sql.shuffle.partitions``, which stays
+    an upper bound.
     """
     spark = df.sparkSession
     slots = max(1, spark.sparkContext.defaultParallelism)
@@ -110,7 +108,7 @@ def layout_partitions(df: DataFrame) -> int:
 def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fix partition contents and row order from the data alone.
 
-    The forest's bootstrap and split sampling are seeded per partition, so
+    The forest's bootstrap is seeded per block of a partition, so
     the same seed gives the same model only for the same partitioning and
     order; rows that leave a shuffle arrive in varying order.  Hash
     partitioning on all columns plus a sort within partitions makes the
@@ -128,31 +126,13 @@ def prepare(df: DataFrame, numeric: Sequence[str], target: str | None) -> DataFr
     return df.withColumns(cols)
 
 
-def _mb(text: str) -> int:
-    t = text.strip().lower()
-    scale = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if t and t[-1] == "b":
-        t = t[:-1]
-    if t and t[-1] in scale:
-        return int(float(t[:-1]) * scale[t[-1]])
-    return int(t)  # a bare number is MiB, as for Spark's memory settings
-
-
-def tree_memory_mb(spark) -> int:
-    """Per-task histogram budget of the forest: a quarter of the heap share
-    of one task slot (16 MB .. 1 GB), so concurrent tasks never exhaust the
-    executor heap whatever memory the session was given."""
-    sc = spark.sparkContext
-    conf = sc.getConf()
-    local = sc.master.startswith("local")
-    mem = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
-    slots = sc.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return max(16, min(1024, _mb(mem) // max(1, slots) // 4))
+def training_rows(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows in their stable layout, numbered along it."""
+    return stable_layout(df, partitions).withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], *, num_trees: int = 100,
-                   max_depth: int = 10, seed: int = 42, max_bins: int = 64,
-                   max_memory_mb: int = 256) -> Pipeline:
+                   max_depth: int = 10, seed: int = 42, max_bins: int = 64) -> Pipeline:
     """K3-K5: impute + scale numerics, one-hot categoricals, assemble, forest."""
     imp = [f"{c}__imp" for c in numeric]
     stages = [
@@ -164,22 +144,22 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], *, num_tr
                       outputCols=[f"{c}__ohe" for c in categorical], dropLast=True),
         VectorAssembler(inputCols=["num_scaled", *[f"{c}__ohe" for c in categorical]],
                         outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol=LABEL, predictionCol=PRED,
-                              numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                              featureSubsetStrategy="all", maxBins=max_bins,
-                              cacheNodeIds=True, checkpointInterval=10,
-                              maxMemoryInMB=max_memory_mb),
+        HistogramForest(numeric_col="num_scaled", index_cols=[f"{c}__idx" for c in categorical],
+                        onehot_cols=[f"{c}__ohe" for c in categorical], features_col="features",
+                        label_col=LABEL, prediction_col=PRED, num_trees=num_trees, max_depth=max_depth,
+                        seed=seed, max_bins=max_bins),
     ]
     return Pipeline(stages=stages)
 
 
 def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
         **params) -> PipelineModel:
-    """K8: fit the pipeline (the shared checkpoint folder is set first)."""
-    checkpoint_root(train.sparkSession)
-    data = stable_layout(prepare(train, numeric, target))
-    params.setdefault("max_memory_mb", tree_memory_mb(train.sparkSession))
-    return build_pipeline(numeric, categorical, **params).fit(data)
+    """K8: fit the pipeline on rows laid out and written once (every stage reads them)."""
+    n = layout_partitions(train)
+    rows = training_rows(prepare(train, numeric, target), n)
+    with Scratch(train.sparkSession, "fit") as scratch:
+        data = scratch.table(rows.select(*numeric, *categorical, LABEL, POSITION), "input").coalesce(n)
+        return build_pipeline(numeric, categorical, **params).fit(data)
 
 
 def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], target: str | None,
@@ -190,12 +170,12 @@ def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], target:
 
 
 def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-                    fold_col: str, *, folds: int = 5, parallelism: int = 2, **params) -> tuple[list[float], DataFrame]:
+                    fold_col: str, *, folds: int = 5, parallelism: int = 3, **params) -> tuple[list[float], DataFrame]:
     """K7: the RMSE of each hash-assigned fold, and the held-out predictions
     (fold, label, prediction) as a written table.
 
-    ``parallelism`` folds are fitted at the same time: the short stages of one
-    forest leave cores idle that the others use.
+    ``parallelism`` folds are fitted at the same time, the next as soon as one
+    ends: the short stages of one forest leave cores idle that the others use.
 
     The same result as ``CrossValidator(foldCol=...).avgMetrics`` with one
     empty parameter grid, written as plain filters on the fold column (the
@@ -206,11 +186,9 @@ def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Seque
     """
     checkpoint_root(train.sparkSession)
     n = layout_partitions(train)
-    data = materialize(stable_layout(prepare(train, numeric, target)
-                                     .withColumn(fold_col, F.col(fold_col).cast("int")), n), "cv_input").coalesce(n)
+    rows = training_rows(prepare(train, numeric, target).withColumn(fold_col, F.col(fold_col).cast("int")), n)
+    data = materialize(rows.select(*numeric, *categorical, LABEL, fold_col, POSITION), "cv_input").coalesce(n)
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PRED, metricName="rmse")
-    # the histograms of all forests in flight share one budget
-    params.setdefault("max_memory_mb", max(16, tree_memory_mb(train.sparkSession) // parallelism))
 
     def held_out(i: int):
         def job():
@@ -219,9 +197,7 @@ def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Seque
             return float(evaluator.evaluate(pred)), pred
         return job
 
-    spark, done = train.sparkSession, []
-    for lo in range(0, folds, parallelism):
-        done += side_by_side(spark, *[held_out(i) for i in range(lo, min(folds, lo + parallelism))])
+    done = side_by_side(train.sparkSession, *[held_out(i) for i in range(folds)], at_once=parallelism)
     pred = done[0][1]
     for _, more in done[1:]:
         pred = pred.unionByName(more)
