@@ -1,5 +1,7 @@
 """K4: the forest grown in blocks against Spark's own and a plain tree."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.plans import forest as R
 from fieldlens.plans import model as M
+from fieldlens.session import shared_path
 
 NUM, CAT = ["x", "z"], ["c", "d"]
 
@@ -148,6 +151,19 @@ def test_split_candidates_cut_all_rows_in_equal_shares():
     assert R.split_candidates(np.array([3.0, 1.0, 1.0]), np.array([2.0, 1.0, 5.0]), 63).tolist() == [2.0]
 
 
+def test_a_saved_forest_is_the_same_forest(spark, rows):
+    """Nodes, gains and parameters outlive saving and loading, and the folder
+    they were first written to is gone."""
+    model = M.fit(rows, NUM, CAT, "y", num_trees=4, max_depth=6)
+    path = shared_path(spark, "test_forest")
+    again = M.load_model(M.save_model(model, path))
+    a, b = model.stages[-1], again.stages[-1]
+    assert a.toDebugString == b.toDebugString and a.totalNumNodes == b.totalNumNodes > 40
+    assert a.featureImportances == b.featureImportances and b.getNumTrees == 4
+    assert predictions(model, rows) == predictions(again, rows)
+    assert not [p for p in os.listdir(os.path.dirname(path.removeprefix("file:"))) if p.startswith(("forest-", "fit-"))]
+
+
 def test_null_labels_are_refused(spark, rows):
     with pytest.raises(Exception, match="must not be null"):
         M.fit(rows.withColumn("y", F.when(F.col("x") > 2, F.col("y"))), NUM, CAT, "y", num_trees=2, max_depth=2)
