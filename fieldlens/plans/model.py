@@ -11,6 +11,7 @@ feature, 100 trees, depth 10, seed 42.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -170,7 +171,7 @@ def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], target:
 
 
 def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-                    fold_col: str, *, folds: int = 5, parallelism: int = 3, **params) -> tuple[list[float], DataFrame]:
+                    fold_col: str, *, folds: int = 5, parallelism: int = 2, **params) -> tuple[list[float], DataFrame]:
     """K7: the RMSE of each hash-assigned fold, and the held-out predictions
     (fold, label, prediction) as a written table.
 
@@ -194,7 +195,11 @@ def cross_validated(train: DataFrame, numeric: Sequence[str], categorical: Seque
         def job():
             model = build_pipeline(numeric, categorical, **params).fit(data.where(F.col(fold_col) != i))
             pred = materialize(model.transform(data.where(F.col(fold_col) == i)).select(fold_col, LABEL, PRED), f"cv_fold{i}")
-            return float(evaluator.evaluate(pred)), pred
+            rmse = float(evaluator.evaluate(pred))
+            del model
+            gc.collect()  # else the driver keeps the forest, and the executors its shuffled blocks
+            train.sparkSession.sparkContext._jvm.System.gc()
+            return rmse, pred
         return job
 
     done = side_by_side(train.sparkSession, *[held_out(i) for i in range(folds)], at_once=parallelism)
